@@ -1,0 +1,17 @@
+"""Keyed pseudo-random numbers: the same key gives the same draw on any partitioning."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+HEX_DIGITS = 13
+SPAN = float(16**HEX_DIGITS)
+
+
+def uniform(seed: int | str, *keys: Column | str) -> Column:
+    """Uniform double in [0, 1) from the first 52 bits of md5(seed:key:key...)."""
+    parts = [F.lit(str(seed))]
+    parts += [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    digest = F.md5(F.concat_ws(":", *parts))
+    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double") / F.lit(SPAN)

@@ -1,0 +1 @@
+"""The workload is batch only, so there is no stream operator here."""
