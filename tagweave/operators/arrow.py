@@ -11,12 +11,18 @@ def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list column of equal lengths as an (n, d) float64 matrix."""
+    """A list column of equal lengths as an (n, d) float64 matrix; a null list is a zero row."""
     column = plain(column)
-    if len(column) == 0:
-        return np.zeros((0, 0))
+    present = len(column) - column.null_count
+    if present == 0:
+        return np.zeros((len(column), 0))
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return values.reshape(len(column), -1)
+    values = values.reshape(present, -1)
+    if present == len(column):
+        return values
+    full = np.zeros((len(column), values.shape[1]))
+    full[column.is_valid().to_numpy(zero_copy_only=False)] = values
+    return full
 
 
 def list_column(values: np.ndarray, offsets: np.ndarray | None = None) -> pa.Array:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.operators.arrow import list_column, unit_rows
+from tagweave.operators.skew import spread
 
 TEXT_DIMS = 64
 WORD_BREAK = "[ \t\n\r]+"
@@ -23,6 +24,7 @@ def encode_texts(texts: DataFrame, id_col: str, text_col: str, dims: int = TEXT_
 
     Words are hashed by md5 into ``dims`` buckets. All words of all texts count.
     """
+    texts = spread(texts.select(id_col, text_col), id_col)
     words = texts.select(F.col(id_col), F.explode(F.split(text_col, WORD_BREAK)).alias("word")).where("word <> ''")
     bucket = F.pmod(F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("long"), F.lit(dims)).cast("int")
     counts = words.groupBy(id_col, bucket.alias("bucket")).agg(F.count("*").cast("double").alias("n"))
@@ -47,7 +49,7 @@ def encode_images(images: DataFrame, id_col: str, content: str, load: Callable[[
     ``load`` builds the model inside the worker, once per task and before its first batch, so
     the model itself is never pickled.
     """
-    rows = images.select(F.col(id_col).alias("id"), F.col(content).alias("content"))
+    rows = spread(images.select(F.col(id_col).alias("id"), F.col(content).alias("content")), "id")
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,9 @@ from tagweave.session import materialize
 # Caption numbers are unique per image, so a block holds at most this many of its captions.
 CAPTIONS_PER_BLOCK = 1024
 
+# The histogram of a sample is broadcast, so it has to stay small.
+SAMPLE_BLOCKS = 16_384
+
 PAIR_COLUMNS = ["image_id", "image_path", "text_positive", "text_negative", "category", "split"]
 REQUIRED = [c for c in PAIR_COLUMNS if c != "text_negative"]
 
@@ -43,9 +46,10 @@ def sample_images(images: DataFrame, n: int, seed: int = fixed.SEED) -> DataFram
     """Exactly ``min(n, available)`` images, uniformly and without replacement.
 
     The n lowest keyed draws win. Whole hash blocks are taken or left by a histogram of at
-    most ``HASH_BLOCKS`` rows, so only the one block on the border is sorted.
+    most ``SAMPLE_BLOCKS`` rows, so only the one block on the border is sorted.
     """
-    drawn = images.withColumn("_u", uniform(seed, "image_id")).withColumn("_block", hash_block(F.col("_u")))
+    u = uniform(seed, "image_id")
+    drawn = images.withColumn("_u", u).withColumn("_block", hash_block(F.col("_u"), SAMPLE_BLOCKS))
     upto = F.sum("_n").over(Window.orderBy("_block"))
     blocks = drawn.groupBy("_block").agg(F.count("*").alias("_n"))
     blocks = blocks.select("_block", (upto - F.col("_n")).alias("_before"), upto.alias("_upto"))
@@ -58,11 +62,14 @@ def sample_images(images: DataFrame, n: int, seed: int = fixed.SEED) -> DataFram
     return inside.unionByName(border.drop("_rank")).select(*images.columns)
 
 
-def image_paths(images: DataFrame, root: str) -> DataFrame:
-    """Image id to file path. The images are the larger side wherever they come from."""
-    return images.select(
-        F.col("id").alias("image_id"), F.concat_ws("/", F.lit(root), F.col("file_name")).alias("image_path")
-    )
+def image_paths(ids: DataFrame, images: DataFrame, root: str) -> DataFrame:
+    """Image ids to file paths by the image list, one row per id on both sides.
+
+    Neither side is broadcast by hint, as both grow with the data.
+    """
+    names = images.select(F.col("id").alias("image_id"), "file_name")
+    joined = ids.select("image_id").join(names, "image_id")
+    return joined.select("image_id", F.concat_ws("/", F.lit(root), F.col("file_name")).alias("image_path"))
 
 
 def captions_of_loaded(captions: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -155,15 +162,16 @@ def assign_split(key: Column | str, seed: int = fixed.SEED) -> Column:
 
 def build_pairs(
     captions: DataFrame,
-    paths: DataFrame,
+    images: DataFrame,
     outcomes: DataFrame,
+    root: str,
     seed: int = fixed.SEED,
     category: str = fixed.CATEGORY,
 ) -> DataFrame:
     """The six-column pair table for the images that loaded."""
     loaded = captions_of_loaded(captions, outcomes)
     first = loaded.groupBy("image_id").agg(F.min_by("caption", "cap_no").alias("text_positive"))
-    rows = first.join(paths, "image_id").join(sample_negatives(loaded, seed), "image_id", "left")
+    rows = first.join(image_paths(first, images, root), "image_id").join(sample_negatives(loaded, seed), "image_id", "left")
     rows = rows.withColumn("category", F.lit(category)).withColumn("split", assign_split("image_id", seed))
     return typed_pairs(rows)
 

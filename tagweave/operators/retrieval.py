@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -11,20 +13,25 @@ from tagweave.functions import vectors as V
 from tagweave.operators.arrow import matrix
 from tagweave.operators.skew import join_summary
 
-# Rows per side of one block product. Two sides of 1152-d doubles then take 38 MB.
-BLOCK_ROWS = 2048
+# One side of a block product: at most this many bytes, and no smaller than MIN_BLOCK_ROWS just to
+# occupy the cores. Every row is sent to as many block pairs as there are blocks, so large blocks
+# save shuffle.
+BLOCK_BYTES = 128 * 1024 * 1024
+MIN_BLOCK_ROWS = 256
+# Rows of a block multiplied at a time, so that the similarities stay a small part of the memory.
 PRODUCT_ROWS = 256
 
 
 def similar_images(images: DataFrame, query_id, id_col: str, k: int = 10) -> DataFrame:
     """The ``k`` images most like the query image, which is left out by id.
 
-    The query vector is a scalar subquery, so the corpus is neither joined nor shuffled: each
-    partition keeps its best k and only those meet.
+    The query vector is a scalar subquery, normalised once, so the corpus is neither joined nor
+    shuffled: each partition keeps its best k and only those meet.
     """
-    query = images.where(F.col(id_col) == query_id).select("emb").scalar()
+    query = images.where(F.col(id_col) == query_id).select(V.l2_normalize("emb")).scalar()
     scored = images.where(F.col(id_col) != query_id).withColumn("_query", query)
-    scored = scored.select(F.col(id_col), V.cosine("emb", "_query").alias("similarity"))
+    similarity = F.try_divide(V.dot("emb", "_query"), V.l2_norm("emb"))
+    scored = scored.select(F.col(id_col), similarity.alias("similarity"))
     best = scored.orderBy(F.desc("similarity"), id_col).limit(k)
     rank = F.row_number().over(Window.orderBy(F.desc("similarity"), id_col))
     return best.withColumn("rank", rank)
@@ -50,7 +57,15 @@ def _block_best(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names)
 
 
-def nearest_text(rows: DataFrame, groups: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _block_count(n, dims, cores: int, block_rows: int | None) -> Column:
+    if block_rows:
+        return F.ceil(n / F.lit(block_rows))
+    by_memory = F.ceil(n * dims * F.lit(8) / F.lit(BLOCK_BYTES))
+    by_cores = F.least(F.ceil(n / F.lit(MIN_BLOCK_ROWS)), F.lit(math.isqrt(cores - 1) + 1).cast("long"))
+    return F.greatest(by_memory, by_cores)
+
+
+def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
     """For each image, the most similar text of its group: ``(groups, id, best_id, best_sim)``.
 
     ``rows`` is ``(groups, id, img, txt)``. Images and texts are hashed into blocks by id and
@@ -58,8 +73,10 @@ def nearest_text(rows: DataFrame, groups: list[str], block_rows: int = BLOCK_ROW
     alone and a group that holds most rows is spread over many tasks. Only one row per image
     and block leaves a task.
     """
-    sizes = rows.groupBy(*groups).agg(F.count("*").alias("_n"))
-    sizes = sizes.withColumn("_blocks", F.ceil(F.col("_n") / F.lit(block_rows)).cast("int")).drop("_n")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    sizes = rows.groupBy(*groups).agg(F.count("*").alias("_n"), F.max(F.size("img")).alias("_d"))
+    blocks = _block_count(F.col("_n"), F.col("_d"), cores, block_rows).cast("int")
+    sizes = sizes.select(*groups, blocks.alias("_blocks"))
     keyed = join_summary(rows, sizes, groups)
     own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
@@ -87,7 +104,7 @@ def nearest_text(rows: DataFrame, groups: list[str], block_rows: int = BLOCK_ROW
     )
 
 
-def recall_at_1(rows: DataFrame, groups: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def recall_at_1(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
     """Share of images whose nearest text is their own, per group."""
     nearest = nearest_text(rows.select(*groups, "id", "img", "txt"), groups, block_rows)
     hit = (F.col("best_id") == F.col("id")).cast("double")
@@ -103,7 +120,7 @@ def triplet_accuracy(rows: DataFrame, groups: list[str]) -> DataFrame:
     return rows.groupBy(*groups).agg(F.avg(_pos_beats_neg().cast("double")).alias("triplet_accuracy"))
 
 
-def evaluate(rows: DataFrame, groups: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def evaluate(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
     """Both metrics for every group in one plan: ``(groups, recall_at_1, triplet_accuracy)``.
 
     ``rows`` is ``(groups, id, img, txt, neg)``; ``neg`` is null where a group has no negatives.

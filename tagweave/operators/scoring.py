@@ -64,7 +64,7 @@ def _is_small(tags: DataFrame) -> bool:
 def tag_scorer(names: list[str], vectors: np.ndarray, logits: V.Logits):
     """Arrow UDF ``(embedding, candidates) -> scores``, aligned with the candidates.
 
-    A candidate that is not in the tag table scores null.
+    A candidate that is not in the tag table scores null, and so does an image without a vector.
     """
     known = pa.array(names, pa.string())
     scale, bias = logits.scale, logits.bias
@@ -74,17 +74,23 @@ def tag_scorer(names: list[str], vectors: np.ndarray, logits: V.Logits):
         embedding, candidates = plain(embedding), plain(candidates)
         if len(embedding) == 0:
             return pa.array([], pa.list_(pa.float64()))
-        table = 1.0 / (1.0 + np.exp(-(scale * (matrix(embedding) @ vectors.T) + bias)))
+        images = matrix(embedding)
+        if images.shape[1] == 0:
+            images = np.zeros((len(images), vectors.shape[1]))
+        table = 1.0 / (1.0 + np.exp(-(scale * (images @ vectors.T) + bias)))
         found = pc.index_in(candidates.flatten(), value_set=known)
-        missing = found.is_null().to_numpy(zero_copy_only=False)
+        missing = found.is_null().to_numpy(zero_copy_only=False).copy()
         column = found.fill_null(0).to_numpy()
         lengths = pc.list_value_length(candidates).to_numpy()
         row = np.repeat(np.arange(len(candidates)), lengths)
+        missing |= embedding.is_null().to_numpy(zero_copy_only=False)[row]
         values = pa.array(table[row, column], pa.float64(), mask=missing)
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
-    return scores
+    # The optimiser may copy a deterministic expression, here into a filter it derives for a later
+    # explode, and would then score every image twice.
+    return scores.asNondeterministic()
 
 
 def score_candidates(

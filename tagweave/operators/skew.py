@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +13,8 @@ HOT_SALTS = 64
 # Summary tables up to this many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 10_000
 
-HASH_BLOCKS = 16_384
+# Blocks of a hash order. A block is sorted in one task, so there are many: 10^10 rows make 10^4 per block.
+HASH_BLOCKS = 1 << 20
 
 
 def hash_block(u: Column, blocks: int = HASH_BLOCKS) -> Column:
@@ -23,11 +22,13 @@ def hash_block(u: Column, blocks: int = HASH_BLOCKS) -> Column:
     return F.floor(u * F.lit(blocks)).cast("long")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on ``keys`` that also matches null keys; keeps the left side's key columns."""
-    renamed = reduce(lambda d, k: d.withColumnRenamed(k, f"_r_{k}"), keys, right)
-    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for costly per-row work when the scan has fewer splits than there are cores.
+
+    A large table has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def running_sum(
@@ -45,6 +46,9 @@ def running_sum(
     block sums are accumulated, and only rows of one block are ever sorted together. So a
     group that holds most of the table is spread over its blocks. With the default weight
     this is ``row_number() - 1``.
+
+    What comes before a block is not joined on but sorted in as a head row of the block, so the
+    rows are shuffled once, whatever the number of blocks.
     """
     weight = F.lit(1).cast("long") if weight is None else weight
     blocked = df.withColumn("_block", block).withColumn("_weight", weight)
@@ -52,18 +56,19 @@ def running_sum(
 
     sums = blocked.groupBy(*keys).agg(F.sum("_weight").alias("_sum"))
     along = Window.partitionBy(*groups).orderBy("_block")
-    heads = [*keys, (F.sum("_sum").over(along) - F.col("_sum")).alias("_before")]
+    carried = {"_before": F.sum("_sum").over(along) - F.col("_sum")}
     if total:
-        heads.append(F.sum("_sum").over(Window.partitionBy(*groups)).alias(total))
-    heads = sums.select(*heads)
+        carried[total] = F.sum("_sum").over(Window.partitionBy(*groups))
+    heads = sums.select(*keys, *[c.alias(name) for name, c in carried.items()], F.lit(0).alias("_kind"))
+    rows = blocked.withColumn("_kind", F.lit(1)).unionByName(heads, allowMissingColumns=True)
 
-    inside = Window.partitionBy(*keys).orderBy(*order_by)
+    inside = Window.partitionBy(*keys).orderBy("_kind", *order_by)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = blocked.withColumn("_local", F.sum("_weight").over(inside) - F.col("_weight"))
-    joined = _null_safe(local, heads, keys, "inner")
-    return joined.withColumn(out, F.col("_before") + F.col("_local")).drop(
-        "_block", "_weight", "_before", "_local"
-    )
+    local = F.sum("_weight").over(inside) - F.col("_weight")
+    found = {name: F.first(name).over(inside) for name in carried}
+    rows = rows.withColumns({"_local": local, **found}).where("_kind = 1")
+    rows = rows.withColumn(out, F.col("_before") + F.col("_local"))
+    return rows.drop("_block", "_weight", "_kind", "_before", "_local")
 
 
 def skew_join(

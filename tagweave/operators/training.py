@@ -224,7 +224,7 @@ def apply_heads(rows: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
             )
             return lists
 
-        return project
+        return project.asNondeterministic()
 
     by_image, by_text = projector(image_head), projector(text_head)
     return rows.withColumns({"img": by_image("img"), "txt": by_text("txt"), "neg": by_text("neg")})

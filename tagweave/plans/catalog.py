@@ -33,7 +33,8 @@ def _r(c: Column | str, places: int = 6) -> Column:
 
 
 def _ranked_rows(rows: DataFrame, id_col: str, ranked: str) -> DataFrame:
-    cells = rows.select(id_col, F.posexplode(ranked).alias("pos", "t"))
+    """One row per tag. The outer explode keeps Spark from computing the list a second time for a filter."""
+    cells = rows.select(id_col, F.posexplode_outer(ranked).alias("pos", "t")).where("pos IS NOT NULL")
     return cells.select(id_col, (F.col("pos") + 1).alias("rank"), "t.tag", "t.score")
 
 
@@ -84,7 +85,8 @@ def load_with_placeholder(spark: SparkSession, d: str) -> DataFrame:
     files = ok.join(first, "image_id").select(
         F.col("path_or_err").alias("path"), F.col("caption").cast("binary").alias("content")
     )
-    loaded = image_source.load_with_placeholder(inputs.image_paths(spark, d), files)
+    paths = pairs.image_paths(inputs.outcomes(spark, d), inputs.images(spark, d), inputs.IMAGE_ROOT)
+    loaded = image_source.load_with_placeholder(paths, files)
     return loaded.select("image_id", "load_ok", F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 
@@ -164,7 +166,7 @@ def sample_images(spark: SparkSession, d: str) -> DataFrame:
 
 
 def image_paths(spark: SparkSession, d: str) -> DataFrame:
-    return inputs.image_paths(spark, d)
+    return pairs.image_paths(eligible_images(spark, d), inputs.images(spark, d), inputs.IMAGE_ROOT)
 
 
 def captions_of_loaded(spark: SparkSession, d: str) -> DataFrame:

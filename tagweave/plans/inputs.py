@@ -55,10 +55,6 @@ def images(spark: SparkSession, d: str) -> DataFrame:
     return ids.select("id", F.concat(F.lit("IMG_"), F.col("id").cast("string"), F.lit(".jpg")).alias("file_name"))
 
 
-def image_paths(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.image_paths(images(spark, d), IMAGE_ROOT)
-
-
 def outcomes(spark: SparkSession, d: str) -> DataFrame:
     """Ingest outcome per image: it failed if a label marks one of its documents as toxic."""
     toxic = table(spark, d, "labels").select(F.col("doc_id").alias("cap_no"), "toxic")
@@ -80,7 +76,7 @@ def loaded_captions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pair_table(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.build_pairs(captions(spark, d), image_paths(spark, d), usable_images(spark, d))
+    return pairs.build_pairs(captions(spark, d), images(spark, d), usable_images(spark, d), IMAGE_ROOT)
 
 
 def stored_pairs(spark: SparkSession, d: str) -> DataFrame:

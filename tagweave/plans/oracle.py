@@ -300,7 +300,11 @@ SQL: dict[str, str] = {
     "sample_images": _with(
         f"SELECT * FROM eligible ORDER BY {_u('image_id')}, image_id LIMIT {catalog.SAMPLE_SIZE}", "eligible"
     ),
-    "image_paths": _with("SELECT id AS image_id, '/images/' || file_name AS image_path FROM images", "images"),
+    "image_paths": _with(
+        "SELECT image_id, '/images/' || file_name AS image_path FROM eligible JOIN images ON id = image_id",
+        "eligible",
+        "images",
+    ),
     "captions_of_loaded": _with(
         "SELECT * FROM captions WHERE image_id IN (SELECT image_id FROM outcomes WHERE ok)", "outcomes"
     ),

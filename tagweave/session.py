@@ -41,4 +41,4 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     path = new_path(spark, name)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     # Partition values come back from folder names, so the schema must be stated.
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
