@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.operators.arrow import list_column, unit_rows
-from tagweave.operators.skew import spread
+from tagweave.operators.arrow import list_column, plain, unit_rows
 
 TEXT_DIMS = 64
 WORD_BREAK = "[ \t\n\r]+"
@@ -24,7 +23,6 @@ def encode_texts(texts: DataFrame, id_col: str, text_col: str, dims: int = TEXT_
 
     Words are hashed by md5 into ``dims`` buckets. All words of all texts count.
     """
-    texts = spread(texts.select(id_col, text_col), id_col)
     words = texts.select(F.col(id_col), F.explode(F.split(text_col, WORD_BREAK)).alias("word")).where("word <> ''")
     bucket = F.pmod(F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("long"), F.lit(dims)).cast("int")
     counts = words.groupBy(id_col, bucket.alias("bucket")).agg(F.count("*").cast("double").alias("n"))
@@ -43,23 +41,25 @@ def dense_vectors(sparse: DataFrame, id_col: str, dims: int = TEXT_DIMS) -> Data
     return lists.select(id_col, full.alias("emb"))
 
 
-def encode_images(images: DataFrame, id_col: str, content: str, load: Callable[[], Encoder]) -> DataFrame:
-    """Run a model over image bytes: ``(id, emb)``, unit vectors.
+def image_encoder(load: Callable[[], Encoder]):
+    """Arrow UDF from image bytes to unit vectors.
 
     ``load`` builds the model inside the worker, once per task and before its first batch, so
-    the model itself is never pickled.
+    the model itself is never pickled. The mark at the end keeps Spark from copying the call.
     """
-    rows = spread(images.select(F.col(id_col).alias("id"), F.col(content).alias("content")), "id")
-    kind = rows.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("array<double>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
-        for batch in batches:
-            if batch.num_rows:
-                vectors = list_column(unit_rows(model(batch.column("content"))))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), vectors], ["id", "emb"])
+        for content in batches:
+            yield list_column(unit_rows(model(plain(content)))) if len(content) else list_column(np.zeros((0, 0)))
+
+    return encode.asNondeterministic()
 
-    return rows.mapInArrow(run, f"id {kind}, emb array<double>").withColumnRenamed("id", id_col)
+
+def encode_images(images: DataFrame, id_col: str, content: str, load: Callable[[], Encoder]) -> DataFrame:
+    """Run a model over image bytes: ``(id, emb)``."""
+    return images.select(id_col, image_encoder(load)(F.col(content)).alias("emb"))
 
 
 def byte_histogram(dims: int = 64) -> Callable[[], Encoder]:

@@ -63,19 +63,18 @@ def sample_images(images: DataFrame, n: int, seed: int = fixed.SEED) -> DataFram
 
 
 def image_paths(ids: DataFrame, images: DataFrame, root: str) -> DataFrame:
-    """Image ids to file paths by the image list, one row per id on both sides.
+    """Add the file path by the image list; one row per image on both sides.
 
     Neither side is broadcast by hint, as both grow with the data.
     """
-    names = images.select(F.col("id").alias("image_id"), "file_name")
-    joined = ids.select("image_id").join(names, "image_id")
-    return joined.select("image_id", F.concat_ws("/", F.lit(root), F.col("file_name")).alias("image_path"))
+    path = F.concat_ws("/", F.lit(root), F.col("file_name")).alias("image_path")
+    return ids.join(images.select(F.col("id").alias("image_id"), path), "image_id")
 
 
 def captions_of_loaded(captions: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Captions of the images that loaded; an image with very many captions is salted.
 
-    If ``outcomes`` has ``n_captions``, the hot images are known without another pass.
+    ``outcomes`` has one row per image. If it has ``n_captions``, the hot images are known without another pass.
     """
     loaded = outcomes.where("ok")
     counts = None
@@ -171,7 +170,7 @@ def build_pairs(
     """The six-column pair table for the images that loaded."""
     loaded = captions_of_loaded(captions, outcomes)
     first = loaded.groupBy("image_id").agg(F.min_by("caption", "cap_no").alias("text_positive"))
-    rows = first.join(image_paths(first, images, root), "image_id").join(sample_negatives(loaded, seed), "image_id", "left")
+    rows = image_paths(first, images, root).join(sample_negatives(loaded, seed), "image_id", "left")
     rows = rows.withColumn("category", F.lit(category)).withColumn("split", assign_split("image_id", seed))
     return typed_pairs(rows)
 

@@ -57,10 +57,10 @@ def _block_best(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names)
 
 
-def _block_count(n, dims, cores: int, block_rows: int | None) -> Column:
+def _block_count(n: Column, dims: int, cores: int, block_rows: int | None) -> Column:
     if block_rows:
         return F.ceil(n / F.lit(block_rows))
-    by_memory = F.ceil(n * dims * F.lit(8) / F.lit(BLOCK_BYTES))
+    by_memory = F.ceil(n * F.lit(8 * dims) / F.lit(BLOCK_BYTES))
     by_cores = F.least(F.ceil(n / F.lit(MIN_BLOCK_ROWS)), F.lit(math.isqrt(cores - 1) + 1).cast("long"))
     return F.greatest(by_memory, by_cores)
 
@@ -74,8 +74,10 @@ def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = No
     and block leaves a task.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    sizes = rows.groupBy(*groups).agg(F.count("*").alias("_n"), F.max(F.size("img")).alias("_d"))
-    blocks = _block_count(F.col("_n"), F.col("_d"), cores, block_rows).cast("int")
+    # One row tells the width; an aggregate over sizes would read every vector.
+    first = rows.where("img IS NOT NULL").select(F.size("img").alias("d")).first()
+    sizes = rows.groupBy(*groups).agg(F.count("*").alias("_n"))
+    blocks = _block_count(F.col("_n"), first["d"] if first else 1, cores, block_rows).cast("int")
     sizes = sizes.select(*groups, blocks.alias("_blocks"))
     keyed = join_summary(rows, sizes, groups)
     own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")

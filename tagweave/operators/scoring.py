@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,9 @@ from tagweave import fixed_values as fixed
 from tagweave.functions import tags as T
 from tagweave.functions import vectors as V
 from tagweave.operators.arrow import list_column, matrix, plain
+from tagweave.operators.encoders import Encoder, image_encoder
 from tagweave.operators.skew import skew_join
+from tagweave.sources.tables import check_columns
 
 # A tag table goes to every task only while its matrix is at most this large.
 TAG_MATRIX_BYTES = 64 * 1024 * 1024
@@ -160,6 +162,30 @@ def batch_infer(tagged: DataFrame, filename: Column) -> DataFrame:
     return tagged.select(filename.alias("filename"), response.alias("prediction"))
 
 
+REQUEST_COLUMNS = {"image_base64": "string"}
+OPTIONAL_REQUEST_COLUMNS = {"tag_candidates_json": "string", "tag_score_threshold": "string"}
+
+
+def predict(
+    requests: DataFrame,
+    tags: DataFrame,
+    load: Callable[[], Encoder],
+    id_col: str,
+    default_tags: list[str] | None = None,
+    logits: V.Logits = V.Logits(),
+) -> DataFrame:
+    """Answer requests that carry image bytes: ``(filename, prediction)``, one row per request.
+
+    Candidates and threshold may be given per request; their columns may also be absent.
+    """
+    rows = check_columns(requests, REQUEST_COLUMNS, OPTIONAL_REQUEST_COLUMNS)
+    rows = rows.withColumn("emb", image_encoder(load)(F.unbase64("image_base64")))
+    tagged = tag_images(
+        rows, tags, id_col, "tag_candidates_json", "tag_score_threshold", default_tags=default_tags, logits=logits
+    )
+    return batch_infer(tagged, F.col(id_col))
+
+
 def register_tag_scores(spark: SparkSession, tags: DataFrame, name: str, logits: V.Logits = V.Logits()) -> None:
     """Make the scorer callable from SQL as ``name(embedding, candidates)``."""
     rows = _tag_rows(tags)

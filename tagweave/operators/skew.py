@@ -22,13 +22,14 @@ def hash_block(u: Column, blocks: int = HASH_BLOCKS) -> Column:
     return F.floor(u * F.lit(blocks)).cast("long")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly per-row work when the scan has fewer splits than there are cores.
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Use all cores for costly per-row work on a table scan with fewer splits than there are cores.
 
-    A large table has more splits than cores and is left as it is.
+    A large table has more splits than cores and is left as it is. Only for plain scans: to
+    count the partitions of a plan with a shuffle, Spark would have to run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def running_sum(
@@ -104,6 +105,12 @@ def skew_join(
 
 
 def join_summary(df: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
-    """Attach a per-key summary: broadcast if it is small by count, else a skew-proof join."""
-    small = summary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(summary), on) if small else skew_join(df, summary, on)
+    """Attach a per-key summary.
+
+    A summary that proves small is fetched, so that it is computed once, and broadcast. Any
+    other is joined with hot keys salted.
+    """
+    rows = summary.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) > BROADCAST_ROWS:
+        return skew_join(df, summary, on)
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, summary.schema)), on)

@@ -12,6 +12,7 @@ from tagweave.functions import tags as T
 from tagweave.functions import vectors as V
 from tagweave.functions.random import uniform
 from tagweave.operators import analytics, encoders, pairs, retrieval, runs, scoring, training
+from tagweave.operators.skew import spread
 from tagweave.plans import inputs
 from tagweave.session import materialize, new_path
 from tagweave.sources import captions as caption_source
@@ -166,7 +167,8 @@ def sample_images(spark: SparkSession, d: str) -> DataFrame:
 
 
 def image_paths(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.image_paths(eligible_images(spark, d), inputs.images(spark, d), inputs.IMAGE_ROOT)
+    ids = eligible_images(spark, d).select("image_id")
+    return pairs.image_paths(ids, inputs.images(spark, d), inputs.IMAGE_ROOT)
 
 
 def captions_of_loaded(spark: SparkSession, d: str) -> DataFrame:
@@ -241,12 +243,14 @@ def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, d: str) -> DataFrame:
-    sparse = encoders.encode_texts(inputs.table(spark, d, "documents"), "doc_id", "text")
+    docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    sparse = encoders.encode_texts(docs, "doc_id", "text")
     return sparse.withColumn("weight", _r("weight"))
 
 
 def pluggable_encoder(spark: SparkSession, d: str) -> DataFrame:
-    docs = inputs.table(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = docs.select("doc_id", F.col("text").cast("binary").alias("content"))
     vectors = encoders.encode_images(docs, "doc_id", "content", encoders.byte_histogram())
     total = F.aggregate("emb", F.lit(0.0), lambda acc, x: acc + x)
     return vectors.select("doc_id", F.size("emb").alias("dims"), _r(V.l2_norm("emb")).alias("norm"), _r(total).alias("total"))
@@ -321,6 +325,20 @@ def batch_infer(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def predict_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests with the documents as image bytes and a threshold that depends on the language."""
+    docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text", "lang"), "doc_id")
+    limit = F.when(F.col("lang") == "en", "0.5").when(F.col("lang") == "de", "bad")
+    asked = docs.select(
+        F.col("doc_id").alias("filename"),
+        T.encode_base64(F.col("text").cast("binary")).alias("image_base64"),
+        limit.alias("tag_score_threshold"),
+    )
+    answers = scoring.predict(asked, inputs.tag_table(spark, d), encoders.byte_histogram(), "filename")
+    tags = F.from_json(F.get_json_object("prediction.tags_json", "$.tags"), fixed.TAGS_DDL)
+    return _ranked_rows(answers.select("filename", tags.alias("tags")), "filename", "tags")
+
+
 def encode_response(spark: SparkSession, d: str) -> DataFrame:
     rows = _decoded(inputs.responses(spark, d))
     both = [
@@ -486,7 +504,7 @@ QUERIES: dict[str, Query] = {
         sample_negatives, assign_split, split_counts, split_counts_wide, pair_preview, distinct_categories,
         l2_normalize, dot_product, cosine_similarity, pair_scores, base64_roundtrip, encode_texts, pluggable_encoder,
         tag_prompts, tag_images, rank_tags, select_tags, tag_overrides, tag_custom_candidates, batch_infer,
-        encode_response, flatten_results, response_preview, top_scores_per_image, tag_score_counts, tag_counts,
+        predict_requests, encode_response, flatten_results, response_preview, top_scores_per_image, tag_score_counts, tag_counts,
         tags_per_image, parse_embeddings, embedding_dims, parse_metrics, first_n_images, similar_images, recall_at_1,
         triplet_accuracy, evaluate_splits, metric_delta, best_epoch, running_best, trainable_share, latest_version,
         recent_versions, assign_batches, contrastive_loss, epoch_loss, fit_heads,

@@ -167,6 +167,17 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"CASE WHEN a.image_id = b.image_id THEN 1.0 ELSE -1.0 END * ({SCALE} * list_cosine_similarity(a.img, b.pos) - {BIAS}) AS z "
         "FROM epochs a JOIN epochs b ON a.epoch = b.epoch AND a.batch_id = b.batch_id) a GROUP BY ALL) GROUP BY epoch",
     ),
+    "byte_counts": (
+        (),
+        "SELECT doc_id, bucket, count(*) AS n FROM (SELECT doc_id, CAST('0x' || b AS INTEGER) % 64 AS bucket FROM "
+        "(SELECT doc_id, unnest(regexp_extract_all(hex(encode(text)), '..')) AS b FROM documents)) GROUP BY ALL",
+    ),
+    "doc_scores": (
+        ("byte_counts", "tags"),
+        "SELECT doc_id, tag, pos, round("
+        + _sigmoid(f"{SCALE} * sum(n * v[bucket + 1]) / sqrt(sum(n * n)) - {BIAS}")
+        + f", {fixed.SCORE_DECIMALS}) AS score FROM byte_counts, tags GROUP BY ALL",
+    ),
     "log": (
         (),
         "SELECT user_id AS run_id, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS epoch, "
@@ -350,6 +361,19 @@ SQL: dict[str, str] = {
     "count(*) AS n FROM words WHERE word <> '' GROUP BY ALL) SELECT doc_id, bucket, "
     "round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 6) AS weight FROM counts",
     # tagging
+    "pluggable_encoder": _with(
+        "SELECT doc_id, 64 AS dims, CAST(1 AS DOUBLE) AS norm, round(CAST(sum(n) / sqrt(sum(n * n)) AS DOUBLE), 6) AS total "
+        "FROM byte_counts GROUP BY doc_id",
+        "byte_counts",
+    ),
+    "predict_requests": _with(
+        "SELECT filename, CAST(rank AS INTEGER) AS rank, tag, score FROM (SELECT doc_id AS filename, tag, score, lim, "
+        "row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rank, "
+        "max(score) OVER (PARTITION BY doc_id) AS best FROM doc_scores JOIN (SELECT doc_id AS id, "
+        f"CASE lang WHEN 'en' THEN 0.5 ELSE {fixed.TAG_SCORE_THRESHOLD} END AS lim FROM documents) ON id = doc_id) "
+        f"WHERE CASE WHEN best >= lim THEN score >= lim ELSE rank <= {fixed.FALLBACK_TAGS} END",
+        "doc_scores",
+    ),
     "tag_prompts": "SELECT DISTINCT 'tag_' || label AS tag, 'This is a photo of tag_' || label || '.' AS prompt FROM embeddings",
     "tag_images": _with("SELECT image_id, CAST(rank AS INTEGER) AS rank, tag, score FROM selected", "selected"),
     "rank_tags": _with("SELECT image_id, CAST(rank AS INTEGER) AS rank, tag, score FROM ranked", "ranked"),
@@ -441,7 +465,7 @@ SQL: dict[str, str] = {
         "AS best_so_far FROM log",
         "log",
     ),
-    "trainable_share": "SELECT sum(numel) AS total_params, sum(t) AS trainable_params, "
+    "trainable_share": "SELECT CAST(sum(numel) AS BIGINT) AS total_params, CAST(sum(t) AS BIGINT) AS trainable_params, "
     "round(100.0 * CAST(sum(t) AS DOUBLE) / CAST(sum(numel) AS DOUBLE), 2) AS trainable_pct FROM (SELECT n_chars AS numel, "
     "CASE WHEN "
     + " OR ".join(f"contains(lang || '_model.' || source || '.' || doc_id, '{p}')" for p in catalog.TRAINABLE_PARTS)

@@ -13,6 +13,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 def plain(value):
     if value is None:
@@ -32,6 +34,10 @@ def rows_of(columns, rows):
 def compare(spark, con, d, query, sql):
     """None if both sides agree, else what differs."""
     df = query(spark, d)
+    kinds = {f.name: KINDS[f.dataType.simpleString()] for f in df.schema.fields}
+    want_kinds = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if kinds != want_kinds:
+        return f"types {sorted(set(kinds.items()) ^ set(want_kinds.items()))}"
     names, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     want_names, want = rows_of([c[0] for c in cur.description], cur.fetchall())

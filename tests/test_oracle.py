@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, duck, key):
 
 
 def test_queries_without_sql_are_the_known_ones():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"fit_heads", "register_head", "pluggable_encoder"}
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"fit_heads", "register_head"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -36,5 +36,3 @@ def test_rows_only_queries(spark):
     newest = max(int(r["version"]) for r in heads)
     assert newest == spark.read.parquet(f"{SF}/orders.parquet").agg({"o_orderkey": "max"}).first()[0] + 1
     assert len(heads) == 2 * heads[0]["dims"]
-    encoded = entry.queries()["pluggable_encoder"](spark, SF).collect()
-    assert {round(r["norm"], 6) for r in encoded} == {1.0}
