@@ -46,7 +46,8 @@ def threshold_or_default(threshold: Column, default: float = fixed.TAG_SCORE_THR
 
 def encode_base64(content: Column) -> Column:
     """Base64 on one line, whatever the session says about chunking."""
-    return F.translate(F.base64(content), "\r\n", "")
+    one_line = F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))
+    return F.replace(one_line, F.lit("\n"), F.lit(""))
 
 
 def encode_response(

@@ -33,5 +33,6 @@ def list_column(values: np.ndarray, offsets: np.ndarray | None = None) -> pa.Arr
 
 
 def unit_rows(m: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
+    """Vectors along the last axis scaled to unit length; a zero vector stays zero."""
+    norms = np.linalg.norm(m, axis=-1, keepdims=True)
     return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)

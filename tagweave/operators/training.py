@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave import fixed_values as fixed
@@ -18,6 +18,7 @@ from tagweave.operators.retrieval import evaluate
 from tagweave.session import materialize
 
 MAX_HEAD_DIMS = 4096
+MAX_STEP_FOLDERS = 64
 
 
 def pair_logit_loss(image: np.ndarray, text: np.ndarray, logits: Logits) -> tuple[np.ndarray, np.ndarray]:
@@ -30,63 +31,55 @@ def pair_logit_loss(image: np.ndarray, text: np.ndarray, logits: Logits) -> tupl
     return loss, slope
 
 
-def _whole_batches(batches: Iterator[pa.RecordBatch], id_columns: list[str]) -> Iterator[tuple[pa.Table, int]]:
-    """Cut sorted rows into tables of equal-sized training batches: ``(table, batch size)``.
+def pack_batches(batched: DataFrame, groups: list[str]) -> DataFrame:
+    """One row per batch: ``(groups, batch_id, n, img, txt)`` with the vectors end to end.
 
-    ``batch_pos`` is 0 where a batch begins. The rows of the last, maybe unfinished, batch wait
-    for the next Arrow batch.
+    A batch has a fixed number of rows, so the lists are short. Packed batches can be read in any
+    partitioning, so later passes over them need no shuffle. A missing vector counts as zeros.
     """
 
-    def runs(table: pa.Table, starts: np.ndarray, end: int) -> Iterator[tuple[pa.Table, int]]:
-        sizes = np.diff(np.append(starts, end))
-        cuts = np.flatnonzero(np.diff(sizes)) + 1
-        for run in np.split(np.arange(len(starts)), cuts):
-            if len(run):
-                size = int(sizes[run[0]])
-                yield table.slice(int(starts[run[0]]), size * len(run)), size
-
-    waiting: pa.Table | None = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        table = pa.Table.from_batches([batch])
-        if waiting is not None:
-            table = pa.concat_tables([waiting, table])
-        starts = np.flatnonzero(table.column("batch_pos").to_numpy() == 0)
-        yield from runs(table, starts[:-1], int(starts[-1]))
-        waiting = table.slice(int(starts[-1]))
-    if waiting is not None:
-        yield waiting, waiting.num_rows
-
-
-def _co_locate(batched: DataFrame, groups: list[str]) -> DataFrame:
-    keys = [*groups, "batch_id"]
-    return batched.repartition(*keys).sortWithinPartitions(*keys, "batch_pos")
+    def zeros(like: str) -> Column:
+        return F.transform(like, lambda _: F.lit(0.0))
+
+    row = F.struct(
+        "batch_pos", F.coalesce("img", zeros("txt")).alias("img"), F.coalesce("txt", zeros("img")).alias("txt")
+    )
+    lists = batched.groupBy(*groups, "batch_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    vectors = [F.flatten(F.col("rows")[side]).alias(side) for side in ("img", "txt")]
+    return lists.select(*groups, "batch_id", F.size("rows").alias("n"), *vectors)
+
+
+def _stacks(n: pa.Array, img: pa.Array, txt: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Packed batches of equal size together: ``(row numbers, images, texts)``, shaped (k, n, d)."""
+    sizes = plain(n).to_numpy()
+    for size in np.unique(sizes):
+        index = np.flatnonzero(sizes == size)
+        images, texts = (matrix(plain(side).take(pa.array(index))) for side in (img, txt))
+        shape = (len(index), int(size), images.shape[1] // int(size))
+        yield index, images.reshape(shape), texts.reshape(shape)
+
+
+def loss_of_batches(logits: Logits):
+    """Arrow UDF ``(n, img, txt) -> loss`` over packed batches."""
+
+    @F.arrow_udf("double")
+    def loss(n: pa.Array, img: pa.Array, txt: pa.Array) -> pa.Array:
+        out = np.zeros(len(n))
+        for index, images, texts in _stacks(n, img, txt):
+            out[index] = pair_logit_loss(unit_rows(images), unit_rows(texts), logits)[0]
+        return pa.array(out)
+
+    return loss.asNondeterministic()
 
 
 def contrastive_loss(batched: DataFrame, groups: list[str], logits: Logits = Logits()) -> DataFrame:
     """Loss per batch: ``(groups, batch_id, n, loss)``.
 
-    ``batched`` is ``(groups, batch_id, batch_pos, img, txt)``. A batch has a fixed number of
-    rows, so its n x n products are small; they are made in numpy and never become rows.
+    ``batched`` is ``(groups, batch_id, batch_pos, img, txt)``. The n x n products are made in
+    numpy and never become rows.
     """
-    keys = [*groups, "batch_id"]
-    kinds = {f.name: f.dataType.simpleString() for f in batched.schema.fields}
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["n int", "loss double"])
-
-    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, size in _whole_batches(batches, keys):
-            image = unit_rows(matrix(table.column("img")))
-            text = unit_rows(matrix(table.column("txt")))
-            shape = (len(image) // size, size, image.shape[1])
-            loss, _ = pair_logit_loss(image.reshape(shape), text.reshape(shape), logits)
-            heads = pa.array(np.arange(shape[0]) * size)
-            columns = [plain(table.column(k).take(heads)) for k in keys]
-            columns += [pa.array(np.full(shape[0], size, dtype=np.int32)), pa.array(loss)]
-            yield pa.RecordBatch.from_arrays(columns, [*keys, "n", "loss"])
-
-    rows = _co_locate(batched.select(*keys, "batch_pos", "img", "txt"), groups)
-    return rows.mapInArrow(losses, schema)
+    packed = pack_batches(batched, groups)
+    return packed.select(*groups, "batch_id", "n", loss_of_batches(logits)("n", "img", "txt").alias("loss"))
 
 
 def epoch_loss(losses: DataFrame, groups: list[str]) -> DataFrame:
@@ -151,27 +144,26 @@ def batch_gradients(
 
 
 def summed_gradients(
-    step_rows: DataFrame, weights: dict[str, np.ndarray], logits: Logits
+    packed: DataFrame, weights: dict[str, np.ndarray], logits: Logits
 ) -> tuple[float, int, dict[str, np.ndarray]]:
-    """Loss sum, batch count and gradient sums over the rows of one step.
+    """Loss sum, batch count and gradient sums over the packed batches of one step.
 
     Each task adds up its own batches. The matrices leave it as rows and are added again by
     (head, row) on the executors, so the driver receives one matrix per head, whose size does
     not depend on the data.
     """
-    shared = step_rows.sparkSession.sparkContext.broadcast(weights)
+    shared = packed.sparkSession.sparkContext.broadcast(weights)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         sums = {name: np.zeros_like(m) for name, m in w.items()}
         total, count = 0.0, 0
-        for table, size in _whole_batches(batches, ["batch_id"]):
-            image, text = matrix(table.column("img")), matrix(table.column("txt"))
-            shape = (len(image) // size, size, image.shape[1])
-            loss, gradient = batch_gradients(image.reshape(shape), text.reshape(shape), w, logits)
-            total, count = total + float(loss.sum()), count + len(loss)
-            for name in sums:
-                sums[name] += gradient[name]
+        for batch in batches:
+            for _, images, texts in _stacks(batch.column("n"), batch.column("img"), batch.column("txt")):
+                loss, gradient = batch_gradients(images, texts, w, logits)
+                total, count = total + float(loss.sum()), count + len(loss)
+                for name in sums:
+                    sums[name] += gradient[name]
         if count:
             yield _rows("stats", np.array([[total, float(count)]]))
             for name, m in sums.items():
@@ -189,7 +181,7 @@ def summed_gradients(
             yield _rows(head, vector[None, :], row)
 
     schema = "head string, row int, values array<double>"
-    reduced = step_rows.mapInArrow(partial, schema).repartition("head", "row").mapInArrow(add_up, schema)
+    reduced = packed.mapInArrow(partial, schema).repartition("head", "row").mapInArrow(add_up, schema)
     total, count = 0.0, 0
     gradients = {name: np.zeros_like(m) for name, m in weights.items()}
     for r in reduced.collect():
@@ -260,15 +252,14 @@ def fit_heads(
     log = []
     for epoch in range(1, epochs + 1):
         drawn = assign_batches(train.withColumn("epoch", F.lit(epoch)), ["epoch"], "id", batch_size, seed)
-        drawn = drawn.withColumn("step", F.pmod("batch_id", F.lit(steps)).cast("int"))
+        packed = pack_batches(drawn, [])
+        packed = packed.withColumn("step", F.pmod("batch_id", F.lit(steps)).cast("int"))
         # Written by step, so that a step reads its own folder and no more.
-        stored = materialize(
-            drawn.select("step", "batch_id", "batch_pos", "img", "txt"), "epoch", ["step"] if steps <= 64 else None
-        )
+        stored = materialize(packed, "epoch", ["step"] if steps <= MAX_STEP_FOLDERS else None)
         total, count = 0.0, 0
         for step in range(steps):
-            mine = stored.where(F.col("step") == step).select("batch_id", "batch_pos", "img", "txt")
-            loss, n, gradients = summed_gradients(_co_locate(mine, []), weights, logits)
+            mine = stored.where(F.col("step") == step).select("n", "img", "txt")
+            loss, n, gradients = summed_gradients(mine, weights, logits)
             weights = optimiser.update(weights, {k: g / n for k, g in gradients.items()})
             total, count = total + loss, count + n
         entry = {"epoch": epoch, "loss": total / count}
