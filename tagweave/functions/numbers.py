@@ -1,4 +1,4 @@
-"""Keyed pseudo-random numbers: the same key gives the same draw on any partitioning."""
+"""Keyed pseudo-random numbers, the same on any partitioning, and whole-number division."""
 
 from __future__ import annotations
 
@@ -15,3 +15,8 @@ def uniform(seed: int | str, *keys: Column | str) -> Column:
     parts += [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
     digest = F.md5(F.concat_ws(":", *parts))
     return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double") / F.lit(SPAN)
+
+
+def int_div(value: Column | str, by: int) -> Column:
+    """Whole-number division, exact for all longs."""
+    return F.call_function("div", F.col(value) if isinstance(value, str) else value, F.lit(by))

@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave import fixed_values as fixed
-from tagweave.functions.random import uniform
+from tagweave.functions.numbers import int_div, uniform
 from tagweave.operators.skew import hash_block, running_sum, skew_join
 from tagweave.session import materialize
 
 # Caption numbers are unique per image, so a block holds at most this many of its captions.
 CAPTIONS_PER_BLOCK = 1024
 
+# Pool positions per block of the look-up by position.
+POSITIONS_PER_BLOCK = 65_536
+
 # The histogram of a sample is broadcast, so it has to stay small.
 SAMPLE_BLOCKS = 16_384
 
@@ -25,7 +28,7 @@ def captions_by_image(captions: DataFrame) -> DataFrame:
 
     The list is kept as numbered rows, since an array would have to fit one row of one task.
     """
-    block = F.floor(F.col("cap_no") / F.lit(CAPTIONS_PER_BLOCK)).cast("long")
+    block = int_div("cap_no", CAPTIONS_PER_BLOCK)
     ranked = running_sum(captions, ["image_id"], block, [F.col("cap_no")], "position", total="n_captions")
     return ranked.select("image_id", "position", "caption", "n_captions")
 
@@ -137,10 +140,9 @@ def sample_negatives(captions: DataFrame, seed: int = fixed.SEED) -> DataFrame:
 
 def _text_at(positions: DataFrame, texts: DataFrame) -> DataFrame:
     """The text whose interval holds each pool position: forward fill over blocks of positions."""
-    per_block = 65_536
     starts = texts.select(F.col("start").alias("at"), F.lit(0).alias("kind"), "digest", F.lit(None).alias("image_id"))
     asks = positions.select(F.col("pool_pos").alias("at"), F.lit(1).alias("kind"), F.lit(None).alias("digest"), "image_id")
-    both = starts.unionByName(asks).withColumn("block", F.floor(F.col("at") / F.lit(per_block)).cast("long"))
+    both = starts.unionByName(asks).withColumn("block", int_div("at", POSITIONS_PER_BLOCK))
 
     last = both.groupBy("block").agg(F.max(F.when(F.col("kind") == 0, F.struct("at", "digest"))).alias("_last"))
     # A text with very many copies spans blocks without a start of their own: carry it over.
@@ -224,6 +226,6 @@ def assign_batches(
     drawn = rows.withColumn("_u", u)
     order = [F.col("_u"), F.col(id_col)]
     ranked = running_sum(drawn, groups, hash_block(F.col("_u")), order, "_rank")
-    return ranked.withColumn("batch_id", F.floor(F.col("_rank") / size).cast("long")).withColumn(
+    return ranked.withColumn("batch_id", int_div("_rank", size)).withColumn(
         "batch_pos", (F.col("_rank") % size).cast("int")
     ).drop("_u", "_rank")

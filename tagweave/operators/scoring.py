@@ -16,6 +16,7 @@ from tagweave.functions import vectors as V
 from tagweave.operators.arrow import list_column, matrix, plain
 from tagweave.operators.encoders import Encoder, image_encoder
 from tagweave.operators.skew import skew_join
+from tagweave.session import materialize
 from tagweave.sources.tables import check_columns
 
 # A tag table goes to every task only while its matrix is at most this large.
@@ -186,6 +187,25 @@ def predict(
     return batch_infer(tagged, F.col(id_col))
 
 
+def create_inference_view(
+    spark: SparkSession,
+    source: str,
+    result: str,
+    tags: DataFrame,
+    load: Callable[[], Encoder],
+    id_col: str = "filename",
+    default_tags: list[str] | None = None,
+) -> DataFrame:
+    """Answer the requests of view ``source`` and show the answers as view ``result``.
+
+    The answers are written first. A lazy view would run the model again for every query on it.
+    """
+    answers = predict(spark.table(source), tags, load, id_col, default_tags)
+    stored = materialize(answers, "inference")
+    stored.createOrReplaceTempView(result)
+    return stored
+
+
 def register_tag_scores(spark: SparkSession, tags: DataFrame, name: str, logits: V.Logits = V.Logits()) -> None:
     """Make the scorer callable from SQL as ``name(embedding, candidates)``."""
     rows = _tag_rows(tags)

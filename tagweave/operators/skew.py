@@ -105,12 +105,15 @@ def skew_join(
 
 
 def join_summary(df: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
-    """Attach a per-key summary.
+    """Attach a summary that has one row for each key of ``df``.
 
-    A summary that proves small is fetched, so that it is computed once, and broadcast. Any
-    other is joined with hot keys salted.
+    A summary that proves small is fetched, so that it is computed once, and broadcast; a single
+    row becomes constants. Any other is joined with hot keys salted.
     """
     rows = summary.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) == 1:
+        new = [f for f in summary.schema.fields if f.name not in on]
+        return df.withColumns({f.name: F.lit(rows[0][f.name]).cast(f.dataType) for f in new})
     if len(rows) > BROADCAST_ROWS:
         return skew_join(df, summary, on)
     return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, summary.schema)), on)

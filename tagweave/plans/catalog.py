@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagweave import fixed_values as fixed
 from tagweave.functions import tags as T
 from tagweave.functions import vectors as V
-from tagweave.functions.random import uniform
+from tagweave.functions.numbers import uniform
 from tagweave.operators import analytics, encoders, pairs, retrieval, runs, scoring, training
 from tagweave.operators.skew import spread
 from tagweave.plans import inputs

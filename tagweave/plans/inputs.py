@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions import tags as T
 from tagweave.functions import vectors as V
+from tagweave.functions.numbers import int_div
 from tagweave.operators import analytics, pairs, scoring
 from tagweave.session import materialize, new_path
 from tagweave.sources import tables
@@ -39,7 +40,7 @@ def image_of(doc_id: Column, lang: Column) -> Column:
     code = F.lit(len(LANGS))
     for i, name in enumerate(LANGS):
         code = F.when(lang == name, i).otherwise(code)
-    return F.floor(doc_id / F.lit(4)).cast("bigint") * 10 + code
+    return int_div(doc_id, 4) * 10 + code
 
 
 def captions(spark: SparkSession, d: str) -> DataFrame:
@@ -158,10 +159,17 @@ def baseline_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tag_table(spark: SparkSession, d: str) -> DataFrame:
-    """``(tag, pos, emb)``: one candidate tag per label, its vector the mean of the label's images."""
-    means = scoring.mean_vectors(table(spark, d, "embeddings"), "label", "embedding")
-    name = F.concat(F.lit("tag_"), F.col("label").cast("string"))
-    return means.select(name.alias("tag"), F.col("label").alias("pos"), "emb")
+    """``(tag, pos, emb)``: one candidate tag per label, its vector the mean of the label's images.
+
+    Stored, since scoring looks at its size before reading it.
+    """
+
+    def write() -> DataFrame:
+        means = scoring.mean_vectors(table(spark, d, "embeddings"), "label", "embedding")
+        name = F.concat(F.lit("tag_"), F.col("label").cast("string"))
+        return materialize(means.select(name.alias("tag"), F.col("label").alias("pos"), "emb"), "tags")
+
+    return written_once(spark, d, "tags", write)
 
 
 def tagged_images(spark: SparkSession, d: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagweave.functions.numbers import int_div
+
 CAPTION_SCHEMA = (
     "annotations array<struct<image_id: bigint, caption: string>>, "
     "images array<struct<id: bigint, file_name: string>>"
@@ -30,8 +32,8 @@ def write_caption_objects(captions: DataFrame, path: str, run: int = 64) -> None
     captions even if one image has most of them.
     """
     piece = F.struct(
-        F.floor(F.col("image_id") / run).alias("ids"),
-        F.floor(F.col("cap_no") / run).alias("run"),
+        int_div("image_id", run).alias("ids"),
+        int_div("cap_no", run).alias("run"),
     )
     objects = captions.groupBy(piece.alias("piece")).agg(
         F.transform(

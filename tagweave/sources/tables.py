@@ -45,8 +45,8 @@ def check_columns(df: DataFrame, required: dict[str, str], optional: dict[str, s
 
 
 def resume_ingest(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """The wanted items that are not done yet."""
-    return wanted.join(done.select(key), key, "left_anti")
+    """The wanted items that are not done yet. Repeats of a done item collapse before the shuffle."""
+    return wanted.join(done.select(key).distinct(), key, "left_anti")
 
 
 def ingest_counts(outcomes: DataFrame) -> DataFrame:

@@ -31,9 +31,8 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, d, query, sql):
+def compare(con, df, sql):
     """None if both sides agree, else what differs."""
-    df = query(spark, d)
     kinds = {f.name: KINDS[f.dataType.simpleString()] for f in df.schema.fields}
     want_kinds = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     if kinds != want_kinds:
@@ -69,7 +68,7 @@ def main():
         start = time.time()
         try:
             if key in sql:
-                verdict = compare(spark, con, d, queries[key], sql[key]) or "ok"
+                verdict = compare(con, queries[key](spark, d), sql[key]) or "ok"
             else:
                 verdict = f"rows only: {len(queries[key](spark, d).collect())}"
         except Exception as e:  # noqa: BLE001

@@ -42,7 +42,15 @@ def test_negatives_follow_the_definition_with_a_hot_text(spark):
         assert text not in {r[2] for r in rows if r[0] == image}
 
 
-def test_interval_that_spans_blocks(spark, monkeypatch):
+def test_negatives_do_not_depend_on_partitions(spark):
+    rows = [(i % 30, i, f"t{i % 50}") for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one, many = (sorted(map(tuple, pairs.sample_negatives(df.repartition(n)).collect())) for n in (1, 8))
+    assert one == many
+
+
+def test_copies_of_one_text_span_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "POSITIONS_PER_BLOCK", 16)
     rows = [(1, j, "copied") for j in range(200)] + [(2, 500, "x"), (3, 501, "y"), (4, 502, "z")]
     got = negatives(spark, rows)
     assert got == expected_negatives(rows)

@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.functions import tags as T
-from tagweave.operators import analytics, scoring
+from tagweave.operators import analytics, encoders, scoring
+from tagweave.session import new_path
+from tagweave.sources import images as image_source
+from tagweave.sources import tables
 
 
 def ranked(spark, tags, scores):
@@ -145,3 +148,46 @@ def test_scores_from_sql(spark):
 def test_encode_base64_is_one_line(spark):
     got = spark.range(1).select(T.encode_base64(F.repeat(F.lit("x"), 1000).cast("binary")).alias("b")).first()["b"]
     assert "\n" not in got and "\r" not in got and len(got) == 1336
+
+
+def test_images_are_scored_once_and_not_shuffled(spark):
+    tagged = scoring.tag_images(images(spark), tag_table(spark), "image_id", "c", "t")
+    plan = tagged.select("image_id", F.explode("selected"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_sql_over_views_from_files_to_counts(spark, tmp_path):
+    """The batch flow in SQL: requests view, inference view, preview, stored table, tag counts."""
+    for i in range(6):
+        (tmp_path / f"{i}.jpg").write_bytes(bytes([i % 3]) * 50)
+    requests = image_source.build_requests(image_source.scan_images(spark, str(tmp_path)), ["x", "y", "z"])
+    requests.createOrReplaceTempView("input_images")
+    scoring.create_inference_view(
+        spark, "input_images", "inference_results", tag_table(spark), encoders.byte_histogram(3)
+    )
+    preview = spark.sql(
+        "SELECT filename, prediction.tags_json, prediction.metrics_json, LEFT(prediction.embedding, 80) AS e "
+        "FROM inference_results ORDER BY filename LIMIT 10"
+    ).collect()
+    assert [r["filename"] for r in preview] == [f"{i}.jpg" for i in range(6)]
+    assert json.loads(preview[0]["e"]) == [1.0, 0.0, 0.0]
+    flat = spark.sql(
+        "SELECT filename, get_json_object(prediction.tags_json, '$.tags') AS tags, "
+        "prediction.embedding AS embedding_json, prediction.metrics_json AS metrics_json FROM inference_results"
+    )
+    tables.create_schema(spark, "tagging")
+    stored = tables.save_table(flat, "tagging.some_results", new_path(spark, "r"))
+    assert stored.count() == 6
+    counts = {(r["tag"], r["score"]): r["count"] for r in analytics.tag_score_counts(stored).collect()}
+    assert counts == {("x", score(1)): 2, ("y", score(1)): 2, ("z", score(0.8)): 2, ("z", score(0.6)): 2}
+    spark.sql("DROP TABLE tagging.some_results")
+    spark.sql("DROP SCHEMA tagging")
+
+
+def test_requests_without_optional_columns(spark):
+    rows = spark.createDataFrame([("a", "AAAA")], "filename string, image_base64 string")
+    got = scoring.predict(rows, tag_table(spark), encoders.byte_histogram(3), "filename").first()
+    assert json.loads(got["prediction"]["tags_json"])["tags"] == [{"tag": "x", "score": score(1)}]
+    with pytest.raises(ValueError, match="image_base64"):
+        scoring.predict(rows.drop("image_base64"), tag_table(spark), encoders.byte_histogram(3), "filename")
