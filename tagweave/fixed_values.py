@@ -34,7 +34,7 @@ NUM_EPOCHS = 5
 BATCH_SIZE = 8
 LEARNING_RATE = 5e-5
 TRAINABLE_LAYERS = ["text_model.head", "vision_model.head"]
-LOSS_NAME = "SigLIP_sigmoid_contrastive"
+LOSS_NAME = "sigmoid_contrastive"
 
 TAGS_DDL = "ARRAY<STRUCT<tag:STRING,score:DOUBLE>>"
 METRICS_DDL = (

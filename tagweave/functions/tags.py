@@ -33,12 +33,6 @@ def select_tags(ranked: Column, threshold: Column, fallback: int = fixed.FALLBAC
     return F.when(F.size(passing) > 0, passing).otherwise(F.slice(ranked, 1, fallback))
 
 
-def candidates_or_default(candidates_json: Column, default: list[str]) -> Column:
-    return F.coalesce(
-        F.from_json(candidates_json, "array<string>"), F.array(*[F.lit(t) for t in default]).cast("array<string>")
-    )
-
-
 def threshold_or_default(threshold: Column, default: float = fixed.TAG_SCORE_THRESHOLD) -> Column:
     """The threshold travels as text; text that is no number counts as absent."""
     return F.coalesce(threshold.try_cast("double"), F.lit(default))

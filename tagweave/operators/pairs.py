@@ -96,11 +96,13 @@ def sample_negatives(captions: DataFrame, seed: int = fixed.SEED) -> DataFrame:
     left after taking out the image's own intervals, draw ``r`` below ``a``; the position in
     the whole pool is ``r`` plus the length of every own interval that begins at or before it.
     There are no rejected draws and no image meets the pool row by row. Null where nothing is left.
+    A null caption is no text and not in the pool.
 
     Texts are read twice, to hash them and to give the chosen ones back; the tables in between
     are narrow and are written, since each is used more than once.
     """
     digest = F.sha2("caption", 256).alias("digest")
+    captions = captions.where("caption IS NOT NULL")
     own = captions.groupBy("image_id", digest).agg(F.count("*").alias("n"))
     own = materialize(own, "own_texts")
     first_bits = F.conv(F.substring("digest", 1, 3), 16, 10).cast("long")

@@ -64,31 +64,33 @@ def _is_small(tags: DataFrame) -> bool:
     return measured["n"] <= TAG_MATRIX_ROWS and measured["n"] * measured["d"] * 8 <= TAG_MATRIX_BYTES
 
 
-def tag_scorer(names: list[str], vectors: np.ndarray, logits: V.Logits):
+def tag_scorer(names: list[str], vectors: np.ndarray, default: list[str], logits: V.Logits):
     """Arrow UDF ``(embedding, candidates) -> scores``, aligned with the candidates.
 
+    Null candidates stand for the default list, which thus is not sent along with every row.
     A candidate that is not in the tag table scores null, and so does an image without a vector.
     """
     known = pa.array(names, pa.string())
+    default_column = pc.index_in(pa.array(default, pa.string()), value_set=known).fill_null(-1).to_numpy()
     scale, bias = logits.scale, logits.bias
 
     @F.arrow_udf("array<double>")
     def scores(embedding: pa.Array, candidates: pa.Array) -> pa.Array:
         embedding, candidates = plain(embedding), plain(candidates)
-        if len(embedding) == 0:
-            return pa.array([], pa.list_(pa.float64()))
         images = matrix(embedding)
         if images.shape[1] == 0:
             images = np.zeros((len(images), vectors.shape[1]))
         table = 1.0 / (1.0 + np.exp(-(scale * (images @ vectors.T) + bias)))
-        found = pc.index_in(candidates.flatten(), value_set=known)
-        missing = found.is_null().to_numpy(zero_copy_only=False).copy()
-        column = found.fill_null(0).to_numpy()
-        lengths = pc.list_value_length(candidates).to_numpy()
+
+        by_default = candidates.is_null().to_numpy(zero_copy_only=False)
+        lengths = pc.list_value_length(candidates).fill_null(len(default)).to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
         row = np.repeat(np.arange(len(candidates)), lengths)
-        missing |= embedding.is_null().to_numpy(zero_copy_only=False)[row]
+        column = np.empty(len(row), dtype=np.int64)
+        column[by_default[row]] = np.tile(default_column, by_default.sum())
+        column[~by_default[row]] = pc.index_in(candidates.flatten(), value_set=known).fill_null(-1).to_numpy()
+        missing = (column < 0) | embedding.is_null().to_numpy(zero_copy_only=False)[row]
         values = pa.array(table[row, column], pa.float64(), mask=missing)
-        offsets = np.concatenate([[0], np.cumsum(lengths)])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
     # The optimiser may copy a deterministic expression, here into a filter it derives for a later
@@ -97,21 +99,29 @@ def tag_scorer(names: list[str], vectors: np.ndarray, logits: V.Logits):
 
 
 def score_candidates(
-    images: DataFrame, tags: DataFrame, candidates: str, id_col: str, logits: V.Logits = V.Logits()
+    images: DataFrame,
+    tags: DataFrame,
+    candidates: Column,
+    default_tags: list[str],
+    id_col: str,
+    logits: V.Logits = V.Logits(),
 ) -> DataFrame:
-    """Add ``ranked``: the row's candidates with rounded scores, best first.
+    """Add ``ranked``: the row's candidates, or the default ones, with rounded scores, best first.
 
-    ``images`` has ``emb`` and the candidate list, ``tags`` is ``(tag, pos, emb)``. A small tag
-    table becomes a matrix in every task. A large one is joined on the tag instead, with hot
-    tags salted.
+    ``images`` has ``emb``, ``tags`` is ``(tag, pos, emb)``, and ``candidates`` is a list or null. A
+    small tag table becomes a matrix in every task. A large one is joined on the tag instead,
+    with hot tags salted.
     """
     rows = _tag_rows(tags)
+    asked = images.withColumn("_asked", candidates)
+    listed = F.coalesce("_asked", F.array(*[F.lit(t) for t in default_tags]).cast("array<string>"))
     if not rows:
-        return _score_by_join(images, tags, candidates, id_col, logits)
+        by_join = _score_by_join(asked.withColumn("_asked", listed), tags, "_asked", id_col, logits)
+        return by_join.drop("_asked")
     vectors = np.array([r["emb"] for r in rows], dtype=np.float64)
-    score = tag_scorer([r["tag"] for r in rows], vectors, logits)
-    scored = images.withColumn("_scores", score(F.col("emb"), F.col(candidates)))
-    return scored.withColumn("ranked", T.rank_tags(F.col(candidates), F.col("_scores"))).drop("_scores")
+    score = tag_scorer([r["tag"] for r in rows], vectors, default_tags, logits)
+    scored = asked.withColumn("_scores", score(F.col("emb"), F.col("_asked")))
+    return scored.withColumn("ranked", T.rank_tags(listed, F.col("_scores"))).drop("_scores", "_asked")
 
 
 def _score_by_join(
@@ -150,10 +160,9 @@ def tag_images(
         if len(rows) > TAG_MATRIX_ROWS:
             raise ValueError("too many tags to be everyone's default: pass default_tags")
         default_tags = [r["tag"] for r in rows]
-    asked = F.col(candidates_json) if candidates_json else F.lit(None).cast("string")
+    asked = F.from_json(F.col(candidates_json), "array<string>") if candidates_json else F.lit(None).cast("array<string>")
     limit = F.col(threshold) if threshold else F.lit(None).cast("string")
-    rows = images.withColumn("_candidates", T.candidates_or_default(asked, default_tags))
-    rows = score_candidates(rows, tags, "_candidates", id_col, logits).drop("_candidates")
+    rows = score_candidates(images, tags, asked, default_tags, id_col, logits)
     return rows.withColumn("selected", T.select_tags(F.col("ranked"), T.threshold_or_default(limit)))
 
 
@@ -207,12 +216,13 @@ def create_inference_view(
 
 
 def register_tag_scores(spark: SparkSession, tags: DataFrame, name: str, logits: V.Logits = V.Logits()) -> None:
-    """Make the scorer callable from SQL as ``name(embedding, candidates)``."""
+    """Make the scorer callable from SQL as ``name(embedding, candidates)``; null means all tags."""
     rows = _tag_rows(tags)
     if rows is None:
         raise ValueError("the tag table is too large for a SQL function; use score_candidates")
     vectors = np.array([r["emb"] for r in rows], dtype=np.float64)
-    spark.udf.register(name, tag_scorer([r["tag"] for r in rows], vectors, logits))
+    names = [r["tag"] for r in rows]
+    spark.udf.register(name, tag_scorer(names, vectors, names, logits))
 
 
 def pair_scores(triplets: DataFrame, logits: V.Logits = V.Logits()) -> DataFrame:

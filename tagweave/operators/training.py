@@ -240,14 +240,16 @@ def fit_heads(
     training; on a large table a small number is the practical choice. The last weights are
     returned, and the log lets the caller pick the best epoch.
     """
-    dims = rows.select(F.size("img").alias("d")).first()["d"]
+    train = rows.where("split = 'train'").select("id", "img", "txt")
+    valid = rows.where("split = 'valid'")
+    n_batches = -(-train.count() // batch_size)
+    if n_batches == 0:
+        raise ValueError("no rows in the train split")
+    dims = train.where("img IS NOT NULL").select(F.size("img").alias("d")).first()["d"]
     if dims > MAX_HEAD_DIMS:
         raise ValueError(f"vectors of {dims} dimensions exceed {MAX_HEAD_DIMS}: the driver holds two d x d heads")
     weights = {name: np.eye(dims) for name in HEADS}
     optimiser = AdamW(rate=rate)
-    train = rows.where("split = 'train'").select("id", "img", "txt")
-    valid = rows.where("split = 'valid'")
-    n_batches = -(-train.count() // batch_size)
     steps = n_batches if steps_per_epoch is None else min(steps_per_epoch, n_batches)
     log = []
     for epoch in range(1, epochs + 1):

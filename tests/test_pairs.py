@@ -42,6 +42,10 @@ def test_negatives_follow_the_definition_with_a_hot_text(spark):
         assert text not in {r[2] for r in rows if r[0] == image}
 
 
+def test_null_captions_are_not_in_the_pool(spark):
+    assert negatives(spark, [(1, 1, "a"), (1, 2, None), (2, 3, "b"), (3, 4, None)]) == {1: "b", 2: "a"}
+
+
 def test_negatives_do_not_depend_on_partitions(spark):
     rows = [(i % 30, i, f"t{i % 50}") for i in range(200)]
     df = spark.createDataFrame(rows, SCHEMA)
