@@ -30,7 +30,20 @@ def _licenses() -> str:
     """
 
 
+_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
 SQL = {
+    "op3_decontamination": rf"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+    windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b WHERE n > 0)),
+    places AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM d, (SELECT DISTINCT n FROM windows))),
+    hits AS (SELECT * FROM places JOIN windows USING (n, phrase)),
+    words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op5_license_scan": _licenses(),
     "op7_redirect_equivalence": r"""
     WITH RECURSIVE u AS (
@@ -58,4 +71,12 @@ SQL = {
     SELECT page_id, u.host, u.path, h.rule, coalesce(h.action, p.action, 'allow') AS verdict
     FROM u LEFT JOIN hits h ON u.host = h.host AND u.path = h.path LEFT JOIN passed p ON u.node = p.node
     """,
+    "op10_embedding_near_dedup": """
+    WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+    reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+    n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN n USING (vec_id)
+    """,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, licenses, pii, toxicity, urls
+from tagweave.llm import bpe, decontaminate, licenses, pii, toxicity, urls, vectors
 from tagweave.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -20,6 +20,14 @@ URL_RULES: list[urls.Rule] = [
 ]
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contaminated(docs, bench, "doc_id", "text", "item_id", "text")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
@@ -66,10 +74,17 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(n_of, pii.BASE_KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_redirect_equivalence": op7_redirect_equivalence,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_pii": op9_pii,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }

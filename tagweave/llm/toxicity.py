@@ -1,6 +1,7 @@
 """Counterfactual-regularised toxicity classifier.
 
-A logistic regression on word presence, fitted on a bounded sample of labelled texts. In
+A logistic regression on the presence of words and word beginnings, which stand for the stems of
+inflected languages, fitted on a bounded sample of labelled texts. In
 labelled sentences that name an identity group, the group's term is swapped for others of its
 list, and the squared change of the score is added to the loss: a neutral mention of a group
 must not move the score.
@@ -19,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 20_000  # labelled rows that the model is fitted on
-MAX_FEATURES = 512  # words with a weight, besides the identity terms
-MIN_DF = 8  # labelled rows that a word must occur in
+MAX_FEATURES = 512  # words and beginnings with a weight, besides the identity terms
+MIN_DF = 8  # labelled rows that a feature must occur in
 PENALTY = 5.0  # weight of the counterfactual term
 L2 = 1e-3
 STEPS = 400
@@ -35,10 +36,21 @@ IDENTITY = {
     "body": "disabled blind deaf old young".split(),
 }
 
+PREFIXES = (4, 5)  # letters of word beginnings
+
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 
 
+def parts(words: set[str]) -> set[str]:
+    """The words and their beginnings, marked by a star."""
+    return words.union(*({w[:k] + "*" for w in words if len(w) >= k} for k in PREFIXES))
+
+
+def features(text: str | None) -> set[str]:
+    return parts(set(_WORD.findall((text or "").lower())))
+
+
 @dataclass(frozen=True)
 class Model:
     words: tuple[str, ...]
@@ -50,7 +62,7 @@ class Model:
         return _sigmoid(self.bias + sum(map(self.table.__getitem__, self.found(text))))
 
     def found(self, text: str | None) -> list[str]:
-        return sorted(self.table.keys() & set(_WORD.findall((text or "").lower())))
+        return sorted(self.table.keys() & features(text))
 
     @property
     def table(self) -> dict[str, float]:
@@ -85,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(set(_WORD.findall((t or "").lower()))) for t in batch.column("_text").to_pylist()]
+            found = [sorted(features(t)) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"_id": batch.column("_id"), "_y": batch.column("_y"), "w": pa.array(found, pa.list_(pa.string()))})
 
     id_kind = sample.schema["_id"].dataType.simpleString()
@@ -102,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
 
 def _features(bags: DataFrame, share: float, terms: list[str]) -> list[str]:
-    """The words whose frequency differs most between the classes, and all identity terms."""
+    """The features whose frequency differs most between the classes, and all identity terms."""
     df = bags.select(F.explode("w").alias("w"), "_y").groupBy("w").agg(F.count("*").alias("n"), F.sum("_y").alias("k"))
     z = F.abs(F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-6))
     top = df.where(F.col("n") >= MIN_DF).orderBy(z.desc(), "w").select("w").limit(MAX_FEATURES).collect()
@@ -119,7 +131,7 @@ def _matrices(sample: DataFrame, chosen: list[str]) -> tuple[np.ndarray, np.ndar
             bags, named = [], []
             for text in batch.column("_text").to_pylist():
                 text = (text or "").lower()
-                bags.append(sorted(index[w] for w in index.keys() & set(_WORD.findall(text))))
+                bags.append(sorted(index[w] for w in index.keys() & features(text)))
                 changes: Counter = Counter()
                 if not group_of.keys().isdisjoint(_WORD.findall(text)):
                     for sentence in _SENTENCE.split(text):
@@ -137,7 +149,9 @@ def _matrices(sample: DataFrame, chosen: list[str]) -> tuple[np.ndarray, np.ndar
     change = np.zeros((len(swaps), len(chosen)), np.float32)
     for row, (swap, n) in enumerate(sorted(swaps.items())):
         old, new = swap.split()
-        change[row, index[old]], change[row, index[new]] = -np.sqrt(n), np.sqrt(n)
+        for sign, word in ((-1, old), (1, new)):
+            for part in index.keys() & parts({word}):
+                change[row, index[part]] += sign * np.sqrt(n)
     return x, found.y.to_numpy(np.float32), change / np.sqrt(max(1, len(found)))
 
 
