@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, licenses, pii, toxicity, urls, vectors
+from tagweave.llm import bpe, decontaminate, jaccard, licenses, pii, toxicity, urls, vectors
 from tagweave.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -20,6 +20,11 @@ URL_RULES: list[urls.Rule] = [
 ]
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.link(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.contaminated(docs, bench, "doc_id", "text", "item_id", "text")
@@ -80,6 +85,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
