@@ -241,7 +241,8 @@ def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, pe
     n = np.array([len(x) for x in bodies])
     _, flat = np.unique(np.concatenate(bodies), return_inverse=True)
     starts = np.cumsum(n) - n
-    base = n - -(-percent * n // 100)
+    most = -(-percent * n // 100)
+    base = n - most
     flags = np.zeros(flat.max() + 1, bool)
     label = np.arange(len(n))
     edges: list[tuple[int, int]] = []
@@ -260,7 +261,8 @@ def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, pe
         least = np.minimum(ell[x], ell[others])
         for k in np.unique(least).tolist():
             some = others[least == k]
-            some = some[overlaps(x, base[x] + k, some, base[some] + k) >= k]
+            asked = np.minimum(np.minimum(k, most[x]), most[some])
+            some = some[overlaps(x, base[x] + min(k, most[x]), some, base[some] + np.minimum(k, most[some])) >= asked]
             if len(some):
                 shared = overlaps(x, n[x], some, n[some])
                 for y in some[100 * shared >= percent * (n[x] + n[some] - shared)].tolist():
