@@ -97,3 +97,34 @@ def starts_of(first: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndar
     ends = np.cumsum(fits)
     at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[: len(counts)] - (ends - fits), fits)
     return at, fits
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of each ``width`` neighbouring values, by doubling."""
+    if len(values) < width:
+        return values[:0]
+    out, span = values, 1
+    while 2 * span <= width:
+        out, span = np.minimum(out[:-span], out[span:]), 2 * span
+    rest = width - span
+    return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
+
+
+def anchors(keys: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimizers: positions whose key is least in one of the windows, and the least key of each window.
+
+    Window ``starts[i]`` holds ``width`` keys. Equal windows have equal least keys, so a window
+    that occurs again has a least key that occurs again.
+    """
+    least = sliding_min(keys, width)
+    if not len(starts):
+        return starts, least[:0]
+    # The largest window minimum over the windows around a position equals its key if it is the least of one.
+    flipped = np.full(len(keys) + width - 1, np.iinfo(np.uint64).max, np.uint64)
+    flipped[starts + width - 1] = ~least[starts]
+    best = ~sliding_min(flipped, width)
+    covered = np.zeros(len(keys) + 1, np.int64)
+    np.add.at(covered, starts, 1)
+    np.add.at(covered, starts + width, -1)
+    inside = np.cumsum(covered[:-1]) > 0
+    return np.flatnonzero(inside & (best == keys)), least[starts]

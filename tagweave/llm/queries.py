@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, jaccard, licenses, pii, toxicity, urls, vectors
+from tagweave.llm import bpe, decontaminate, jaccard, licenses, phrases, pii, toxicity, urls, vectors
 from tagweave.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -33,6 +33,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.dedup(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
@@ -87,6 +92,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
+    "op4_phrase_automata": op4_phrase_automata,
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_redirect_equivalence": op7_redirect_equivalence,
