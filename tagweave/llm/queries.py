@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, jaccard, licenses, phrases, pii, toxicity, urls, vectors
+from tagweave.llm import bpe, decontaminate, jaccard, licenses, phrases, pii, runindex, toxicity, urls, vectors
 from tagweave.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -25,6 +25,17 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
+def op2_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runindex.dedup(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.contaminated(docs, bench, "doc_id", "text", "item_id", "text")
@@ -91,6 +102,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_run_length_index": op2_run_length_index,
     "op3_decontamination": op3_decontamination,
     "op4_phrase_automata": op4_phrase_automata,
     "op5_license_scan": op5_license_scan,
