@@ -134,6 +134,24 @@ def link(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent
     return found.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component"))
 
 
+def representatives(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of linked rows, with all its columns.
+
+    The row with the least id stays, as does every row with a null id. Rows that repeat an id
+    and its text count as one; of an id with different texts each text stays.
+    """
+    found = materialize(link(docs, id_col, text_col, size, percent).where(F.col(id_col).isNotNull()), "near_duplicates")
+    gone = found.where(F.col("component") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
+    again = found.groupBy(id_col).agg(F.count("*").alias("k")).where("k > 1").select(F.col(id_col).alias("_again"))
+    again = materialize(again, "repeated_ids")
+    ids = docs[id_col].cast("long")
+    kept = docs.join(small(materialize(gone, "removed_ids")), ids == F.col("_gone"), "left_anti")
+    if again.isEmpty():
+        return kept
+    once = kept.join(small(again), ids == F.col("_again"), "left_anti")
+    return once.unionByName(kept.join(small(again), ids == F.col("_again"), "left_semi").dropDuplicates([id_col, text_col]))
+
+
 def _prefixes(texts: DataFrame, size: int, percent: int, sketch) -> DataFrame:
     """``(_id, n, digest, prefix)``: the prefix of the largest l, in the global order."""
 

@@ -156,14 +156,12 @@ def _matrices(sample: DataFrame, chosen: list[str]) -> tuple[np.ndarray, np.ndar
 
 
 def _descend(x: np.ndarray, y: np.ndarray, swaps: np.ndarray) -> tuple[np.ndarray, float]:
-    """Adam on log loss with both classes weighted alike, L2, and squared changes by swaps."""
+    """Adam on log loss, L2, and squared changes by swaps."""
     n, d = x.shape
-    p = float(y.mean())
-    weight = np.where(y > 0, 0.5 / max(p, 1e-6), 0.5 / max(1 - p, 1e-6)).astype(np.float32)
     w, b = np.zeros(d, np.float32), np.float32(0)
     m, v = np.zeros(d + 1, np.float32), np.zeros(d + 1, np.float32)
     for step in range(1, STEPS + 1):
-        error = weight * (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y) / n
+        error = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y) / n
         grad = np.append(x.T @ error + L2 * w + 2 * PENALTY * (swaps.T @ (swaps @ w)), error.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         update = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8) / (1 + step / 50)
