@@ -123,8 +123,9 @@ def anchors(keys: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarra
     flipped = np.full(len(keys) + width - 1, np.iinfo(np.uint64).max, np.uint64)
     flipped[starts + width - 1] = ~least[starts]
     best = ~sliding_min(flipped, width)
-    covered = np.zeros(len(keys) + 1, np.int64)
-    np.add.at(covered, starts, 1)
-    np.add.at(covered, starts + width, -1)
+    jumps = np.flatnonzero(np.diff(starts) != 1)
+    covered = np.zeros(len(keys) + 1, np.int32)
+    np.add.at(covered, starts[np.concatenate([[0], jumps + 1])], 1)
+    np.add.at(covered, starts[np.append(jumps, len(starts) - 1)] + width, -1)
     inside = np.cumsum(covered[:-1]) > 0
     return np.flatnonzero(inside & (best == keys)), least[starts]

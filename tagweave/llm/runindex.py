@@ -28,6 +28,11 @@ CHUNK_BYTES = 1 << 20  # text that is hashed at a time; longer texts are cut wit
 SHARD_BYTES = 2 << 20  # context bytes of one index
 HOT_CONTEXTS = 20_000  # distinct contexts of one phrase from which its windows are grouped instead
 BROADCAST_ROWS = 200_000
+KEY_BITS = 48  # of a phrase hash; two phrases with one key only cost a comparison
+PACK_KEYS = 1_000_000  # phrases that a task packs together
+BUCKET_TEXT = 64 << 20  # bytes of text whose keys one task counts
+FILTER_BITS = 1 << 28  # 32 MB, whatever the input
+FILTER_PART = 1 << 22
 NO_ID = -(2**63)  # stands for a null id, which comes before all others
 
 
@@ -42,7 +47,7 @@ def small(df: DataFrame) -> DataFrame:
 class RunIndex:
     """Run-length BWT of a set of texts. A run also ends where the next ``window`` bytes change."""
 
-    starts: np.ndarray  # first row of each run
+    run: np.ndarray  # rank over the marked run starts: the run of each row
     shift: np.ndarray  # what takes a row of the run to the row of the suffix one byte longer
     sample: np.ndarray  # at the run's end: least label of the texts that hold its window
 
@@ -54,23 +59,26 @@ class RunIndex:
         """
         out = np.full(int(lengths.sum()), np.iinfo(np.int64).max)
         ends = np.cumsum(lengths)
-        row = np.arange(len(lengths))  # the row of the end of text i
-        alive = np.arange(len(lengths))
+        alive = np.flatnonzero(lengths)
+        row = alive.copy()  # the row of the end of text i is i
+        run = self.run[row]
         for step in range(1, int(lengths.max(initial=0)) + 1):
-            keep = lengths[alive] >= step
-            alive, row = alive[keep], row[keep]
-            row = row + self.shift[np.searchsorted(self.starts, row, side="right") - 1]
+            row = row + self.shift[run]
+            run = self.run[row]
             if step >= window:
-                out[ends[alive] - step] = self.sample[np.searchsorted(self.starts, row, side="right") - 1]
+                out[ends[alive] - step] = self.sample[run]
+            keep = lengths[alive] > step
+            if not keep.all():
+                alive, row, run = alive[keep], row[keep], run[keep]
         return out
 
 
-def _ranks(order_by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(order_by, kind="stable")
+def _ranks(order_by: np.ndarray) -> np.ndarray:
+    order = np.argsort(order_by)
     ordered = order_by[order]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
-    return rank, order
+    return rank
 
 
 def build_index(data: np.ndarray, lengths: np.ndarray, labels: np.ndarray, window: int) -> RunIndex:
@@ -95,25 +103,31 @@ def build_index(data: np.ndarray, lengths: np.ndarray, labels: np.ndarray, windo
             out[: n - by] = np.where(left[: n - by] >= by, values[by:] + 1, 0)
         return out
 
-    # Prefix doubling. The first key packs six symbols; equal rests of different texts stay in
-    # the order of the texts, as their ends are.
+    # Prefix doubling. The first key packs as many symbols as fit; equal rests of different texts
+    # stay in the order of the texts, as their ends are.
+    seen = np.zeros(257, bool)
+    seen[symbol] = True
+    seen[0] = True
+    dense = (np.cumsum(seen) - 1)[symbol]
+    bits = int(dense.max(initial=1)).bit_length()
+    depth = min(63 // bits, window)
     key = np.zeros(n, np.int64)
-    for i in range(6):
-        key = key * 257 + np.where(left >= i, np.concatenate([symbol[i:], np.zeros(min(i, n), np.int64)])[:n], 0)
-    rank, order = _ranks(key)
-    depth, ranks = 6, {6: rank}
+    for i in range(depth):
+        key <<= bits
+        key[: n - i] |= np.where(left[: n - i] >= i, dense[i:], 0)
+    rank, ranks = _ranks(key), {}
     longest = int(lengths.max(initial=0)) + 1
-    while depth < longest:
-        rank, order = _ranks(rank * (n + 1) + ahead(rank, depth))
-        depth *= 2
+    while True:
         if depth <= window:
             ranks[depth] = rank
-    order = np.lexsort((text_of, rank)) if depth >= longest else order
+        if depth >= longest:
+            break
+        rank = _ranks(rank * (n + 1) + ahead(rank, depth))
+        depth *= 2
+    order = np.argsort(rank * m + text_of)
 
     # Neighbouring suffixes start with the same window if two overlapping parts of it are equal.
-    part = max(d for d in ranks if d <= window) if window >= 6 else None
-    if part is None:
-        raise ValueError("windows have 6 bytes at least")
+    part = max(ranks)
     whole = left[order] >= window
     pieces = [ranks[part][order]] + [ahead(ranks[part], s)[order] for s in (*range(part, window - part, part), window - part)]
     same = whole[1:] & whole[:-1]
@@ -140,7 +154,7 @@ def build_index(data: np.ndarray, lengths: np.ndarray, labels: np.ndarray, windo
     opens = np.concatenate([[0], np.flatnonzero(np.diff(byte[by_byte])) + 1]) if len(starts) else np.zeros(0, np.int64)
     within = within - np.repeat(within[opens], np.diff(np.append(opens, len(starts))))
     target[by_byte] = base + within
-    return RunIndex(starts, target - starts, least[group[starts]])
+    return RunIndex((np.cumsum(change) - 1).astype(np.int32), target - starts, least[group[starts]])
 
 
 # --- candidates -------------------------------------------------------------------------------
@@ -164,22 +178,109 @@ def pieces(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _keys(data: np.ndarray, bounds: np.ndarray, window: int, anchor: int):
-    keys = phrases(data.astype(np.uint64) + np.uint64(1), anchor)
+    keys = phrases(data.astype(np.uint64) + np.uint64(1), anchor) >> np.uint64(64 - KEY_BITS)
     at, fits = starts_of(bounds[:-1], np.diff(bounds), window)
     found, least = anchors(keys, at, window - anchor + 1)
     return keys, at, fits, found, least
 
 
-def _anchor_rows(window: int, anchor: int):
+def _packed_keys(window: int, anchor: int, buckets: int):
+    """Rows ``(bucket, body)``: the distinct keys of about ``PACK_KEYS`` phrases, sorted, in a range of keys.
+
+    The lowest bit of an entry says that two documents of the pack hold the key. Entries are
+    differences, laid out by byte significance, of which the upper ones are nearly all zero.
+    """
+    step = -(-(1 << KEY_BITS) // buckets)
+
+    def emit(keys: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.argsort(key)
+        key, doc = key[order], doc[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        twice = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+        entry = key[first] << np.uint64(1) | twice.astype(np.uint64)
+        cut = np.searchsorted(key[first], np.arange(1, buckets, dtype=np.uint64) * np.uint64(step))
+        parts = [(b, e) for b, e in enumerate(np.split(entry, cut)) if len(e)]
+        bodies = [np.diff(e, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes() for _, e in parts]
+        return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in parts], pa.int32()), "body": pa.array(bodies, pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs, held = [], [], 0
+        for batch in batches:
+            d = batch.column("d").to_numpy()
+            for data, bounds, rows, _ in pieces(batch.column("_text"), window):
+                all_, _, _, found, _ = _keys(data, bounds, window, anchor)
+                if not len(found):
+                    continue
+                keys.append(all_[found])
+                docs.append(d[rows[np.searchsorted(bounds, found, side="right") - 1]])
+                held += len(found)
+                if held >= PACK_KEYS:
+                    yield emit(keys, docs)
+                    keys, docs, held = [], [], 0
+        if held:
+            yield emit(keys, docs)
+
+    return run
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(8, -1).T).view(np.uint64).ravel())
+
+
+def _recurring(group: pa.Table) -> pa.Table:
+    """Keys of a bucket that two documents hold. No key is there more than once per pack."""
+    entry = np.sort(np.concatenate([_unpacked(b) for b in group.column("body").to_pylist()]))
+    key = entry >> np.uint64(1)
+    again = np.zeros(len(key), bool)
+    again[1:] = key[1:] == key[:-1]
+    again |= (entry & np.uint64(1)) == 1
+    return pa.table({"key": pa.array(np.unique(key[again]).view(np.int64))})
+
+
+def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(FILTER_BITS, bool)
+    for batch in batches:
+        bits[_filter_slot(batch.column("key").to_numpy().view(np.uint64))] = True
+    parts = [(i, np.packbits(bits[i : i + FILTER_PART]).tobytes()) for i in range(0, FILTER_BITS, FILTER_PART) if bits[i : i + FILTER_PART].any()]
+    yield pa.RecordBatch.from_pydict({"at": pa.array([i for i, _ in parts], pa.int64()), "body": pa.array([b for _, b in parts], pa.binary())})
+
+
+def _either(group: pa.Table) -> pa.Table:
+    bodies = [np.frombuffer(b, np.uint8) for b in group.column("body").to_pylist()]
+    return pa.table({"at": group.column("at").slice(0, 1), "body": pa.array([np.bitwise_or.reduce(bodies).tobytes()], pa.binary())})
+
+
+def _filter_slot(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit per hash slot of the keys. Its size is fixed; when full it only stops saving rows."""
+    parts = keys.mapInArrow(_filter_parts, "at long, body binary").groupBy("at").applyInArrow(_either, "at long, body binary")
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts.collect():
+        body = np.frombuffer(r["body"], np.uint8)
+        out[r["at"] // 8 : r["at"] // 8 + len(body)] = body
+    return out
+
+
+def _anchor_rows(window: int, anchor: int, shared):
+    """Distinct ``(key, d)`` of the phrases that pass the filter."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d = batch.column("d").to_numpy()
             for data, bounds, rows, _ in pieces(batch.column("_text"), window):
                 keys, _, _, found, _ = _keys(data, bounds, window, anchor)
-                doc = rows[np.searchsorted(bounds, found, side="right") - 1]
-                # A phrase that recurs in one document only cannot be in a smaller one.
-                pairs = np.unique(np.rec.fromarrays([d[doc], keys[found].view(np.int64)], names="d,k"))
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs.k)), pa.array(np.ascontiguousarray(pairs.d))], names=["key", "d"])
+                slot = _filter_slot(keys[found])
+                found = found[(shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1]
+                doc = d[rows[np.searchsorted(bounds, found, side="right") - 1]]
+                order = np.lexsort((keys[found], doc))
+                key, doc = keys[found][order], doc[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(doc[new])], names=["key", "d"])
 
     return run
 
@@ -287,33 +388,40 @@ def _mark(window: int):
 
 def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     """``(d, h, pos, bits)``: windows of texts ``(d, h, _text)`` that also start in a smaller document."""
-    rows = texts.select("d", "_text").mapInArrow(_anchor_rows(window, anchor), "key long, d long")
-    # The rows are cheaper to make twice than to keep. Two different documents must hold a phrase.
-    counts = rows.groupBy("key").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a <> b").select("key")
-    counts = materialize(counts, "recurring")
-    keys = materialize(rows.join(small(counts), "key").groupBy("d").agg(F.collect_set("key").alias("keys")), "document_keys")
+    size = texts.agg(F.coalesce(F.sum(F.length("_text")), F.lit(0))).first()[0]
+    packed = texts.select("d", "_text").mapInArrow(_packed_keys(window, anchor, size // BUCKET_TEXT + 1), "bucket int, body binary")
+    recurring = materialize(packed.groupBy("bucket").applyInArrow(_recurring, "key long"), "recurring")
+    shared = texts.sparkSession.sparkContext.broadcast(key_filter(recurring))
+    rows = texts.select("d", "_text").mapInArrow(_anchor_rows(window, anchor, shared), "key long, d long")
+    keys = materialize(rows.join(small(recurring), "key").groupBy("d").agg(F.collect_set("key").alias("keys")), "document_keys")
     some = texts.join(small(keys.select("d")), "d", "left_semi").join(keys, "d")
     contexts = materialize(some.mapInArrow(_contexts(window, anchor), "key long, cx long, d long, h long, pos int, k int"), "contexts")
 
-    # Equal contexts are one; it is read from its first place.
-    distinct = contexts.groupBy("key", "cx").agg(F.min(F.struct("d", "h", "pos", "k")).alias("f")).select("key", "cx", "f.*")
-    places = distinct.groupBy("d", "h").agg(F.collect_list(F.struct("key", "cx", "pos", "k")).alias("spans"))
+    # Equal contexts are one. Where a phrase has one context only, there is no other to match.
+    distinct = contexts.groupBy("key", "cx").agg(F.min(F.struct("d", "h", "pos", "k")).alias("f"))
+    distinct = materialize(distinct.select("key", "cx", "f.*"), "distinct_contexts")
+    variants = distinct.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    variants = materialize(variants, "variants")
+    varied = distinct.join(small(variants.select("key")), "key", "left_semi")
+    places = varied.groupBy("d", "h").agg(F.collect_list(F.struct("key", "cx", "pos", "k")).alias("spans"))
     places = materialize(places, "context_places")
     holders = texts.join(small(places.select("d", "h")), ["d", "h"], "left_semi").join(places, ["d", "h"])
     bodies = materialize(holders.mapInArrow(_bodies(window), "key long, cx long, md long, body binary").dropDuplicates(["key", "cx"]), "context_bodies")
 
-    hot = small(materialize(bodies.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CONTEXTS).select("key"), "hot_phrases"))
+    hot = small(materialize(variants.where(F.col("n") > HOT_CONTEXTS).select("key"), "hot_phrases"))
     total = bodies.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
     shard = F.pmod(F.xxhash64("key"), F.lit(total // SHARD_BYTES + 1))
     out = "key long, cx long, md long, bits long"
     indexed = bodies.join(hot, "key", "left_anti").groupBy(shard.alias("shard")).applyInArrow(_index_shard(window), out)
-    found = materialize(indexed, "indexed").unionByName(_grouped(bodies.join(hot, "key", "left_semi"), window))
-    found = materialize(found, "context_bits")
+    found = indexed.unionByName(_grouped(bodies.join(hot, "key", "left_semi"), window)).where("bits <> 0")
+    found = materialize(found.select("key", "cx", "bits"), "context_bits")
 
+    # In the smallest document of a context the index decides; in the others all windows go.
+    bits = distinct.select("key", "cx", F.col("d").alias("md")).join(found, ["key", "cx"], "left")
+    joined = contexts.join(materialize(bits, "bits"), ["key", "cx"])
     every = F.expr("shiftleft(1L, k) - 1L")
-    bits = F.when(F.col("d") > F.col("md"), every).otherwise(F.col("bits"))
-    joined = contexts.join(found, ["key", "cx"]).select("d", "h", "pos", bits.alias("bits"))
-    return joined.where("bits <> 0")
+    value = F.when(F.col("d") > F.col("md"), every).otherwise(F.coalesce("bits", F.lit(0)))
+    return joined.select("d", "h", "pos", value.alias("bits")).where("bits <> 0")
 
 
 def _grouped(bodies: DataFrame, window: int) -> DataFrame:
@@ -339,7 +447,13 @@ def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, ancho
         raise ValueError("a context holds 1 to 62 windows")
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = df.select(F.col(id_col).cast("long").alias("_id"), data.alias("_text"))
-    rows = rows.select("_id", F.coalesce("_id", F.lit(NO_ID)).alias("d"), F.xxhash64("_text").alias("h"), "_text")
+    rows = rows.withColumn("d", F.coalesce("_id", F.lit(NO_ID)))
+    again = rows.groupBy("d").agg(F.count("*").alias("n")).where("n > 1").select("d", F.lit(True).alias("_again"))
+    again = materialize(again, "repeated_ids")
+    # The hash tells apart the texts of one id; where there is one text it is 0, which costs nothing to carry.
+    rows = rows.select("_id", "d", F.lit(0).cast("long").alias("h"), "_text") if again.isEmpty() else rows.join(small(again), "d", "left").select(
+        "_id", "d", F.when(F.col("_again"), F.xxhash64("_text")).otherwise(F.lit(0)).alias("h"), "_text"
+    )
     marks = contexts_before(rows.select("d", "h", "_text"), window, anchor)
     marks = materialize(marks.groupBy("d", "h").agg(F.collect_set(F.struct("pos", "bits")).alias("marks")), "marks")
 

@@ -21,8 +21,10 @@ from tagweave.session import materialize
 
 THRESHOLD = 0.95
 MAX_PIVOTS = 1024  # so many vectors at most are broadcast per width
-BLOCK_ROWS = 2048  # rows of a side that are compared in one task
+BLOCK_BYTES = 4 << 20  # doubles of a side that are compared in one task; also the size of a cell
+PRODUCT_ROWS = 512
 SLACK = 1e-9  # rounding of distances
+SINGLE = 1e-5  # more than products in single precision can be off
 CLOSE = 1e-12  # similarities this near the threshold are summed exactly
 
 
@@ -33,13 +35,26 @@ def unit(values: np.ndarray) -> np.ndarray:
     return values / np.sqrt((values * values).sum(axis=1, keepdims=True))
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Which rows of two unit matrices have a cosine of at least ``threshold``."""
-    sim = a @ b.T
-    found = sim >= threshold
-    for i, j in zip(*np.nonzero(np.abs(sim - threshold) < CLOSE)):
-        found[i, j] = math.fsum((a[i] * b[j]).tolist()) >= threshold
-    return found
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``(i, j)`` of two unit matrices with a cosine of at least ``threshold``.
+
+    Products in single precision, which are faster, leave out what is clearly below; the rest is
+    decided in double precision.
+    """
+    single, other = a.astype(np.float32), b.astype(np.float32).T
+    left, right = [], []
+    for start in range(0, len(a), PRODUCT_ROWS):
+        i, j = np.nonzero(single[start : start + PRODUCT_ROWS] @ other >= threshold - SINGLE)
+        for k in range(0, len(i), 1 << 17):
+            x, y = i[k : k + (1 << 17)] + start, j[k : k + (1 << 17)]
+            sim = np.einsum("nd,nd->n", a[x], b[y])
+            found = sim >= threshold
+            for c in np.flatnonzero(np.abs(sim - threshold) < CLOSE).tolist():
+                found[c] = math.fsum((a[x[c]] * b[y[c]]).tolist()) >= threshold
+            left.append(x[found])
+            right.append(y[found])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
 def forest(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +77,9 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def near_duplicates(df: DataFrame, id_col: str, vec_col: str, threshold: float = THRESHOLD, max_pivots: int = MAX_PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def near_duplicates(
+    df: DataFrame, id_col: str, vec_col: str, threshold: float = THRESHOLD, max_pivots: int = MAX_PIVOTS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``(id_col, n_links, component, kept)`` for each row of ``df``.
 
     ``n_links`` counts the other rows with cosine >= ``threshold``, ``component`` is the least id
@@ -72,16 +89,18 @@ def near_duplicates(df: DataFrame, id_col: str, vec_col: str, threshold: float =
     a null id takes no part: it has no links, a null component and is not kept. Other columns
     are dropped.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_v"))
+    rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v"))
+    if rows.schema["_v"].dataType.simpleString() != "array<float>":  # single precision is kept as it is
+        rows = rows.withColumn("_v", F.col("_v").cast("array<double>"))
     odd = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("_id").isNotNull() & F.col("_v").isNotNull() & ~odd & F.exists("_v", lambda x: x != 0)
     rows = rows.withColumn("_ok", F.coalesce(usable, F.lit(False)))
     classes = rows.where("_ok").groupBy("_v").agg(F.min("_id").alias("rep"), F.count("*").alias("m"))
     classes = materialize(classes.withColumn("dim", F.size("_v")), "classes")
 
-    pivots = _pivots(classes, max_pivots)
+    pivots = _pivots(classes, max_pivots, block_bytes)
     dealt = materialize(_assign(classes, pivots, math.sqrt(max(0.0, 2 - 2 * threshold))), "cells")
-    parts = materialize(_join_cells(dealt, threshold, block_rows), "links")
+    parts = materialize(_join_cells(dealt, threshold, block_bytes), "links")
 
     counts = parts.where("n is not null").groupBy("rep").agg(F.sum("n").alias("n"))
     comps = connected(parts.where("root is not null").select(F.col("rep").alias("a"), F.col("root").alias("b")))
@@ -98,11 +117,15 @@ def near_duplicates(df: DataFrame, id_col: str, vec_col: str, threshold: float =
     )
 
 
-def _pivots(classes: DataFrame, max_pivots: int) -> dict[int, np.ndarray]:
-    """Unit pivots per width: about the square root of the number of vectors, picked by hash."""
+def _pivots(classes: DataFrame, max_pivots: int, block_bytes: int) -> dict[int, np.ndarray]:
+    """Unit pivots per width, picked by hash: one for each block of vectors.
+
+    More pivots make smaller cells, but where vectors lie far apart in many dimensions, most
+    cells are within reach of most vectors, and each is one more copy.
+    """
     out = {}
     for dim, n in classes.groupBy("dim").count().collect():
-        want = min(max_pivots, math.isqrt(n) + 1)
+        want = min(max_pivots, -(-n * 8 * dim // block_bytes))
         picked = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("rep"), "rep").select("_v").limit(want).collect()
         out[dim] = unit(np.array([r["_v"] for r in picked]))
     return out
@@ -128,10 +151,11 @@ def _assign(classes: DataFrame, pivots: dict[int, np.ndarray], radius: float) ->
                     columns = [copies.column("dim"), pa.array(cell.astype(np.int32)), pa.array(own[row] == cell), copies.column("rep"), copies.column("m"), copies.column("_v")]
                     yield pa.RecordBatch.from_arrays(columns, names=["dim", "cell", "home", "rep", "m", "v"])
 
-    return classes.mapInArrow(run, "dim int, cell int, home boolean, rep long, m long, v array<double>")
+    kind = classes.schema["_v"].dataType.simpleString()
+    return classes.mapInArrow(run, f"dim int, cell int, home boolean, rep long, m long, v {kind}")
 
 
-def _join_cells(dealt: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+def _join_cells(dealt: DataFrame, threshold: float, block_bytes: int) -> DataFrame:
     """Rows ``(rep, n)`` of link counts, and ``(rep, root)`` of links within a block pair.
 
     A cell with many rows is cut into blocks: every home block meets every block of all rows, so
@@ -139,7 +163,7 @@ def _join_cells(dealt: DataFrame, threshold: float, block_rows: int) -> DataFram
     """
     sizes = dealt.groupBy("dim", "cell").agg(F.count_if("home").alias("h"), F.count("*").alias("n"))
     blocks = F.broadcast(  # one row per pivot at most
-        sizes.select("dim", "cell", F.ceil(F.col("h") / block_rows).cast("int").alias("hb"), F.ceil(F.col("n") / block_rows).cast("int").alias("ab")).where("h > 0")
+        sizes.select("dim", "cell", *[F.ceil(F.col(c) * F.col("dim") * 8 / block_bytes).cast("int").alias(b) for c, b in (("h", "hb"), ("n", "ab"))]).where("h > 0")
     )
     rows = dealt.join(blocks, ["dim", "cell"])
     mine = F.pmod(F.xxhash64("rep"), "hb").cast("int")
@@ -153,11 +177,12 @@ def _join_cells(dealt: DataFrame, threshold: float, block_rows: int) -> DataFram
         v = unit(_matrix(group.column("v").chunk(0)))
         rep, m = group.column("rep").to_numpy(), group.column("m").to_numpy()
         a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
-        hit = linked(v[a], v[b], threshold)
-        hit &= rep[a][:, None] != rep[b][None, :]
-        n = hit @ m[b]
+        i, j = linked(v[a], v[b], threshold)
+        other = rep[a[i]] != rep[b[j]]
+        i, j = i[other], j[other]
+        n = np.zeros(len(a), np.int64)
+        np.add.at(n, i, m[b[j]])
         some = n > 0
-        i, j = np.nonzero(hit)
         ids, at = np.unique(rep, return_inverse=True)
         node, root = forest(at[a[i]], at[b[j]], ids)
         none = lambda k, t: pa.nulls(k, t)

@@ -59,6 +59,10 @@ def test_cut_texts_many_shards_hot_phrases_and_shuffled_joins(spark, monkeypatch
     monkeypatch.setattr(runindex, "CHUNK_BYTES", 70)
     monkeypatch.setattr(runindex, "SHARD_BYTES", 400)
     monkeypatch.setattr(runindex, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(runindex, "PACK_KEYS", 90)
+    monkeypatch.setattr(runindex, "BUCKET_TEXT", 2000)
+    monkeypatch.setattr(runindex, "FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(runindex, "FILTER_PART", 1 << 8)
     assert got(spark, rows, window=30, anchor=10) == want
     monkeypatch.setattr(runindex, "HOT_CONTEXTS", 2)
     assert got(spark, rows, window=30, anchor=10) == want
@@ -97,7 +101,7 @@ def test_runs_follow_distinct_text_and_not_copies():
 
     def runs(copies):
         lengths = np.full(copies, len(base))
-        return len(runindex.build_index(np.tile(base, copies), lengths, np.arange(copies), 50).starts)
+        return len(runindex.build_index(np.tile(base, copies), lengths, np.arange(copies), 50).shift)
 
     assert runs(64) <= runs(2) + 64
 
