@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagweave.llm.common import by_size
-from tagweave.llm.hashing import Words, anchors, phrases, starts_of
+from tagweave.llm.hashing import Words, anchors, mix, phrases, powers, starts_of
+from tagweave.llm.recurring import key_of, recurring_keys
 from tagweave.session import materialize
 
 WINDOW = 20  # words of a passage that counts as repeated
@@ -41,23 +42,27 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     yield from by_size(pc.binary_length(texts.cast(pa.large_binary())).fill_null(0).to_pylist(), CHUNK_BYTES)
 
 
-def _anchor_rows(window: int, anchor: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in chunks(batch.column("_text")):
-                words = Words(batch.column("_text").slice(a, b - a), lower=False)
-                keys = phrases(words.hashes(), anchor)
-                at, _ = starts_of(words.first, words.counts, window)
-                found, _ = anchors(keys, at, window - anchor + 1)
-                doc = np.searchsorted(words.first, found, side="right") - 1
-                d = batch.column("d").slice(a, b - a).to_numpy()[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[found].view(np.int64)), pa.array(d)], names=["key", "d"])
+def _sampled(window: int, anchor: int):
+    """Keys of the sampled phrases of a batch, chunk by chunk, with the document of each."""
 
-    return run
+    def extract(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a, b in chunks(batch.column("_text")):
+            words = Words(batch.column("_text").slice(a, b - a), lower=False)
+            keys = key_of(phrases(words.hashes(), anchor))
+            at, _ = starts_of(words.first, words.counts, window)
+            found, _ = anchors(keys, at, window - anchor + 1)
+            doc = np.searchsorted(words.first, found, side="right") - 1
+            yield keys[found], batch.column("d").slice(a, b - a).to_numpy()[doc]
+
+    return extract
 
 
-def _window_rows(window: int, anchor: int):
-    """Hashes of the windows whose least phrase is one of the document's recurring ones."""
+def _contexts(window: int, anchor: int):
+    """Rows ``(key, cx, d, h, pos, k, inner)``: ``k`` windows from word ``pos`` with one recurring phrase.
+
+    ``inner`` says that the context holds the phrase twice, so that a window may repeat inside it.
+    """
+    width = window - anchor + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,28 +71,63 @@ def _window_rows(window: int, anchor: int):
                 words = Words(part.column("_text"), lower=False)
                 hashes = words.hashes()
                 at, fits = starts_of(words.first, words.counts, window)
-                _, least = anchors(phrases(hashes, anchor), at, window - anchor + 1)
-                doc = np.repeat(np.arange(len(fits)), fits)
-                lists = part.column("keys")
-                owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                # (document, key) pairs are looked up among those that recur.
-                order = np.lexsort((flat, owner))
-                wanted = np.rec.fromarrays([owner[order], flat[order]])
-                asked = np.rec.fromarrays([doc, least.view(np.int64)])
-                _, code = np.unique(np.concatenate([wanted, asked]), return_inverse=True)
-                seen = np.zeros(code.max() + 1 if len(code) else 0, bool)
-                seen[code[: len(wanted)]] = True
-                hit = np.flatnonzero(seen[code[len(wanted) :]]) if len(asked) else np.zeros(0, int)
-                whole = phrases(hashes, window)
-                rows = doc[hit]
+                keys = key_of(phrases(hashes, anchor))
+                _, least = anchors(keys, at, width)
+                doc, ends, lists = np.repeat(np.arange(len(fits)), fits), np.cumsum(fits), part.column("keys")
+                recurs = np.zeros(len(at), bool)
+                for t in np.flatnonzero(fits).tolist():
+                    own = slice(ends[t] - fits[t], ends[t])
+                    recurs[own] = np.isin(least[own].view(np.int64), lists[t].values.to_numpy(zero_copy_only=False))
+                hit = np.flatnonzero(recurs)
+                if not len(hit):
+                    continue
+                new = np.concatenate([[True], (np.diff(at[hit]) != 1) | (least[hit][1:] != least[hit][:-1]) | (np.diff(doc[hit]) != 0)])
+                begin = np.flatnonzero(new)
+                since = np.arange(len(hit)) - np.repeat(begin, np.diff(np.append(begin, len(hit))))
+                begin = np.flatnonzero(since % width == 0)
+                k = np.diff(np.append(begin, len(hit)))
+                start, t = at[hit[begin]], doc[hit[begin]]
+                # A context's hash: the differences of prefix sums over its words, as for a phrase.
+                sums = np.zeros(len(hashes) + 1, np.uint64)
+                np.cumsum(hashes * powers(len(hashes)), out=sums[1:])
+                cx = mix((sums[start + k + window - 1] - sums[start]) * powers(len(hashes) + 1, inverse=True)[start] + k.astype(np.uint64))
+                spots = k + width - 1
+                opens = np.cumsum(spots) - spots
+                at_spot = np.arange(spots.sum()) + np.repeat(start - opens, spots)
+                inner = np.add.reduceat((keys[at_spot] == np.repeat(least[hit[begin]], spots)).astype(np.int64), opens) > 1
                 columns = [
-                    pa.array(whole[at[hit]].view(np.int64)),
-                    pa.array(part.column("d").to_numpy()[rows]),
-                    pa.array(part.column("h").to_numpy()[rows]),
-                    pa.array((at[hit] - words.first[rows]).astype(np.int32)),
+                    pa.array(least[hit[begin]].view(np.int64)),
+                    pa.array(cx.view(np.int64)),
+                    pa.array(part.column("d").to_numpy()[t]),
+                    pa.array(part.column("h").to_numpy()[t]),
+                    pa.array((start - words.first[t]).astype(np.int32)),
+                    pa.array(k.astype(np.int32)),
+                    pa.array(inner),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["w", "d", "h", "pos"])
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "cx", "d", "h", "pos", "k", "inner"])
+
+    return run
+
+
+def _window_hashes(window: int):
+    """Rows ``(key, cx, i, w)``: hash of each window of the contexts listed in ``spans``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in chunks(batch.column("_text")):
+                part = batch.slice(a, b - a)
+                words = Words(part.column("_text"), lower=False)
+                whole = phrases(words.hashes(), window)
+                spans = part.column("spans")
+                flat = spans.flatten()
+                owner = np.repeat(np.arange(len(spans)), pc.list_value_length(spans).to_numpy(zero_copy_only=False))
+                key, cx, pos, k = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("key", "cx", "pos", "k"))
+                each = np.repeat(np.arange(len(k)), k)
+                i = np.arange(len(each)) - np.repeat(np.cumsum(k) - k, k)
+                w = whole[(words.first[owner] + pos)[each] + i]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[each]), pa.array(cx[each]), pa.array(i.astype(np.int32)), pa.array(w.view(np.int64))], names=["key", "cx", "i", "w"]
+                )
 
     return run
 
@@ -95,26 +135,47 @@ def _window_rows(window: int, anchor: int):
 def repeated_passages(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``(d, h, fd, fh, fstart, n)``: a passage of ``n`` words of text ``(d, h)`` and where it stands first.
 
-    Texts come as ``(d, h, _text)``. Only windows with a sampled phrase that recurs are counted,
-    and equal windows have the same sampled phrase, so none is missed.
+    Texts come as ``(d, h, _text)``. Equal windows have the same sampled phrase, so windows whose
+    phrase does not recur are left out. Neighbouring windows with one phrase form a context, and
+    contexts are compared whole; only where a phrase has several, or stands twice in one, are their
+    windows compared.
     """
-    rows = materialize(texts.select("d", "_text").mapInArrow(_anchor_rows(window, anchor), "key long, d long"), "anchors")
-    counts = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "recurring")
-    keys = rows.join(small(counts), "key").groupBy("d").agg(F.collect_set("key").alias("keys"))
-    keys = materialize(keys, "document_keys")
+    keys = recurring_keys(texts.select("d", "_text"), _sampled(window, anchor), across=False)
     some = texts.join(small(keys.select("d")), "d", "left_semi").join(keys, "d")
-    windows = materialize(some.mapInArrow(_window_rows(window, anchor), "w long, d long, h long, pos int"), "windows")
-
-    place = F.struct("d", "h", "pos")
-    first = windows.groupBy("w").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1").select("w", "f")
-    later = windows.join(materialize(first, "first_places"), "w").where(place != F.col("f"))
-    later = later.select("d", "h", "pos", F.col("f.d").alias("fd"), F.col("f.h").alias("fh"), F.col("f.pos").alias("fpos")).distinct()
-
-    # Neighbouring windows whose first places are neighbours too make one passage.
+    contexts = materialize(some.mapInArrow(_contexts(window, anchor), "key long, cx long, d long, h long, pos int, k int, inner boolean"), "contexts")
+    distinct = contexts.groupBy("key", "cx").agg(F.min(F.struct("d", "h", "pos", "k", "inner")).alias("f"), F.count("*").alias("n"))
+    distinct = materialize(distinct.select("key", "cx", "f.*", "n"), "distinct_contexts")
+
+    # First places of windows, as runs of neighbours; a context without variants is one run.
+    variants = distinct.groupBy("key").agg(F.count("*").alias("v"), F.bool_or("inner").alias("inner")).where("v > 1 or inner").select("key")
+    varied = materialize(distinct.join(small(materialize(variants, "variants")), "key", "left_semi"), "varied")
+    places = varied.groupBy("d", "h").agg(F.collect_list(F.struct("key", "cx", "pos", "k")).alias("spans"))
+    places = materialize(places, "context_places")
+    holders = texts.join(small(places.select("d", "h")), ["d", "h"], "left_semi").join(places, ["d", "h"])
+    windows = holders.mapInArrow(_window_hashes(window), "key long, cx long, i int, w long").distinct()
+    windows = windows.join(varied.select("key", "cx", "d", "h", "pos", F.col("n").alias("times")), ["key", "cx"])
+    windows = materialize(windows.withColumn("f", F.struct("d", "h", (F.col("pos") + F.col("i")).alias("pos"))).select("key", "cx", "i", "w", "f", "times"), "windows")
+    first = windows.groupBy("w").agg(F.min("f").alias("first"), F.sum("times").alias("times")).where("times > 1").select("w", "first")
+    known = windows.drop("times").join(materialize(first, "first_places"), "w")
+    known = known.select("key", "cx", "i", F.col("first.d").alias("fd"), F.col("first.h").alias("fh"), F.col("first.pos").alias("fpos"))
+    known = known.withColumn("by", F.col("fpos") - F.col("i"))
+    order = Window.partitionBy("key", "cx", "fd", "fh", "by").orderBy("i")
+    known = known.withColumn("run", F.col("i") - F.row_number().over(order))
+    runs = known.groupBy("key", "cx", "fd", "fh", "by", "run").agg(F.min("i").alias("i"), F.min("fpos").alias("fpos"), F.count("*").cast("int").alias("m"))
+    runs = runs.select("key", "cx", "i", "fd", "fh", "fpos", "m")
+    single = distinct.where("n > 1").join(varied.select("key", "cx"), ["key", "cx"], "left_anti")
+    single = single.select("key", "cx", F.lit(0).alias("i"), F.col("d").alias("fd"), F.col("h").alias("fh"), F.col("pos").alias("fpos"), F.col("k").alias("m"))
+    runs = materialize(runs.unionByName(single), "runs")
+
+    later = contexts.join(runs, ["key", "cx"]).withColumn("pos", F.col("pos") + F.col("i"))
+    here = (F.col("d") == F.col("fd")) & (F.col("h") == F.col("fh")) & (F.col("pos") == F.col("fpos"))
+    later = later.where(~here).select("d", "h", "fd", "fh", "pos", "fpos", "m").distinct()
+    # Runs that follow each other here and at the first place make one passage.
     along = Window.partitionBy("d", "h", "fd", "fh", "by").orderBy("pos")
-    runs = later.withColumn("by", F.col("pos") - F.col("fpos")).withColumn("run", F.col("pos") - F.row_number().over(along))
-    runs = runs.groupBy("d", "h", "fd", "fh", "by", "run").agg(F.min("fpos").alias("fpos"), F.count("*").cast("int").alias("k"))
-    cut = runs.select("d", "h", "fd", "fh", "fpos", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1, F.lit(PIECE))).alias("o"))
+    before = F.sum("m").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    joined = later.withColumn("by", F.col("pos") - F.col("fpos")).withColumn("run", F.col("pos") - F.coalesce(before, F.lit(0)))
+    joined = joined.groupBy("d", "h", "fd", "fh", "by", "run").agg(F.min("fpos").alias("fpos"), F.sum("m").cast("int").alias("k"))
+    cut = joined.select("d", "h", "fd", "fh", "fpos", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1, F.lit(PIECE))).alias("o"))
     n = F.least(F.lit(PIECE), F.col("k") - F.col("o")) + (window - 1)
     return materialize(cut.select("d", "h", "fd", "fh", (F.col("fpos") + F.col("o")).alias("fstart"), n.alias("n")).distinct(), "passages")
 
@@ -201,7 +262,13 @@ def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, ancho
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("_id"), text.alias("_text"))
-    rows = rows.select("_id", F.coalesce("_id", F.lit(NO_ID)).alias("d"), F.xxhash64("_text").alias("h"), "_text")
+    rows = rows.withColumn("d", F.coalesce("_id", F.lit(NO_ID)))
+    again = rows.groupBy("d").agg(F.count("*").alias("n")).where("n > 1").select("d", F.lit(True).alias("_again"))
+    again = materialize(again, "repeated_ids")
+    # The hash tells apart the texts of one id; where there is one text it is 0, which costs nothing to carry.
+    rows = rows.select("_id", "d", F.lit(0).cast("long").alias("h"), "_text") if again.isEmpty() else rows.join(small(again), "d", "left").select(
+        "_id", "d", F.when(F.col("_again"), F.xxhash64("_text")).otherwise(F.lit(0)).alias("h"), "_text"
+    )
     once = rows.select("d", "h", "_text")
 
     passages = repeated_passages(once, window, anchor)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tagweave.llm.common import by_size
 from tagweave.llm.hashing import anchors, buffer_of, mix, phrases, powers, starts_of
+from tagweave.llm.recurring import key_of, recurring_keys
 from tagweave.session import materialize
 
 WINDOW = 50  # bytes of a string that counts as repeated
@@ -28,11 +29,6 @@ CHUNK_BYTES = 1 << 20  # text that is hashed at a time; longer texts are cut wit
 SHARD_BYTES = 2 << 20  # context bytes of one index
 HOT_CONTEXTS = 20_000  # distinct contexts of one phrase from which its windows are grouped instead
 BROADCAST_ROWS = 200_000
-KEY_BITS = 48  # of a phrase hash; two phrases with one key only cost a comparison
-PACK_KEYS = 1_000_000  # phrases that a task packs together
-BUCKET_TEXT = 64 << 20  # bytes of text whose keys one task counts
-FILTER_BITS = 1 << 28  # 32 MB, whatever the input
-FILTER_PART = 1 << 22
 NO_ID = -(2**63)  # stands for a null id, which comes before all others
 
 
@@ -178,111 +174,22 @@ def pieces(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _keys(data: np.ndarray, bounds: np.ndarray, window: int, anchor: int):
-    keys = phrases(data.astype(np.uint64) + np.uint64(1), anchor) >> np.uint64(64 - KEY_BITS)
+    keys = key_of(phrases(data.astype(np.uint64) + np.uint64(1), anchor))
     at, fits = starts_of(bounds[:-1], np.diff(bounds), window)
     found, least = anchors(keys, at, window - anchor + 1)
     return keys, at, fits, found, least
 
 
-def _packed_keys(window: int, anchor: int, buckets: int):
-    """Rows ``(bucket, body)``: the distinct keys of about ``PACK_KEYS`` phrases, sorted, in a range of keys.
+def _sampled(window: int, anchor: int):
+    """Keys of the sampled phrases of a batch, chunk by chunk, with the document of each."""
 
-    The lowest bit of an entry says that two documents of the pack hold the key. Entries are
-    differences, laid out by byte significance, of which the upper ones are nearly all zero.
-    """
-    step = -(-(1 << KEY_BITS) // buckets)
-
-    def emit(keys: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
-        key, doc = np.concatenate(keys), np.concatenate(docs)
-        order = np.argsort(key)
-        key, doc = key[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        twice = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-        entry = key[first] << np.uint64(1) | twice.astype(np.uint64)
-        cut = np.searchsorted(key[first], np.arange(1, buckets, dtype=np.uint64) * np.uint64(step))
-        parts = [(b, e) for b, e in enumerate(np.split(entry, cut)) if len(e)]
-        bodies = [np.diff(e, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes() for _, e in parts]
-        return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in parts], pa.int32()), "body": pa.array(bodies, pa.binary())})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, held = [], [], 0
-        for batch in batches:
-            d = batch.column("d").to_numpy()
-            for data, bounds, rows, _ in pieces(batch.column("_text"), window):
-                all_, _, _, found, _ = _keys(data, bounds, window, anchor)
-                if not len(found):
-                    continue
-                keys.append(all_[found])
-                docs.append(d[rows[np.searchsorted(bounds, found, side="right") - 1]])
-                held += len(found)
-                if held >= PACK_KEYS:
-                    yield emit(keys, docs)
-                    keys, docs, held = [], [], 0
-        if held:
-            yield emit(keys, docs)
-
-    return run
-
-
-def _unpacked(body: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(8, -1).T).view(np.uint64).ravel())
-
-
-def _recurring(group: pa.Table) -> pa.Table:
-    """Keys of a bucket that two documents hold. No key is there more than once per pack."""
-    entry = np.sort(np.concatenate([_unpacked(b) for b in group.column("body").to_pylist()]))
-    key = entry >> np.uint64(1)
-    again = np.zeros(len(key), bool)
-    again[1:] = key[1:] == key[:-1]
-    again |= (entry & np.uint64(1)) == 1
-    return pa.table({"key": pa.array(np.unique(key[again]).view(np.int64))})
-
-
-def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(FILTER_BITS, bool)
-    for batch in batches:
-        bits[_filter_slot(batch.column("key").to_numpy().view(np.uint64))] = True
-    parts = [(i, np.packbits(bits[i : i + FILTER_PART]).tobytes()) for i in range(0, FILTER_BITS, FILTER_PART) if bits[i : i + FILTER_PART].any()]
-    yield pa.RecordBatch.from_pydict({"at": pa.array([i for i, _ in parts], pa.int64()), "body": pa.array([b for _, b in parts], pa.binary())})
+    def extract(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        d = batch.column("d").to_numpy()
+        for data, bounds, rows, _ in pieces(batch.column("_text"), window):
+            keys, _, _, found, _ = _keys(data, bounds, window, anchor)
+            yield keys[found], d[rows[np.searchsorted(bounds, found, side="right") - 1]]
 
-
-def _either(group: pa.Table) -> pa.Table:
-    bodies = [np.frombuffer(b, np.uint8) for b in group.column("body").to_pylist()]
-    return pa.table({"at": group.column("at").slice(0, 1), "body": pa.array([np.bitwise_or.reduce(bodies).tobytes()], pa.binary())})
-
-
-def _filter_slot(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def key_filter(keys: DataFrame) -> np.ndarray:
-    """A bit per hash slot of the keys. Its size is fixed; when full it only stops saving rows."""
-    parts = keys.mapInArrow(_filter_parts, "at long, body binary").groupBy("at").applyInArrow(_either, "at long, body binary")
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in parts.collect():
-        body = np.frombuffer(r["body"], np.uint8)
-        out[r["at"] // 8 : r["at"] // 8 + len(body)] = body
-    return out
-
-
-def _anchor_rows(window: int, anchor: int, shared):
-    """Distinct ``(key, d)`` of the phrases that pass the filter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d = batch.column("d").to_numpy()
-            for data, bounds, rows, _ in pieces(batch.column("_text"), window):
-                keys, _, _, found, _ = _keys(data, bounds, window, anchor)
-                slot = _filter_slot(keys[found])
-                found = found[(shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1]
-                doc = d[rows[np.searchsorted(bounds, found, side="right") - 1]]
-                order = np.lexsort((keys[found], doc))
-                key, doc = keys[found][order], doc[order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(doc[new])], names=["key", "d"])
-
-    return run
+    return extract
 
 
 def _contexts(window: int, anchor: int):
@@ -388,12 +295,7 @@ def _mark(window: int):
 
 def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     """``(d, h, pos, bits)``: windows of texts ``(d, h, _text)`` that also start in a smaller document."""
-    size = texts.agg(F.coalesce(F.sum(F.length("_text")), F.lit(0))).first()[0]
-    packed = texts.select("d", "_text").mapInArrow(_packed_keys(window, anchor, size // BUCKET_TEXT + 1), "bucket int, body binary")
-    recurring = materialize(packed.groupBy("bucket").applyInArrow(_recurring, "key long"), "recurring")
-    shared = texts.sparkSession.sparkContext.broadcast(key_filter(recurring))
-    rows = texts.select("d", "_text").mapInArrow(_anchor_rows(window, anchor, shared), "key long, d long")
-    keys = materialize(rows.join(small(recurring), "key").groupBy("d").agg(F.collect_set("key").alias("keys")), "document_keys")
+    keys = recurring_keys(texts.select("d", "_text"), _sampled(window, anchor), across=True)
     some = texts.join(small(keys.select("d")), "d", "left_semi").join(keys, "d")
     contexts = materialize(some.mapInArrow(_contexts(window, anchor), "key long, cx long, d long, h long, pos int, k int"), "contexts")
 

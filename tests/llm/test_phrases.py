@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from tagweave.llm import hashing, phrases
+from tagweave.llm import hashing, phrases, recurring
 from tests.llm.odd import odd_docs, odd_texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -55,6 +55,8 @@ def test_pieces_shards_and_shuffled_joins(spark, monkeypatch):
     monkeypatch.setattr(phrases, "SHARD_CHARS", 200)
     monkeypatch.setattr(phrases, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(phrases, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(recurring, "PACK_KEYS", 90)
+    monkeypatch.setattr(recurring, "BUCKET_TEXT", 2000)
     rows = rows_of(random.Random(4), 120, [f"v{i}" for i in range(60)])
     assert got(spark, rows, window=6, anchor=2) == brute(rows, 6)
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tagweave.llm import runindex
+from tagweave.llm import recurring, runindex
 from tests.llm.odd import odd_docs, odd_texts
 
 
@@ -59,10 +59,10 @@ def test_cut_texts_many_shards_hot_phrases_and_shuffled_joins(spark, monkeypatch
     monkeypatch.setattr(runindex, "CHUNK_BYTES", 70)
     monkeypatch.setattr(runindex, "SHARD_BYTES", 400)
     monkeypatch.setattr(runindex, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(runindex, "PACK_KEYS", 90)
-    monkeypatch.setattr(runindex, "BUCKET_TEXT", 2000)
-    monkeypatch.setattr(runindex, "FILTER_BITS", 1 << 10)
-    monkeypatch.setattr(runindex, "FILTER_PART", 1 << 8)
+    monkeypatch.setattr(recurring, "PACK_KEYS", 90)
+    monkeypatch.setattr(recurring, "BUCKET_TEXT", 2000)
+    monkeypatch.setattr(recurring, "FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(recurring, "FILTER_PART", 1 << 8)
     assert got(spark, rows, window=30, anchor=10) == want
     monkeypatch.setattr(runindex, "HOT_CONTEXTS", 2)
     assert got(spark, rows, window=30, anchor=10) == want
