@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tagweave.llm.common import by_size, ragged_take
 from tagweave.llm.components import connected
 from tagweave.llm.hashing import Words, mix, phrases, starts_of
+from tagweave.llm.recurring import key_filter, key_of, passes, recurring_set
 from tagweave.session import materialize
 
 SHINGLE = 4
@@ -31,7 +32,9 @@ SKETCH_BITS = 20  # counters of the frequency sketch, 4 MB whatever the input
 SKETCH_CHUNK = 1 << 14
 BLOCK_ROWS = 1024  # sets of a side that are compared in one task
 BLOCK_TOKENS = 4_000_000
-CHUNK_BYTES = 4 << 20  # text that is hashed at a time
+CHUNK_BYTES = 2 << 20  # text that is hashed at a time
+BUCKET_KEYS = 4_000_000  # prefix tokens that one task counts
+PLACED = ["hub", "size_class", "i", "j", "asks", "rep", "n", "ell"]
 BROADCAST_ROWS = 200_000
 
 
@@ -172,11 +175,11 @@ def _prefixes(texts: DataFrame, size: int, percent: int, sketch) -> DataFrame:
 
 def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -> DataFrame:
     """Edges ``(a, b)`` that connect what the links between classes connect."""
-    tokens = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
+    lists = materialize(_recurring_tokens(reps), "tokens")
+    df = materialize(lists.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "lists")
     base = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
-    tokens = tokens.withColumn("level", F.greatest(F.lit(1), F.col("pos") - base + 2).cast("int"))
-    lists = materialize(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "lists")
-    shared = materialize(tokens.join(small(lists), "token").select("token", "rep", "n", "level", "df"), "shared")
+    level = F.greatest(F.lit(1), F.col("pos") - base + 2).cast("int").alias("level")
+    shared = materialize(lists.join(small(df), "token").select("token", "rep", "n", level, "df"), "shared")
 
     # Cost of l: entries of its lists, and at most entries / l candidates to verify.
     reads = [F.sum(F.when(F.col("level") <= k, F.col("df") - 1).otherwise(F.lit(0))) for k in range(1, LEVELS + 1)]
@@ -205,14 +208,18 @@ def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
     sizes = materialize(sizes.select("hub", "size_class", blocks.alias("blocks")), "sizes")
     members = materialize(members.join(sizes, ["hub", "size_class"]), "placed")
-    bodies = materialize(_bodies(texts, members.select("rep").distinct(), size, sketch), "bodies")
+
+    def compared(placed: DataFrame, name: str) -> DataFrame:
+        """Prefixes tell which sets of a group are candidates; only those are read whole."""
+        kept = materialize(_with_candidates(placed, reps.select("rep", "prefix"), percent), f"{name}_candidates")
+        bodies = _bodies(texts, kept.select("rep").distinct(), size, sketch)
+        return materialize(_compare(kept, bodies, percent), f"{name}_links")
 
     # One sample block against all blocks: enough for groups of one block, and for most links of others.
     block = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
-    key = ["hub", "size_class", "i", "j", "asks", "rep", "n", "ell"]
     told = members.select("*", F.lit(0).alias("i"), block.alias("j"), F.lit(False).alias("asks"))
     asks = members.where(block == 0).select("*", F.lit(0).alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
-    first = materialize(_compare(asks.select(*key).unionByName(told.select(*key)), bodies, percent), "first_links")
+    first = compared(asks.select(*PLACED).unionByName(told.select(*PLACED)), "first")
     large = members.where("blocks > 1")
     if large.isEmpty():
         return first
@@ -228,8 +235,30 @@ def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -
     asks = rest.join(per, ["hub", "size_class"]).withColumn("i", F.pmod(F.xxhash64("rep"), "rb").cast("int"))
     asks = asks.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
     told = large.join(per, ["hub", "size_class"]).select("*", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("i"), block.alias("j"), F.lit(False).alias("asks"))
-    second = _compare(asks.select(*key).unionByName(told.select(*key)), bodies, percent)
-    return first.unionByName(materialize(second, "second_links"))
+    return first.unionByName(compared(asks.select(*PLACED).unionByName(told.select(*PLACED)), "second"))
+
+
+def _recurring_tokens(reps: DataFrame) -> DataFrame:
+    """``(token, rep, n, pos)`` of the prefix tokens that another set has too, and a few others."""
+
+    def extract(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        tokens = batch.column("prefix").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        yield key_of(tokens), np.zeros(len(tokens), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lens = pc.list_value_length(batch.column("prefix")).to_numpy(zero_copy_only=False)
+            tokens = batch.column("prefix").flatten().to_numpy(zero_copy_only=False)
+            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lens) - lens, lens)
+            some = passes(shared.value, key_of(tokens.view(np.uint64)))
+            row = np.repeat(np.arange(len(lens)), lens)[some]
+            columns = [pa.array(tokens[some]), pa.array(batch.column("rep").to_numpy()[row]), pa.array(batch.column("n").to_numpy()[row]), pa.array(pos[some].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "rep", "n", "pos"])
+
+    total = reps.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    keys = recurring_set(reps.select("prefix"), extract, total // BUCKET_KEYS + 1, across=False)
+    shared = reps.sparkSession.sparkContext.broadcast(key_filter(keys))
+    return reps.select("rep", "n", "prefix").mapInArrow(run, "token long, rep long, n int, pos int")
 
 
 def _bodies(texts: DataFrame, reps: DataFrame, size: int, sketch) -> DataFrame:
@@ -245,6 +274,20 @@ def _bodies(texts: DataFrame, reps: DataFrame, size: int, sketch) -> DataFrame:
     return texts.join(wanted, "_id", "left_semi").mapInArrow(run, "rep long, body binary").where("length(body) > 0")
 
 
+def _with_candidates(placed: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``placed`` that have a candidate in their group."""
+
+    def run(group: pa.Table) -> pa.Table:
+        prefix = [np.asarray(x, np.int64).view(np.uint64) for x in group.column("prefix").to_pylist()]
+        ask = group.column("asks").to_numpy(zero_copy_only=False)
+        kept = candidate_rows(prefix, group.column("rep").to_numpy(), group.column("n").to_numpy(), group.column("ell").to_numpy(), ask, percent)
+        return group.select(PLACED).filter(pa.array(kept))
+
+    kinds = {"hub": "long", "rep": "long", "asks": "boolean"}
+    ddl = ", ".join(f"{c} {kinds.get(c, 'int')}" for c in PLACED)
+    return placed.join(prefixes, "rep").groupBy("hub", "size_class", "i", "j").applyInArrow(run, ddl)
+
+
 def _compare(placed: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         rep = group.column("rep").to_numpy()
@@ -254,37 +297,67 @@ def _compare(placed: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     return placed.join(bodies, "rep").groupBy("hub", "size_class", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links found between sets that ask and sets that are told, less those that close a cycle."""
-    n = np.array([len(x) for x in bodies])
-    _, flat = np.unique(np.concatenate(bodies), return_inverse=True)
-    starts = np.cumsum(n) - n
+class Overlaps:
+    """Numbers of shared tokens between one of some token lists and many others."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.n = np.array([len(x) for x in lists])
+        _, self.flat = np.unique(np.concatenate(lists), return_inverse=True)
+        self.starts = np.cumsum(self.n) - self.n
+        self.flags = np.zeros(self.flat.max() + 1, bool)
+
+    def of(self, x: int, x_len: int, others: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Tokens among the first ``x_len`` of list ``x`` and the first ``lens`` of the others."""
+        mine = self.flat[self.starts[x] : self.starts[x] + x_len]
+        self.flags[mine] = True
+        hit = self.flags[ragged_take(self.flat, self.starts[others], lens)]
+        self.flags[mine] = False
+        return np.add.reduceat(hit.astype(np.int64), np.cumsum(lens) - lens)
+
+
+def _candidates(overlaps: Overlaps, x: int, others: np.ndarray, n: np.ndarray, ell: np.ndarray, percent: int) -> np.ndarray:
+    """Those of ``others`` that share as many prefix tokens with ``x`` as the smaller l asks for."""
+    others = others[100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others])]
+    if not len(others):
+        return others
     most = -(-percent * n // 100)
     base = n - most
-    flags = np.zeros(flat.max() + 1, bool)
+    least = np.minimum(ell[x], ell[others])
+    found = []
+    for k in np.unique(least).tolist():
+        some = others[least == k]
+        asked = np.minimum(np.minimum(k, most[x]), most[some])
+        shared = overlaps.of(x, base[x] + min(k, most[x]), some, base[some] + np.minimum(k, most[some]))
+        found.append(some[shared >= asked])
+    return np.concatenate(found)
+
+
+def candidate_rows(
+    prefixes: list[np.ndarray], rep: np.ndarray, n: np.ndarray, ell: np.ndarray, asks: np.ndarray, percent: int
+) -> np.ndarray:
+    """Which sets are candidates of another one; a set that asks and is told is not its own."""
+    overlaps, n = Overlaps(prefixes), n.astype(np.int64)
+    told, kept = np.flatnonzero(~asks), np.zeros(len(n), bool)
+    for x in np.flatnonzero(asks).tolist():
+        found = _candidates(overlaps, x, told[rep[told] != rep[x]], n, ell, percent)
+        kept[found] = True
+        kept[x] = len(found) > 0
+    return kept
+
+
+def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links found between sets that ask and sets that are told, less those that close a cycle."""
+    overlaps = Overlaps(bodies)
+    n = overlaps.n
     label = np.arange(len(n))
     edges: list[tuple[int, int]] = []
     told = np.flatnonzero(~asks)
-
-    def overlaps(x: int, x_len: int, others: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        mine = flat[starts[x] : starts[x] + x_len]
-        flags[mine] = True
-        hit = flags[ragged_take(flat, starts[others], lens)]
-        flags[mine] = False
-        return np.add.reduceat(hit.astype(np.int64), np.cumsum(lens) - lens)
-
     for x in np.flatnonzero(asks).tolist():
-        others = told[label[told] != label[x]]
-        others = others[100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others])]
-        least = np.minimum(ell[x], ell[others])
-        for k in np.unique(least).tolist():
-            some = others[least == k]
-            asked = np.minimum(np.minimum(k, most[x]), most[some])
-            some = some[overlaps(x, base[x] + min(k, most[x]), some, base[some] + np.minimum(k, most[some])) >= asked]
-            if len(some):
-                shared = overlaps(x, n[x], some, n[some])
-                for y in some[100 * shared >= percent * (n[x] + n[some] - shared)].tolist():
-                    if label[y] != label[x]:
-                        edges.append((x, y))
-                        label[label == label[y]] = label[x]
+        some = _candidates(overlaps, x, told[label[told] != label[x]], n, ell, percent)
+        if len(some):
+            shared = overlaps.of(x, n[x], some, n[some])
+            for y in some[100 * shared >= percent * (n[x] + n[some] - shared)].tolist():
+                if label[y] != label[x]:
+                    edges.append((x, y))
+                    label[label == label[y]] = label[x]
     return np.array([x for x, _ in edges], int), np.array([y for _, y in edges], int)

@@ -38,14 +38,25 @@ def key_of(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - KEY_BITS)
 
 
+def recurring_set(rows: DataFrame, extract: Extract, buckets: int, across: bool) -> DataFrame:
+    """The recurring keys, each once."""
+    packed = rows.mapInArrow(_packed(extract, buckets, across), "bucket int, body binary")
+    return materialize(packed.groupBy("bucket").applyInArrow(_recurring, "key long"), "recurring")
+
+
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys the filter lets through: all recurring ones, and some others."""
+    slot = _filter_slot(keys)
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
 def recurring_keys(texts: DataFrame, extract: Extract, across: bool) -> DataFrame:
     """``(d, keys array<long>)``: the recurring keys of each document of ``texts (d, _text)``.
 
     A key recurs if it occurs twice, or, with ``across``, in two documents.
     """
     size = texts.agg(F.coalesce(F.sum(F.length("_text")), F.lit(0))).first()[0]
-    packed = texts.mapInArrow(_packed(extract, size // BUCKET_TEXT + 1, across), "bucket int, body binary")
-    recurring = materialize(packed.groupBy("bucket").applyInArrow(_recurring, "key long"), "recurring")
+    recurring = recurring_set(texts, extract, size // BUCKET_TEXT + 1, across)
     shared = texts.sparkSession.sparkContext.broadcast(key_filter(recurring))
     rows = texts.mapInArrow(_passing(extract, shared), "key long, d long")
     return materialize(rows.join(small(recurring), "key").groupBy("d").agg(F.collect_set("key").alias("keys")), "document_keys")
@@ -138,8 +149,7 @@ def _passing(extract: Extract, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, doc in extract(batch):
-                slot = _filter_slot(key)
-                some = (shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+                some = passes(shared.value, key)
                 key, doc = key[some], doc[some]
                 order = np.lexsort((key, doc))
                 key, doc = key[order], doc[order]
