@@ -75,6 +75,13 @@ def _sigmoid(z: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
+def _few_rows(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: the features of many texts at once would be most of a worker's memory."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def sample_labels(labels: DataFrame, id_col: str, label_col: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """At most ``max_rows`` labelled ids, picked by the hash of the id; ids are unique.
 
@@ -96,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     sample = texts.join(picked, "_id")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_rows(batches):
             found = [sorted(features(t)) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"_id": batch.column("_id"), "_y": batch.column("_y"), "w": pa.array(found, pa.list_(pa.string()))})
 
