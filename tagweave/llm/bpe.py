@@ -19,10 +19,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import by_size, ragged_take
+from tagweave.llm.common import by_size, ragged_take, slices
 
 NONE = np.int32(2**31 - 1)  # rank of a pair that does not merge
-MAX_CACHE = 200_000  # pieces a worker remembers
+MAX_CACHE = 100_000  # pieces a worker remembers
 MATRIX_CELLS = 1 << 20
 LONG_PIECE = 256  # bytes from which a piece is merged with a heap, in n log n steps
 CHUNK_CHARS = 1 << 20  # characters that are split at a time
@@ -241,7 +241,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, shared.value, pattern)
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, counts = encoder.encode(batch.column(1).to_pylist())
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
@@ -267,7 +267,7 @@ def decode(df: DataFrame, id_col: str, ids_col: str, ranks_path: str) -> DataFra
             lens[rank] = len(token)
         flat = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
         starts = np.cumsum(np.maximum(lens, 0)) - np.maximum(lens, 0)
-        for batch in batches:
+        for batch in slices(batches, 1):
             decoded = []
             for tokens in batch.column(1):
                 tokens = tokens.values.to_numpy(zero_copy_only=False) if tokens.is_valid else np.zeros(0, np.int32)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +24,21 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.nd
     return flat[np.arange(ends[-1]) + shift]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``limit`` bytes of a string column, or of list items of four bytes.
+
+    What Python makes of a text is several times its size, so a worker holds a part at a time.
+    """
+    for batch in batches:
+        values = batch.column(column)
+        if pa.types.is_list(values.type):
+            sizes = pc.multiply(pc.list_value_length(values), 4)
+        else:
+            sizes = pc.binary_length(values)
+        for a, b in by_size(sizes.fill_null(0).to_pylist(), limit):
+            yield batch.slice(a, b - a)
+
+
 def by_size(sizes, limit: int):
     """Ranges of neighbouring items whose sizes add up to ``limit`` at most, or of one larger item."""
     start, total = 0, 0

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagweave.llm.common import by_size
+from tagweave.llm.common import by_size, slices
 from tagweave.llm.hashing import Words, anchors, mix, phrases, powers, starts_of
 from tagweave.llm.recurring import key_of, recurring_keys
 from tagweave.session import materialize
@@ -229,7 +229,7 @@ def compile_automata(wanted: dict[str, tuple[int, int, int, int]]) -> list[ahoco
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 3):
         sizes = [sum(len(p["phrase"]) for p in row.as_py() or ()) for row in batch.column("phrases")]
         for a, b in by_size(sizes, SHARD_CHARS):
             part = batch.slice(a, b - a).to_pylist()

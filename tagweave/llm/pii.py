@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.llm.common import slices
+
 # Order of kinds in results. The first four always report their confirmed spans.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
@@ -115,7 +117,7 @@ def find(df: DataFrame, text_col: str, out_col: str = "spans") -> DataFrame:
     kept = [c for c in df.columns if c != out_col or c == text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, len(kept)):
             spans = pa.array([find_spans(t) for t in batch.column("_text").to_pylist()], pa.list_(SPAN))
             columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, spans], names=[f"c{i}" for i in range(len(kept) + 1)])
@@ -144,7 +146,7 @@ def mask(df: DataFrame, text_col: str) -> DataFrame:
     columns, at = df.columns, df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             texts = batch.column(at).to_pylist()
             masked = pa.array([mask_text(t, find_spans(t)) for t in texts], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), masked)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.llm.common import slices
+
 MAX_ROWS = 20_000  # labelled rows that the model is fitted on
 MAX_FEATURES = 512  # words and beginnings with a weight, besides the identity terms
 MIN_DF = 8  # labelled rows that a feature must occur in
@@ -134,7 +136,7 @@ def _matrices(sample: DataFrame, chosen: list[str]) -> tuple[np.ndarray, np.ndar
     group_of = {t: g for g, members in IDENTITY.items() for t in members}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_rows(batches):
             bags, named = [], []
             for text in batch.column("_text").to_pylist():
                 text = (text or "").lower()
@@ -184,7 +186,7 @@ def score(df: DataFrame, text_col: str, model: Model, out_col: str = "score") ->
     kept = [c for c in df.columns if c != out_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, len(kept)):
             scores = pa.array([model.score(t) for t in batch.column("_text").to_pylist()], pa.float64())
             columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, scores], names=[f"c{i}" for i in range(len(kept) + 1)])
