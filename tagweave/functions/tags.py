@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,22 @@ def threshold_or_default(threshold: Column, default: float = fixed.TAG_SCORE_THR
     return F.coalesce(threshold.try_cast("double"), F.lit(default))
 
 
+def parse_list(text: str | None) -> list[str] | None:
+    """A JSON list of tags, or None for what is no list."""
+    try:
+        found = json.loads(text) if text else None
+    except ValueError:
+        return None
+    return [t if isinstance(t, str) else json.dumps(t) for t in found] if isinstance(found, list) else None
+
+
+def parse_number(text: str | None, default: float) -> float:
+    try:
+        return float(text) if text else default
+    except ValueError:
+        return default
+
+
 def encode_base64(content: Column) -> Column:
     """Base64 on one line, whatever the session says about chunking."""
     one_line = F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave import fixed_values as fixed
@@ -39,9 +39,10 @@ def tag_score_counts(results: DataFrame, n: int = 20) -> DataFrame:
     return counts.orderBy(F.desc("count"), "tag", F.desc("score")).limit(n)
 
 
-def tag_counts(results: DataFrame, n: int = 20) -> DataFrame:
+def tag_counts(results: DataFrame) -> DataFrame:
+    """How often each tag was selected, most frequent first; all tags."""
     counts = _tags(results).groupBy("tag").agg(F.count("*").alias("count"))
-    return counts.orderBy(F.desc("count"), "tag").limit(n)
+    return counts.orderBy(F.desc("count"), "tag")
 
 
 def tags_per_image(results: DataFrame) -> DataFrame:
@@ -76,12 +77,11 @@ def parse_metrics(results: DataFrame) -> DataFrame:
     return m.select("*", *rounded, F.col("m.gpu_utilization_pct")).drop("m")
 
 
+def vector_summary(emb: Column) -> list[Column]:
+    """Size, norm and sum of a vector, to check a decode by numbers."""
+    total = F.aggregate(emb, F.lit(0.0), lambda acc, x: acc + x)
+    return [F.size(emb).alias("dims"), F.round(V.l2_norm(emb), 6).alias("norm"), F.round(total, 6).alias("total")]
+
+
 def embedding_summary(results: DataFrame) -> DataFrame:
-    """Size, norm and sum of each stored vector, to check a decode by numbers."""
-    total = F.aggregate("emb", F.lit(0.0), lambda acc, x: acc + x)
-    return parse_embeddings(results).select(
-        "filename",
-        F.size("emb").alias("dims"),
-        F.round(V.l2_norm("emb"), 6).alias("norm"),
-        F.round(total, 6).alias("total"),
-    )
+    return parse_embeddings(results).select("filename", *vector_summary(F.col("emb")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -11,12 +12,21 @@ def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list column of equal lengths as an (n, d) float64 matrix; a null list is a zero row."""
+    """A list column of equal lengths as an (n, d) float64 matrix; a null list is a zero row.
+
+    Vectors of different widths and null elements are errors: reshaping would mix up the rows.
+    """
     column = plain(column)
     present = len(column) - column.null_count
     if present == 0:
         return np.zeros((len(column), 0))
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    widths = pc.min_max(pc.list_value_length(column)).as_py()
+    if widths["min"] != widths["max"]:
+        raise ValueError(f"vectors have {widths['min']} to {widths['max']} dimensions")
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("a vector has a null element")
+    values = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     values = values.reshape(present, -1)
     if present == len(column):
         return values

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.operators.arrow import list_column, plain, unit_rows
+from tagweave.operators.arrow import plain, unit_rows
 
 TEXT_DIMS = 64
 WORD_BREAK = "[ \t\n\r]+"
@@ -41,9 +43,12 @@ def dense_vectors(sparse: DataFrame, id_col: str, dims: int = TEXT_DIMS) -> Data
     return lists.select(id_col, full.alias("emb"))
 
 
-def image_encoder(load: Callable[[], Encoder]):
+def image_encoder(load: Callable[[], Encoder], placeholder: bytes | None = None):
     """Arrow UDF from image bytes to unit vectors.
 
+    Null or empty bytes give null, or the vector of ``placeholder`` if that is given, so that a
+    placeholder travels once and not with every row that lacks an image.
+
     ``load`` builds the model inside the worker, once per task and before its first batch, so
     the model itself is never pickled. The mark at the end keeps Spark from copying the call.
     """
@@ -52,14 +57,37 @@ def image_encoder(load: Callable[[], Encoder]):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for content in batches:
-            yield list_column(unit_rows(model(plain(content)))) if len(content) else list_column(np.zeros((0, 0)))
+            vectors = encode_content(model, content, placeholder)
+            yield pa.array([None if v is None else v.tolist() for v in vectors], pa.list_(pa.float64()))
 
     return encode.asNondeterministic()
 
 
-def encode_images(images: DataFrame, id_col: str, content: str, load: Callable[[], Encoder]) -> DataFrame:
+def encode_content(model: Encoder, content: pa.Array, placeholder: bytes | None = None) -> list[np.ndarray | None]:
+    """Unit vector of each image; None, or that of the placeholder, where the bytes are null or empty."""
+    content = plain(content).cast(pa.large_binary())
+    good = pc.fill_null(pc.greater(pc.binary_length(content), 0), False)
+    if placeholder is not None:
+        content = pc.if_else(good, content, pa.scalar(placeholder, pa.large_binary()))
+        good = pa.array([True] * len(content))
+    kept = content.filter(good)
+    vectors = iter(unit_rows(model(kept)) if len(kept) else ())
+    return [next(vectors) if ok else None for ok in good.to_pylist()]
+
+
+def strict_base64(text: str | None) -> bytes | None:
+    """Decoded bytes, or None for text that is null or no valid base64."""
+    try:
+        return None if text is None else base64.b64decode(text, validate=True)
+    except ValueError:
+        return None
+
+
+def encode_images(
+    images: DataFrame, id_col: str, content: str, load: Callable[[], Encoder], placeholder: bytes | None = None
+) -> DataFrame:
     """Run a model over image bytes: ``(id, emb)``."""
-    return images.select(id_col, image_encoder(load)(F.col(content)).alias("emb"))
+    return images.select(id_col, image_encoder(load, placeholder)(F.col(content)).alias("emb"))
 
 
 def byte_histogram(dims: int = 64) -> Callable[[], Encoder]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -13,11 +11,12 @@ from tagweave.functions import vectors as V
 from tagweave.operators.arrow import matrix
 from tagweave.operators.skew import join_summary
 
-# One side of a block product: at most this many bytes, and no smaller than MIN_BLOCK_ROWS just to
-# occupy the cores. Every row is sent to as many block pairs as there are blocks, so large blocks
-# save shuffle.
-BLOCK_BYTES = 128 * 1024 * 1024
-MIN_BLOCK_ROWS = 256
+# One side of a block product has this many bytes at most. Every row is sent to as many block
+# pairs as there are blocks, so large blocks save shuffle. Nothing here depends on the cluster.
+BLOCK_BYTES = 32 * 1024 * 1024
+# A product's last bits depend on the shape of its block, so similarities are rounded before
+# they are compared, and equal ones are decided by id.
+SIMILARITY_PLACES = 12
 # Rows of a block multiplied at a time, so that the similarities stay a small part of the memory.
 PRODUCT_ROWS = 256
 
@@ -37,6 +36,12 @@ def similar_images(images: DataFrame, query_id, id_col: str, k: int = 10) -> Dat
     return best.withColumn("rank", rank)
 
 
+def similar_results(results: DataFrame, filename: str, k: int = 10) -> DataFrame:
+    """The ``k`` stored results most like the one of ``filename``: ``(filename, similarity, rank)``."""
+    rows = results.select("filename", F.from_json("embedding_json", "array<double>").alias("emb"))
+    return similar_images(rows, filename, "filename", k)
+
+
 def _block_best(left: pa.Table, right: pa.Table) -> pa.Table:
     """Best right row for each left row of one block pair; the lowest id wins a tie."""
     names = ["id", "best_sim", "best_id"]
@@ -49,7 +54,8 @@ def _block_best(left: pa.Table, right: pa.Table) -> pa.Table:
     best_sim, best_id = np.empty(len(images)), np.empty(len(images), dtype=np.int64)
     for start in range(0, len(images), PRODUCT_ROWS):
         part = slice(start, start + PRODUCT_ROWS)
-        sims = images[part] @ texts.T
+        sims = np.round(images[part] @ texts.T, SIMILARITY_PLACES)
+        sims[np.isnan(sims)] = -np.inf
         top = sims.argmax(axis=1)
         best_sim[part] = sims[np.arange(len(top)), top]
         best_id[part] = ids[top]
@@ -57,12 +63,10 @@ def _block_best(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names)
 
 
-def _block_count(n: Column, dims: int, cores: int, block_rows: int | None) -> Column:
+def _block_count(n: Column, dims: int, block_rows: int | None) -> Column:
     if block_rows:
         return F.ceil(n / F.lit(block_rows))
-    by_memory = F.ceil(n * F.lit(8 * dims) / F.lit(BLOCK_BYTES))
-    by_cores = F.least(F.ceil(n / F.lit(MIN_BLOCK_ROWS)), F.lit(math.isqrt(cores - 1) + 1).cast("long"))
-    return F.greatest(by_memory, by_cores)
+    return F.greatest(F.ceil(n * F.lit(8 * dims) / F.lit(BLOCK_BYTES)), F.lit(1).cast("long"))
 
 
 def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
@@ -72,20 +76,23 @@ def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = No
     every block pair is one matrix product, so the memory of a task depends on the block size
     alone and a group that holds most rows is spread over many tasks. Only one row per image
     and block leaves a task.
+
+    Similarities are compared at 12 decimal places and the lowest id wins a tie, so the result
+    does not depend on the blocks. A null text is no candidate; a null image, or one in a group
+    without texts, has no row here.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
     # One row tells the width; an aggregate over sizes would read every vector.
     first = rows.where("img IS NOT NULL").select(F.size("img").alias("d")).first()
     sizes = rows.groupBy(*groups).agg(F.count("*").alias("_n"))
-    blocks = _block_count(F.col("_n"), first["d"] if first else 1, cores, block_rows).cast("int")
+    blocks = _block_count(F.col("_n"), first["d"] if first else 1, block_rows).cast("int")
     sizes = sizes.select(*groups, blocks.alias("_blocks"))
     keyed = join_summary(rows, sizes, groups)
     own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    images = keyed.select(*groups, "id", "img", own.alias("_r"), every.alias("_c"))
+    images = keyed.where("img IS NOT NULL").select(*groups, "id", "img", own.alias("_r"), every.alias("_c"))
     # Aliases, so that the two sides of the same rows do not share column ids.
     renewed = [F.col(c).alias(c) for c in [*groups, "id", "txt"]]
-    texts = keyed.select(*renewed, own.alias("_c"), every.alias("_r"))
+    texts = keyed.where("txt IS NOT NULL").select(*renewed, own.alias("_c"), every.alias("_r"))
     keys = [*groups, "_r", "_c"]
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
@@ -107,10 +114,13 @@ def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = No
 
 
 def recall_at_1(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
-    """Share of images whose nearest text is their own, per group."""
+    """Share of images whose nearest text is their own, per group; a null image is a miss."""
     nearest = nearest_text(rows.select(*groups, "id", "img", "txt"), groups, block_rows)
-    hit = (F.col("best_id") == F.col("id")).cast("double")
-    return nearest.groupBy(*groups).agg(F.avg(hit).alias("recall_at_1"), F.count("*").alias("n_images"))
+    hits = nearest.groupBy(*groups).agg(F.count_if(F.col("best_id") == F.col("id")).alias("_hits"))
+    sizes = rows.groupBy(*groups).agg(F.count("*").alias("n_images"))
+    joined = sizes.join(hits, groups, "left")
+    share = F.coalesce("_hits", F.lit(0)).cast("double") / F.col("n_images")
+    return joined.select(*groups, share.alias("recall_at_1"), "n_images")
 
 
 def _pos_beats_neg() -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +16,7 @@ from tagweave import fixed_values as fixed
 from tagweave.functions import tags as T
 from tagweave.functions import vectors as V
 from tagweave.operators.arrow import list_column, matrix, plain
-from tagweave.operators.encoders import Encoder, image_encoder
+from tagweave.operators.encoders import Encoder, encode_content, image_encoder, strict_base64
 from tagweave.operators.skew import skew_join
 from tagweave.session import materialize
 from tagweave.sources.tables import check_columns
@@ -54,9 +56,8 @@ def mean_vectors(rows: DataFrame, key: str, embedding: str) -> DataFrame:
     return vectors.select(F.col("key").alias(key), V.l2_normalize(F.col("cells")["x"]).alias("emb"))
 
 
-def _tag_rows(tags: DataFrame) -> list | None:
-    """The tag table on the driver if its measured size is within the bounds, else None."""
-    return tags.select("tag", "emb").orderBy("pos").collect() if _is_small(tags) else None
+def _tag_rows(tags: DataFrame) -> list:
+    return tags.select("tag", "emb").orderBy("pos").collect()
 
 
 def _is_small(tags: DataFrame) -> bool:
@@ -64,6 +65,11 @@ def _is_small(tags: DataFrame) -> bool:
     return measured["n"] <= TAG_MATRIX_ROWS and measured["n"] * measured["d"] * 8 <= TAG_MATRIX_BYTES
 
 
+def _all_tags(tags: DataFrame) -> Column:
+    """The default candidates as a scalar subquery: no list of literals enters the plan."""
+    return tags.agg(F.array_sort(F.collect_list(F.struct("pos", "tag")))["tag"].alias("t")).scalar()
+
+
 def tag_scorer(names: list[str], vectors: np.ndarray, default: list[str], logits: V.Logits):
     """Arrow UDF ``(embedding, candidates) -> scores``, aligned with the candidates.
 
@@ -102,68 +108,66 @@ def score_candidates(
     images: DataFrame,
     tags: DataFrame,
     candidates: Column,
-    default_tags: list[str],
-    id_col: str,
+    default_tags: list[str] | None = None,
     logits: V.Logits = V.Logits(),
+    by_join: bool | None = None,
 ) -> DataFrame:
     """Add ``ranked``: the row's candidates, or the default ones, with rounded scores, best first.
 
-    ``images`` has ``emb``, ``tags`` is ``(tag, pos, emb)``, and ``candidates`` is a list or null. A
-    small tag table becomes a matrix in every task. A large one is joined on the tag instead,
-    with hot tags salted.
+    ``images`` has ``emb``, ``tags`` is ``(tag, pos, emb)``, and ``candidates`` is a list or null. Without
+    ``default_tags`` all tags are the default. A small tag table becomes a matrix in every task; a
+    large one, or any with ``by_join``, is joined on the tag instead, with hot tags salted. Both give
+    each row its own scores, whether or not ids repeat.
     """
+    given = F.array(*[F.lit(t) for t in default_tags]).cast("array<string>") if default_tags is not None else _all_tags(tags)
+    asked = images.withColumn("_asked", candidates).withColumn("_default", given)
+    listed = F.coalesce("_asked", "_default")
+    if by_join or (by_join is None and not _is_small(tags)):
+        return _score_by_join(asked.withColumn("_asked", listed).drop("_default"), tags, logits)
     rows = _tag_rows(tags)
-    asked = images.withColumn("_asked", candidates)
-    listed = F.coalesce("_asked", F.array(*[F.lit(t) for t in default_tags]).cast("array<string>"))
-    if not rows:
-        by_join = _score_by_join(asked.withColumn("_asked", listed), tags, "_asked", id_col, logits)
-        return by_join.drop("_asked")
-    vectors = np.array([r["emb"] for r in rows], dtype=np.float64)
-    score = tag_scorer([r["tag"] for r in rows], vectors, default_tags, logits)
+    names = [r["tag"] for r in rows]
+    vectors = np.array([r["emb"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
+    score = tag_scorer(names, vectors, names if default_tags is None else default_tags, logits)
     scored = asked.withColumn("_scores", score(F.col("emb"), F.col("_asked")))
-    return scored.withColumn("ranked", T.rank_tags(listed, F.col("_scores"))).drop("_scores", "_asked")
+    return scored.withColumn("ranked", T.rank_tags(listed, F.col("_scores"))).drop("_scores", "_asked", "_default")
 
 
-def _score_by_join(
-    images: DataFrame, tags: DataFrame, candidates: str, id_col: str, logits: V.Logits
-) -> DataFrame:
-    asked = images.select(id_col, "emb", F.posexplode(candidates).alias("cand_pos", "tag"))
+def _score_by_join(asked: DataFrame, tags: DataFrame, logits: V.Logits) -> DataFrame:
+    """Rows get a key of their own, written with them, so that repeated ids stay apart."""
+    rows = materialize(asked.withColumn("_row", F.monotonically_increasing_id()), "asked")
+    cells = rows.select("_row", "emb", F.posexplode("_asked").alias("cand_pos", "tag"))
     vectors = tags.select("tag", F.col("emb").alias("tag_emb"))
-    pairs = skew_join(asked, vectors, ["tag"], how="left", spread_by=[id_col, "cand_pos"])
+    pairs = skew_join(cells, vectors, ["tag"], how="left", spread_by=["_row", "cand_pos"])
     score = V.sigmoid(V.logit(V.dot("emb", "tag_emb"), logits))
-    lists = pairs.select(id_col, "cand_pos", "tag", score.alias("score")).groupBy(id_col).agg(
+    lists = pairs.select("_row", "cand_pos", "tag", score.alias("score")).groupBy("_row").agg(
         F.array_sort(F.collect_list(F.struct("cand_pos", "tag", "score"))).alias("_cells")
     )
-    joined = images.join(lists, id_col, "left")
-    cells = F.col("_cells")
-    ranked = T.rank_tags(cells["tag"], cells["score"])
-    return joined.withColumn("ranked", F.coalesce(ranked, F.array().cast(fixed.TAGS_DDL))).drop("_cells")
+    joined = rows.join(lists, "_row", "left")
+    ranked = T.rank_tags(F.col("_cells")["tag"], F.col("_cells")["score"])
+    none = F.array().cast(fixed.TAGS_DDL)
+    return joined.withColumn("ranked", F.coalesce(ranked, none)).drop("_cells", "_row", "_asked")
 
 
 def tag_images(
     images: DataFrame,
     tags: DataFrame,
-    id_col: str,
     candidates_json: str | None = None,
     threshold: str | None = None,
     default_tags: list[str] | None = None,
     logits: V.Logits = V.Logits(),
+    by_join: bool | None = None,
 ) -> DataFrame:
     """Add ``ranked`` (all candidates with scores) and ``selected`` (those that pass).
 
     ``candidates_json`` and ``threshold`` name columns that override the defaults row by row.
-    The default candidates are the tags of ``tags`` in ``pos`` order. As every row would carry
-    that list, a tag table over the bound must come with ``default_tags``.
+    The default candidates are the tags of ``tags`` in ``pos`` order.
     """
-    if default_tags is None:
-        rows = tags.select("tag", "pos").orderBy("pos").limit(TAG_MATRIX_ROWS + 1).collect()
-        if len(rows) > TAG_MATRIX_ROWS:
-            raise ValueError("too many tags to be everyone's default: pass default_tags")
-        default_tags = [r["tag"] for r in rows]
     asked = F.from_json(F.col(candidates_json), "array<string>") if candidates_json else F.lit(None).cast("array<string>")
     limit = F.col(threshold) if threshold else F.lit(None).cast("string")
-    rows = score_candidates(images, tags, asked, default_tags, id_col, logits)
-    return rows.withColumn("selected", T.select_tags(F.col("ranked"), T.threshold_or_default(limit)))
+    rows = score_candidates(images, tags, asked, default_tags, logits, by_join)
+    selected = T.select_tags(F.col("ranked"), T.threshold_or_default(limit))
+    # An image without a vector has no best tags either.
+    return rows.withColumn("selected", F.when(F.col("emb").isNull(), F.array().cast(fixed.TAGS_DDL)).otherwise(selected))
 
 
 def batch_infer(tagged: DataFrame, filename: Column) -> DataFrame:
@@ -184,16 +188,18 @@ def predict(
     default_tags: list[str] | None = None,
     logits: V.Logits = V.Logits(),
 ) -> DataFrame:
-    """Answer requests that carry image bytes: ``(filename, prediction)``, one row per request.
+    """Answer requests that carry image bytes: ``(filename, prediction, load_ok)``, one row per request.
 
-    Candidates and threshold may be given per request; their columns may also be absent.
+    Candidates and threshold may be given per request; their columns may also be absent. Bytes that
+    are null, empty or no valid base64 give a null embedding, null scores, no tags and ``load_ok`` false.
     """
     rows = check_columns(requests, REQUEST_COLUMNS, OPTIONAL_REQUEST_COLUMNS)
-    rows = rows.withColumn("emb", image_encoder(load)(F.unbase64("image_base64")))
+    rows = rows.withColumn("emb", image_encoder(load)(F.try_to_binary("image_base64", F.lit("base64"))))
     tagged = tag_images(
-        rows, tags, id_col, "tag_candidates_json", "tag_score_threshold", default_tags=default_tags, logits=logits
+        rows, tags, "tag_candidates_json", "tag_score_threshold", default_tags=default_tags, logits=logits
     )
-    return batch_infer(tagged, F.col(id_col))
+    response = T.encode_response(F.col("selected"), F.col("ranked"), F.col("emb"))
+    return tagged.select(F.col(id_col).alias("filename"), response.alias("prediction"), F.col("emb").isNotNull().alias("load_ok"))
 
 
 def create_inference_view(
@@ -216,15 +222,65 @@ def create_inference_view(
 
 
 def register_tag_scores(spark: SparkSession, tags: DataFrame, name: str, logits: V.Logits = V.Logits()) -> None:
-    """Make the scorer callable from SQL as ``name(embedding, candidates)``; null means all tags."""
+    """Make the scorer callable from SQL as ``name(embedding, candidates)``; null means all tags.
+
+    A SQL function cannot join, so the tag table must fit a worker; use score_candidates else.
+    """
     rows = _tag_rows(tags)
-    if rows is None:
-        raise ValueError("the tag table is too large for a SQL function; use score_candidates")
     vectors = np.array([r["emb"] for r in rows], dtype=np.float64)
     names = [r["tag"] for r in rows]
     spark.udf.register(name, tag_scorer(names, vectors, names, logits))
 
 
+RESPONSE_DDL = "struct<tags_json:string,embedding:string,metrics_json:string>"
+
+
+def register_tagger(
+    spark: SparkSession, tags: DataFrame, name: str, load: Callable[[], Encoder], logits: V.Logits = V.Logits()
+) -> None:
+    """Make the tagger callable from SQL as ``name(image_base64, tag_candidates_json, tag_score_threshold)``.
+
+    It returns the response struct as :func:`predict` does; a null override stands for the default, and an
+    image that cannot be decoded has a null embedding and no tags. The elapsed time is that of its batch,
+    per image. A SQL function cannot join, so the tag table must fit a worker; use predict else.
+    """
+    rows = _tag_rows(tags)
+    names, vectors = [r["tag"] for r in rows], np.array([r["emb"] for r in rows], dtype=np.float64)
+    place = {t: i for i, t in enumerate(names)}
+
+    def respond(emb: np.ndarray | None, listed: str | None, limit: str | None, ms: float) -> dict:
+        asked = T.parse_list(listed)
+        asked = names if asked is None else asked
+        if emb is None:
+            scores = [None] * len(asked)
+        else:
+            all_ = np.floor(1e4 / (1.0 + np.exp(-(logits.scale * (vectors @ emb) + logits.bias))) + 0.5) / 1e4
+            scores = [float(all_[place[t]]) if t in place else None for t in asked]
+        ranked = sorted(zip(asked, scores), key=lambda p: (p[1] is None, -(p[1] or 0.0)))
+        cut = T.parse_number(limit, fixed.TAG_SCORE_THRESHOLD)
+        passing = [p for p in ranked if p[1] is not None and p[1] >= cut] or ranked[: fixed.FALLBACK_TAGS]
+        pairs = lambda some: [{"tag": t} | ({} if s is None else {"score": s}) for t, s in some]
+        metrics = {"inference_time_ms": round(ms, 1), **dict.fromkeys(("gpu_memory_allocated_mb", "gpu_memory_peak_mb", "gpu_utilization_pct"))}
+        return {
+            "tags_json": json.dumps({"tags": pairs(passing if emb is not None else []), "all_scores": pairs(ranked)}, ensure_ascii=False),
+            "embedding": None if emb is None else json.dumps(emb.tolist()),
+            "metrics_json": json.dumps(metrics),
+        }
+
+    @F.arrow_udf(RESPONSE_DDL)
+    def tagger(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        model = load()
+        kind = pa.struct([(f, pa.string()) for f in ("tags_json", "embedding", "metrics_json")])
+        for image, listed, limit in batches:
+            began = time.perf_counter()
+            vectors_of = encode_content(model, pa.array([strict_base64(b) for b in plain(image).to_pylist()], pa.binary()))
+            ms = 1000 * (time.perf_counter() - began) / max(1, len(vectors_of))
+            answers = [respond(v, a, t, ms) for v, a, t in zip(vectors_of, plain(listed).to_pylist(), plain(limit).to_pylist())]
+            yield pa.array(answers, kind)
+
+    spark.udf.register(name, tagger.asNondeterministic())
+
+
 def pair_scores(triplets: DataFrame, logits: V.Logits = V.Logits()) -> DataFrame:
     """Score of the right and of the wrong text for each image, and whether the right one wins."""
     scored = triplets.select(

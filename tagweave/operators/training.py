@@ -17,7 +17,6 @@ from tagweave.operators.pairs import assign_batches
 from tagweave.operators.retrieval import evaluate
 from tagweave.session import materialize
 
-MAX_HEAD_DIMS = 4096
 MAX_STEP_FOLDERS = 64
 
 
@@ -222,6 +221,11 @@ def apply_heads(rows: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
     return rows.withColumns({"img": by_image("img"), "txt": by_text("txt"), "neg": by_text("neg")})
 
 
+def identity_heads(rows: DataFrame) -> dict[str, np.ndarray]:
+    dims = rows.where("img IS NOT NULL").select(F.size("img").alias("d")).first()["d"]
+    return {name: np.eye(dims) for name in HEADS}
+
+
 def fit_heads(
     rows: DataFrame,
     epochs: int = fixed.NUM_EPOCHS,
@@ -245,10 +249,7 @@ def fit_heads(
     n_batches = -(-train.count() // batch_size)
     if n_batches == 0:
         raise ValueError("no rows in the train split")
-    dims = train.where("img IS NOT NULL").select(F.size("img").alias("d")).first()["d"]
-    if dims > MAX_HEAD_DIMS:
-        raise ValueError(f"vectors of {dims} dimensions exceed {MAX_HEAD_DIMS}: the driver holds two d x d heads")
-    weights = {name: np.eye(dims) for name in HEADS}
+    weights = identity_heads(train)
     optimiser = AdamW(rate=rate)
     steps = n_batches if steps_per_epoch is None else min(steps_per_epoch, n_batches)
     log = []

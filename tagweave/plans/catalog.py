@@ -25,7 +25,8 @@ SAMPLE_SIZE = 100
 FIRST_IMAGES = 100
 TRAINABLE_PARTS = ["en_model.src1", "fr_model.src"]
 RUN_ID = "run-1"
-FIT_EPOCHS = 2
+FIT_EPOCHS = fixed.NUM_EPOCHS
+# Steps of an epoch; each takes the mean gradient of its batches.
 FIT_STEPS = 4
 
 
@@ -66,8 +67,8 @@ def scan_split(spark: SparkSession, d: str) -> DataFrame:
 
 def scan_results(spark: SparkSession, d: str) -> DataFrame:
     results = inputs.stored_results(spark, d)
-    tags = results.select("filename", F.size(F.from_json("tags", fixed.TAGS_DDL)).alias("num_tags"))
-    return tags.join(analytics.embedding_summary(results), "filename")
+    num_tags = F.size(F.from_json("tags", fixed.TAGS_DDL)).alias("num_tags")
+    return results.select("filename", num_tags, *analytics.vector_summary(F.from_json("embedding_json", "array<double>")))
 
 
 def typed_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -82,13 +83,14 @@ def build_requests(spark: SparkSession, d: str) -> DataFrame:
 
 def load_with_placeholder(spark: SparkSession, d: str) -> DataFrame:
     first = inputs.captions(spark, d).groupBy("image_id").agg(F.min_by("caption", "cap_no").alias("caption"))
-    ok = inputs.outcomes(spark, d).where("ok")
-    files = ok.join(first, "image_id").select(
+    outcomes = materialize(inputs.outcomes(spark, d), "outcomes")
+    files = outcomes.where("ok").join(first, "image_id").select(
         F.col("path_or_err").alias("path"), F.col("caption").cast("binary").alias("content")
     )
-    paths = pairs.image_paths(inputs.outcomes(spark, d), inputs.images(spark, d), inputs.IMAGE_ROOT)
+    paths = pairs.image_paths(outcomes, inputs.images(spark, d), inputs.IMAGE_ROOT)
     loaded = image_source.load_with_placeholder(paths, files)
-    return loaded.select("image_id", "load_ok", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    size = F.coalesce(F.octet_length("content"), F.lit(len(image_source.placeholder())))
+    return loaded.select("image_id", "load_ok", size.cast("bigint").alias("n_bytes"))
 
 
 def resume_ingest(spark: SparkSession, d: str) -> DataFrame:
@@ -137,8 +139,7 @@ def register_head(spark: SparkSession, d: str) -> DataFrame:
     weights = training.weight_rows(spark, _fitted(spark, d)[0])
     registered = runs.register_head(weights, inputs.model_versions(spark, d), "READY", RUN_ID)
     stored = materialize(registered, "heads", ["version"])
-    norm = _r(V.l2_norm("weights")).alias("norm")
-    return stored.select("version", "status", "run_id", "head", "row", F.size("weights").alias("dims"), norm)
+    return stored.select("version", "status", "run_id", "head", "row", F.size("weights").alias("dims"))
 
 
 def row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -287,9 +288,7 @@ def tag_overrides(spark: SparkSession, d: str) -> DataFrame:
         required={"emb": "array<double>"},
         optional={"tag_candidates_json": "string", "tag_score_threshold": "string"},
     )
-    tagged = scoring.tag_images(
-        asked, inputs.tag_table(spark, d), "image_id", "tag_candidates_json", "tag_score_threshold"
-    )
+    tagged = scoring.tag_images(asked, inputs.tag_table(spark, d), "tag_candidates_json", "tag_score_threshold")
     return _ranked_rows(tagged, "image_id", "selected")
 
 
@@ -298,10 +297,55 @@ def tag_custom_candidates(spark: SparkSession, d: str) -> DataFrame:
         *[F.concat(F.lit("tag_"), F.pmod(F.col("label") + i, F.lit(10)).cast("string")) for i in (0, 3, 6, 9)]
     )
     asked = inputs.image_vectors(spark, d).withColumn("wanted", F.to_json(names))
-    tagged = scoring.tag_images(asked, inputs.tag_table(spark, d), "image_id", "wanted")
+    tagged = scoring.tag_images(asked, inputs.tag_table(spark, d), "wanted")
     return _ranked_rows(tagged, "image_id", "ranked")
 
 
+def tag_many_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Each image asks for three of the documents' tags, one tag per document, through the join."""
+    docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    emb = encoders.dense_vectors(encoders.encode_texts(docs, "doc_id", "text"), "doc_id")
+    tag = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))
+    tags = materialize(emb.select(tag.alias("tag"), F.col("doc_id").alias("pos"), "emb"), "document_tags")
+    n = inputs.table(spark, d, "documents").agg(F.max("doc_id") + 1).scalar()
+    images = inputs.image_vectors(spark, d).withColumn("_n", n)
+    names = [F.concat(F.lit("doc_"), F.pmod(F.col("image_id") * 7 + i, F.col("_n")).cast("string")) for i in (0, 31, 77)]
+    asked = images.select("image_id", "emb", F.to_json(F.array(*names, F.lit("doc_none"))).alias("wanted"))
+    return _ranked_rows(scoring.tag_images(asked, tags, "wanted", by_join=True), "image_id", "ranked")
+
+
+def tag_image_files(spark: SparkSession, d: str) -> DataFrame:
+    """From listed files to tags. Spark's sinks name their files, so the listing is made of the documents.
+
+    A document's bytes are a file's content, its id gives the extension, and every eleventh file is
+    empty: it is flagged and gets no tags. Files of other kinds are left out by the same rule as in a scan.
+    """
+    kinds = F.array(*[F.lit(k) for k in ("jpg", "PNG", "txt", "JpEg", "mp4")])
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit("."), F.get(kinds, F.pmod("doc_id", F.lit(5)).cast("int")))
+    content = F.when(F.pmod("doc_id", F.lit(11)) != 0, F.col("text")).otherwise(F.lit("")).cast("binary")
+    docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    files = docs.select(name.alias("filename"), content.alias("content"))
+    images = files.where(image_source.has_extension(F.col("filename"), fixed.IMAGE_EXTENSIONS))
+    answers = scoring.predict(image_source.build_requests(images, None), inputs.tag_table(spark, d), encoders.byte_histogram(), "filename")
+    tags = F.from_json(F.get_json_object("prediction.tags_json", "$.tags"), fixed.TAGS_DDL)
+    rows = answers.select("filename", "load_ok", F.posexplode_outer(tags).alias("pos", "t"))
+    return rows.select("filename", "load_ok", "pos", "t.tag", "t.score")
+
+
+def batch_infer_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The tagger as a SQL function over requests; it returns the response struct."""
+    docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text", "lang"), "doc_id")
+    limit = F.when(F.col("lang") == "en", "0.5").when(F.col("lang") == "de", "bad")
+    asked = docs.select("doc_id", T.encode_base64(F.col("text").cast("binary")).alias("image_base64"), limit.alias("tag_score_threshold"))
+    asked.createOrReplaceTempView("tagger_requests")
+    scoring.register_tagger(spark, inputs.tag_table(spark, d), "tag_image", encoders.byte_histogram())
+    answers = spark.sql(
+        "SELECT doc_id AS filename, tag_image(image_base64, CAST(NULL AS STRING), tag_score_threshold) AS prediction FROM tagger_requests"
+    )
+    tags = F.from_json(F.get_json_object("prediction.tags_json", "$.tags"), fixed.TAGS_DDL)
+    return _ranked_rows(answers.select("filename", tags.alias("tags")), "filename", "tags")
+
+
 def _decoded(rows: DataFrame) -> DataFrame:
     return rows.select(
         "filename",
@@ -341,11 +385,9 @@ def predict_requests(spark: SparkSession, d: str) -> DataFrame:
 
 def encode_response(spark: SparkSession, d: str) -> DataFrame:
     rows = _decoded(inputs.responses(spark, d))
-    both = [
-        rows.select("filename", F.lit(kind).alias("kind"), F.posexplode(kind).alias("pos", "t"))
-        for kind in ("tags", "all_scores")
-    ]
-    return both[0].unionByName(both[1]).select("filename", "kind", "pos", "t.tag", "t.score")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("list")) for k in ("tags", "all_scores")])
+    rows = rows.select("filename", F.inline(kinds)).select("filename", "kind", F.posexplode("list").alias("pos", "t"))
+    return rows.select("filename", "kind", "pos", "t.tag", "t.score")
 
 
 def flatten_results(spark: SparkSession, d: str) -> DataFrame:
@@ -355,12 +397,9 @@ def flatten_results(spark: SparkSession, d: str) -> DataFrame:
 
 
 def response_preview(spark: SparkSession, d: str) -> DataFrame:
-    """The preview through temp views and SQL, with its JSON decoded so that numbers compare."""
+    """The preview of a temp view, with its JSON decoded so that numbers compare."""
     inputs.responses(spark, d).createOrReplaceTempView("inference_results")
-    preview = spark.sql(
-        "SELECT filename, prediction.tags_json, prediction.metrics_json, "
-        "LEFT(prediction.embedding, 80) AS embedding_preview FROM inference_results ORDER BY filename LIMIT 10"
-    )
+    preview = analytics.response_preview(spark.table("inference_results"))
     first = F.regexp_extract("embedding_preview", r"^\[([^,]+),", 1).cast("double")
     tags = F.from_json(F.get_json_object("tags_json", "$.tags"), fixed.TAGS_DDL)
     return preview.select(
@@ -410,6 +449,11 @@ def similar_images(spark: SparkSession, d: str) -> DataFrame:
     return best.withColumn("similarity", _r("similarity"))
 
 
+def similar_results(spark: SparkSession, d: str) -> DataFrame:
+    best = retrieval.similar_results(inputs.stored_results(spark, d), "IMG_3.jpg")
+    return best.withColumn("similarity", _r("similarity"))
+
+
 # --- evaluation and runs ----------------------------------------------------------------------
 
 
@@ -418,6 +462,14 @@ def recall_at_1(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.recall_at_1(rows, ["split"]).withColumn("recall_at_1", _r("recall_at_1"))
 
 
+def recall_at_1_copies(spark: SparkSession, d: str) -> DataFrame:
+    """The mean of its label as the text of each image: equal texts, of which the lowest id wins."""
+    means = inputs.tag_table(spark, d).select(F.col("pos").alias("label"), F.col("emb").alias("txt"))
+    rows = inputs.image_vectors(spark, d).join(F.broadcast(means), "label")  # one row per label
+    rows = rows.select(F.lit("all").alias("split"), F.col("image_id").alias("id"), F.col("emb").alias("img"), "txt")
+    return retrieval.recall_at_1(rows, ["split"]).withColumn("recall_at_1", _r("recall_at_1"))
+
+
 def triplet_accuracy(spark: SparkSession, d: str) -> DataFrame:
     rows = inputs.baseline_rows(spark, d)
     return retrieval.triplet_accuracy(rows, ["split"]).withColumn("triplet_accuracy", _r("triplet_accuracy"))
@@ -491,6 +543,16 @@ def _fitted(spark: SparkSession, d: str) -> tuple:
     return _FITTED[key]
 
 
+def head_gradient(spark: SparkSession, d: str) -> DataFrame:
+    """Loss and both gradient sums at identity heads, over all train batches, one row per cell."""
+    rows = inputs.baseline_rows(spark, d).where("split = 'train'").select("split", "id", "img", "txt")
+    packed = training.pack_batches(pairs.assign_batches(rows, ["split"], "id"), ["split"]).select("n", "img", "txt")
+    total, _, gradients = training.summed_gradients(packed, training.identity_heads(rows), V.Logits())
+    cells = training.weight_rows(spark, gradients).select("head", "row", F.posexplode("weights").alias("col", "value"))
+    loss = spark.createDataFrame([("loss", 0, 0, total)], "head string, row int, col int, value double")
+    return cells.unionByName(loss).withColumn("value", _r("value"))
+
+
 def fit_heads(spark: SparkSession, d: str) -> DataFrame:
     return training.log_frame(spark, _fitted(spark, d)[1])
 
@@ -503,10 +565,10 @@ QUERIES: dict[str, Query] = {
         captions_by_image, caption_totals, eligible_images, sample_images, image_paths, captions_of_loaded,
         sample_negatives, assign_split, split_counts, split_counts_wide, pair_preview, distinct_categories,
         l2_normalize, dot_product, cosine_similarity, pair_scores, base64_roundtrip, encode_texts, pluggable_encoder,
-        tag_prompts, tag_images, rank_tags, select_tags, tag_overrides, tag_custom_candidates, batch_infer,
-        predict_requests, encode_response, flatten_results, response_preview, top_scores_per_image, tag_score_counts, tag_counts,
-        tags_per_image, parse_embeddings, embedding_dims, parse_metrics, first_n_images, similar_images, recall_at_1,
+        tag_prompts, tag_images, rank_tags, select_tags, tag_overrides, tag_custom_candidates, tag_many_candidates, batch_infer,
+        batch_infer_sql, tag_image_files, predict_requests, encode_response, flatten_results, response_preview, top_scores_per_image, tag_score_counts, tag_counts,
+        tags_per_image, parse_embeddings, embedding_dims, parse_metrics, first_n_images, similar_images, similar_results, recall_at_1, recall_at_1_copies,
         triplet_accuracy, evaluate_splits, metric_delta, best_epoch, running_best, trainable_share, latest_version,
-        recent_versions, assign_batches, contrastive_loss, epoch_loss, fit_heads,
+        recent_versions, assign_batches, contrastive_loss, epoch_loss, head_gradient, fit_heads,
     )
 }

@@ -173,7 +173,7 @@ def tag_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tagged_images(spark: SparkSession, d: str) -> DataFrame:
-    return scoring.tag_images(image_vectors(spark, d), tag_table(spark, d), "image_id")
+    return scoring.tag_images(image_vectors(spark, d), tag_table(spark, d))
 
 
 def requests(spark: SparkSession, d: str) -> DataFrame:

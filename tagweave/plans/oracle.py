@@ -9,6 +9,7 @@ import json
 
 from tagweave import fixed_values as fixed
 from tagweave.plans import catalog
+from tagweave.sources import images
 
 SCALE, BIAS = "10.0", "2.5"
 
@@ -233,6 +234,53 @@ def _custom_sql() -> str:
     )
 
 
+_COUNTS = (
+    "words AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS word FROM documents), "
+    "counts AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 64 AS INTEGER) AS bucket, "
+    "count(*) AS n FROM words WHERE word <> '' GROUP BY ALL)"
+)
+
+
+def _many_sql() -> str:
+    return (
+        f"WITH {_COUNTS}, vec AS ({CTES['vec'][1]}), norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY 1), "
+        "asked AS (SELECT image_id, e, (image_id * 7 + i) % (SELECT max(doc_id) + 1 FROM documents) AS doc_id, p FROM "
+        "(SELECT image_id, e, unnest([0, 31, 77]) AS i, unnest([0, 1, 2]) AS p FROM vec)), "
+        "scored AS (SELECT image_id, p, 'doc_' || a.doc_id AS tag, round("
+        + _sigmoid(f"{SCALE} * sum(c.n * a.e[c.bucket + 1]) / any_value(norm) - {BIAS}")
+        + f", {fixed.SCORE_DECIMALS}) AS score FROM asked a LEFT JOIN counts c USING (doc_id) LEFT JOIN norms USING (doc_id) "
+        "GROUP BY image_id, p, a.doc_id UNION ALL SELECT image_id, 3, 'doc_none', NULL FROM vec) "
+        "SELECT image_id, CAST(row_number() OVER (PARTITION BY image_id ORDER BY score DESC NULLS LAST, p) AS INTEGER) AS rank, "
+        "tag, score FROM scored"
+    )
+
+
+def _gradient_sql() -> str:
+    """The chain rule of the loss at identity heads, written out over cells."""
+    unit = "list_transform({0}, lambda x: x / sqrt(list_dot_product({0}, {0})))"
+    head = _with("", "batched").rstrip()
+    return head + (
+        ", rows AS (SELECT batch_id, image_id, img, pos AS txt, " + unit.format("img") + " AS iu, " + unit.format("pos") + " AS tu, "
+        "sqrt(list_dot_product(img, img)) AS il, sqrt(list_dot_product(pos, pos)) AS tl, "
+        "count(*) OVER (PARTITION BY batch_id) AS n FROM batched WHERE split = 'train'), "
+        "pairs AS (SELECT a.image_id AS i, b.image_id AS j, a.iu, b.tu, a.n, a.batch_id, "
+        "CASE WHEN a.image_id = b.image_id THEN 1.0 ELSE -1.0 END AS label, "
+        f"{SCALE} * list_dot_product(a.iu, b.tu) - {BIAS} AS z FROM rows a JOIN rows b USING (batch_id)), "
+        f"sloped AS (SELECT *, -label / (1.0 + exp(label * z)) * {SCALE} / (n * n) AS slope FROM pairs), "
+        "dims AS (SELECT unnest(range(1, len(img) + 1)) AS d FROM (SELECT img FROM rows LIMIT 1)), "
+        "att AS (SELECT 'image' AS head, i AS id, d, sum(slope * tu[d]) AS g FROM sloped, dims GROUP BY i, d "
+        "UNION ALL SELECT 'text', j, d, sum(slope * iu[d]) FROM sloped, dims GROUP BY j, d), "
+        "sides AS (SELECT 'image' AS head, image_id AS id, img AS v, iu AS u, il AS l FROM rows "
+        "UNION ALL SELECT 'text', image_id, txt, tu, tl FROM rows), "
+        "along AS (SELECT head, id, sum(g * u[d]) AS s FROM att JOIN sides USING (head, id) GROUP BY ALL), "
+        "slopes AS (SELECT head, id, d, (g - s * u[d]) / l AS g, v FROM att JOIN sides USING (head, id) JOIN along USING (head, id)) "
+        "SELECT head, CAST(s.d - 1 AS INTEGER) AS row, CAST(dims.d - 1 AS INTEGER) AS col, round(sum(g * v[dims.d]), 6) AS value "
+        "FROM slopes s, dims GROUP BY head, s.d, dims.d UNION ALL "
+        "SELECT 'loss', 0, 0, round(sum(loss), 6) FROM (SELECT batch_id, "
+        "avg(-(least(label * z, 0.0) - ln(1.0 + exp(-abs(z))))) AS loss FROM pairs GROUP BY batch_id)"
+    )
+
+
 _NO_METRICS = (
     '\'{"inference_time_ms":null,"gpu_memory_allocated_mb":null,"gpu_memory_peak_mb":null,"gpu_utilization_pct":null}\''
 )
@@ -268,7 +316,7 @@ SQL: dict[str, str] = {
     f"'{json.dumps(fixed.DEFAULT_TAG_CANDIDATES, ensure_ascii=False)}' AS tag_candidates_json FROM documents",
     "load_with_placeholder": _with(
         "SELECT image_id, ok AS load_ok, CASE WHEN ok THEN CAST(octet_length(encode(first)) AS BIGINT) "
-        f"ELSE {fixed.PLACEHOLDER_SIDE**2 * fixed.PLACEHOLDER_CHANNELS} END AS n_bytes FROM outcomes JOIN "
+        f"ELSE {len(images.placeholder())} END AS n_bytes FROM outcomes JOIN "
         "(SELECT image_id, arg_min(caption, cap_no) AS first FROM captions GROUP BY image_id) USING (image_id)",
         "outcomes",
     ),
@@ -384,6 +432,15 @@ SQL: dict[str, str] = {
     ),
     "tag_overrides": _override_sql(),
     "tag_custom_candidates": _custom_sql(),
+    "tag_many_candidates": _many_sql(),
+    "tag_image_files": _with(
+        "SELECT 'doc_' || doc_id || '.' || ['jpg', 'PNG', 'txt', 'JpEg', 'mp4'][doc_id % 5 + 1] AS filename, doc_id % 11 <> 0 AS load_ok, "
+        "CAST(rank - 1 AS INTEGER) AS pos, tag, score FROM documents LEFT JOIN (SELECT * FROM (SELECT doc_id, tag, score, "
+        "row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rank, max(score) OVER (PARTITION BY doc_id) AS best "
+        f"FROM doc_scores WHERE doc_id % 11 <> 0) WHERE CASE WHEN best >= {fixed.TAG_SCORE_THRESHOLD} "
+        f"THEN score >= {fixed.TAG_SCORE_THRESHOLD} ELSE rank <= {fixed.FALLBACK_TAGS} END) USING (doc_id) WHERE doc_id % 5 IN (0, 1, 3)",
+        "doc_scores",
+    ),
     "batch_infer": _with(
         f"SELECT {_FILE} AS filename, num_tags, num_scores, dims, norm, {_NO_METRICS} AS metrics_json FROM "
         "(SELECT image_id, CAST(len(e) AS INTEGER) AS dims, round(sqrt(list_dot_product(e, e)), 6) AS norm FROM vec) "
@@ -411,7 +468,7 @@ SQL: dict[str, str] = {
         "named",
     ),
     "tag_counts": _with(
-        "SELECT tag, count(*) AS count FROM named GROUP BY tag ORDER BY count DESC, tag LIMIT 20", "named"
+        "SELECT tag, count(*) AS count FROM named GROUP BY tag", "named"
     ),
     "tags_per_image": _with(
         "SELECT num_tags, count(*) AS image_count FROM (SELECT CAST(count(*) AS INTEGER) AS num_tags FROM named "
@@ -433,7 +490,19 @@ SQL: dict[str, str] = {
         "AND v.image_id <> 0) ORDER BY s DESC, image_id LIMIT 10",
         "vec",
     ),
+    "similar_results": _with(
+        f"SELECT filename, round(s, 6) AS similarity, CAST(row_number() OVER (ORDER BY s DESC, filename) AS INTEGER) AS rank "
+        f"FROM (SELECT 'IMG_' || v.image_id || '.jpg' AS filename, list_cosine_similarity(v.e, q.e) AS s FROM vec v, vec q "
+        "WHERE q.image_id = 3 AND v.image_id <> 3) ORDER BY s DESC, filename LIMIT 10",
+        "vec",
+    ),
     # evaluation and runs
+    "recall_at_1_copies": _with(
+        "SELECT 'all' AS split, round(avg(CAST(id = image_id AS DOUBLE)), 6) AS recall_at_1, count(*) AS n_images FROM "
+        "(SELECT a.image_id, f.id, row_number() OVER (PARTITION BY a.image_id ORDER BY round(list_dot_product(a.e, t.v), 12) DESC, f.id) AS k "
+        "FROM vec a, tags t JOIN (SELECT label, min(image_id) AS id FROM vec GROUP BY label) f ON t.pos = f.label) WHERE k = 1",
+        "tags",
+    ),
     "recall_at_1": _with(
         "SELECT 'all' AS split, round(avg(CAST(best = image_id AS DOUBLE)), 6) AS recall_at_1, count(*) AS n_images FROM "
         "(SELECT a.image_id, arg_max(b.image_id, list_dot_product(a.img, b.pos)) AS best FROM triplets a, triplets b "
@@ -492,4 +561,8 @@ SQL: dict[str, str] = {
     "epoch_loss": _with(
         "SELECT CAST(epoch AS INTEGER) AS epoch, round(loss, 6) AS loss, n_batches FROM epoch_losses", "epoch_losses"
     ),
+    "head_gradient": _gradient_sql(),
+    "register_head": "SELECT CAST((SELECT max(o_orderkey) + 1 FROM orders) AS VARCHAR) AS version, 'READY' AS status, 'run-1' AS run_id, "
+    "head, CAST(row AS INTEGER) AS row, 64 AS dims FROM (VALUES ('image'), ('text')) h(head), range(0, 64) r(row)",
 }
+SQL["batch_infer_sql"] = SQL["predict_requests"]

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, and the entry point."""
 
+import re
+
 import pytest
 from check_oracle import compare, connect
 
@@ -22,7 +24,7 @@ def test_query_equals_sql(spark, duck, key):
 
 
 def test_queries_without_sql_are_the_known_ones():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"fit_heads", "register_head"}
+    assert set(entry.queries()) - set(entry.oracle_sql()) - {"pipeline", *(k for k in entry.queries() if re.match(r"op\d+_", k))} == {"fit_heads"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -34,7 +36,7 @@ def test_entry_has_rows(spark):
 
 def test_rows_only_queries(spark):
     log = [r.asDict() for r in entry.queries()["fit_heads"](spark, SF).collect()]
-    assert [r["epoch"] for r in log] == [1, 2]
+    assert [r["epoch"] for r in log] == [1, 2, 3, 4, 5]
     heads = entry.queries()["register_head"](spark, SF).collect()
     newest = max(int(r["version"]) for r in heads)
     assert newest == spark.read.parquet(f"{SF}/orders.parquet").agg({"o_orderkey": "max"}).first()[0] + 1

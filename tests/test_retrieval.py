@@ -95,3 +95,22 @@ def test_triplet_accuracy_is_null_without_negatives(spark):
     assert got["test"]["triplet_accuracy"] == 0.5
     named = retrieval.metric_rows(retrieval.evaluate(df, ["split"]), ["split"]).collect()
     assert ("train", "triplet_accuracy") not in {(r["split"], r["metric"]) for r in named}
+
+
+def test_recall_is_the_same_for_all_blocks_with_copied_texts(spark):
+    rng = np.random.default_rng(11)
+    img = rng.normal(size=(3000, 97))
+    img /= np.linalg.norm(img, axis=1, keepdims=True)
+    txt = np.repeat(img[::2] + 0.3 * rng.normal(size=(1500, 97)), 2, axis=0)  # each text stands twice
+    data = [(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(img, txt))]
+    df = spark.createDataFrame(data, "id long, img array<double>, txt array<double>").withColumn("g", F.lit("all")).cache()
+    got = {retrieval.recall_at_1(df, ["g"], blocks).first()["recall_at_1"] for blocks in (100, 333, 1500, 3000)}
+    assert len(got) == 1
+
+
+def test_null_and_nan_vectors_never_win(spark):
+    nan = float("nan")
+    data = [(1, [1.0], [-1.0]), (2, [1.0], None), (3, None, [0.5]), (4, [1.0], [nan])]
+    df = spark.createDataFrame(data, "id long, img array<double>, txt array<double>").withColumn("g", F.lit("all"))
+    assert {r["id"]: r["best_id"] for r in retrieval.nearest_text(df, ["g"]).collect()} == {1: 3, 2: 3, 4: 3}
+    assert tuple(retrieval.recall_at_1(df, ["g"]).first()) == ("all", 0.0, 4)

@@ -2,8 +2,10 @@
 
 import json
 import os
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,7 +66,26 @@ def test_missing_file_keeps_its_row(spark, folder):
     pairs = spark.createDataFrame([("1", path), ("2", "/nowhere.jpg")], "image_id string, image_path string")
     got = {r["image_id"]: r for r in images.load_with_placeholder(pairs, files).collect()}
     assert got["1"]["load_ok"] and bytes(got["1"]["content"]) == b"a.jpg" * 40
-    assert not got["2"]["load_ok"] and bytes(got["2"]["content"]) == bytes(384 * 384 * 3)
+    assert not got["2"]["load_ok"] and got["2"]["content"] is None
+    encoded = encoders.encode_images(images.load_with_placeholder(pairs, files), "image_id", "content", encoders.byte_histogram(8), images.placeholder())
+    want = encoders.byte_histogram(8)()(pa.array([images.placeholder()]))[0]
+    assert {r["image_id"]: r["emb"] for r in encoded.collect()}["2"] == pytest.approx((want / np.linalg.norm(want)).tolist())
+
+
+def test_placeholder_is_a_black_png():
+    body = images.placeholder(4, 3)
+    assert body[:8] == b"\x89PNG\r\n\x1a\n" and zlib.decompress(body[41:-16]) == bytes(4 * 13)
+    assert len(images.placeholder()) < 2000
+
+
+def test_large_files_of_other_kinds_are_not_read(spark, tmp_path):
+    (tmp_path / "a.JpG").write_bytes(b"small")
+    (tmp_path / "movie.mp4").write_bytes(bytes(200_000))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        assert [bytes(r["content"]) for r in images.scan_images(spark, str(tmp_path)).collect()] == [b"small"]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
 def test_resume_and_counts(spark):
@@ -149,7 +170,8 @@ def test_byte_histogram_equals_loop(spark):
     texts = ["", "abc", "日本語テキスト", "x" * 1000]
     df = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "id int, content binary")
     got = {r["id"]: np.array(r["emb"]) for r in encoders.encode_images(df, "id", "content", encoders.byte_histogram(16)).collect()}
-    for i, t in enumerate(texts):
+    assert got.pop(0).shape == ()  # no bytes, no vector
+    for i, t in list(enumerate(texts))[1:]:
         want = np.bincount(np.frombuffer(t.encode(), np.uint8) % 16, minlength=16).astype(float)
         np.testing.assert_allclose(got[i], want / (np.linalg.norm(want) or 1.0))
 

@@ -69,7 +69,7 @@ def as_lists(df):
 
 
 def test_overrides_and_unknown_tags(spark):
-    got = as_lists(scoring.tag_images(images(spark), tag_table(spark), "image_id", "c", "t"))
+    got = as_lists(scoring.tag_images(images(spark), tag_table(spark), "c", "t"))
     assert got[0] == ([("x", score(1)), ("y", score(0)), ("z", score(0))], [("x", score(1))])
     # Neither known candidate passes 0.5, so both stay; the one without a score is last.
     assert got[1] == ([("x", score(0)), ("unknown", None)],) * 2
@@ -78,17 +78,33 @@ def test_overrides_and_unknown_tags(spark):
 
 
 def test_large_tag_table_gives_the_same_by_join(spark, monkeypatch):
-    small = as_lists(scoring.tag_images(images(spark), tag_table(spark), "image_id", "c", "t", ["x", "y", "z"]))
+    small = as_lists(scoring.tag_images(images(spark), tag_table(spark), "c", "t", ["x", "y", "z"]))
     monkeypatch.setattr(scoring, "TAG_MATRIX_ROWS", 1)
-    large = as_lists(scoring.tag_images(images(spark), tag_table(spark), "image_id", "c", "t", ["x", "y", "z"]))
+    large = as_lists(scoring.tag_images(images(spark), tag_table(spark), "c", "t", ["x", "y", "z"]))
     assert large == small
-    with pytest.raises(ValueError, match="default_tags"):
-        scoring.tag_images(images(spark), tag_table(spark), "image_id")
+    assert as_lists(scoring.tag_images(images(spark), tag_table(spark), "c", "t")) == small
+
+
+def test_both_paths_agree_on_repeated_ids(spark):
+    rows = [(7, [1.0, 0.0, 0.0], '["x", "y"]'), (7, [0.0, 1.0, 0.0], '["x", "y"]'), (7, [0.0, 1.0, 0.0], None), (8, None, '["z", "x"]'),
+            (None, [0.0, 0.0, 1.0], '["nobody"]'), (9, [1.0, 0.0, 0.0], "[]"), (9, [1.0, 0.0, 0.0], "[null]")]
+    df = spark.createDataFrame(rows, "image_id int, emb array<double>, c string")
+    got = [
+        sorted(map(repr, scoring.tag_images(df, tag_table(spark), "c", by_join=way).collect())) for way in (False, True)
+    ]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+
+
+@pytest.mark.parametrize("bad", [[[1.0], [0.0, 1.0, 1.0]], [[1.0, None, 0.0]]])
+def test_ragged_vectors_and_null_elements_are_errors(spark, bad):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(bad)], "image_id int, emb array<double>").coalesce(1)
+    with pytest.raises(Exception, match="dimensions|null element"):
+        scoring.tag_images(df, tag_table(spark)).collect()
 
 
 def test_image_without_vector_scores_null(spark):
     rows = spark.createDataFrame([(1, None), (2, [0.0, 1.0, 0.0])], "image_id int, emb array<double>")
-    got = as_lists(scoring.tag_images(rows, tag_table(spark), "image_id"))
+    got = as_lists(scoring.tag_images(rows, tag_table(spark)))
     assert got[1][0] == [("x", None), ("y", None), ("z", None)]
     assert got[2][0][0] == ("y", score(1))
 
@@ -104,7 +120,7 @@ def test_mean_vectors_equal_numpy_on_a_hot_label(spark):
 
 
 def test_response_round_trip(spark):
-    tagged = scoring.tag_images(images(spark), tag_table(spark), "image_id", "c", "t")
+    tagged = scoring.tag_images(images(spark), tag_table(spark), "c", "t")
     responses = scoring.batch_infer(tagged, F.concat(F.lit("f"), F.col("image_id")))
     by_name = {r["filename"]: r["prediction"] for r in responses.collect()}
     body = json.loads(by_name["f0"]["tags_json"])
@@ -151,7 +167,8 @@ def test_encode_base64_is_one_line(spark):
 
 
 def test_images_are_scored_once_and_not_shuffled(spark):
-    tagged = scoring.tag_images(images(spark), tag_table(spark), "image_id", "c", "t")
+    # Without default tags the plan also holds the small aggregate that lists them.
+    tagged = scoring.tag_images(images(spark), tag_table(spark), "c", "t", ["x", "y", "z"])
     plan = tagged.select("image_id", F.explode("selected"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan and "Join" not in plan
