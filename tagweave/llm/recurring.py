@@ -117,11 +117,14 @@ def _recurring(group: pa.Table) -> pa.Table:
 
 
 def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(FILTER_BITS, bool)
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for batch in batches:
-        bits[_filter_slot(batch.column("key").to_numpy().view(np.uint64))] = True
-    parts = [(i, np.packbits(bits[i : i + FILTER_PART]).tobytes()) for i in range(0, FILTER_BITS, FILTER_PART) if bits[i : i + FILTER_PART].any()]
-    yield pa.RecordBatch.from_pydict({"at": pa.array([i for i, _ in parts], pa.int64()), "body": pa.array([b for _, b in parts], pa.binary())})
+        slot = _filter_slot(batch.column("key").to_numpy().view(np.uint64))
+        np.bitwise_or.at(bits, slot >> 3, np.left_shift(1, 7 - (slot & 7)).astype(np.uint8))
+    step = FILTER_PART // 8
+    for i in range(0, len(bits), step):
+        if bits[i : i + step].any():
+            yield pa.RecordBatch.from_pydict({"at": pa.array([8 * i], pa.int64()), "body": pa.array([bits[i : i + step].tobytes()], pa.binary())})
 
 
 def _either(group: pa.Table) -> pa.Table:
