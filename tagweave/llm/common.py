@@ -9,6 +9,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from tagweave import session
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, and let go of the steps before it.
+
+    Shuffle files of finished steps stay on the executors' disks until the driver happens to
+    collect its garbage. A driver that only waits for jobs hardly ever does, so it is asked to.
+    """
+    written = session.materialize(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.session import materialize
+from tagweave.llm.common import materialize
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.session import materialize
+from tagweave.llm.common import materialize
 
 WINDOW = 10
 # Tables of test terms, windows or candidate documents are broadcast up to this many rows, which

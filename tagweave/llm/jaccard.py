@@ -18,11 +18,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import by_size, ragged_take
+from tagweave.llm.common import by_size, materialize, ragged_take
 from tagweave.llm.components import connected
 from tagweave.llm.hashing import Words, mix, phrases, starts_of
 from tagweave.llm.recurring import key_filter, key_of, passes, recurring_set
-from tagweave.session import materialize
 
 SHINGLE = 4
 PERCENT = 85

@@ -18,10 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagweave.llm.common import by_size, slices
+from tagweave.llm.common import by_size, materialize, slices
 from tagweave.llm.hashing import Words, anchors, mix, phrases, powers, starts_of
 from tagweave.llm.recurring import key_of, recurring_keys
-from tagweave.session import materialize
 
 WINDOW = 20  # words of a passage that counts as repeated
 ANCHOR = 5  # words of a sampled phrase; a window holds WINDOW - ANCHOR + 1 of them

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.llm.common import materialize
 from tagweave.llm.hashing import mix
-from tagweave.session import materialize
 
 KEY_BITS = 48  # of a phrase hash; two phrases with one key only cost a comparison
 PACK_KEYS = 1_000_000  # phrases that a task packs together

@@ -18,10 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import by_size
+from tagweave.llm.common import by_size, materialize
 from tagweave.llm.hashing import anchors, buffer_of, mix, phrases, powers, starts_of
 from tagweave.llm.recurring import key_of, recurring_keys
-from tagweave.session import materialize
 
 WINDOW = 50  # bytes of a string that counts as repeated
 ANCHOR = 20  # bytes of a sampled phrase

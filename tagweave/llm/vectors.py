@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.llm.common import materialize
 from tagweave.llm.components import connected
-from tagweave.session import materialize
 
 THRESHOLD = 0.95
 MAX_PIVOTS = 1024  # so many vectors at most are broadcast per width
