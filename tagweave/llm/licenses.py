@@ -1,7 +1,7 @@
 """Licence scan by sentence rules, with built-in functions alone.
 
-Sentences are normalised and mapped to identifiers of known licence sentences; the sequence of
-identifiers of a text is matched against ordered rules.
+Sentences are normalised and mapped to identifiers of known licence sentences, which line ends may
+wrap; the sequence of identifiers of a text is matched against ordered rules.
 """
 
 from __future__ import annotations
@@ -57,15 +57,68 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("all-rights-reserved", ("all_rights",)),
 ]
 
+# Further wordings of sentences, and what only whole licence texts hold. They are apart from the
+# lists above because those are also written into the SQL that the query must agree with.
+WORDINGS: list[tuple[str, str]] = [
+    ("mit_name", "mit license"),
+    ("mit_name", "the mit license mit"),
+    ("mit_grant", SENTENCES["mit_grant"] + " including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("mit_notice", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"),
+    ("as_is", SENTENCES["as_is"] + " including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("gpl_free", SENTENCES["gpl_free"] + " either version 3 of the license or at your option any later version"),
+    ("gpl2_free", SENTENCES["gpl_free"] + " either version 2 of the license or at your option any later version"),
+    ("gpl3_only", SENTENCES["gpl_free"] + " version 3"),
+    ("gpl3_only", SENTENCES["gpl_free"] + " version 3 of the license"),
+    ("gpl3_name", "gnu general public license version 3"),
+    ("gpl3_name", "gnu general public license version 3 29 june 2007"),
+    ("gpl2_name", "gnu general public license version 2 june 1991"),
+    ("bsd3_name", "bsd 3 clause license"),
+    ("bsd3_name", "the 3 clause bsd license"),
+    ("bsd2_name", "bsd 2 clause license"),
+    ("bsd2_name", "the 2 clause bsd license"),
+    ("apache_name", "apache license version 2 0"),
+    ("apache_name", "apache license version 2 0 january 2004"),
+    ("apache_copy", "you may obtain a copy of the license at"),
+    ("apache_copy", "you may obtain a copy of the license at https www apache org licenses license 2 0"),
+]
+WORDING_RULES: list[tuple[str, tuple[str, ...]]] = [
+    ("gpl-2.0-or-later", ("gpl2_free", "gpl_hope", "gpl_see")),
+    ("gpl-3.0", ("gpl3_only", "gpl_hope", "gpl_see")),
+    ("gpl-3.0", ("gpl3_name",)),
+    ("gpl-2.0", ("gpl2_name",)),
+    ("bsd-3-clause", ("bsd3_name",)),
+    ("bsd-2-clause", ("bsd2_name",)),
+    ("apache-2.0", ("apache_name",)),
+]
+
 # A sentence ends at a line end, or at . ! ? before white space; these are what Java and RE2 agree on.
-_END = r"([.!?])[ \t\r\f]+"
+# A known one may run over line ends, but not over . ! ? or a blank line, which leave two line ends,
+# and may begin or end at ; or : as well. A ! that begins a line is a comment mark.
+_REMARK = r"(^|\n)[ \t]*!+[ \t]"
+_END = r"([.!?])(?:[ \t\r\f]+|(?=\n))"
+_PAUSE = r"([;:])[ \t\r\f]+"
+_OTHER = "[^0-9A-Za-z\u0080-\U0010ffff\n\x01]+"
+_BETWEEN = r"(?:\x01?\n\x01?|[ \x01])"
+
+
+def normalised(text: Column) -> Column:
+    """Lower case (A-Z), runs of other ASCII characters as one space, a line end around each line.
+
+    A sentence end is two line ends, and U+0001 stands for ``;`` or ``:`` before white space.
+    """
+    text = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\x01", " "), _REMARK, "$1")
+    marked = F.regexp_replace(F.regexp_replace(text, _END, "$1\n\n"), _PAUSE, "$1\x01")
+    lines = F.regexp_replace(F.lower(F.regexp_replace(marked, _OTHER, " ")), " ?([\n\x01]) ?", "$1")
+    return F.concat(F.lit("\n"), F.trim(lines), F.lit("\n"))
 
 
-def normalised_sentences(text: Column) -> Column:
-    """Sentences in lower case (A-Z), with runs of other ASCII characters as one space, trimmed."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), _END, "$1\n")
-    parts = F.split(marked, "\n", -1)
-    return F.transform(parts, lambda s: F.trim(F.lower(F.regexp_replace(s, "[^0-9A-Za-z\u0080-\U0010ffff]+", " "))))
+def known_sentences(text: Column, known: dict[str, str]) -> Column:
+    """Identifiers of the sentences ``known``, by normal form, in a normalised text."""
+    longest = sorted(known, key=lambda s: -len(s))
+    pattern = "[\n\x01](" + "|".join(_BETWEEN.join(s.split(" ")) for s in longest) + ")(?=[\n\x01])"
+    ids = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda s: F.element_at(ids, F.regexp_replace(s, "[ \n\x01]+", " ")))
 
 
 def scan(
@@ -78,15 +131,17 @@ def scan(
     """``(id_col, n_sentences, sentence_ids, licenses)`` for each row of ``df``.
 
     ``sentence_ids`` are the known sentences in order of the text; unknown sentences between
-    them are skipped. ``licenses`` are the licences of the rules that match, sorted. A null or
+    them are skipped. A known sentence is found whether or not it is wrapped or commented, while
+    ``n_sentences`` counts each line with a word as one sentence at least. ``licenses`` are the licences of the rules that match, sorted. A null or
     empty text has none; repeated rows and null ids are kept; other columns are dropped. A row
     is handled on its own, so nothing is shuffled.
     """
-    sentences, rules = sentences or SENTENCES, rules or RULES
-    known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (s, name)])
-    names = F.transform(F.col("_sentences"), lambda s: F.element_at(known, s))
-    rows = df.select(F.col(id_col).alias("_id"), normalised_sentences(F.col(text_col).cast("string")).alias("_sentences"))
-    rows = rows.select("_id", F.array_compact(names).alias("sentence_ids"), F.size(F.filter("_sentences", lambda s: s != "")).cast("long").alias("n_sentences"))
+    wordings = WORDINGS if sentences is None else []
+    known = {s: name for name, s in [*(sentences or SENTENCES).items(), *wordings]}
+    rules = [*RULES, *WORDING_RULES] if rules is None else rules
+    rows = df.select(F.col(id_col).alias("_id"), normalised(F.col(text_col).cast("string")).alias("_lines"))
+    n = F.regexp_count("_lines", F.lit("[^ \n\x01][^\n]*")).cast("long")
+    rows = rows.select("_id", known_sentences(F.col("_lines"), known).alias("sentence_ids"), n.alias("n_sentences"))
 
     # Each identifier stands between commas of its own, so that a match never shares one.
     rest = F.concat(F.lit(","), F.array_join("sentence_ids", ",,"), F.lit(","))
