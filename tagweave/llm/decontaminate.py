@@ -162,6 +162,6 @@ def contaminated(
 def clean(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without an exact occurrence of a window, with all their columns."""
     found, _ = matches(docs, bench, id_col, text_col, item_col, item_text_col, size, slop=0)
-    hit = materialize(found.select(F.col("_id").alias("_hit_id"), F.col("_hash").alias("_hit_hash")).distinct(), "contaminated")
+    hit = materialize(found.where("exact").select(F.col("_id").alias("_hit_id"), F.col("_hash").alias("_hit_hash")).distinct(), "contaminated")
     same = docs[id_col].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_hit_hash"))
     return docs.join(small(hit), same, "left_anti")

@@ -87,3 +87,12 @@ def test_odd_rows_and_clean(spark):
     assert decontaminate.contaminated(odd_docs(spark, []), bench, "doc_id", "text", "item_id", "text").count() == 0
     none = decontaminate.contaminated(docs, bench.limit(0), "doc_id", "text", "item_id", "text")
     assert none.count() == len(rows) and none.where("n_hit > 0").count() == 0
+
+
+def test_clean_keeps_documents_with_the_terms_of_a_window_only(spark):
+    rows = [(1, "0 0 0 0 1 2 3 4 5 6"), (2, "no"), (3, "it said no once"), (4, "x 0 0 0 0 1 0 0 0 0 0"), (5, "a no, no b"), (6, "1 0 0 0 0 1 1 0 0 0 0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "0 0 0 0 1 0 0 0 0 0"), (2, "no no")], "item_id long, text string")
+    found = {r.doc_id: r.n_hit for r in decontaminate.contaminated(docs, bench, "doc_id", "text", "item_id", "text").collect()}
+    kept = {r.doc_id for r in decontaminate.clean(docs, bench, "doc_id", "text", "item_id", "text").collect()}
+    assert kept == {i for i, n in found.items() if n == 0} == {1, 2, 3, 6}
