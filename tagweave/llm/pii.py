@@ -38,6 +38,16 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# Characters of an IBAN by country.
+_IBAN_LENGTHS = {
+    n: countries.split()
+    for n, countries in (
+        (15, "NO"), (16, "BE"), (18, "DK FI FK FO GL NL SD"), (19, "MK SI"), (20, "AT BA EE KZ LT LU MN XK"), (21, "CH HR LI LV"),
+        (22, "BG BH CR DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"), (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"),
+        (27, "BI DJ FR GR IT MC MR SM"), (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"), (32, "LC"), (33, "RU"),
+    )
+}
+IBAN_LENGTH = {c: n for n, countries in _IBAN_LENGTHS.items() for c in countries}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("base", pa.bool_())])
@@ -76,6 +86,35 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _numbers(text: str, start: int, stop: int, listed: bool) -> Iterator[tuple[int, int]]:
+    """Leftmost account numbers of countries with or without a known length, ending at a word's end."""
+    m = _IBAN.search(text, start, stop)
+    while m:
+        end, want = m.start() + 1, IBAN_LENGTH.get(m[0][:2])
+        if (want is not None) == listed:
+            for at in (m.end(), *(i for i in range(m.end() - 1, m.start(), -1) if text[i] == " ")):
+                code = text[m.start() : at].replace(" ", "")
+                if (len(code) == want if listed else 15 <= len(code) <= 34) and mod97(code):
+                    yield m.start(), at
+                    end = at
+                    break
+        m = _IBAN.search(text, end, stop)
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Non-overlapping account numbers, without the words that follow them.
+
+    A country's numbers have one length. What lies between them may be a number of a country
+    without a known one; it has as many words as the check confirms.
+    """
+    done = 0
+    for start, end in [*_numbers(text, 0, len(text), True), (len(text), len(text))]:
+        yield from _numbers(text, done, start, False)
+        if start < end:
+            yield start, end
+        done = end
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     yield from (("email", *span) for span in _emails(text))
     for m in _IP.finditer(text):
@@ -87,9 +126,7 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     for m in _PHONE.finditer(text):
         if 9 <= len(_digits(m[0])) <= 15:
             yield "phone", *m.span()
-    for m in _IBAN.finditer(text):
-        if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0]):
-            yield "iban", *m.span()
+    yield from (("iban", *span) for span in _ibans(text))
     for m in _SSN.finditer(text):
         if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":
             yield "ssn", *m.span()

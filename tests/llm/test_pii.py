@@ -72,3 +72,20 @@ def test_odd_rows(spark):
 def test_mask_overlapping():
     spans = [{"kind": "phone", "start": 2, "end": 9}, {"kind": "card", "start": 5, "end": 12}, {"kind": "ip", "start": 14, "end": 16}]
     assert pii.mask_text("ab0123456789cdEFg", spans) == "ab[PHONE]cd[IP]g"
+
+
+def test_ibans_beside_other_words():
+    ibans = lambda t: [t[s["start"] : s["end"]] for s in pii.find_spans(t) if s["kind"] == "iban"]
+    plain, spaced, british = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for iban in (plain, spaced, british, "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"):
+        for before in ("", "IBAN ", "AB12 ", "REF AB12 34 "):
+            for after in ("", ".", " BIC COBADEFFXXX", " EUR 50", " 2024", " Eur", " and", ", EUR", " X"):
+                assert ibans(before + iban + after) == [iban], (before, iban, after)
+    assert ibans(f"{plain} {spaced} {british} END") == [plain, spaced, british]
+    # Too long for its country, glued to other letters, or with a wrong digit.
+    assert ibans(f"{plain}EUR") == ibans("DE89370400440532013001 BIC COBADEFFXXX") == []
+    # A country that the table lacks: mod-97 tells where the number ends.
+    code = next(c for c in (f"ZZ{k:02d}" + "1" * 20 for k in range(2, 99)) if pii.mod97(c))
+    assert ibans(f"{code} EUR 50") == [code]
+    text = f"to {spaced} BIC COBADEFFXXX"
+    assert pii.mask_text(text, pii.find_spans(text)) == "to [IBAN] BIC COBADEFFXXX"
