@@ -15,7 +15,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import by_size, materialize, ragged_take
@@ -108,15 +108,17 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def link(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``(id_col, n_shingles, component)`` for each row of ``df``.
+    """``(id_col, n_shingles, component, n_links)`` for each row of ``df``.
 
     Words are runs without white space, A-Z lower-cased. Two rows link when 100 * shared shingles
-    >= ``percent`` * shingles of either; ``component`` is the least id reachable over links. A
+    >= ``percent`` * shingles of either; ``component`` is the least id reachable over links
+    and ``n_links`` counts the other rows that a row links with. A
     text with fewer words than a shingle has its whole sequence as one; null, empty and blank
     texts have no shingle and link with nothing. Rows with equal sets are one class, compared
     once. A row with a null id keeps its number of shingles, has a null component and links
     nothing; rows that repeat an id are kept, and link what each of them links. Other columns are
-    dropped. The join is whole: no list or group is cut, large ones are compared in blocks.
+    dropped. The join is whole: no list or group is cut, large ones are compared in blocks, and
+    every pair of candidates is verified.
     """
     texts = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     context = df.sparkSession.sparkContext
@@ -124,16 +126,24 @@ def link(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent
     sets = materialize(_prefixes(texts, size, percent, sketch), "sets")
 
     full = sets.where("n > 0 and _id is not null")
-    reps = full.groupBy("digest").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    # A class is known by its digest: its least id may also be that of another class.
+    reps = full.groupBy("rep").agg(F.min("_id").alias("first_id"), F.count("*").alias("m"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     reps = materialize(reps, "classes")
-    edges = _links(texts, reps.select("rep", "n", "prefix"), size, percent, sketch)
-    # Rows of a class link to its representative, which may itself repeat as an id.
-    own = full.join(reps.select("digest", "rep"), "digest").select(F.col("_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    comps = connected(edges.unionByName(own))
-    found = sets.select("_id", "n").join(comps.withColumnRenamed("node", "_node"), F.col("_id") == F.col("_node"), "left")
+    found = _links(texts, reps, size, percent, sketch)
+    counts = found.where("k is not null").groupBy("rep").agg(F.sum("k").alias("k"))
+    counts = reps.join(counts, "rep", "left").select("rep", "first_id", (F.coalesce("k", F.lit(0)) + F.col("m") - 1).alias("n_links"))
+    counts = materialize(counts, "link_counts")
+    # Rows of a class link to its first row, whose id may itself repeat.
+    own = full.join(counts, "rep").select(F.col("_id").alias("a"), F.col("first_id").alias("b")).where("a <> b")
+    comps = connected(found.where("k is null").select("a", "b").unionByName(own))
+    # A row without shingles or id has no class.
+    linking = F.when((F.col("n") > 0) & F.col("_id").isNotNull(), F.col("rep"))
+    rows = sets.select("_id", "n", linking.alias("rep")).join(counts.select(F.col("rep").alias("_rep"), "n_links"), F.col("rep") == F.col("_rep"), "left")
+    rows = rows.join(comps.withColumnRenamed("node", "_node"), F.col("_id") == F.col("_node"), "left")
     # An id may repeat with an empty text beside others; the empty text itself links nothing.
     component = F.when(F.col("n") > 0, F.coalesce("component", "_id")).otherwise(F.col("_id"))
-    return found.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component"))
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    return rows.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component"), n_links)
 
 
 def representatives(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -154,26 +164,32 @@ def representatives(docs: DataFrame, id_col: str, text_col: str, size: int = SHI
     return once.unionByName(kept.join(small(again), ids == F.col("_again"), "left_semi").dropDuplicates([id_col, text_col]))
 
 
+def class_of(tokens: np.ndarray) -> int:
+    """Number of the class of equal sets: 64 bits of a digest, as the shingles are."""
+    return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def _prefixes(texts: DataFrame, size: int, percent: int, sketch) -> DataFrame:
-    """``(_id, n, digest, prefix)``: the prefix of the largest l, in the global order."""
+    """``(_id, n, rep, prefix)``: the class and the prefix of the largest l, in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, prefix = [], [], []
+            n, rep, prefix = [], [], []
             for tokens in shingle_sets(batch.column(1), size):
                 n.append(len(tokens))
-                digest.append(blake2b(tokens.tobytes(), digest_size=16).digest())
+                rep.append(class_of(tokens))
                 prefix.append(in_order(tokens, sketch.value)[: prefix_length(len(tokens), percent) + LEVELS - 1].view(np.int64))
             lens = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *prefix])
-            columns = [batch.column(0), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(lens), pa.array(flat))]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "n", "digest", "prefix"])
+            columns = [batch.column(0), pa.array(n, pa.int32()), pa.array(rep, pa.int64()), pa.ListArray.from_arrays(pa.array(lens), pa.array(flat))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "n", "rep", "prefix"])
 
-    return texts.mapInArrow(run, "_id long, n int, digest binary, prefix array<long>")
+    return texts.mapInArrow(run, "_id long, n int, rep long, prefix array<long>")
 
 
 def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -> DataFrame:
-    """Edges ``(a, b)`` that connect what the links between classes connect."""
+    """Rows ``(rep, k)``: rows of other classes that a class links with, in one group; and rows
+    ``(a, b)`` of first ids: edges that connect what the links between classes connect."""
     lists = materialize(_recurring_tokens(reps), "tokens")
     df = materialize(lists.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "lists")
     base = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
@@ -208,33 +224,22 @@ def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -
     sizes = materialize(sizes.select("hub", "size_class", blocks.alias("blocks")), "sizes")
     members = materialize(members.join(sizes, ["hub", "size_class"]), "placed")
 
-    def compared(placed: DataFrame, name: str) -> DataFrame:
-        """Prefixes tell which sets of a group are candidates; only those are read whole."""
-        kept = materialize(_with_candidates(placed, reps.select("rep", "prefix"), percent), f"{name}_candidates")
-        bodies = _bodies(texts, kept.select("rep").distinct(), size, sketch)
-        return materialize(_compare(kept, bodies, percent), f"{name}_links")
-
-    # One sample block against all blocks: enough for groups of one block, and for most links of others.
+    # Every block of a group meets itself and every later one: the earlier block asks.
     block = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
-    told = members.select("*", F.lit(0).alias("i"), block.alias("j"), F.lit(False).alias("asks"))
-    asks = members.where(block == 0).select("*", F.lit(0).alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
-    first = compared(asks.select(*PLACED).unionByName(told.select(*PLACED)), "first")
-    large = members.where("blocks > 1")
-    if large.isEmpty():
-        return first
-
-    # What is not in a large group's main component yet meets all of the group.
-    comps = materialize(connected(first), "first_components")
-    large = materialize(large.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "large")
-    votes = large.groupBy("hub", "size_class", "component").agg(F.count("*").alias("k"))
-    main = votes.groupBy("hub", "size_class").agg(F.max(F.struct("k", "component"))["component"].alias("main"))
-    rest = materialize(large.join(materialize(main, "main"), ["hub", "size_class"]).where("component <> main"), "rest")
-    per = rest.groupBy("hub", "size_class").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("rb"))
-    per = materialize(per, "rest_blocks")
-    asks = rest.join(per, ["hub", "size_class"]).withColumn("i", F.pmod(F.xxhash64("rep"), "rb").cast("int"))
-    asks = asks.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
-    told = large.join(per, ["hub", "size_class"]).select("*", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("i"), block.alias("j"), F.lit(False).alias("asks"))
-    return first.unionByName(compared(asks.select(*PLACED).unionByName(told.select(*PLACED)), "second"))
+    asks = members.select("*", block.alias("i"), F.explode(F.sequence(block, F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
+    told = members.select("*", F.explode(F.sequence(F.lit(0), block)).alias("i"), block.alias("j"), F.lit(False).alias("asks"))
+    placed = asks.select(*PLACED).unionByName(told.select(*PLACED))
+    # Prefixes tell which sets of a group are candidates; only those are read whole.
+    kept = materialize(_with_candidates(placed, reps.select("rep", "prefix"), percent), "candidates")
+    # Candidates may meet in several groups, and are counted in the least of them.
+    meets = kept.select("rep", _group().alias("g")).distinct().groupBy("rep").agg(F.array_sort(F.collect_list("g")).alias("meets"))
+    facts = materialize(reps.select("rep", "first_id", "m").join(meets, "rep"), "facts")
+    bodies = _bodies(texts, facts.select("first_id").distinct(), size, sketch)
+    return materialize(_compare(kept.join(facts, "rep"), bodies, percent), "links")
+
+
+def _group() -> Column:
+    return F.xxhash64("hub", "size_class")
 
 
 def _recurring_tokens(reps: DataFrame) -> DataFrame:
@@ -260,16 +265,19 @@ def _recurring_tokens(reps: DataFrame) -> DataFrame:
     return reps.select("rep", "n", "prefix").mapInArrow(run, "token long, rep long, n int, pos int")
 
 
-def _bodies(texts: DataFrame, reps: DataFrame, size: int, sketch) -> DataFrame:
-    """``(rep, body)``: whole sets, in the global order, of the classes that have candidates."""
-    wanted = small(materialize(reps.select(F.col("rep").alias("_id")), "wanted"))
+def _bodies(texts: DataFrame, ids: DataFrame, size: int, sketch) -> DataFrame:
+    """``(rep, body)``: whole sets, in the global order, of the texts with one of ``ids (first_id)``."""
+    wanted = small(materialize(ids.select(F.col("first_id").alias("_id")), "wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = [in_order(tokens, sketch.value).tobytes() for tokens in shingle_sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], names=["rep", "body"])
+            reps, bodies = [], []
+            for tokens in shingle_sets(batch.column(1), size):
+                reps.append(class_of(tokens))
+                bodies.append(in_order(tokens, sketch.value).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(bodies, pa.binary())], names=["rep", "body"])
 
-    # An id that repeats stands for each of its texts; digests tell the classes apart before this.
+    # An id that repeats stands for each of its texts, so that a class may come more than once.
     return texts.join(wanted, "_id", "left_semi").mapInArrow(run, "rep long, body binary").where("length(body) > 0")
 
 
@@ -289,11 +297,22 @@ def _with_candidates(placed: DataFrame, prefixes: DataFrame, percent: int) -> Da
 
 def _compare(placed: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
-        rep = group.column("rep").to_numpy()
-        a, b = compare_sets([np.frombuffer(x, np.uint64) for x in group.column("body").to_pylist()], group.column("ell").to_numpy(), group.column("asks").to_numpy(zero_copy_only=False), percent)
-        return pa.table({"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())})
-
-    return placed.join(bodies, "rep").groupBy("hub", "size_class", "i", "j").applyInArrow(run, "a long, b long")
+        # A class may come with several equal bodies.
+        rep, asks = group.column("rep").to_numpy(), group.column("asks").to_numpy(zero_copy_only=False)
+        once = np.unique(np.rec.fromarrays([rep, asks]), return_index=True)[1]
+        group, rep, asks = group.take(pa.array(once)), rep[once], asks[once]
+        here = group.column("g")[0].as_py()
+        earlier = [np.asarray([g for g in gs if g < here], np.int64) for gs in group.column("meets").to_pylist()]
+        first, m = group.column("first_id").to_numpy(), group.column("m").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("body").to_pylist()]
+        a, b, k = count_links(sets, group.column("ell").to_numpy(), asks, percent, rep, m, earlier)
+        some = np.flatnonzero(k)
+        none = lambda n: pa.nulls(n, pa.int64())
+        edges, counts = (none(len(a)), pa.array(first[a]), pa.array(first[b]), none(len(a))), (pa.array(rep[some]), none(len(some)), none(len(some)), pa.array(k[some]))
+        return pa.table({c: pa.concat_arrays([x, y]) for c, x, y in zip(("rep", "a", "b", "k"), edges, counts)})
+
+    rows = placed.withColumn("g", _group()).join(bodies, "rep")
+    return rows.groupBy("hub", "size_class", "i", "j").applyInArrow(run, "rep long, a long, b long, k long")
 
 
 class Overlaps:
@@ -346,17 +365,44 @@ def candidate_rows(
 
 def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links found between sets that ask and sets that are told, less those that close a cycle."""
+    return count_links(bodies, ell, asks, percent)[:2]
+
+
+def count_links(
+    bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, percent: int,
+    rep: np.ndarray | None = None, m: np.ndarray | None = None, earlier: list[np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links between sets that ask and sets that are told: edges without cycles, and per set the
+    ``m`` of those it links with.
+
+    Where classes ``rep`` ask and are told, a pair is compared once. A pair with a common group in
+    ``earlier`` has been counted there.
+    """
     overlaps = Overlaps(bodies)
     n = overlaps.n
-    label = np.arange(len(n))
+    rep = np.arange(len(n)) if rep is None else rep
+    m = np.ones(len(n), np.int64) if m is None else m
+    groups = Overlaps(earlier) if earlier is not None and any(map(len, earlier)) else None
+    # Both rows of a class that asks and is told have one label.
+    label = np.unique(rep, return_inverse=True)[1]
+    counts = np.zeros(len(n), np.int64)
     edges: list[tuple[int, int]] = []
     told = np.flatnonzero(~asks)
+    both = np.isin(rep, rep[asks]) & np.isin(rep, rep[told])
     for x in np.flatnonzero(asks).tolist():
-        some = _candidates(overlaps, x, told[label[told] != label[x]], n, ell, percent)
-        if len(some):
-            shared = overlaps.of(x, n[x], some, n[some])
-            for y in some[100 * shared >= percent * (n[x] + n[some] - shared)].tolist():
-                if label[y] != label[x]:
-                    edges.append((x, y))
-                    label[label == label[y]] = label[x]
-    return np.array([x for x, _ in edges], int), np.array([y for _, y in edges], int)
+        others = told[(rep[told] != rep[x]) & ~(both[x] & both[told] & (rep[told] < rep[x]))]
+        some = _candidates(overlaps, x, others, n, ell, percent)
+        if not len(some):
+            continue
+        shared = overlaps.of(x, n[x], some, n[some])
+        some = some[100 * shared >= percent * (n[x] + n[some] - shared)]
+        new = np.ones(len(some), bool)
+        if groups is not None and groups.n[x] and len(at := np.flatnonzero(groups.n[some])):
+            new[at] = groups.of(x, groups.n[x], some[at], groups.n[some[at]]) == 0
+        counts[x] += m[some[new]].sum()
+        counts[some[new]] += m[x]
+        for y in some[label[some] != label[x]].tolist():
+            if label[y] != label[x]:
+                edges.append((x, y))
+                label[label == label[y]] = label[x]
+    return np.array([x for x, _ in edges], int), np.array([y for _, y in edges], int), counts

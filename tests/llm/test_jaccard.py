@@ -119,3 +119,24 @@ def test_odd_rows(spark):
     assert by[5] == by[6] == (2, 5) and by[7][1] == by[8][1] == 7 and by[10] == (1, 10)
     assert by[None] == (2, None) and by[12] == (len(shingles(LAST)), 12)
     assert jaccard.link(odd_docs(spark, []), "doc_id", "text").count() == 0
+
+
+def brute_links(rows, percent=85):
+    """Links per row of ``rows``, whose ids may repeat."""
+    sets = [shingles(t) if i is not None else set() for i, t in rows]
+    linked = lambda x, y: bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
+    return sorted((i, sum(linked(x, y) for k, y in enumerate(sets) if k != at)) for at, ((i, _), x) in enumerate(zip(rows, sets)) if i is not None)
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_every_link_is_counted_once(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
+    rows = near_rows(random.Random(6), groups=5, members=16)
+    # Dense groups close cycles; an id that repeats stands for several texts, or for a text twice.
+    base = [f"d{i}" for i in range(80)]
+    rows += [(1000 + i, " ".join(base[: 80 - i])) for i in range(9)] + [(1000, " ".join(base[1:])), (1001, " ".join(base[:79])), (1000, None), (None, " ".join(base))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.link(df, "doc_id", "text").collect()
+    assert sorted((r.doc_id, r.n_links) for r in found if r.doc_id is not None) == brute_links(rows)
+    assert [r.n_links for r in found if r.doc_id is None] == [0]
+    assert sum(r.n_links for r in found) > 2 * len(rows)
