@@ -66,7 +66,7 @@ def _is_small(tags: DataFrame) -> bool:
 
 
 def _all_tags(tags: DataFrame) -> Column:
-    """The default candidates as a scalar subquery: no list of literals enters the plan."""
+    """The default candidates of a small tag table as a scalar subquery: no list of literals enters the plan."""
     return tags.agg(F.array_sort(F.collect_list(F.struct("pos", "tag")))["tag"].alias("t")).scalar()
 
 
@@ -119,11 +119,12 @@ def score_candidates(
     large one, or any with ``by_join``, is joined on the tag instead, with hot tags salted. Both give
     each row its own scores, whether or not ids repeat.
     """
-    given = F.array(*[F.lit(t) for t in default_tags]).cast("array<string>") if default_tags is not None else _all_tags(tags)
-    asked = images.withColumn("_asked", candidates).withColumn("_default", given)
-    listed = F.coalesce("_asked", "_default")
+    asked = images.withColumn("_asked", candidates)
+    given = F.array(*[F.lit(t) for t in default_tags]).cast("array<string>") if default_tags is not None else None
     if by_join or (by_join is None and not _is_small(tags)):
-        return _score_by_join(asked.withColumn("_asked", listed).drop("_default"), tags, logits)
+        return _score_by_join(asked if given is None else asked.withColumn("_asked", F.coalesce("_asked", given)), tags, logits)
+    asked = asked.withColumn("_default", _all_tags(tags) if given is None else given)
+    listed = F.coalesce("_asked", "_default")
     rows = _tag_rows(tags)
     names = [r["tag"] for r in rows]
     vectors = np.array([r["emb"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
@@ -133,11 +134,19 @@ def score_candidates(
 
 
 def _score_by_join(asked: DataFrame, tags: DataFrame, logits: V.Logits) -> DataFrame:
-    """Rows get a key of their own, written with them, so that repeated ids stay apart."""
+    """Rows get a key of their own, written with them, so that repeated ids stay apart.
+
+    Rows that list no candidates meet the partitions of the tag table; no task or driver lists it.
+    """
     rows = materialize(asked.withColumn("_row", F.monotonically_increasing_id()), "asked")
     cells = rows.select("_row", "emb", F.posexplode("_asked").alias("cand_pos", "tag"))
     vectors = tags.select("tag", F.col("emb").alias("tag_emb"))
     pairs = skew_join(cells, vectors, ["tag"], how="left", spread_by=["_row", "cand_pos"])
+    pairs = pairs.select("_row", F.col("cand_pos").cast("long").alias("cand_pos"), "tag", "emb", "tag_emb")
+    unlisted = rows.where("_asked is null").select("_row", "emb")
+    if not unlisted.isEmpty():
+        every = tags.select(F.col("pos").cast("long").alias("cand_pos"), "tag", F.col("emb").alias("tag_emb"))
+        pairs = pairs.unionByName(unlisted.crossJoin(every))
     score = V.sigmoid(V.logit(V.dot("emb", "tag_emb"), logits))
     lists = pairs.select("_row", "cand_pos", "tag", score.alias("score")).groupBy("_row").agg(
         F.array_sort(F.collect_list(F.struct("cand_pos", "tag", "score"))).alias("_cells")

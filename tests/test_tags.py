@@ -95,6 +95,20 @@ def test_both_paths_agree_on_repeated_ids(spark):
     assert got[0] == got[1] and len(got[0]) == len(rows)
 
 
+def test_join_lists_the_tag_table_nowhere(spark, monkeypatch):
+    small = as_lists(scoring.tag_images(images(spark), tag_table(spark), "c", "t", by_join=False))
+
+    def refuse(tags):
+        raise AssertionError("the tag table is listed whole")
+
+    monkeypatch.setattr(scoring, "_all_tags", refuse)
+    monkeypatch.setattr(scoring, "_tag_rows", refuse)
+    assert as_lists(scoring.tag_images(images(spark), tag_table(spark), "c", "t", by_join=True)) == small
+    listed = images(spark).where("c is not null")
+    plan = scoring.tag_images(listed, tag_table(spark), "c", "t", by_join=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 @pytest.mark.parametrize("bad", [[[1.0], [0.0, 1.0, 1.0]], [[1.0, None, 0.0]]])
 def test_ragged_vectors_and_null_elements_are_errors(spark, bad):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(bad)], "image_id int, emb array<double>").coalesce(1)
