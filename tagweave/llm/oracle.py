@@ -30,6 +30,41 @@ def _licenses() -> str:
     """
 
 
+# The letters U+00C0 to U+00FF, and one ASCII character for each, so that a byte is a letter.
+_LATIN = "".join(map(chr, range(0xC0, 0x100)))
+_PLAIN = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c not in "'\\")[:64]
+
+
+def _spelling() -> str:
+    """All pairs of words by edit distance; crc32 byte by byte, with a table made from its polynomial."""
+    return rf"""
+    WITH RECURSIVE bits(i, k, c) AS (
+      SELECT i, 0, CAST(i AS BIGINT) FROM range(256) t(i)
+      UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY i) AS entries FROM bits WHERE k = 8),
+    found AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+    folded AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k FROM found GROUP BY 1, 2),
+    coded AS (SELECT *, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS code FROM folded),
+    hashed AS (
+      SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(code) // 2), lambda i: CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) AS h FROM coded, crc),
+    slipped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+    words AS MATERIALIZED (
+      SELECT word, CAST(sum(k) AS BIGINT) AS n, length(word) AS size, translate(word, '{_LATIN}', '{_PLAIN}') AS plain
+      FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+    near AS MATERIALIZED (
+      SELECT a.word, b.word AS other, b.n AS other_n FROM words a JOIN words b ON b.size BETWEEN a.size - 1 AND a.size + 1 AND a.word <> b.word AND levenshtein(a.plain, b.plain) = 1),
+    best AS (
+      SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS form, first(other_n ORDER BY other_n DESC, encode(other)) AS form_n FROM near GROUP BY word),
+    forms AS MATERIALIZED (
+      SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+    way(word, root) AS (SELECT word, word FROM forms UNION ALL SELECT w.word, f.form FROM way w JOIN forms f ON w.root = f.word WHERE f.form IS NOT NULL),
+    ends AS (SELECT w.word, w.root FROM way w JOIN forms f ON w.root = f.word WHERE f.form IS NULL)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+    """
+
+
+_TERMS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 SQL = {
@@ -79,4 +114,18 @@ SQL = {
     n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
     SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN n USING (vec_id)
     """,
+    "op11_spelling_variants": _spelling(),
+    "op13_ranked_search": rf"""
+    WITH p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY 1, 2),
+    docs AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY 1),
+    total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, total GROUP BY term, n_docs),
+    m AS (SELECT doc_id, 10 + (90 * n * n_docs) // n_terms AS m FROM docs, total),
+    q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+    s AS (
+      SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY 1, 2)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+    """,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, jaccard, licenses, phrases, pii, runindex, toxicity, urls, vectors
+from tagweave.llm import bpe, decontaminate, jaccard, licenses, phrases, pii, ranking, runindex, spelling, syncmers, toxicity, urls, vectors
 from tagweave.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -100,6 +100,19 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op12_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranking.build_index(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return ranking.search(index, table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("doc", "doc_id")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_run_length_index": op2_run_length_index,
@@ -111,4 +124,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_pii": op9_pii,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_syncmer_fingerprints": op12_syncmer_fingerprints,
+    "op13_ranked_search": op13_ranked_search,
 }
