@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tagweave.functions import vectors as V
 from tagweave.operators.arrow import matrix
-from tagweave.operators.skew import join_summary
+from tagweave.operators.skew import bounded
+from tagweave.session import materialize
 
 # One side of a block product has this many bytes at most. Every row is sent to as many block
 # pairs as there are blocks, so large blocks save shuffle. Nothing here depends on the cluster.
@@ -17,6 +18,14 @@ BLOCK_BYTES = 32 * 1024 * 1024
 # A product's last bits depend on the shape of its block, so similarities are rounded before
 # they are compared, and equal ones are decided by id.
 SIMILARITY_PLACES = 12
+# Cells are smaller than blocks, as small ones have narrow bounds.
+CELLS_PER_BLOCK = 8
+# Pivots have this many bytes at most, and all groups together this many cells.
+PIVOT_BYTES = 8 * 1024 * 1024
+MAX_FACTS = 100_000
+# Room for rounding in the bounds.
+ANGLE_MARGIN = 1e-7
+SIMILARITY_MARGIN = 1e-9
 # Rows of a block multiplied at a time, so that the similarities stay a small part of the memory.
 PRODUCT_ROWS = 256
 
@@ -63,40 +72,215 @@ def _block_best(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names)
 
 
-def _block_count(n: Column, dims: int, block_rows: int | None) -> Column:
-    if block_rows:
-        return F.ceil(n / F.lit(block_rows))
-    return F.greatest(F.ceil(n * F.lit(8 * dims) / F.lit(BLOCK_BYTES)), F.lit(1).cast("long"))
+class Layout:
+    """How texts and images of each group are dealt to blocks, and which blocks can hold a nearest text.
+
+    Vectors go to the cell of the pivot they are most like. A large cell is cut into blocks by id,
+    and neighbouring small ones share a block. Of a text cell the largest angle to its pivot and the range of lengths are known, which
+    bounds the similarity of an image to all of its texts.
+    """
+
+    def __init__(self, pivots: np.ndarray, owners: list[tuple], cells: list, block_rows: int):
+        self.pivots = pivots
+        lengths = np.linalg.norm(pivots, axis=1)
+        self.units = pivots / np.where(lengths > 0, lengths, 1.0)[:, None]
+        n = len(pivots)
+        self.own: dict[tuple, np.ndarray] = {}
+        for j, group in enumerate(owners):
+            self.own.setdefault(group, np.zeros(n, bool))[j] = True
+        self.facts: dict[tuple, dict[str, np.ndarray]] = {}
+        for r in cells:
+            kinds = ("angle", "longest", "shortest", "texts", "images")
+            facts = self.facts.setdefault(tuple(r["group"]), {k: np.zeros(n) for k in kinds})
+            for k in kinds:
+                facts[k][r["cell"]] = r[k] or 0
+        chain = self._chain()
+        for facts in self.facts.values():
+            for side in ("texts", "images"):
+                facts[f"{side}_first"], facts[f"{side}_blocks"] = _packed_cells(facts[side], chain, block_rows)
+
+    def _chain(self) -> list[int]:
+        """The cells, each followed by the most similar one that is left."""
+        left, chain = np.ones(len(self.units), bool), [0]
+        left[0] = False
+        while left.any():
+            alike = np.where(left, np.nan_to_num(self.units @ self.units[chain[-1]], nan=-2.0), -3.0)
+            chain.append(int(alike.argmax()))
+            left[chain[-1]] = False
+        return chain
+
+    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Cell, angle to its pivot and length of each vector, and cosines with all pivots."""
+        lengths = np.linalg.norm(vectors, axis=1)
+        cosines = vectors @ self.units.T / np.where(lengths > 0, lengths, 1.0)[:, None]
+        cell = np.where(np.isnan(cosines), -2.0, cosines).argmax(axis=1)
+        angle = np.arccos(np.clip(cosines[np.arange(len(cell)), cell], -1.0, 1.0))
+        return cell, angle, lengths, cosines
+
+    def block(self, group: tuple, cell: np.ndarray, ids: np.ndarray, side: str) -> np.ndarray:
+        facts = self.facts[group]
+        spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        return facts[f"{side}_first"][cell] + (spread % np.maximum(facts[f"{side}_blocks"][cell], 1).astype(np.uint64)).astype(np.int64)
+
+    def visits(self, group: tuple, images: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """Per image and cell, whether a text there may be as similar as the image's own text.
+
+        ``texts`` are the images' own; a missing one is not a number. So are the texts that are
+        pivots of this group, which give a bound as well. What is not a number excludes nothing.
+        """
+        facts = self.facts[group]
+        with np.errstate(invalid="ignore"):
+            _, _, lengths, cosines = self.nearest(images)
+            least = (images * texts).sum(axis=1)
+            least = np.where(np.isnan(least), -np.inf, least)
+            if group in self.own:
+                own = images @ self.pivots[self.own[group]].T
+                least = np.maximum(least, np.where(np.isnan(own), -np.inf, own).max(axis=1))
+            # The angle to a text is at least the angle to its pivot less that between the two.
+            gap = np.cos(np.maximum(np.arccos(np.clip(cosines, -1.0, 1.0)) - facts["angle"] - ANGLE_MARGIN, 0.0))
+            most = lengths[:, None] * np.where(gap >= 0, facts["longest"], facts["shortest"]) * gap
+            return (facts["texts"] > 0) & ~(most + SIMILARITY_MARGIN < least[:, None])
+
+
+def _packed_cells(sizes: np.ndarray, chain: list[int], block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block and number of blocks of each cell; cells along the chain share one while they fit."""
+    first, blocks = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+    block, held = -1, block_rows
+    for cell in chain:
+        n = int(sizes[cell])
+        if held + n > block_rows:
+            block, held = block + 1, 0
+        first[cell], blocks[cell] = block, max(-(-n // block_rows), 1)
+        block, held = block + blocks[cell] - 1, block_rows if blocks[cell] > 1 else held + n
+    return first, blocks
+
+
+def _per_group(batch: pa.RecordBatch, groups: list[str]) -> list[tuple[tuple, np.ndarray]]:
+    """The rows of each group of a batch; without groups all are of one."""
+    if not groups:
+        return [((0,), np.arange(batch.num_rows))]
+    found: dict[tuple, list[int]] = {}
+    for i, key in enumerate(zip(*(batch.column(g).to_pylist() for g in groups))):
+        found.setdefault(key, []).append(i)
+    return [(key, np.array(rows)) for key, rows in found.items()]
+
+
+def _layout(rows: DataFrame, groups: list[str], block_rows: int | None) -> Layout | None:
+    """The layout of ``rows``, or None if every group is one block. Pivots and facts per cell come to the driver."""
+    first = rows.where("img IS NOT NULL").select(F.size("img").alias("d")).first()
+    dims = max(first["d"], 1) if first else 1
+    block_rows = block_rows or max(BLOCK_BYTES // (8 * dims), 1)
+    largest, n_groups = rows.groupBy(*groups).agg(F.count("*").alias("n")).agg(F.max("n"), F.count("*")).first()
+    blocks = -(-(largest or 0) // block_rows)
+    if blocks <= 1:
+        return None
+    cells = min(CELLS_PER_BLOCK * blocks, max(PIVOT_BYTES // (8 * dims), 1), max(MAX_FACTS // n_groups, 1))
+    chosen = rows.where("txt IS NOT NULL").orderBy(F.xxhash64("id", *groups), "id").limit(cells).select(*groups, "txt").collect()
+    if not chosen:
+        return None  # and no text is sent anywhere
+    pivots, owners = np.array([r["txt"] for r in chosen]), [tuple(r[g] for g in groups) or (0,) for r in chosen]
+    return Layout(pivots, owners, _cell_facts(rows, groups, Layout(pivots, owners, [], 1)), block_rows)
+
+
+def _cell_facts(rows: DataFrame, groups: list[str], layout: Layout) -> list:
+    shared = rows.sparkSession.sparkContext.broadcast(layout)
+
+    def cell_of(vectors: pa.Array) -> pa.Array:
+        cell, angle, length, _ = shared.value.nearest(matrix(vectors))
+        columns = {"cell": pa.array(cell, pa.int32()), "angle": pa.array(angle), "length": pa.array(length)}
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
+
+    place = F.arrow_udf(cell_of, "struct<cell:int,angle:double,length:double>").asNondeterministic()
+    group = F.struct(*groups) if groups else F.struct(F.lit(0).alias("none"))
+    sides = []
+    for side in ("txt", "img"):
+        there = rows.where(F.col(side).isNotNull()).select(group.alias("group"), place(side).alias("at"))
+        is_text = F.lit(side == "txt")
+        sides.append(there.select("group", "at.cell", F.when(is_text, F.col("at.angle")).alias("angle"), F.when(is_text, F.col("at.length")).alias("length"), is_text.alias("is_text")))
+    facts = sides[0].unionByName(sides[1]).groupBy("group", "cell").agg(
+        F.max("angle").alias("angle"), F.max("length").alias("longest"), F.min("length").alias("shortest"),
+        F.count_if("is_text").alias("texts"), F.count_if(~F.col("is_text")).alias("images"),
+    )
+    return facts.collect()
+
+
+def _placed_images(rows: DataFrame, groups: list[str], layout: Layout) -> DataFrame:
+    """``(groups, id, img, _r, _c)``: the block of each image, once per text block that it has to see."""
+    shared = rows.sparkSession.sparkContext.broadcast(layout)
+
+    def place(batches):
+        for batch in batches:
+            plan = shared.value
+            images, texts = batch.column("img"), batch.column("txt")
+            image_rows, text_rows = matrix(images), matrix(texts)
+            if not text_rows.shape[1]:
+                text_rows = np.zeros_like(image_rows)
+            text_rows = np.where(texts.is_valid().to_numpy(zero_copy_only=False)[:, None], text_rows, np.nan)
+            ids = batch.column("id").to_numpy()
+            for key, at in _per_group(batch, groups):
+                facts = plan.facts[key]
+                own = plan.block(key, plan.nearest(image_rows[at])[0], ids[at], "images")
+                row, cell = np.nonzero(plan.visits(key, image_rows[at], text_rows[at]))
+                blocks = facts["texts_blocks"][cell]
+                row = np.repeat(row, blocks)
+                inside = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                # Cells that share a block are seen together.
+                row, seen = np.unique(np.stack([row, np.repeat(facts["texts_first"][cell], blocks) + inside]), axis=1)
+                part = batch.select([*groups, "id", "img"]).take(pa.array(at[row]))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own[row].astype(np.int32)), pa.array(seen.astype(np.int32))], names=[*groups, "id", "img", "_r", "_c"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    ddl = ", ".join([*(f"{g} {kinds[g]}" for g in groups), f"id {kinds['id']}", "img array<double>", "_r int", "_c int"])
+    return rows.where("img IS NOT NULL").select(*groups, "id", "img", "txt").mapInArrow(place, ddl)
+
+
+def _placed_texts(rows: DataFrame, groups: list[str], layout: Layout) -> DataFrame:
+    """``(groups, id, txt, _c)``: the block of each text."""
+    shared = rows.sparkSession.sparkContext.broadcast(layout)
+
+    def place(batches):
+        for batch in batches:
+            plan = shared.value
+            cell, ids = plan.nearest(matrix(batch.column("txt")))[0], batch.column("id").to_numpy()
+            block = np.zeros(len(ids), np.int32)
+            for key, at in _per_group(batch, groups):
+                block[at] = plan.block(key, cell[at], ids[at], "texts")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=[*groups, "id", "txt", "_c"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    ddl = ", ".join([*(f"{g} {kinds[g]}" for g in groups), f"id {kinds['id']}", "txt array<double>", "_c int"])
+    return rows.where("txt IS NOT NULL").select(*groups, "id", "txt").mapInArrow(place, ddl)
 
 
 def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
     """For each image, the most similar text of its group: ``(groups, id, best_id, best_sim)``.
 
-    ``rows`` is ``(groups, id, img, txt)``. Images and texts are hashed into blocks by id and
-    every block pair is one matrix product, so the memory of a task depends on the block size
-    alone and a group that holds most rows is spread over many tasks. Only one row per image
-    and block leaves a task.
+    ``rows`` is ``(groups, id, img, txt)``. Texts and images are dealt to blocks of similar vectors.
+    An image is at least as similar to its nearest text as to its own, so it is sent only to
+    blocks whose bound reaches that, and a pair of blocks that no image has to see is not formed.
+    The result is exact. Every pair of blocks is one matrix product, so the memory of a task depends
+    on the block size alone, a group that holds most rows is spread over many tasks, and an image
+    is sent to no more blocks than the texts of its group fill. Only one row per image and block
+    leaves a task.
 
     Similarities are compared at 12 decimal places and the lowest id wins a tie, so the result
     does not depend on the blocks. A null text is no candidate; a null image, or one in a group
     without texts, has no row here.
     """
-    # One row tells the width; an aggregate over sizes would read every vector.
-    first = rows.where("img IS NOT NULL").select(F.size("img").alias("d")).first()
-    sizes = rows.groupBy(*groups).agg(F.count("*").alias("_n"))
-    blocks = _block_count(F.col("_n"), first["d"] if first else 1, block_rows).cast("int")
-    sizes = sizes.select(*groups, blocks.alias("_blocks"))
-    keyed = join_summary(rows, sizes, groups)
-    own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    images = keyed.where("img IS NOT NULL").select(*groups, "id", "img", own.alias("_r"), every.alias("_c"))
-    # Aliases, so that the two sides of the same rows do not share column ids.
-    renewed = [F.col(c).alias(c) for c in [*groups, "id", "txt"]]
-    texts = keyed.where("txt IS NOT NULL").select(*renewed, own.alias("_c"), every.alias("_r"))
-    keys = [*groups, "_r", "_c"]
-
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join([f"{g} {kinds[g]}" for g in groups] + ["id bigint", "best_sim double", "best_id bigint"])
+    layout = _layout(rows, groups, block_rows)
+    if layout:
+        images = _placed_images(rows, groups, layout)
+        # A text goes to the image blocks that have an image for its block.
+        pairs = materialize(images.select(*groups, "_r", "_c").distinct(), "block_pairs")
+        texts = _placed_texts(rows, groups, layout).join(bounded(pairs), [*groups, "_c"]).select(*groups, "id", "txt", "_r", "_c")
+    else:
+        one = [F.lit(0).alias("_r"), F.lit(0).alias("_c")]
+        images = rows.where("img IS NOT NULL").select(*groups, "id", "img", *one)
+        # Aliases, so that the two sides of the same rows do not share column ids.
+        texts = rows.where("txt IS NOT NULL").select(*[F.col(c).alias(c) for c in [*groups, "id", "txt"]], *one)
+    keys = [*groups, "_r", "_c"]
     n_groups = len(groups)
 
     def product(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -113,14 +297,21 @@ def nearest_text(rows: DataFrame, groups: list[str], block_rows: int | None = No
     )
 
 
+def block_copies(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
+    """How often ``nearest_text`` ships each side, and how many text blocks there are, per group:
+    ``(groups, image_copies, n_images, text_blocks)``."""
+    images = _placed_images(rows, groups, _layout(rows, groups, block_rows))
+    return images.groupBy(*groups).agg(F.count("*").alias("image_copies"), F.count_distinct("id").alias("n_images"), F.count_distinct("_c").alias("text_blocks"))
+
+
 def recall_at_1(rows: DataFrame, groups: list[str], block_rows: int | None = None) -> DataFrame:
     """Share of images whose nearest text is their own, per group; a null image is a miss."""
     nearest = nearest_text(rows.select(*groups, "id", "img", "txt"), groups, block_rows)
-    hits = nearest.groupBy(*groups).agg(F.count_if(F.col("best_id") == F.col("id")).alias("_hits"))
-    sizes = rows.groupBy(*groups).agg(F.count("*").alias("n_images"))
-    joined = sizes.join(hits, groups, "left")
-    share = F.coalesce("_hits", F.lit(0)).cast("double") / F.col("n_images")
-    return joined.select(*groups, share.alias("recall_at_1"), "n_images")
+    # Hits and images are counted in one sum, so the two need no join.
+    hits = nearest.where(F.col("best_id") == F.col("id")).select(*groups, F.lit(1).alias("_hit"), F.lit(0).alias("_image"))
+    counted = hits.unionByName(rows.select(*groups, F.lit(0).alias("_hit"), F.lit(1).alias("_image")))
+    sums = counted.groupBy(*groups).agg(F.sum("_hit").alias("_hits"), F.sum("_image").alias("n_images"))
+    return sums.select(*groups, (F.col("_hits").cast("double") / F.col("n_images")).alias("recall_at_1"), "n_images")
 
 
 def _pos_beats_neg() -> Column:

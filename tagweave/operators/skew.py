@@ -13,10 +13,20 @@ HOT_SALTS = 64
 # Summary tables up to this many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 10_000
 
+# A side is broadcast up to this many bytes, counted or estimated from its rows.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 # Blocks of a hash order. A block is sorted in one task, so there are many: 10^10 rows make 10^4 per block.
 HASH_BLOCKS = 1 << 20
 
 
+def bounded(stored: DataFrame) -> DataFrame:
+    """A stored table of fixed-width columns and short texts, marked for broadcast if its bytes are few."""
+    width = 16 + sum(8 if f.dataType.simpleString() not in ("string", "binary") else 64 for f in stored.schema.fields)
+    most = BROADCAST_BYTES // width
+    return F.broadcast(stored) if stored.limit(most + 1).count() <= most else stored
+
+
 def hash_block(u: Column, blocks: int = HASH_BLOCKS) -> Column:
     """Block number that rises with a uniform draw: equal-sized blocks in draw order."""
     return F.floor(u * F.lit(blocks)).cast("long")

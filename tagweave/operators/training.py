@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from base64 import b64decode, b64encode
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,10 @@ from tagweave.operators.pairs import assign_batches
 from tagweave.operators.retrieval import evaluate
 from tagweave.session import materialize
 
-MAX_STEP_FOLDERS = 64
+# Tasks of the barrier stage. More of them speed up large steps only, and each exchange meets all.
+MAX_TASKS = 32
+# Vectors of the batches that one task steps through before the model goes on to the next task.
+RUN_BYTES = 64 * 1024 * 1024
 
 
 def pair_logit_loss(image: np.ndarray, text: np.ndarray, logits: Logits) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +104,9 @@ class AdamW:
     mean: dict[str, np.ndarray] = field(default_factory=dict)
     square: dict[str, np.ndarray] = field(default_factory=dict)
 
+    def copy(self) -> AdamW:
+        return replace(self, mean=dict(self.mean), square=dict(self.square))
+
     def update(self, weights: dict[str, np.ndarray], gradients: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         self.step += 1
         new = {}
@@ -126,20 +134,29 @@ def _behind_norm(slope: np.ndarray, unit: np.ndarray, lengths: np.ndarray) -> np
     return (slope - (slope * unit).sum(axis=-1, keepdims=True) * unit) / lengths
 
 
-def batch_gradients(
+def batch_factors(
     image: np.ndarray, text: np.ndarray, weights: dict[str, np.ndarray], logits: Logits
-) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Loss per batch and the sum of the batches' gradients, for rows shaped (batch, n, d)."""
+) -> tuple[np.ndarray, dict[str, tuple[np.ndarray, np.ndarray]]]:
+    """Loss per batch, for rows shaped (batch, n, d), and the factors of the gradients.
+
+    The gradient of a head, summed over the batches, is the transposed first factor times the second.
+    """
     i, i_len = _through_head(image, weights["image"])
     t, t_len = _through_head(text, weights["text"])
     loss, slope = pair_logit_loss(i, t, logits)
     at_image = _behind_norm(slope @ t, i, i_len)
     at_text = _behind_norm(slope.transpose(0, 2, 1) @ i, t, t_len)
     d = image.shape[-1]
-    return loss, {
-        "image": at_image.reshape(-1, d).T @ image.reshape(-1, d),
-        "text": at_text.reshape(-1, d).T @ text.reshape(-1, d),
-    }
+    flat = lambda m: m.reshape(-1, d)
+    return loss, {"image": (flat(at_image), flat(image)), "text": (flat(at_text), flat(text))}
+
+
+def batch_gradients(
+    image: np.ndarray, text: np.ndarray, weights: dict[str, np.ndarray], logits: Logits
+) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Loss per batch and the sum of the batches' gradients, for rows shaped (batch, n, d)."""
+    loss, factors = batch_factors(image, text, weights, logits)
+    return loss, {name: left.T @ right for name, (left, right) in factors.items()}
 
 
 def summed_gradients(
@@ -226,6 +243,173 @@ def identity_heads(rows: DataFrame) -> dict[str, np.ndarray]:
     return {name: np.eye(dims) for name in HEADS}
 
 
+@dataclass
+class Fit:
+    """Fitted heads, one entry per epoch, and ``steps (epoch, step, n_batches, loss)`` as a stored table."""
+
+    weights: dict[str, np.ndarray]
+    log: list[dict]
+    steps: DataFrame
+
+
+def _to_text(value) -> str:
+    return b64encode(pickle.dumps(value, protocol=5)).decode("ascii")
+
+
+def _from_text(text: str):
+    return pickle.loads(b64decode(text))
+
+
+def _add_messages(messages: list[str]) -> tuple[float, int, dict[str, np.ndarray]]:
+    total, count, sums = 0.0, 0, {}
+    for text in messages:  # in the order of the tasks, so that all of them add up alike
+        if not text:
+            continue
+        loss, n, parts = _from_text(text)
+        total, count = total + loss, count + n
+        for name, part in parts.items():
+            g = part[0] if len(part) == 1 else part[0].T @ part[1]
+            sums[name] = sums[name] + g if name in sums else g
+    return total, count, sums
+
+
+def _step_by_step(shared, n_steps: int, logits: Logits):
+    """A task of the barrier stage where a step has many batches: rows ``(kind, row, n, values)``.
+
+    Every task holds the heads and the optimiser. In each step it takes the gradient over its own
+    batches of the step, the tasks exchange their sums, and all make the same update. A sum is a
+    product of as many rows as its batches hold, so its factors are sent where they are smaller.
+    The first task returns the state and the losses.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import BarrierTaskContext
+
+        context = BarrierTaskContext.get()
+        weights, optimiser = shared.value
+        optimiser = optimiser.copy()
+        mine = _packed_steps(batches)
+        held = next(mine, None)
+        losses = []
+        for step in range(n_steps):
+            total, count, rows = 0.0, 0, {name: [] for name in HEADS}
+            while held is not None and held[0] == step:
+                loss, factors = batch_factors(held[1][None], held[2][None], weights, logits)
+                total, count = total + float(loss[0]), count + 1
+                for name, pair in factors.items():
+                    rows[name].append(pair)
+                held = next(mine, None)
+            messages = context.allGather(_to_text((total, count, {k: _smaller(v) for k, v in rows.items()})) if count else "")
+            loss, n, gradients = _add_messages(messages)
+            weights = optimiser.update(weights, {k: g / n for k, g in gradients.items()})
+            losses.append((step, n, loss / n))
+        if context.partitionId() == 0:
+            yield _loss_rows(losses)
+            yield from _model_rows(weights, optimiser)
+
+    return run
+
+
+def _in_turns(shared, tasks: int, logits: Logits):
+    """A task of the barrier stage where a step is one batch, with the same rows.
+
+    Such steps depend on each other one by one, so the batches stay where they are and the model
+    travels: a task makes the steps of its own run of batches and hands heads and optimiser on.
+    The last one returns the state, each the losses of its steps.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import BarrierTaskContext
+
+        context = BarrierTaskContext.get()
+        weights, optimiser = shared.value
+        optimiser = optimiser.copy()
+        losses = []
+        for turn in range(tasks):
+            message = ""
+            if turn == context.partitionId():
+                for step, images, texts in _packed_steps(batches):
+                    loss, gradients = batch_gradients(images[None], texts[None], weights, logits)
+                    weights = optimiser.update(weights, gradients)
+                    losses.append((step, 1, float(loss[0])))
+                message = _to_text((weights, optimiser))
+            if turn + 1 < tasks:
+                weights, optimiser = _from_text(context.allGather(message)[turn])
+        if losses:
+            yield _loss_rows(losses)
+        if context.partitionId() == tasks - 1:
+            yield from _model_rows(weights, optimiser)
+
+    return run
+
+
+def _loss_rows(losses: list[tuple[int, int, float]]) -> pa.RecordBatch:
+    numbers, counts, values = zip(*losses)
+    return _state_rows("step", numbers, counts, np.array(values)[:, None])
+
+
+def _model_rows(weights: dict[str, np.ndarray], optimiser: AdamW) -> Iterator[pa.RecordBatch]:
+    for kind, matrices in (("weights", weights), ("mean", optimiser.mean), ("square", optimiser.square)):
+        for name, m in matrices.items():
+            yield _state_rows(f"{kind}/{name}", range(len(m)), [optimiser.step] * len(m), m)
+
+
+def _state_rows(kind: str, numbers, counts, values: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([kind] * len(values)), pa.array(numbers, pa.int64()), pa.array(counts, pa.int64()), list_column(values)]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "row", "n", "values"])
+
+
+def _smaller(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    left, right = (np.concatenate(side) for side in zip(*pairs))
+    return (left, right) if 2 * len(left) < left.shape[1] else (left.T @ right,)
+
+
+def _packed_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The packed batches of a task, one at a time, in order of their steps."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            n = batch.column("n")[i].as_py()
+            images, texts = (np.asarray(batch.column(side)[i].values).reshape(n, -1) for side in ("img", "txt"))
+            yield batch.column("step")[i].as_py(), images, texts
+
+
+def train_epoch(
+    packed: DataFrame, n_batches: int, n_steps: int, weights: dict[str, np.ndarray], optimiser: AdamW, logits: Logits = Logits(), tasks: int | None = None
+) -> tuple[dict[str, np.ndarray], AdamW, DataFrame]:
+    """All steps of an epoch in one barrier stage; returns heads, optimiser and ``(step, n_batches, loss)``.
+
+    ``packed`` is ``(step, batch_id, n, img, txt)``. Tasks read their batches in order, one at a
+    time. Steps of many batches are dealt over all tasks, which exchange sums in each step. Steps
+    of one batch are made in runs, one run after the other. An exchange takes about a second, as
+    Spark polls for it, so it is made per step or per run and never per batch. If a task is lost the
+    stage starts again from the same state, and ends in the same one. All tasks run at once, so
+    there are no more than cores.
+    """
+    spark = packed.sparkSession
+    d = len(next(iter(weights.values())))
+    most = min(spark.sparkContext.defaultParallelism, MAX_TASKS, n_batches)
+    in_turns = n_steps == n_batches
+    if in_turns:
+        rows_of = packed.agg(F.max("n")).first()[0]
+        tasks = min(tasks or -(-n_batches * rows_of * 2 * d * 8 // RUN_BYTES), most)
+        place = F.floor(F.col("step") * F.lit(tasks) / F.lit(n_steps))
+    else:
+        tasks = min(tasks or most, most)
+        place = F.pmod("batch_id", F.lit(tasks))
+    dealt = packed.select("step", "batch_id", "n", "img", "txt").repartitionById(tasks, place.cast("int")).sortWithinPartitions("step", "batch_id")
+    shared = spark.sparkContext.broadcast((weights, optimiser))
+    run = _in_turns(shared, tasks, logits) if in_turns else _step_by_step(shared, n_steps, logits)
+    state = materialize(dealt.mapInArrow(run, "kind string, row long, n long, values array<double>", barrier=True), "epoch_state")
+    found: dict[str, dict[str, np.ndarray]] = {k: {name: np.zeros_like(m) for name, m in weights.items()} for k in ("weights", "mean", "square")}
+    for r in state.where("kind <> 'step'").collect():  # the heads and the optimiser
+        k, name = r["kind"].split("/")
+        found[k][name][r["row"]] = r["values"]
+    shared.unpersist()
+    after = replace(optimiser, step=optimiser.step + n_steps, mean=found["mean"], square=found["square"])
+    steps = state.where("kind = 'step'").select(F.col("row").alias("step"), F.col("n").alias("n_batches"), F.get("values", F.lit(0)).alias("loss"))
+    return found["weights"], after, steps
+
+
 def fit_heads(
     rows: DataFrame,
     epochs: int = fixed.NUM_EPOCHS,
@@ -235,14 +419,15 @@ def fit_heads(
     rate: float = fixed.LEARNING_RATE,
     seed: int = fixed.SEED,
     validate: bool = True,
-) -> tuple[dict[str, np.ndarray], list[dict]]:
-    """Fit a linear image head and text head on stored vectors; returns weights and epoch log.
-
-    ``rows`` is ``(split, id, img, txt, neg)``. Batches are drawn anew each epoch. An optimiser
-    step takes the mean gradient of all batches of the step, so ``steps_per_epoch`` trades
-    jobs against step size: None takes one step per batch, which is the rule of single-machine
-    training; on a large table a small number is the practical choice. The last weights are
-    returned, and the log lets the caller pick the best epoch.
+    tasks: int | None = None,
+) -> Fit:
+    """Fit a linear image head and text head on stored vectors.
+
+    ``rows`` is ``(split, id, img, txt, neg)``. Batches are drawn anew each epoch. An optimiser step
+    takes the mean gradient of its batches: one batch by default, which is the rule of
+    single-machine training, or more where ``steps_per_epoch`` makes fewer steps. An epoch is one
+    barrier stage, whatever the number of steps. The last weights are returned, and the log lets
+    the caller pick the best epoch.
     """
     train = rows.where("split = 'train'").select("id", "img", "txt")
     valid = rows.where("split = 'valid'")
@@ -251,27 +436,22 @@ def fit_heads(
         raise ValueError("no rows in the train split")
     weights = identity_heads(train)
     optimiser = AdamW(rate=rate)
-    steps = n_batches if steps_per_epoch is None else min(steps_per_epoch, n_batches)
-    log = []
+    n_steps = n_batches if steps_per_epoch is None else min(steps_per_epoch, n_batches)
+    log, steps = [], None
     for epoch in range(1, epochs + 1):
         drawn = assign_batches(train.withColumn("epoch", F.lit(epoch)), ["epoch"], "id", batch_size, seed)
-        packed = pack_batches(drawn, [])
-        packed = packed.withColumn("step", F.pmod("batch_id", F.lit(steps)).cast("int"))
-        # Written by step, so that a step reads its own folder and no more.
-        stored = materialize(packed, "epoch", ["step"] if steps <= MAX_STEP_FOLDERS else None)
-        total, count = 0.0, 0
-        for step in range(steps):
-            mine = stored.where(F.col("step") == step).select("n", "img", "txt")
-            loss, n, gradients = summed_gradients(mine, weights, logits)
-            weights = optimiser.update(weights, {k: g / n for k, g in gradients.items()})
-            total, count = total + loss, count + n
-        entry = {"epoch": epoch, "loss": total / count}
+        packed = pack_batches(drawn, []).withColumn("step", F.pmod("batch_id", F.lit(n_steps)).cast("long"))
+        weights, optimiser, done = train_epoch(materialize(packed, "epoch"), n_batches, n_steps, weights, optimiser, logits, tasks)
+        done = done.select(F.lit(epoch).alias("epoch"), "step", "n_batches", "loss")
+        steps = done if steps is None else steps.unionByName(done)
+        mean = done.agg((F.sum(F.col("loss") * F.col("n_batches")) / F.sum("n_batches")).alias("loss")).first()["loss"]
+        entry = {"epoch": epoch, "loss": mean}
         if validate:
             m = evaluate(apply_heads(valid, weights), ["split"]).first()
             entry["valid_recall_at_1"] = m["recall_at_1"] if m else None
             entry["valid_triplet_accuracy"] = m["triplet_accuracy"] if m else None
         log.append(entry)
-    return weights, log
+    return Fit(weights, log, steps)
 
 
 def log_frame(spark, log: list[dict]) -> DataFrame:

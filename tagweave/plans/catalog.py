@@ -25,9 +25,6 @@ SAMPLE_SIZE = 100
 FIRST_IMAGES = 100
 TRAINABLE_PARTS = ["en_model.src1", "fr_model.src"]
 RUN_ID = "run-1"
-FIT_EPOCHS = fixed.NUM_EPOCHS
-# Steps of an epoch; each takes the mean gradient of its batches.
-FIT_STEPS = 4
 
 
 def _r(c: Column | str, places: int = 6) -> Column:
@@ -136,7 +133,7 @@ def run_params(spark: SparkSession, d: str) -> DataFrame:
 
 
 def register_head(spark: SparkSession, d: str) -> DataFrame:
-    weights = training.weight_rows(spark, _fitted(spark, d)[0])
+    weights = training.weight_rows(spark, inputs.fitted(spark, d).weights)
     registered = runs.register_head(weights, inputs.model_versions(spark, d), "READY", RUN_ID)
     stored = materialize(registered, "heads", ["version"])
     return stored.select("version", "status", "run_id", "head", "row", F.size("weights").alias("dims"))
@@ -522,27 +519,13 @@ def contrastive_loss(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _epoch_losses(spark: SparkSession, d: str) -> DataFrame:
-    train = inputs.baseline_rows(spark, d).where("split = 'train'").select("id", "img", "txt")
-    epochs = F.explode(F.sequence(F.lit(1), F.lit(fixed.NUM_EPOCHS))).alias("epoch")
-    batched = pairs.assign_batches(train.select("*", epochs), ["epoch"], "id")
-    return training.epoch_loss(training.contrastive_loss(batched, ["epoch"]), ["epoch"])
+    return training.epoch_loss(inputs.fitted(spark, d).steps, ["epoch"])
 
 
 def epoch_loss(spark: SparkSession, d: str) -> DataFrame:
     return _epoch_losses(spark, d).withColumn("loss", _r("loss"))
 
 
-_FITTED: dict[tuple[str, str], tuple] = {}
-
-
-def _fitted(spark: SparkSession, d: str) -> tuple:
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _FITTED:
-        rows = inputs.baseline_rows(spark, d)
-        _FITTED[key] = training.fit_heads(rows, epochs=FIT_EPOCHS, steps_per_epoch=FIT_STEPS)
-    return _FITTED[key]
-
-
 def head_gradient(spark: SparkSession, d: str) -> DataFrame:
     """Loss and both gradient sums at identity heads, over all train batches, one row per cell."""
     rows = inputs.baseline_rows(spark, d).where("split = 'train'").select("split", "id", "img", "txt")
@@ -554,7 +537,19 @@ def head_gradient(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fit_heads(spark: SparkSession, d: str) -> DataFrame:
-    return training.log_frame(spark, _fitted(spark, d)[1])
+    log = training.log_frame(spark, inputs.fitted(spark, d).log)
+    return log.withColumns({c: _r(c) for c in ("loss", "valid_recall_at_1", "valid_triplet_accuracy")})
+
+
+def fit_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Every optimiser step of the fit, with the loss of its batch before the update."""
+    return inputs.fitted(spark, d).steps.withColumn("loss", _r("loss"))
+
+
+def fitted_heads(spark: SparkSession, d: str) -> DataFrame:
+    """The heads after the last step, one row per cell."""
+    rows = training.weight_rows(spark, inputs.fitted(spark, d).weights)
+    return rows.select("head", "row", F.posexplode("weights").alias("col", "value")).withColumn("value", _r("value"))
 
 
 QUERIES: dict[str, Query] = {
@@ -569,6 +564,6 @@ QUERIES: dict[str, Query] = {
         batch_infer_sql, tag_image_files, predict_requests, encode_response, flatten_results, response_preview, top_scores_per_image, tag_score_counts, tag_counts,
         tags_per_image, parse_embeddings, embedding_dims, parse_metrics, first_n_images, similar_images, similar_results, recall_at_1, recall_at_1_copies,
         triplet_accuracy, evaluate_splits, metric_delta, best_epoch, running_best, trainable_share, latest_version,
-        recent_versions, assign_batches, contrastive_loss, epoch_loss, head_gradient, fit_heads,
+        recent_versions, assign_batches, contrastive_loss, epoch_loss, head_gradient, fit_heads, fit_steps, fitted_heads,
     )
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagweave.functions import tags as T
 from tagweave.functions import vectors as V
 from tagweave.functions.numbers import int_div
-from tagweave.operators import analytics, pairs, scoring
+from tagweave.operators import analytics, pairs, scoring, training
 from tagweave.session import materialize, new_path
 from tagweave.sources import tables
 
@@ -105,7 +105,7 @@ def image_vectors(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def triplets(spark: SparkSession, d: str, own_weight: float = 1.0) -> DataFrame:
+def triplets(spark: SparkSession, d: str) -> DataFrame:
     """``(image_id, img, pos, neg)``: the text of an image is its vector mixed with the next one's.
 
     The negative is the text of the image before. Ids wrap around; an image without a
@@ -121,8 +121,7 @@ def triplets(spark: SparkSession, d: str, own_weight: float = 1.0) -> DataFrame:
     rows = rows.join(before, F.pmod(F.col("image_id") - 1, F.col("_n")) == F.col("before_id"), "left")
 
     def text(own: Column, other: Column) -> Column:
-        mixed = F.zip_with(own, other, lambda x, y: F.lit(own_weight) * x + y)
-        return V.l2_normalize(mixed)
+        return V.l2_normalize(F.zip_with(own, other, lambda x, y: x + y))
 
     img = F.col("img")
     return rows.select(
@@ -133,29 +132,38 @@ def triplets(spark: SparkSession, d: str, own_weight: float = 1.0) -> DataFrame:
     )
 
 
-def evaluation_rows(spark: SparkSession, d: str, own_weight: float = 1.0) -> DataFrame:
+def evaluation_rows(spark: SparkSession, d: str) -> DataFrame:
     """``(split, id, img, txt, neg)``; the train split has no negatives."""
-    rows = triplets(spark, d, own_weight).withColumn("split", pairs.assign_split("image_id"))
+    rows = triplets(spark, d).withColumn("split", pairs.assign_split("image_id"))
     neg = F.when(F.col("split") != "train", F.col("neg"))
     return rows.select("split", F.col("image_id").alias("id"), "img", F.col("pos").alias("txt"), neg.alias("neg"))
 
 
-def phase_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Evaluation rows before and after: the texts of the final phase are closer to their image.
+def baseline_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Evaluation rows before training. Stored, as encoded vectors would be, because every metric reads them again."""
+    return written_once(spark, d, "baseline_rows", lambda: materialize(evaluation_rows(spark, d), "baseline_rows"))
 
-    Stored, as encoded vectors would be, because every metric reads them again.
-    """
 
-    def write() -> DataFrame:
-        before = evaluation_rows(spark, d).withColumn("phase", F.lit("baseline"))
-        after = evaluation_rows(spark, d, own_weight=2.0).withColumn("phase", F.lit("final"))
-        return materialize(before.unionByName(after), "phase_rows", ["phase"])
+_FITTED: dict[tuple[str, str], training.Fit] = {}
 
-    return written_once(spark, d, "phase_rows", write)
 
+def fitted(spark: SparkSession, d: str) -> training.Fit:
+    """Heads fitted on the train split, one step per batch."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        _FITTED[key] = training.fit_heads(baseline_rows(spark, d))
+    return _FITTED[key]
 
-def baseline_rows(spark: SparkSession, d: str) -> DataFrame:
-    return phase_rows(spark, d).where("phase = 'baseline'").drop("phase")
+
+def phase_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Evaluation rows before training, and the same behind the fitted heads."""
+
+    def write() -> DataFrame:
+        before = baseline_rows(spark, d)
+        after = training.apply_heads(before, fitted(spark, d).weights).withColumn("phase", F.lit("final"))
+        return materialize(before.withColumn("phase", F.lit("baseline")).unionByName(after), "phase_rows", ["phase"])
+
+    return written_once(spark, d, "phase_rows", write)
 
 
 def tag_table(spark: SparkSession, d: str) -> DataFrame:

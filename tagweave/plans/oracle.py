@@ -30,6 +30,94 @@ def _sigmoid(x: str) -> str:
     return f"(1.0 / (1.0 + exp(-({x}))))"
 
 
+def _unit(vector: str) -> str:
+    return f"list_transform({vector}, lambda x: x / sqrt(list_dot_product({vector}, {vector})))"
+
+
+# --- training, one row of state per step ------------------------------------------------------
+
+
+def _turned(matrix: str, width: str) -> str:
+    return f"list_transform(range(1, {width} + 1), lambda k: list_transform({matrix}, lambda row: row[k]))"
+
+
+def _each_cell(matrices: list[str], value: str) -> str:
+    """A matrix of ``value``, where e[1], e[2] ... are the cells of the matrices."""
+    rows = ", ".join(f"q[{i}]" for i in range(1, len(matrices) + 1))
+    return f"list_transform(list_zip({', '.join(matrices)}), lambda q: list_transform(list_zip({rows}), lambda e: {value}))"
+
+
+def _step_sql() -> str:
+    """The state after a step from the one before: gradients of a batch and an AdamW update, written out."""
+    sign, rate = "CASE WHEN i = j THEN 1.0 ELSE -1.0 END", fixed.LEARNING_RATE
+
+    def through(rows: str, head: str) -> str:
+        return f"list_transform({rows}, lambda x: list_transform({head}, lambda w: list_dot_product(w, x)))"
+
+    def slopes(factors: str, others: str) -> str:
+        return f"list_transform({factors}, lambda s: list_transform({_turned(others, 'd')}, lambda c: list_dot_product(c, s)))"
+
+    def behind_norm(slope: str, unit: str, raw: str) -> str:
+        cell = "(e[1] - list_dot_product(q[1], q[2]) * e[2]) / sqrt(list_dot_product(q[3], q[3]))"
+        return f"list_transform(list_zip({slope}, {unit}, {raw}), lambda q: list_transform(list_zip(q[1], q[2]), lambda e: {cell}))"
+
+    def gradient(slope: str, turned_rows: str) -> str:
+        return f"list_transform({_turned(slope, 'd')}, lambda g: list_transform({turned_rows}, lambda c: list_dot_product(c, g)))"
+
+    def update(side: str) -> str:
+        mean, square = "e[2] / (1.0 - pow(0.9, now))", "e[3] / (1.0 - pow(0.999, now))"
+        return _each_cell([f"w{side}", f"m{side}2", f"v{side}2"], f"e[1] * (1.0 - {rate} * 0.01) - {rate} * ({mean}) / (sqrt({square}) + 1e-8)")
+
+    log_sigmoid = "least(x, 0.0) - ln(1.0 + exp(-abs(x)))"
+    logit = f"{sign} * ({SCALE} * list_dot_product(u, v) - {BIAS})"
+    steps = [
+        f"f.*, b.t AS now, b.epoch AS of_epoch, d, n, xt, yt, {through('xs', 'wi')} AS pi, {through('ys', 'wt')} AS pt",
+        f"*, list_transform(pi, lambda p: {_unit('p')}) AS ui, list_transform(pt, lambda p: {_unit('p')}) AS ut",
+        f"*, list_transform(ui, lambda u, i: list_transform(ut, lambda v, j: {logit})) AS z",
+        f"*, list_avg(flatten(list_transform(z, lambda row: list_transform(row, lambda x: -({log_sigmoid}))))) AS now_loss, "
+        f"list_transform(z, lambda row, i: list_transform(row, lambda x, j: -({sign}) / (1.0 + exp(x)) * {SCALE} / (n * n))) AS slope",
+        f"*, {slopes('slope', 'ut')} AS gi, {slopes(_turned('slope', 'n'), 'ui')} AS gt",
+        f"*, {behind_norm('gi', 'ui', 'pi')} AS bi, {behind_norm('gt', 'ut', 'pt')} AS bt",
+        f"*, {gradient('bi', 'xt')} AS di, {gradient('bt', 'yt')} AS dt",
+        "*, " + ", ".join(
+            f"{_each_cell([m + side, 'd' + side], f'{keep} * e[1] + (1.0 - {keep}) * {new}')} AS {m}{side}2"
+            for side in "it" for m, keep, new in (("m", 0.9, "e[2]"), ("v", 0.999, "e[2] * e[2]"))
+        ),
+        f"now, of_epoch, now_loss, {update('i')}, {update('t')}, mi2, mt2, vi2, vt2",
+    ]
+    source = "fit f JOIN step_inputs b ON b.t = f.t + 1"
+    for step in steps:
+        source = f"(SELECT {step} FROM {source})"
+    return source[1:-1]
+
+
+def _training_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
+    square = "list_transform(range(1, d + 1), lambda r: list_transform(range(1, d + 1), lambda c: {} :: DOUBLE))"
+    eye, zero = square.format("(CASE WHEN r = c THEN 1.0 ELSE 0.0 END)"), square.format("0.0")
+    return {
+        "epochs": (
+            ("triplets",),
+            "SELECT epoch, image_id, img, pos, (row_number() OVER (PARTITION BY epoch ORDER BY "
+            + _u("epoch", "image_id")
+            + f", image_id) - 1) // {fixed.BATCH_SIZE} AS batch_id FROM triplets, range(1, {fixed.NUM_EPOCHS + 1}) r(epoch) "
+            "WHERE split = 'train'",
+        ),
+        "step_rows": (
+            ("epochs",),
+            "SELECT row_number() OVER (ORDER BY epoch, batch_id) AS t, epoch, batch_id, len(first(img)) AS d, count(*) AS n, "
+            "list(img ORDER BY image_id) AS xs, list(pos ORDER BY image_id) AS ys FROM epochs GROUP BY epoch, batch_id",
+        ),
+        "step_inputs": (("step_rows",), f"SELECT *, {_turned('xs', 'd')} AS xt, {_turned('ys', 'd')} AS yt FROM step_rows"),
+        "fit": (
+            ("step_inputs",),
+            "SELECT 0 :: BIGINT AS t, 0 :: BIGINT AS epoch, 0.0 :: DOUBLE AS loss, "
+            f"{eye} AS wi, {eye} AS wt, {zero} AS mi, {zero} AS mt, {zero} AS vi, {zero} AS vt FROM (SELECT max(d) AS d FROM step_inputs) "
+            f"UNION ALL {_step_sql()}",
+        ),
+        "heads": (("fit",), "SELECT wi, wt FROM fit ORDER BY t DESC LIMIT 1"),
+    }
+
+
 # --- shared common table expressions, each named once and listed with what it needs -----------
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -94,18 +182,30 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "mixed": (
         ("around",),
-        "SELECT phase, image_id, e AS img, "
-        "list_transform(list_zip(e, coalesce(nxt, e)), lambda p: w * p[1] + p[2]) AS pos0, "
-        "list_transform(list_zip(coalesce(prv, e), e), lambda p: w * p[1] + p[2]) AS neg0 "
-        "FROM around, (VALUES ('baseline', 1.0), ('final', 2.0)) phases(phase, w)",
+        "SELECT image_id, e AS img, list_transform(list_zip(e, coalesce(nxt, e)), lambda p: p[1] + p[2]) AS pos0, "
+        "list_transform(list_zip(coalesce(prv, e), e), lambda p: p[1] + p[2]) AS neg0 FROM around",
     ),
-    "phase_rows": (
+    "triplets": (
         ("mixed",),
-        "SELECT phase, " + _split("image_id") + " AS split, image_id, img, "
-        "list_transform(pos0, lambda x: x / sqrt(list_dot_product(pos0, pos0))) AS pos, "
-        "list_transform(neg0, lambda x: x / sqrt(list_dot_product(neg0, neg0))) AS neg FROM mixed",
+        "SELECT " + _split("image_id") + f" AS split, image_id, img, {_unit('pos0')} AS pos, {_unit('neg0')} AS neg FROM mixed",
+    ),
+    **_training_ctes(),
+    "phase_rows": (
+        ("triplets", "heads"),
+        "SELECT 'baseline' AS phase, * FROM triplets UNION ALL SELECT 'final', split, image_id, "
+        + ", ".join(f"{_unit('p_' + c)} AS {c}" for c in ("img", "pos", "neg"))
+        + " FROM (SELECT split, image_id, "
+        + ", ".join(f"list_transform({w}, lambda w: list_dot_product(w, {c})) AS p_{c}" for c, w in (("img", "wi"), ("pos", "wt"), ("neg", "wt")))
+        + " FROM triplets, heads)",
+    ),
+    "seen": (
+        ("fit", "triplets"),
+        "SELECT epoch, image_id, list_transform(wi, lambda w: list_dot_product(w, img)) AS img0, "
+        + _unit("list_transform(wt, lambda w: list_dot_product(w, pos))")
+        + " AS pos, list_cosine_similarity(list_transform(wi, lambda w: list_dot_product(w, img)), list_transform(wt, lambda w: list_dot_product(w, pos))) > "
+        "list_cosine_similarity(list_transform(wi, lambda w: list_dot_product(w, img)), list_transform(wt, lambda w: list_dot_product(w, neg))) AS win, "
+        "img0 AS img FROM triplets, (SELECT epoch, arg_max(wi, t) AS wi, arg_max(wt, t) AS wt FROM fit WHERE t > 0 GROUP BY epoch) WHERE split = 'valid'",
     ),
-    "triplets": (("phase_rows",), "SELECT * FROM phase_rows WHERE phase = 'baseline'"),
     "nearest": (
         ("phase_rows",),
         "SELECT a.phase, a.split, a.image_id, arg_max(b.image_id, list_dot_product(a.img, b.pos)) AS best_id "
@@ -154,20 +254,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         + _u("split", "image_id")
         + f", image_id) - 1) // {fixed.BATCH_SIZE} AS batch_id FROM triplets",
     ),
-    "epochs": (
-        ("triplets",),
-        "SELECT epoch, image_id, img, pos, (row_number() OVER (PARTITION BY epoch ORDER BY "
-        + _u("epoch", "image_id")
-        + f", image_id) - 1) // {fixed.BATCH_SIZE} AS batch_id FROM triplets, range(1, {fixed.NUM_EPOCHS + 1}) r(epoch) "
-        "WHERE split = 'train'",
-    ),
-    "epoch_losses": (
-        ("epochs",),
-        "SELECT epoch, avg(loss) AS loss, count(*) AS n_batches FROM (SELECT a.epoch, a.batch_id, "
-        "avg(-(least(z, 0.0) - ln(1.0 + exp(-abs(z))))) AS loss FROM (SELECT a.epoch, a.batch_id, "
-        f"CASE WHEN a.image_id = b.image_id THEN 1.0 ELSE -1.0 END * ({SCALE} * list_cosine_similarity(a.img, b.pos) - {BIAS}) AS z "
-        "FROM epochs a JOIN epochs b ON a.epoch = b.epoch AND a.batch_id = b.batch_id) a GROUP BY ALL) GROUP BY epoch",
-    ),
+    "epoch_losses": (("fit",), "SELECT epoch, avg(loss) AS loss, count(*) AS n_batches FROM fit WHERE t > 0 GROUP BY epoch"),
     "byte_counts": (
         (),
         "SELECT doc_id, bucket, count(*) AS n FROM (SELECT doc_id, CAST('0x' || b AS INTEGER) % 64 AS bucket FROM "
@@ -203,7 +290,7 @@ def _with(body: str, *needs: str) -> str:
 
     for name in needs:
         add(name)
-    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in order) + " " + body
+    return "WITH RECURSIVE " + ", ".join(f"{n} AS {'' if n == 'fit' else 'MATERIALIZED '}({CTES[n][1]})" for n in order) + " " + body
 
 
 def _override_sql() -> str:
@@ -561,6 +648,23 @@ SQL: dict[str, str] = {
     "epoch_loss": _with(
         "SELECT CAST(epoch AS INTEGER) AS epoch, round(loss, 6) AS loss, n_batches FROM epoch_losses", "epoch_losses"
     ),
+    "fit_heads": _with(
+        "SELECT CAST(epoch AS INTEGER) AS epoch, round(l.loss, 6) AS loss, round(avg(CAST(best_id = image_id AS DOUBLE)), 6) AS valid_recall_at_1, "
+        "round(avg(CAST(win AS DOUBLE)), 6) AS valid_triplet_accuracy FROM (SELECT a.epoch, a.image_id, any_value(a.win) AS win, "
+        "arg_max(b.image_id, list_dot_product(a.img, b.pos)) AS best_id FROM seen a JOIN seen b USING (epoch) GROUP BY a.epoch, a.image_id) "
+        "JOIN epoch_losses l USING (epoch) GROUP BY epoch, l.loss",
+        "seen",
+        "epoch_losses",
+    ),
+    "fit_steps": _with(
+        "SELECT CAST(s.epoch AS INTEGER) AS epoch, batch_id AS step, CAST(1 AS BIGINT) AS n_batches, round(loss, 6) AS loss FROM fit JOIN step_rows s USING (t)",
+        "fit",
+    ),
+    "fitted_heads": _with(
+        "SELECT head, CAST(r - 1 AS INTEGER) AS row, CAST(c - 1 AS INTEGER) AS col, round(w[r][c], 6) AS value FROM "
+        "(SELECT 'image' AS head, wi AS w FROM heads UNION ALL SELECT 'text', wt FROM heads), range(1, 65) a(r), range(1, 65) b(c)",
+        "heads",
+    ),
     "head_gradient": _gradient_sql(),
     "register_head": "SELECT CAST((SELECT max(o_orderkey) + 1 FROM orders) AS VARCHAR) AS version, 'READY' AS status, 'run-1' AS run_id, "
     "head, CAST(row AS INTEGER) AS row, 64 AS dims FROM (VALUES ('image'), ('text')) h(head), range(0, 64) r(row)",

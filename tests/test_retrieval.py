@@ -114,3 +114,48 @@ def test_null_and_nan_vectors_never_win(spark):
     df = spark.createDataFrame(data, "id long, img array<double>, txt array<double>").withColumn("g", F.lit("all"))
     assert {r["id"]: r["best_id"] for r in retrieval.nearest_text(df, ["g"]).collect()} == {1: 3, 2: 3, 4: 3}
     assert tuple(retrieval.recall_at_1(df, ["g"]).first()) == ("all", 0.0, 4)
+
+
+def clustered(spark, n=1200, d=24, clusters=12, noise=0.02, seed=6):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, d))
+    img = centres[np.arange(n) % clusters] + noise * rng.normal(size=(n, d))
+    txt = img + noise * rng.normal(size=(n, d))
+    txt[: n // 4] = centres[0]  # a large group of equal texts
+    img, txt = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (img, txt))
+    data = [("all", i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(img, txt))]
+    return spark.createDataFrame(data, "split string, id long, img array<double>, txt array<double>"), img, txt
+
+
+def test_blocks_that_cannot_hold_the_nearest_text_are_not_visited(spark):
+    df, img, txt = clustered(spark)
+    for block_rows in (40, 100):
+        got = {r["id"]: r["best_id"] for r in retrieval.nearest_text(df, ["split"], block_rows).collect()}
+        assert [got[i] for i in range(1200)] == np.round(img @ txt.T, 12).argmax(axis=1).tolist()
+        r = retrieval.block_copies(df, ["split"], block_rows).first()
+        blocks = -(-1200 // block_rows)
+        assert r["n_images"] == 1200 and r["text_blocks"] >= blocks // 2
+        assert r["image_copies"] / r["n_images"] < 0.6 * blocks, (r, blocks)
+        print(block_rows, r, blocks)
+
+
+def test_bounds_of_short_long_and_missing_vectors(spark):
+    """Random lengths, zero vectors, missing texts and no groups, against the full product."""
+    rng = np.random.default_rng(8)
+    img, txt = rng.normal(size=(400, 3)), rng.normal(size=(400, 3)) * rng.choice([0.0, 0.01, 1.0, 30.0], size=(400, 1))
+    txt[::9] = img[::9]
+    data = [(i, None if i % 17 == 5 else a.tolist(), None if i % 13 == 4 else b.tolist()) for i, (a, b) in enumerate(zip(img, txt))]
+    df = spark.createDataFrame(data, "id long, img array<double>, txt array<double>")
+    sims = np.round(img @ txt.T, 12)
+    sims[:, np.arange(400) % 13 == 4] = -np.inf
+    want = {i: int(sims[i].argmax()) for i in range(400) if i % 17 != 5}
+    for block_rows in (None, 10, 50):
+        assert {r["id"]: r["best_id"] for r in retrieval.nearest_text(df, [], block_rows).collect()} == want
+    assert retrieval.nearest_text(df.limit(0), []).count() == 0
+    assert retrieval.nearest_text(df.withColumn("txt", F.lit(None).cast("array<double>")), []).count() == 0
+
+
+def test_recall_with_a_constant_group_has_no_join(spark):
+    df, *_ = rows(spark)
+    plan = retrieval.recall_at_1(df.withColumn("split", F.lit("all")), ["split"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -73,21 +73,28 @@ def test_gradients_equal_differences():
                 assert gradient[name][i, j] == pytest.approx((up - down) / 2e-6, abs=1e-6)
 
 
-def test_one_step_per_batch_is_sequential_training(spark):
+@pytest.mark.parametrize("tasks", [1, 3, 8])
+def test_one_step_per_batch_is_sequential_training(spark, tasks):
     df, img, txt, split = make(spark)
-    weights, log = training.fit_heads(df, epochs=2, batch_size=16, rate=0.01, validate=False)
+    fit = training.fit_heads(df, epochs=2, batch_size=16, rate=0.01, validate=False, tasks=tasks)
+    weights, log = fit.weights, fit.log
     ids = [i for i in range(45) if split[i] == "train"]
     heads, optimiser, losses = {"image": np.eye(5), "text": np.eye(5)}, training.AdamW(rate=0.01), []
+    every = {}
     for epoch in (1, 2):
         epoch_losses = []
-        for members in batches_of(ids, epoch, 16):
+        for step, members in enumerate(batches_of(ids, epoch, 16)):
             loss, g = training.batch_gradients(img[members][None], txt[members][None], heads, LOGITS)
             epoch_losses.append(loss[0])
+            every[epoch, step] = loss[0]
             heads = optimiser.update(heads, g)
         losses.append(np.mean(epoch_losses))
     np.testing.assert_allclose(weights["image"], heads["image"], atol=1e-9)
     np.testing.assert_allclose(weights["text"], heads["text"], atol=1e-9)
     assert [e["loss"] for e in log] == pytest.approx(losses)
+    steps = {(r["epoch"], r["step"]): (r["n_batches"], r["loss"]) for r in fit.steps.collect()}
+    assert len(steps) == len(every) == fit.steps.count()
+    assert all(steps[k][0] == 1 and steps[k][1] == pytest.approx(loss) for k, loss in every.items())
 
 
 def test_adamw_first_step():
@@ -98,7 +105,8 @@ def test_adamw_first_step():
 
 def test_loss_falls_and_log_is_complete(spark):
     df, *_ = make(spark)
-    weights, log = training.fit_heads(df, epochs=3, batch_size=8, steps_per_epoch=2, rate=0.05)
+    fit = training.fit_heads(df, epochs=3, batch_size=8, steps_per_epoch=2, rate=0.05)
+    weights, log = fit.weights, fit.log
     assert log[-1]["loss"] < log[0]["loss"]
     frame = training.log_frame(spark, log)
     assert frame.count() == 3 and frame.where("valid_recall_at_1 is null").count() == 0
@@ -119,3 +127,26 @@ def test_heads_keep_missing_negatives(spark):
 def test_epoch_loss_weighs_batches_equally(spark):
     losses = spark.createDataFrame([(1, 0, 8, 1.0), (1, 1, 2, 3.0)], "epoch int, batch_id long, n int, loss double")
     assert training.epoch_loss(losses, ["epoch"]).first()["loss"] == 2.0
+
+
+def test_steps_of_several_batches_take_their_mean(spark):
+    """Dense sums and factors are exchanged; the number of jobs does not depend on that of the steps."""
+    df, img, txt, split = make(spark)
+    ids = [i for i in range(45) if split[i] == "train"]
+    heads, optimiser = {"image": np.eye(5), "text": np.eye(5)}, training.AdamW(rate=0.01)
+    parts = batches_of(ids, 1, 2)
+    for step in range(4):
+        sums = [training.batch_gradients(img[m][None], txt[m][None], heads, LOGITS)[1] for m in parts[step::4]]
+        heads = optimiser.update(heads, {k: sum(g[k] for g in sums) / len(sums) for k in heads})
+    fit = training.fit_heads(df, epochs=1, batch_size=2, steps_per_epoch=4, rate=0.01, validate=False)
+    np.testing.assert_allclose(fit.weights["image"], heads["image"], atol=1e-9)
+    np.testing.assert_allclose(fit.weights["text"], heads["text"], atol=1e-9)
+    assert {r["n_batches"] for r in fit.steps.collect()} == {4, 5}
+
+    def jobs(**settings):
+        spark.sparkContext.setJobGroup("counted", "")
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+        training.fit_heads(df, epochs=1, validate=False, **settings)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+
+    assert jobs(batch_size=1) == jobs(batch_size=8)
