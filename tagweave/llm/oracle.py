@@ -92,7 +92,7 @@ SQL = {
       SELECT node AS a, regexp_extract(CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN starts_with(l, '//') THEN regexp_extract(url, '(?s)^(.*?):', 1) || ':' || l
         WHEN starts_with(l, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || l
         ELSE rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/') || '/' || l END, '(?s)^([^#]*)', 1) AS b
-      FROM link WHERE l <> ''),
+      FROM (SELECT url, node, replace(l, '&amp;', '&') AS l FROM link) WHERE l <> ''),
     ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
     reach(a, b) AS (SELECT a, a FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
     rules(action, host, path) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),

@@ -60,8 +60,8 @@ def resolve(base: Column, link: Column) -> Column:
 
 
 def links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """Edges ``(a, b)`` from a page to its redirect target and its canonical URL."""
-    found = F.array(*[F.regexp_extract(F.col(html_col), p, 1) for p in (_CANONICAL, _REFRESH)])
+    """Edges ``(a, b)`` from a page to its redirect targets and canonical URLs; a page may name several."""
+    found = F.flatten(F.array(*[F.regexp_extract_all(F.col(html_col), F.lit(p), F.lit(1)) for p in (_CANONICAL, _REFRESH)]))
     # Looking for both words first spares most pages the patterns.
     asks = F.lower(html_col).rlike("canonical|refresh")
     rows = pages.where(asks & F.col(url_col).contains("://")).select(F.col(url_col).alias("u"), F.explode(found).alias("l")).where("l <> ''")
@@ -83,7 +83,8 @@ def judge(
     read from the pages. A URL that a rule fits gets that verdict. Any other takes one from the
     URLs it is linked to, whether these are pages or not: allow if a rule allows one of them,
     else block if a rule blocks one, else ``default``. A null URL, or one without ``://``, has an
-    empty host and path and gets ``default``. Repeated rows and null ids are judged alike.
+    empty host and path and gets ``default``. Repeated rows and null ids are judged alike; an empty
+    table gives no rows, and URLs and pages of any length are read whole. Other columns are dropped.
     """
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"))
     rows = rows.withColumns({"host": host_of(F.col("_url")), "path": path_of(F.col("_url"))})
@@ -97,9 +98,10 @@ def judge(
     hit = rule_for(host_of(F.col("node")), path_of(F.col("node")), rules)
     decided = member.select("component", hit["action"].alias("action")).where("action is not null")
     verdicts = decided.groupBy("component").agg(F.min("action").alias("passed_on"))  # allow sorts before block
-    aliases = member.join(verdicts, "component").select(F.col("node").alias("_node"), "passed_on")
+    aliases = member.join(verdicts, "component").select(F.col("node").alias("_alias"), "passed_on")
 
-    # Only URLs without a rule look for one; the aliases have one row per node.
-    rows = rows.withColumn("_node", F.when(F.col("_hit").isNull(), node_of(F.col("_url"))))
-    rows = rows.join(aliases, "_node", "left")
-    return rows.select(*own, F.coalesce("_hit.action", "passed_on", F.lit(default)).alias("verdict"))
+    # Only URLs without a rule look for one, and meet the shuffle; the aliases have one row per node.
+    ruled = rows.where("_hit is not null").select(*own, F.col("_hit.action").alias("verdict"))
+    asking = rows.where("_hit is null").withColumn("_node", node_of(F.col("_url")))
+    asking = asking.join(aliases, F.coalesce("_node", F.concat(F.lit(" "), F.xxhash64("_id").cast("string"))) == aliases["_alias"], "left")
+    return ruled.unionByName(asking.select(*own, F.coalesce("passed_on", F.lit(default)).alias("verdict")))

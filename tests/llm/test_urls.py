@@ -80,3 +80,48 @@ def test_edges_as_a_table_and_empty_pages(spark):
     assert {r.page_id: r.verdict for r in urls.judge(pages, "page_id", "url", RULES, edges).collect()} == {1: "block", 2: "allow"}
     assert urls.judge(pages.limit(0), "page_id", "url", RULES, edges).count() == 0
     assert [r.verdict for r in urls.judge(pages, "page_id", "url", RULES, default="block").collect()] == ["block"] * 2
+
+
+def several(spark):
+    two = canon("http://q.test/1") + canon("http://bad.net/2") + '<meta http-equiv=refresh content="0;url=/r?a&amp;b"><meta http-equiv=refresh content="1; url=http://good.org/fr/3">'
+    pages = [
+        page(1, "http://m.test/two", two.replace("http://good.org/fr/3", "http://q.test/3")), page(2, "http://m.test/r?a&b"), page(3, "http://q.test/1"),
+        page(4, "http://n.test/both", two), page(5, "http://n.test/" + "x" * 50_000, canon("http://n.test/both")), page(6, "http://n.test/plain", "y" * 3_000_000 + canon("http://bad.net/")),
+        page(7, None, canon("http://bad.net/")), page(7, None, canon("http://bad.net/")), page(8, "", two),
+    ]
+    return spark.createDataFrame(pages, "page_id long, url string, html string")
+
+
+def canon(u):
+    return f'<link rel="canonical" href="{u}">'
+
+
+def test_every_link_of_a_page_counts_as_in_the_sql(spark):
+    import duckdb
+
+    from tagweave.llm.oracle import SQL
+
+    df = several(spark)
+    got = urls.judge(df, "page_id", "url", RULES, html_col="html")
+    con = duckdb.connect()
+    con.register("pages", df.toArrow())
+    want = con.execute(SQL["op7_redirect_equivalence"]).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in got.collect())
+    verdicts = {r.page_id: r.verdict for r in got.collect()}
+    # All are of one group over q.test/1, and allow takes precedence there.
+    assert verdicts[1] == verdicts[4] == verdicts[5] == "allow"
+
+
+def test_two_canonical_links_pass_on_a_block(spark):
+    df = spark.createDataFrame([page(1, "http://m.test/a", canon("http://q.test/1") + canon("http://bad.net/2"))], "page_id long, url string, html string")
+    assert [r.verdict for r in urls.judge(df, "page_id", "url", RULES, html_col="html").collect()] == ["block"]
+
+
+def test_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    df = several(spark)
+    odd = df.withColumns({c: F.lit(None).cast("string") for c in ("host", "path", "rule", "verdict", "_id", "_url", "node", "component", "a", "_hit", "_node", "_alias", "passed_on")})
+    judged = lambda x: sorted(map(repr, (tuple(r) for r in urls.judge(x, "page_id", "url", RULES, html_col="html").collect())))
+    assert judged(odd) == judged(df)
+    assert urls.judge(odd.limit(0), "page_id", "url", RULES, html_col="html").count() == 0
