@@ -23,7 +23,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return written
 
 
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A scan of a table. Rows go to Python in batches of bounded bytes, as texts may be long."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound) == "67108864b":  # the default
+        spark.conf.set(bound, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

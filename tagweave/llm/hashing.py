@@ -34,9 +34,13 @@ def _powers(n: int, base: int = BASE) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+KEPT_POWERS = 1 << 17  # powers that are kept between batches, 1 MB
+
+
 def powers(n: int, inverse: bool = False) -> np.ndarray:
+    base = pow(BASE, -1, 1 << 64) if inverse else BASE
     size = 1 << max(10, (n - 1).bit_length())
-    return _powers(size, pow(BASE, -1, 1 << 64) if inverse else BASE)[:n]
+    return _powers(size, base)[:n] if size <= KEPT_POWERS else _powers.__wrapped__(n, base)
 
 
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ WINDOW = 20  # words of a passage that counts as repeated
 ANCHOR = 5  # words of a sampled phrase; a window holds WINDOW - ANCHOR + 1 of them
 PIECE = 2000  # windows of a passage that go into an automaton as one pattern
 SHARD_CHARS = 1_000_000  # characters of the patterns of one automaton
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 256 << 10  # text that is hashed at a time
 BROADCAST_ROWS = 200_000
 NO_ID = -(2**63)  # stands for a null id, which comes before all others
 
