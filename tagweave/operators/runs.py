@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagweave.operators.retrieval import metric_rows
@@ -66,6 +68,55 @@ def register_head(weights: DataFrame, versions: DataFrame, status: str, run_id:
     )
 
 
+def claim_version(spark: SparkSession, registry: str, newest: int = 0) -> int:
+    """Take the next version number in the folder ``registry``; of two takers each gets its own.
+
+    A version is taken by making its marker file, which the file system does for one caller only.
+    Whoever comes second tries the next number, so numbers rise but may have gaps after a
+    failure. ``newest`` is the highest version known from elsewhere.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(registry)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    taken = [s.getPath().getName() for s in store.listStatus(folder)]
+    version = max([newest, *(int(name[1:]) for name in taken if name[:1] == "v" and name[1:].isdigit())]) + 1
+    while not _made(jvm, store, jvm.org.apache.hadoop.fs.Path(folder, f"v{version}")):
+        version += 1
+    return version
+
+
+def _made(jvm, store, marker) -> bool:
+    """Make an empty file unless it is there, in one step of the file system."""
+    if store.getScheme() == "file":  # whose Hadoop client looks first and creates then
+        try:
+            os.close(os.open(marker.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        store.create(marker, False).close()
+    except Py4JJavaError:
+        if store.exists(marker):
+            return False
+        raise
+    return True
+
+
+def publish_head(weights: DataFrame, versions: DataFrame, registry: str, status: str, run_id: str) -> DataFrame:
+    """Store weights under a version of their own and return that version's rows, as ``register_head`` does.
+
+    ``registry`` holds a marker per version and the weights below ``heads``, one folder each.
+    """
+    spark = weights.sparkSession
+    newest = versions.agg(F.coalesce(F.max(F.expr(VERSION_ORDER)), F.lit(0)).alias("v")).first()["v"]
+    version = claim_version(spark, registry, newest)
+    rows = weights.select(F.lit(str(version)).alias("version"), F.lit(status).alias("status"), F.lit(run_id).alias("run_id"), *weights.columns)
+    path = f"{registry}/heads/{version}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def best_epoch(log: DataFrame, groups: list[str]) -> DataFrame:
     """First epoch with the highest recall; null if recall never rises above zero."""
     key = F.when(F.col("recall") > 0, F.struct(F.col("recall"), (-F.col("epoch")).alias("order")))

@@ -16,6 +16,7 @@ from tagweave.operators.skew import spread
 from tagweave.plans import inputs
 from tagweave.session import materialize, new_path
 from tagweave.sources import captions as caption_source
+from tagweave.sources import files as file_source
 from tagweave.sources import images as image_source
 from tagweave.sources import tables
 
@@ -103,11 +104,11 @@ def ingest_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return inputs.stored_pairs(spark, d)
+    return inputs.write_pairs(spark, d)
 
 
 def write_results(spark: SparkSession, d: str) -> DataFrame:
-    results = inputs.stored_results(spark, d)
+    results = inputs.write_results(spark, d)
     decoded = results.select("filename", F.from_json("tags", fixed.TAGS_DDL).alias("tags"), "metrics_json")
     return decoded.select("filename", "metrics_json", F.inline("tags"))
 
@@ -119,6 +120,10 @@ def run_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_params(spark: SparkSession, d: str) -> DataFrame:
+    return _params(spark, d, RUN_ID)
+
+
+def _params(spark: SparkSession, d: str, run_id: str) -> DataFrame:
     rows = inputs.image_vectors(spark, d).select(pairs.assign_split("image_id").alias("split"))
     params = {
         "base_model": "stored_vectors",
@@ -129,13 +134,30 @@ def run_params(spark: SparkSession, d: str) -> DataFrame:
         "trainable_layers": fixed.TRAINABLE_LAYERS,
         "loss_function": fixed.LOSS_NAME,
     }
-    return runs.run_params(pairs.split_counts_wide(rows), RUN_ID, params)
+    return runs.run_params(pairs.split_counts_wide(rows), run_id, params)
+
+
+def logged_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics of three runs, appended one after the other; the second is first cut short and then repeated."""
+    metrics = materialize(retrieval.evaluate(inputs.phase_rows(spark, d), ["phase", "split"]), "metrics")
+    path, losses = new_path(spark, "run_metrics"), _epoch_losses(spark, d)
+    whole = {run: runs.run_metrics(metrics, losses, run).withColumn("value", _r("value")) for run in ("run-1", "run-2", "run-3")}
+    for run, rows in (("run-1", whole["run-1"]), ("run-2", whole["run-2"].where("step <= 2")), ("run-3", whole["run-3"]), ("run-2", whole["run-2"])):
+        tables.append_runs(rows, path)
+    return tables.scan_runs(spark, path, whole["run-1"].schema)
+
+
+def logged_params(spark: SparkSession, d: str) -> DataFrame:
+    """Parameters of two runs; the first is logged twice."""
+    path = new_path(spark, "run_params")
+    for run in ("run-1", "run-2", "run-1"):
+        tables.append_runs(_params(spark, d, run), path)
+    return tables.scan_runs(spark, path, _params(spark, d, "run-1").schema)
 
 
 def register_head(spark: SparkSession, d: str) -> DataFrame:
     weights = training.weight_rows(spark, inputs.fitted(spark, d).weights)
-    registered = runs.register_head(weights, inputs.model_versions(spark, d), "READY", RUN_ID)
-    stored = materialize(registered, "heads", ["version"])
+    stored = runs.publish_head(weights, inputs.model_versions(spark, d), new_path(spark, "registry"), "READY", RUN_ID)
     return stored.select("version", "status", "run_id", "head", "row", F.size("weights").alias("dims"))
 
 
@@ -312,17 +334,18 @@ def tag_many_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tag_image_files(spark: SparkSession, d: str) -> DataFrame:
-    """From listed files to tags. Spark's sinks name their files, so the listing is made of the documents.
+    """From a folder of files to tags: files of five kinds are written, then listed, read and tagged.
 
-    A document's bytes are a file's content, its id gives the extension, and every eleventh file is
-    empty: it is flagged and gets no tags. Files of other kinds are left out by the same rule as in a scan.
+    A document's bytes are a file's content and its id gives the extension, so that only some are
+    images. Every eleventh file is empty: it is listed, flagged and gets no tags.
     """
     kinds = F.array(*[F.lit(k) for k in ("jpg", "PNG", "txt", "JpEg", "mp4")])
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit("."), F.get(kinds, F.pmod("doc_id", F.lit(5)).cast("int")))
     content = F.when(F.pmod("doc_id", F.lit(11)) != 0, F.col("text")).otherwise(F.lit("")).cast("binary")
     docs = spread(inputs.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    files = docs.select(name.alias("filename"), content.alias("content"))
-    images = files.where(image_source.has_extension(F.col("filename"), fixed.IMAGE_EXTENSIONS))
+    folder = new_path(spark, "image_files")
+    file_source.write_files(docs.select(name.alias("filename"), content.alias("content")), folder)
+    images = file_source.scan_files(spark, folder)
     answers = scoring.predict(image_source.build_requests(images, None), inputs.tag_table(spark, d), encoders.byte_histogram(), "filename")
     tags = F.from_json(F.get_json_object("prediction.tags_json", "$.tags"), fixed.TAGS_DDL)
     rows = answers.select("filename", "load_ok", F.posexplode_outer(tags).alias("pos", "t"))
@@ -556,7 +579,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         scan_captions, scan_images, scan_split, scan_results, typed_pairs, build_requests, load_with_placeholder,
-        resume_ingest, ingest_outcomes, write_pairs, write_results, run_metrics, run_params, register_head, row_counts,
+        resume_ingest, ingest_outcomes, write_pairs, write_results, run_metrics, run_params, logged_metrics, logged_params, register_head, row_counts,
         captions_by_image, caption_totals, eligible_images, sample_images, image_paths, captions_of_loaded,
         sample_negatives, assign_split, split_counts, split_counts_wide, pair_preview, distinct_categories,
         l2_normalize, dot_product, cosine_similarity, pair_scores, base64_roundtrip, encode_texts, pluggable_encoder,

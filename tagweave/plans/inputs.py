@@ -80,15 +80,17 @@ def pair_table(spark: SparkSession, d: str) -> DataFrame:
     return pairs.build_pairs(captions(spark, d), images(spark, d), usable_images(spark, d), IMAGE_ROOT)
 
 
-def stored_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """The pair table, stored by split."""
+def write_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Overwrite the pair table, stored by split; later queries read what was written last."""
+    stored = tables.save_table(
+        pair_table(spark, d), _table_name("training_image_text_pairs", d), new_path(spark, "pairs"), ["split"]
+    )
+    _WRITTEN[spark.sparkContext.applicationId, d, "pairs"] = stored
+    return stored.select(*pairs.PAIR_COLUMNS)
 
-    def write() -> DataFrame:
-        return tables.save_table(
-            pair_table(spark, d), _table_name("training_image_text_pairs", d), new_path(spark, "pairs"), ["split"]
-        )
 
-    return written_once(spark, d, "pairs", write).select(*pairs.PAIR_COLUMNS)
+def stored_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return written_once(spark, d, "pairs", lambda: write_pairs(spark, d)).select(*pairs.PAIR_COLUMNS)
 
 
 def _table_name(name: str, d: str) -> str:
@@ -204,15 +206,16 @@ def responses(spark: SparkSession, d: str) -> DataFrame:
     return written_once(spark, d, "responses", write)
 
 
-def stored_results(spark: SparkSession, d: str) -> DataFrame:
-    def write() -> DataFrame:
-        return tables.save_table(
-            analytics.flatten_results(responses(spark, d)),
-            _table_name("image_inference_results", d),
-            new_path(spark, "results"),
-        )
+def write_results(spark: SparkSession, d: str) -> DataFrame:
+    """Overwrite the result table; later queries read what was written last."""
+    flat = analytics.flatten_results(responses(spark, d))
+    stored = tables.save_table(flat, _table_name("image_inference_results", d), new_path(spark, "results"))
+    _WRITTEN[spark.sparkContext.applicationId, d, "results"] = stored
+    return stored
 
-    return written_once(spark, d, "results", write)
+
+def stored_results(spark: SparkSession, d: str) -> DataFrame:
+    return written_once(spark, d, "results", lambda: write_results(spark, d))
 
 
 # --- logs, versions and parameters ------------------------------------------------------------

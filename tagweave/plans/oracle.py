@@ -670,3 +670,5 @@ SQL: dict[str, str] = {
     "head, CAST(row AS INTEGER) AS row, 64 AS dims FROM (VALUES ('image'), ('text')) h(head), range(0, 64) r(row)",
 }
 SQL["batch_infer_sql"] = SQL["predict_requests"]
+SQL["logged_metrics"] = f"SELECT r.run_id, m.* EXCLUDE (run_id) FROM ({SQL['run_metrics']}) m, (VALUES ('run-1'), ('run-2'), ('run-3')) r(run_id)"
+SQL["logged_params"] = f"SELECT r.run_id, m.* EXCLUDE (run_id) FROM ({SQL['run_params']}) m, (VALUES ('run-1'), ('run-2')) r(run_id)"

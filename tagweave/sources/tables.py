@@ -22,6 +22,20 @@ def save_table(df: DataFrame, table: str, path: str | None = None, partition_by:
     return df.sparkSession.table(table)
 
 
+def append_runs(rows: DataFrame, path: str, key: str = "run_id") -> None:
+    """Add the rows of one or more runs to the table at ``path``, in place of what these runs had there.
+
+    The table is stored by run, and only the folders of the runs at hand are written anew: other
+    runs stay as they are, and a run that is repeated, also after a failure, is not there twice.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def scan_runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All runs of a table. The schema is stated, since keys come back from folder names."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def scan_split(table: DataFrame, split: str) -> DataFrame:
     """One split. On a table partitioned by split this reads that folder only."""
     return table.where(F.col("split") == split)
