@@ -30,10 +30,10 @@ VERIFY_COST = 20.0  # cost of a verification in list entries
 SKETCH_BITS = 20  # counters of the frequency sketch, 4 MB whatever the input
 SKETCH_CHUNK = 1 << 14
 BLOCK_ROWS = 1024  # sets of a side that are compared in one task
-BLOCK_TOKENS = 4_000_000
-CHUNK_BYTES = 2 << 20  # text that is hashed at a time
-BUCKET_KEYS = 4_000_000  # prefix tokens that one task counts
-PLACED = ["hub", "size_class", "i", "j", "asks", "rep", "n", "ell"]
+BLOCK_TOKENS = 1_000_000
+CHUNK_BYTES = 256 << 10  # text that is hashed at a time
+BUCKET_KEYS = 1_000_000  # prefix tokens that one task counts
+PLACED = ["hub", "size_class", "i", "j", "asks", "rep", "n", "ell", "home"]
 BROADCAST_ROWS = 200_000
 
 
@@ -208,15 +208,16 @@ def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -
     used = shared.join(small(chosen), "rep").where("level <= ell")
 
     # Sets of linked sizes fall into the same or neighbouring size classes; each enters its own
-    # and the next one, so that every pair that can link meets in one.
+    # and, as a guest, the next one. Every pair that can link meets where one of them is at home.
     step = math.log(100 / percent)
     own = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
-    used = used.select("token", "rep", "n", "ell", F.explode(F.array(own, own + 1)).alias("size_class"))
-    used = materialize(used, "used")
+    used = used.select("token", "rep", "n", "ell", F.posexplode(F.array(own, own + 1)).alias("guest", "size_class"))
+    used = materialize(used.select("token", "rep", "n", "ell", "size_class", (F.col("guest") == 0).alias("home")), "used")
     # Lists with the same least member are compared together.
-    hubs = used.groupBy("token", "size_class").agg(F.min("rep").alias("hub"), F.count("*").alias("k")).where("k > 1").drop("k")
+    hubs = used.groupBy("token", "size_class").agg(F.min("rep").alias("hub"), F.count("*").alias("k"), F.bool_or("home").alias("home"))
+    hubs = hubs.where("k > 1 and home").drop("k", "home")
     hubs = materialize(hubs, "hubs")
-    members = used.join(hubs, ["token", "size_class"]).select("hub", "size_class", "rep", "n", "ell").distinct()
+    members = used.join(hubs, ["token", "size_class"]).select("hub", "size_class", "rep", "n", "ell", "home").distinct()
     members = materialize(members, "members")
 
     sizes = members.groupBy("hub", "size_class").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
@@ -232,7 +233,9 @@ def _links(texts: DataFrame, reps: DataFrame, size: int, percent: int, sketch) -
     # Prefixes tell which sets of a group are candidates; only those are read whole.
     kept = materialize(_with_candidates(placed, reps.select("rep", "prefix"), percent), "candidates")
     # Candidates may meet in several groups, and are counted in the least of them.
-    meets = kept.select("rep", _group().alias("g")).distinct().groupBy("rep").agg(F.array_sort(F.collect_list("g")).alias("meets"))
+    meets = kept.select("rep", _group().alias("g"), "home").distinct().groupBy("rep").agg(
+        F.collect_list("g").alias("meets"), F.collect_list(F.when(~F.col("home"), F.col("g"))).alias("visits")
+    )
     facts = materialize(reps.select("rep", "first_id", "m").join(meets, "rep"), "facts")
     bodies = _bodies(texts, facts.select("first_id").distinct(), size, sketch)
     return materialize(_compare(kept.join(facts, "rep"), bodies, percent), "links")
@@ -287,10 +290,11 @@ def _with_candidates(placed: DataFrame, prefixes: DataFrame, percent: int) -> Da
     def run(group: pa.Table) -> pa.Table:
         prefix = [np.asarray(x, np.int64).view(np.uint64) for x in group.column("prefix").to_pylist()]
         ask = group.column("asks").to_numpy(zero_copy_only=False)
-        kept = candidate_rows(prefix, group.column("rep").to_numpy(), group.column("n").to_numpy(), group.column("ell").to_numpy(), ask, percent)
+        home = group.column("home").to_numpy(zero_copy_only=False)
+        kept = candidate_rows(prefix, group.column("rep").to_numpy(), group.column("n").to_numpy(), group.column("ell").to_numpy(), ask, percent, home)
         return group.select(PLACED).filter(pa.array(kept))
 
-    kinds = {"hub": "long", "rep": "long", "asks": "boolean"}
+    kinds = {"hub": "long", "rep": "long", "asks": "boolean", "home": "boolean"}
     ddl = ", ".join(f"{c} {kinds.get(c, 'int')}" for c in PLACED)
     return placed.join(prefixes, "rep").groupBy("hub", "size_class", "i", "j").applyInArrow(run, ddl)
 
@@ -302,10 +306,11 @@ def _compare(placed: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
         once = np.unique(np.rec.fromarrays([rep, asks]), return_index=True)[1]
         group, rep, asks = group.take(pa.array(once)), rep[once], asks[once]
         here = group.column("g")[0].as_py()
-        earlier = [np.asarray([g for g in gs if g < here], np.int64) for gs in group.column("meets").to_pylist()]
+        earlier, visited = ([np.asarray([g for g in gs if g < here], np.int64) for gs in group.column(c).to_pylist()] for c in ("meets", "visits"))
+        home = group.column("home").to_numpy(zero_copy_only=False)
         first, m = group.column("first_id").to_numpy(), group.column("m").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("body").to_pylist()]
-        a, b, k = count_links(sets, group.column("ell").to_numpy(), asks, percent, rep, m, earlier)
+        a, b, k = count_links(sets, group.column("ell").to_numpy(), asks, percent, rep, m, (earlier, visited), home)
         some = np.flatnonzero(k)
         none = lambda n: pa.nulls(n, pa.int64())
         edges, counts = (none(len(a)), pa.array(first[a]), pa.array(first[b]), none(len(a))), (pa.array(rep[some]), none(len(some)), none(len(some)), pa.array(k[some]))
@@ -351,18 +356,30 @@ def _candidates(overlaps: Overlaps, x: int, others: np.ndarray, n: np.ndarray, e
 
 
 def candidate_rows(
-    prefixes: list[np.ndarray], rep: np.ndarray, n: np.ndarray, ell: np.ndarray, asks: np.ndarray, percent: int
+    prefixes: list[np.ndarray], rep: np.ndarray, n: np.ndarray, ell: np.ndarray, asks: np.ndarray, percent: int, home: np.ndarray
 ) -> np.ndarray:
-    """Which sets are candidates of another one; a set that asks and is told is not its own."""
+    """Which sets are candidates of another one; a set that asks and is told is not its own.
+
+    Two guests are not compared: both are at home in one other size class.
+    """
     overlaps, n = Overlaps(prefixes), n.astype(np.int64)
     told, kept = np.flatnonzero(~asks), np.zeros(len(n), bool)
     for x in np.flatnonzero(asks).tolist():
-        found = _candidates(overlaps, x, told[rep[told] != rep[x]], n, ell, percent)
+        found = _candidates(overlaps, x, told[(rep[told] != rep[x]) & (home[told] | home[x])], n, ell, percent)
         kept[found] = True
         kept[x] = len(found) > 0
     return kept
 
 
+def _common(lists: Overlaps, x: int, others: np.ndarray) -> np.ndarray:
+    """How many entries list ``x`` has in common with each other list; any may be empty."""
+    out = np.zeros(len(others), np.int64)
+    at = np.flatnonzero(lists.n[others])
+    if lists.n[x] and len(at):
+        out[at] = lists.of(x, lists.n[x], others[at], lists.n[others[at]])
+    return out
+
+
 def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links found between sets that ask and sets that are told, less those that close a cycle."""
     return count_links(bodies, ell, asks, percent)[:2]
@@ -370,19 +387,22 @@ def compare_sets(bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, pe
 
 def count_links(
     bodies: list[np.ndarray], ell: np.ndarray, asks: np.ndarray, percent: int,
-    rep: np.ndarray | None = None, m: np.ndarray | None = None, earlier: list[np.ndarray] | None = None,
+    rep: np.ndarray | None = None, m: np.ndarray | None = None,
+    earlier: tuple[list[np.ndarray], list[np.ndarray]] | None = None, home: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links between sets that ask and sets that are told: edges without cycles, and per set the
     ``m`` of those it links with.
 
-    Where classes ``rep`` ask and are told, a pair is compared once. A pair with a common group in
-    ``earlier`` has been counted there.
+    Where classes ``rep`` ask and are told, a pair is compared once, and two guests are not.
+    ``earlier`` lists the groups of each set that come before this one, and those of them where
+    it is a guest: a pair with a common group of which one is at home has been counted there.
     """
     overlaps = Overlaps(bodies)
     n = overlaps.n
     rep = np.arange(len(n)) if rep is None else rep
     m = np.ones(len(n), np.int64) if m is None else m
-    groups = Overlaps(earlier) if earlier is not None and any(map(len, earlier)) else None
+    home = np.ones(len(n), bool) if home is None else home
+    groups, guests = (Overlaps(lists) if any(map(len, lists)) else None for lists in earlier or ([], []))
     # Both rows of a class that asks and is told have one label.
     label = np.unique(rep, return_inverse=True)[1]
     counts = np.zeros(len(n), np.int64)
@@ -390,15 +410,15 @@ def count_links(
     told = np.flatnonzero(~asks)
     both = np.isin(rep, rep[asks]) & np.isin(rep, rep[told])
     for x in np.flatnonzero(asks).tolist():
-        others = told[(rep[told] != rep[x]) & ~(both[x] & both[told] & (rep[told] < rep[x]))]
+        others = told[(rep[told] != rep[x]) & (home[told] | home[x]) & ~(both[x] & both[told] & (rep[told] < rep[x]))]
         some = _candidates(overlaps, x, others, n, ell, percent)
         if not len(some):
             continue
         shared = overlaps.of(x, n[x], some, n[some])
         some = some[100 * shared >= percent * (n[x] + n[some] - shared)]
         new = np.ones(len(some), bool)
-        if groups is not None and groups.n[x] and len(at := np.flatnonzero(groups.n[some])):
-            new[at] = groups.of(x, groups.n[x], some[at], groups.n[some[at]]) == 0
+        if groups is not None:
+            new = _common(groups, x, some) == (_common(guests, x, some) if guests else 0)
         counts[x] += m[some[new]].sum()
         counts[some[new]] += m[x]
         for y in some[label[some] != label[x]].tolist():

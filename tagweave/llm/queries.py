@@ -22,7 +22,7 @@ URL_RULES: list[urls.Rule] = [
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.link(table(spark, sf_dir, "documents"), "doc_id", "text")
-    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "n_links")
 
 
 def op2_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
