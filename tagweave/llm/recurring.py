@@ -18,8 +18,8 @@ from tagweave.llm.common import materialize
 from tagweave.llm.hashing import mix
 
 KEY_BITS = 48  # of a phrase hash; two phrases with one key only cost a comparison
-PACK_KEYS = 1_000_000  # phrases that a task packs together
-BUCKET_TEXT = 64 << 20  # characters of text whose keys one task counts
+PACK_KEYS = 250_000  # phrases that a task packs together
+BUCKET_TEXT = 16 << 20  # characters of text whose keys one task counts
 FILTER_BITS = 1 << 28  # 32 MB, whatever the input
 FILTER_PART = 1 << 22
 BROADCAST_ROWS = 200_000

@@ -24,9 +24,9 @@ from tagweave.llm.recurring import key_of, recurring_keys
 
 WINDOW = 50  # bytes of a string that counts as repeated
 ANCHOR = 20  # bytes of a sampled phrase
-CHUNK_BYTES = 1 << 20  # text that is hashed at a time; longer texts are cut with an overlap
-SHARD_BYTES = 2 << 20  # context bytes of one index
-HOT_CONTEXTS = 20_000  # distinct contexts of one phrase from which its windows are grouped instead
+CHUNK_BYTES = 256 << 10  # text that is hashed at a time; longer texts are cut with an overlap
+SHARD_BYTES = 256 << 10  # context bytes of one index
+HOT_CONTEXTS = 4_000  # distinct contexts of one phrase from which its windows are grouped instead
 BROADCAST_ROWS = 200_000
 NO_ID = -(2**63)  # stands for a null id, which comes before all others
 
