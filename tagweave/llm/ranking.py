@@ -22,7 +22,8 @@ from pyspark.sql.window import Window
 
 from tagweave.llm.common import materialize, ragged_take
 
-BLOCK_POSTINGS = 200_000  # postings of a block of a stratum; a longer document is a block of its own
+BATCH_POSTINGS = 50_000  # postings that a task makes rows of at a time
+BLOCK_POSTINGS = 100_000  # postings of a block of a stratum; a longer document is a block of its own
 CHUNK_BYTES = 1 << 20  # text that is cut into terms at a time
 QUERY_TERMS = 50_000  # (item, term) pairs that are searched for in one pass over the index
 SEED_FACTOR = 4  # documents a query first visits, as a multiple of k
@@ -61,7 +62,7 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 counts = terms_of(value.as_buffer().to_pybytes()) if value.is_valid else Counter()
                 rows.append(counts)
                 size += len(counts)
-                if size > BLOCK_POSTINGS or i + 1 == batch.num_rows:
+                if size > BATCH_POSTINGS or i + 1 == batch.num_rows:
                     yield _count_rows(batch.column("d").slice(start, len(rows)), rows)
                     start, rows, size = i + 1, [], 0
 
