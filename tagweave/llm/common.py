@@ -23,6 +23,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return written
 
 
+def release(*written: DataFrame) -> None:
+    """Delete written intermediates that nothing reads any more; what came of them must be written itself."""
+    for df in written:
+        spark = df.sparkSession
+        own = f"{session.shared_dir(spark)}/tagweave/"
+        jvm = spark._jvm
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            # Only folders that new_path has named.
+            if path.getParent().toUri().getPath() == jvm.org.apache.hadoop.fs.Path(own).toUri().getPath().rstrip("/"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 BATCH_BYTES = 8 << 20
 
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import by_size, materialize
+from tagweave.llm.common import by_size, materialize, release
 from tagweave.llm.hashing import anchors, buffer_of, mix, phrases, powers, starts_of
 from tagweave.llm.recurring import key_of, recurring_keys
 
@@ -293,10 +293,11 @@ def _mark(window: int):
 
 
 def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``(d, h, pos, bits)``: windows of texts ``(d, h, _text)`` that also start in a smaller document."""
+    """``(d, h, marks)``: per text ``(d, h, _text)`` the windows that also start in a smaller document, as ``(pos, bits)``."""
     keys = recurring_keys(texts.select("d", "_text"), _sampled(window, anchor), across=True)
     some = texts.join(small(keys.select("d")), "d", "left_semi").join(keys, "d")
     contexts = materialize(some.mapInArrow(_contexts(window, anchor), "key long, cx long, d long, h long, pos int, k int"), "contexts")
+    release(keys)
 
     # Equal contexts are one. Where a phrase has one context only, there is no other to match.
     distinct = contexts.groupBy("key", "cx").agg(F.min(F.struct("d", "h", "pos", "k")).alias("f"))
@@ -308,6 +309,7 @@ def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     places = materialize(places, "context_places")
     holders = texts.join(small(places.select("d", "h")), ["d", "h"], "left_semi").join(places, ["d", "h"])
     bodies = materialize(holders.mapInArrow(_bodies(window), "key long, cx long, md long, body binary").dropDuplicates(["key", "cx"]), "context_bodies")
+    release(places)
 
     hot = small(materialize(variants.where(F.col("n") > HOT_CONTEXTS).select("key"), "hot_phrases"))
     total = bodies.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
@@ -316,13 +318,18 @@ def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     indexed = bodies.join(hot, "key", "left_anti").groupBy(shard.alias("shard")).applyInArrow(_index_shard(window), out)
     found = indexed.unionByName(_grouped(bodies.join(hot, "key", "left_semi"), window)).where("bits <> 0")
     found = materialize(found.select("key", "cx", "bits"), "context_bits")
+    release(bodies, variants)
 
     # In the smallest document of a context the index decides; in the others all windows go.
     bits = distinct.select("key", "cx", F.col("d").alias("md")).join(found, ["key", "cx"], "left")
-    joined = contexts.join(materialize(bits, "bits"), ["key", "cx"])
+    bits = materialize(bits, "bits")
+    release(distinct, found)
     every = F.expr("shiftleft(1L, k) - 1L")
     value = F.when(F.col("d") > F.col("md"), every).otherwise(F.coalesce("bits", F.lit(0)))
-    return joined.select("d", "h", "pos", value.alias("bits")).where("bits <> 0")
+    joined = contexts.join(bits, ["key", "cx"]).select("d", "h", "pos", value.alias("bits")).where("bits <> 0")
+    marks = materialize(joined.groupBy("d", "h").agg(F.collect_set(F.struct("pos", "bits")).alias("marks")), "marks")
+    release(contexts, bits)
+    return marks
 
 
 def _grouped(bodies: DataFrame, window: int) -> DataFrame:
@@ -356,12 +363,8 @@ def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, ancho
         "_id", "d", F.when(F.col("_again"), F.xxhash64("_text")).otherwise(F.lit(0)).alias("h"), "_text"
     )
     marks = contexts_before(rows.select("d", "h", "_text"), window, anchor)
-    marks = materialize(marks.groupBy("d", "h").agg(F.collect_set(F.struct("pos", "bits")).alias("marks")), "marks")
-
-    holding = small(marks.select("d", "h"))
-    some = rows.join(holding, ["d", "h"], "left_semi").join(marks, ["d", "h"]).select("_id", "_text", "marks")
-    found = some.mapInArrow(_mark(window), "_id long, spans array<struct<start:int,end:int>>, kept binary")
-    rest = rows.join(holding, ["d", "h"], "left_anti")
-    rest = rest.select("_id", F.array().cast(found.schema["spans"].dataType).alias("spans"), F.col("_text").alias("kept"))
+    # Texts without marks take the same way, so that all are shuffled once.
+    found = rows.join(marks, ["d", "h"], "left").select("_id", "_text", "marks")
+    found = found.mapInArrow(_mark(window), "_id long, spans array<struct<start:int,end:int>>, kept binary")
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return found.unionByName(rest).select(F.col("_id").alias(id_col), (F.length("kept") + gone).cast("long").alias("n_bytes"), "spans", "kept")
+    return found.select(F.col("_id").alias(id_col), (F.length("kept") + gone).cast("long").alias("n_bytes"), "spans", "kept")
