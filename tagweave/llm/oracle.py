@@ -67,7 +67,40 @@ def _spelling() -> str:
 _TERMS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+_TOKENS = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), [])"
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {
+    "op1_ngram_jaccard": rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_TOKENS.format(_FOLDED)} AS w FROM documents),
+    s AS MATERIALIZED (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS MATERIALIZED (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+    reach(a, b) AS (SELECT a, a FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    least_ids AS (SELECT a, min(b) AS least_id FROM reach GROUP BY 1),
+    counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY 1)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least_id, d.doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+    FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_ids l ON l.a = d.doc_id LEFT JOIN counts c ON c.a = d.doc_id
+    """,
+    # A byte is two hexadecimal digits. Windows are cut from blocks, as taking one from a whole text walks up to it.
+    "op2_run_length_index": """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    blocks AS (SELECT doc_id, start, substr(h, 2 * start + 1, 1122) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 512)) AS start FROM d)),
+    windows AS MATERIALIZED (
+      SELECT doc_id, start + i AS i, substr(part, 2 * i + 1, 100) AS bytes FROM (SELECT doc_id, start, part, unnest(range(0, least(512, length(part) // 2 - 49))) AS i FROM blocks)),
+    least_ids AS (SELECT bytes, min(doc_id) AS least_id FROM windows GROUP BY 1),
+    hits AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last_i FROM windows JOIN least_ids USING (bytes) WHERE least_id < doc_id),
+    numbered AS (SELECT doc_id, i, sum(CASE WHEN i <= last_i + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits),
+    spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, run),
+    gaps AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS last_b FROM spans),
+    cut AS (
+      SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * last_b + 1, 2 * (a - last_b)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+      FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM d LEFT JOIN cut USING (doc_id)
+    """,
     "op3_decontamination": rf"""
     WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
     b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
@@ -79,6 +112,15 @@ SQL = {
     SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op4_phrase_automata": rf"""
+    WITH d AS (SELECT doc_id, {_TOKENS.format("text")} AS w FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS phrase FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+    later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY doc_id, i) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+    """,
     "op5_license_scan": _licenses(),
     "op7_redirect_equivalence": r"""
     WITH RECURSIVE u AS (
