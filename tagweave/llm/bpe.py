@@ -23,10 +23,10 @@ from tagweave.llm.common import by_size, ragged_take, slices
 
 NONE = np.int32(2**31 - 1)  # rank of a pair that does not merge
 MAX_CACHE = 100_000  # pieces a worker remembers
-MATRIX_CELLS = 1 << 20
+MATRIX_CELLS = 1 << 17
 LONG_PIECE = 256  # bytes from which a piece is merged with a heap, in n log n steps
-CHUNK_CHARS = 1 << 20  # characters that are split at a time
-CHUNK_PIECES = 1 << 18
+CHUNK_CHARS = 1 << 19  # characters that are split at a time
+CHUNK_PIECES = 1 << 17
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -84,6 +84,16 @@ class PairTable:
             open_ = open_[~hit & (at >= 0)]
         return out.reshape(left.shape)
 
+    def find_one(self, left: int, right: int) -> int:
+        """As :meth:`find`, for one pair of ids."""
+        key = left << 32 | right
+        slot = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
+        while (at := self.keys.item(slot)) != key:
+            if at < 0:
+                return int(NONE)
+            slot = (slot + 1) & (len(self.keys) - 1)
+        return self.values.item(slot)
+
 
 def merge_rows(ids: np.ndarray, pairs: PairTable) -> list[np.ndarray]:
     """Token ids of each row of a matrix of byte tokens, padded with -1 at the end."""
@@ -119,11 +129,13 @@ def merge_rows(ids: np.ndarray, pairs: PairTable) -> list[np.ndarray]:
     return out
 
 
-def merge_long(tokens: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
+def merge_long(ids: np.ndarray, pairs: PairTable) -> list[int]:
     """The same merges for one long piece, by a heap over a linked list."""
-    n = len(tokens)
+    tokens, n = ids.tolist(), len(ids)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(pairs[p], i, p) for i, p in enumerate(zip(tokens, tokens[1:])) if p in pairs]
+    ranks = pairs.find(ids[:-1], ids[1:])
+    places = np.flatnonzero(ranks != NONE)
+    heap = [(rank, i, (tokens[i], tokens[i + 1])) for rank, i in zip(ranks[places].tolist(), places.tolist())]
     heapq.heapify(heap)
     while heap:
         rank, i, (left, right) = heapq.heappop(heap)
@@ -135,18 +147,17 @@ def merge_long(tokens: list[int], pairs: dict[tuple[int, int], int]) -> list[int
         if after[j] < n:
             before[after[j]] = i
         for a, b in ((before[i], i), (i, after[i])):
-            if a >= 0 and b < n and (p := (tokens[a], tokens[b])) in pairs:
-                heapq.heappush(heap, (pairs[p], a, p))
+            if a >= 0 and b < n and (rank := pairs.find_one(tokens[a], tokens[b])) != NONE:
+                heapq.heappush(heap, (rank, a, (tokens[a], tokens[b])))
     return [t for t in tokens if t >= 0]
 
 
 class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern, self.pairs = ranks, regex.compile(pattern), PairTable(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pairs: PairTable | None = None):
+        self.ranks, self.pattern, self.pairs = ranks, regex.compile(pattern), pairs or PairTable(ranks)
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the ranks lack single bytes")
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.long_pairs: dict[tuple[int, int], int] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -188,12 +199,7 @@ class Encoder:
         self.code.update((p, first + k) for k, p in enumerate(new))
 
     def merge_long(self, piece: bytes) -> np.ndarray:
-        if not self.long_pairs:
-            used = np.flatnonzero(self.pairs.keys >= 0)
-            keys, values = self.pairs.keys[used], self.pairs.values[used]
-            self.long_pairs = dict(zip(zip((keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist()), values.tolist()))
-        tokens = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        return np.array(merge_long(tokens, self.long_pairs), np.int32)
+        return np.array(merge_long(self.byte_ids[np.frombuffer(piece, np.uint8)], self.pairs), np.int32)
 
     def take(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after the other, and the number of ids of each."""
@@ -222,10 +228,10 @@ class Encoder:
         return np.concatenate([np.zeros(0, np.int32), *parts]), counts
 
 
-def _encoder(key: str, ranks: dict[bytes, int], pattern: str) -> Encoder:
+def _encoder(key: str, ranks: dict[bytes, int], pattern: str, pairs: PairTable) -> Encoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(ranks, pattern)
+        _ENCODERS[key] = Encoder(ranks, pattern, pairs)
     return _ENCODERS[key]
 
 
@@ -234,13 +240,16 @@ def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern:
 
     A null or empty text has an empty array; repeated rows and null ids are kept as they are;
     other columns are dropped. The rank file is read on the driver and broadcast, so its path
-    need not exist on the executors; a vocabulary has a fixed size.
+    need not exist on the executors; a vocabulary has a fixed size. Its pair table is made once, on
+    the driver, since making it takes several times its size.
     """
-    shared = df.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+    ranks = load_ranks(ranks_path)
+    shared = df.sparkSession.sparkContext.broadcast((ranks, PairTable(ranks)))
     key = f"{ranks_path}\n{pattern}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(key, shared.value, pattern)
+        ranks, pairs = shared.value
+        encoder = _encoder(key, ranks, pattern, pairs)
         for batch in slices(batches, 1):
             ids, counts = encoder.encode(batch.column(1).to_pylist())
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
