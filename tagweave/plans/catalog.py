@@ -100,6 +100,29 @@ def ingest_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return tables.ingest_counts(inputs.outcomes(spark, d))
 
 
+def _ingest_batches(spark: SparkSession, d: str) -> tuple[str, DataFrame, list[tuple[int, int, int]]]:
+    """English and German images, the same batch again, and then all images with what failed before."""
+    outcomes = materialize(inputs.outcomes(spark, d), "outcomes")
+    path, ids = new_path(spark, "ledger"), outcomes.select("image_id")
+    early = ids.where(F.pmod("image_id", F.lit(10)) < 2)
+    counts = []
+    for batch, wanted in ((1, early), (1, early), (2, ids)):
+        n = tables.ingest(wanted, path, "image_id", batch, lambda todo: todo.join(outcomes, "image_id"))
+        counts.append((batch, n["n_loaded"], n["n_failed"]))
+    return path, ids, counts
+
+
+def ingest_ledger(spark: SparkSession, d: str) -> DataFrame:
+    path, ids, _ = _ingest_batches(spark, d)
+    return tables.scan_ledger(spark, path, ids.schema["image_id"])
+
+
+def ingest_batch_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of each batch as they were taken during its write."""
+    counts = _ingest_batches(spark, d)[2]
+    return spark.createDataFrame(counts, "batch int, n_loaded bigint, n_failed bigint")
+
+
 # --- sinks ------------------------------------------------------------------------------------
 
 
@@ -579,7 +602,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         scan_captions, scan_images, scan_split, scan_results, typed_pairs, build_requests, load_with_placeholder,
-        resume_ingest, ingest_outcomes, write_pairs, write_results, run_metrics, run_params, logged_metrics, logged_params, register_head, row_counts,
+        resume_ingest, ingest_outcomes, ingest_ledger, ingest_batch_counts, write_pairs, write_results, run_metrics, run_params, logged_metrics, logged_params, register_head, row_counts,
         captions_by_image, caption_totals, eligible_images, sample_images, image_paths, captions_of_loaded,
         sample_negatives, assign_split, split_counts, split_counts_wide, pair_preview, distinct_categories,
         l2_normalize, dot_product, cosine_similarity, pair_scores, base64_roundtrip, encode_texts, pluggable_encoder,

@@ -413,6 +413,17 @@ SQL: dict[str, str] = {
         "count(*) AS n_wanted FROM outcomes",
         "outcomes",
     ),
+    "ingest_ledger": _with(
+        "SELECT image_id, CASE WHEN ok THEN '/images/' ELSE 'failed: ' END || 'IMG_' || image_id || '.jpg' AS path_or_err, ok, batch FROM outcomes, (VALUES (1), (2)) b(batch) "
+        "WHERE CASE batch WHEN 1 THEN image_id % 10 < 2 ELSE image_id % 10 >= 2 OR NOT ok END",
+        "outcomes",
+    ),
+    "ingest_batch_counts": _with(
+        "SELECT batch, count(*) FILTER (WHERE ok AND (batch = 1) = (image_id % 10 < 2)) AS n_loaded, "
+        "count(*) FILTER (WHERE NOT ok AND (batch = 2 OR image_id % 10 < 2)) AS n_failed "
+        "FROM outcomes, (VALUES (1, 1), (1, 2), (2, 1)) b(batch, run) GROUP BY batch, run",
+        "outcomes",
+    ),
     # sinks
     "write_pairs": _with("SELECT * FROM pairs", "pairs"),
     "write_results": _with(f"SELECT filename, {_NO_METRICS} AS metrics_json, tag, score FROM named", "named"),

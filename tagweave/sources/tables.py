@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +65,35 @@ def resume_ingest(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return wanted.join(done.select(key).distinct(), key, "left_anti")
 
 
+def scan_ledger(spark: SparkSession, path: str, key: T.StructField) -> DataFrame:
+    """``(key, path_or_err, ok, batch)`` of all batches so far; no rows before the first one."""
+    schema = T.StructType([key]).add("path_or_err", "string").add("ok", "boolean").add("batch", "integer")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return scan_runs(spark, path, schema)
+
+
+def ingest(wanted: DataFrame, path: str, key: str, batch: int, load: Callable[[DataFrame], DataFrame]) -> dict[str, int]:
+    """One batch of an ingest that can be resumed; returns its ``n_loaded`` and ``n_failed``.
+
+    ``load`` turns rows of ``wanted`` into ``(key, path_or_err, ok)``. It gets the rows that no other
+    batch in the ledger at ``path`` has loaded, so what failed before is tried again. A batch that
+    is repeated, also after a lost job, replaces its own rows, and a job that fails adds none; a
+    repeated batch must want what it wanted before. A null key is never found in the ledger and so
+    loaded by each batch; a null ``ok`` counts as failed. Rows are counted while they are written.
+    """
+    spark = wanted.sparkSession
+    ledger = scan_ledger(spark, path, wanted.schema[key])
+    done = ledger.where((F.col("batch") != batch) & F.col("ok"))
+    outcomes = load(resume_ingest(wanted, done, key)).select(
+        F.col(key), "path_or_err", F.coalesce("ok", F.lit(False)).alias("ok"), F.lit(batch).alias("batch")
+    )
+    counted = Observation()
+    append_runs(outcomes.observe(counted, F.count_if("ok").alias("n_loaded"), F.count_if(~F.col("ok")).alias("n_failed")), path, "batch")
+    return counted.get
+
+
 def ingest_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(
         F.count_if(F.col("ok")).alias("n_loaded"),

@@ -197,3 +197,41 @@ def test_text_vectors(spark):
 
 def test_prompt(spark):
     assert spark.range(1).select(T.tag_prompt(F.lit("犬"))).first()[0] == "This is a photo of 犬."
+
+
+def test_ingest_adds_nothing_twice_and_nothing_of_a_failed_job(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    wanted = spark.createDataFrame([(i, "x") for i in range(20)], "id bigint, batch string")
+    key = wanted.schema["id"]
+
+    def load(failed):
+        return lambda todo: todo.select("id", F.concat(F.lit("/f/"), "id").alias("path_or_err"), (~F.col("id").isin(failed)).alias("ok"))
+
+    def broken(todo):
+        bad = F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.lit("/f"))
+        return todo.repartition(4).select("id", bad.cast("string").alias("path_or_err"), F.lit(True).alias("ok"))
+
+    with pytest.raises(Exception, match="lost"):
+        tables.ingest(wanted, path, "id", 1, broken)
+    assert tables.scan_ledger(spark, path, key).count() == 0
+    assert tables.ingest(wanted.where("id < 10"), path, "id", 1, load([4, 5])) == {"n_loaded": 8, "n_failed": 2}
+    assert tables.ingest(wanted.where("id < 10"), path, "id", 1, load([4, 5])) == {"n_loaded": 8, "n_failed": 2}
+    with pytest.raises(Exception, match="lost"):
+        tables.ingest(wanted.where("id < 10 or id = 3").unionByName(wanted.where("id = 3").selectExpr("3L + 0 * id AS id", "batch")), path, "id", 1, broken)
+    assert tables.ingest(wanted, path, "id", 2, load([5])) == {"n_loaded": 11, "n_failed": 1}
+    assert tables.ingest(wanted.where("id < 4"), path, "id", 3, load([])) == {"n_loaded": 0, "n_failed": 0}
+    rows = [(r["id"], r["batch"], r["ok"]) for r in tables.scan_ledger(spark, path, key).collect()]
+    want = [(i, 1, i not in (4, 5)) for i in range(10)] + [(4, 2, True), (5, 2, False)] + [(i, 2, True) for i in range(10, 20)]
+    assert sorted(rows) == sorted(want)
+
+
+def test_ingest_of_null_keys_and_empty_tables(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    wanted = spark.createDataFrame([(None,), (1,)], "id bigint")
+
+    def load(todo):
+        return todo.select("id", F.lit(None).cast("string").alias("path_or_err"), F.when(F.col("id") == 1, True).alias("ok"))
+
+    assert tables.ingest(wanted.where("false"), path, "id", 1, load) == {"n_loaded": 0, "n_failed": 0}
+    assert tables.ingest(wanted, path, "id", 2, load) == {"n_loaded": 1, "n_failed": 1}
+    assert tables.ingest(wanted, path, "id", 3, load) == {"n_loaded": 0, "n_failed": 1}
