@@ -65,6 +65,12 @@ def _is_small(tags: DataFrame) -> bool:
     return measured["n"] <= TAG_MATRIX_ROWS and measured["n"] * measured["d"] * 8 <= TAG_MATRIX_BYTES
 
 
+def _bounded_tag_rows(tags: DataFrame) -> list:
+    if not _is_small(tags):
+        raise ValueError(f"a SQL function holds {TAG_MATRIX_ROWS} tags and {TAG_MATRIX_BYTES} bytes of vectors at most")
+    return _tag_rows(tags)
+
+
 def _all_tags(tags: DataFrame) -> Column:
     """The default candidates of a small tag table as a scalar subquery: no list of literals enters the plan."""
     return tags.agg(F.array_sort(F.collect_list(F.struct("pos", "tag")))["tag"].alias("t")).scalar()
@@ -233,9 +239,10 @@ def create_inference_view(
 def register_tag_scores(spark: SparkSession, tags: DataFrame, name: str, logits: V.Logits = V.Logits()) -> None:
     """Make the scorer callable from SQL as ``name(embedding, candidates)``; null means all tags.
 
-    A SQL function cannot join, so the tag table must fit a worker; use score_candidates else.
+    A SQL function cannot join, so a tag table beyond ``TAG_MATRIX_ROWS`` or ``TAG_MATRIX_BYTES`` is an
+    error; use score_candidates else.
     """
-    rows = _tag_rows(tags)
+    rows = _bounded_tag_rows(tags)
     vectors = np.array([r["emb"] for r in rows], dtype=np.float64)
     names = [r["tag"] for r in rows]
     spark.udf.register(name, tag_scorer(names, vectors, names, logits))
@@ -251,9 +258,10 @@ def register_tagger(
 
     It returns the response struct as :func:`predict` does; a null override stands for the default, and an
     image that cannot be decoded has a null embedding and no tags. The elapsed time is that of its batch,
-    per image. A SQL function cannot join, so the tag table must fit a worker; use predict else.
+    per image. A SQL function cannot join, so a tag table beyond ``TAG_MATRIX_ROWS`` or
+    ``TAG_MATRIX_BYTES`` is an error; use predict else.
     """
-    rows = _tag_rows(tags)
+    rows = _bounded_tag_rows(tags)
     names, vectors = [r["tag"] for r in rows], np.array([r["emb"] for r in rows], dtype=np.float64)
     place = {t: i for i, t in enumerate(names)}
 

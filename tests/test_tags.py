@@ -222,3 +222,13 @@ def test_requests_without_optional_columns(spark):
     assert json.loads(got["prediction"]["tags_json"])["tags"] == [{"tag": "x", "score": score(1)}]
     with pytest.raises(ValueError, match="image_base64"):
         scoring.predict(rows.drop("image_base64"), tag_table(spark), encoders.byte_histogram(3), "filename")
+
+
+def test_sql_functions_refuse_a_tag_table_beyond_the_bound(spark, monkeypatch):
+    tags = spark.createDataFrame([(f"t{i}", i, [1.0, 0.0]) for i in range(3)], "tag string, pos int, emb array<double>")
+    scoring.register_tag_scores(spark, tags, "bounded_scores")
+    monkeypatch.setattr(scoring, "TAG_MATRIX_ROWS", 2)
+    with pytest.raises(ValueError, match="at most"):
+        scoring.register_tag_scores(spark, tags, "bounded_scores")
+    with pytest.raises(ValueError, match="at most"):
+        scoring.register_tagger(spark, tags, "bounded_tagger", None)
