@@ -228,6 +228,27 @@ class Encoder:
         return np.concatenate([np.zeros(0, np.int32), *parts]), counts
 
 
+class TokenBytes:
+    """The bytes of every token id, one after the other."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.size = max(ranks.values(), default=-1) + 1
+        self.lens = np.full(self.size, -1, np.int64)
+        for token, rank in ranks.items():
+            self.lens[rank] = len(token)
+        self.flat = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
+        self.starts = np.cumsum(np.maximum(self.lens, 0)) - np.maximum(self.lens, 0)
+
+    def decode(self, tokens: np.ndarray) -> bytes | None:
+        """What the ids stand for, null if the vocabulary lacks one of them."""
+        if not len(tokens):
+            return b""
+        if tokens.min() < 0 or tokens.max() >= self.size or (self.lens[tokens] < 0).any():
+            return None
+        parts = (tokens[i : i + CHUNK_CHARS] for i in range(0, len(tokens), CHUNK_CHARS))
+        return b"".join(ragged_take(self.flat, self.starts[t], self.lens[t]).tobytes() for t in parts)
+
+
 def _encoder(key: str, ranks: dict[bytes, int], pattern: str, pairs: PairTable) -> Encoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
@@ -235,30 +256,45 @@ def _encoder(key: str, ranks: dict[bytes, int], pattern: str, pairs: PairTable)
     return _ENCODERS[key]
 
 
-def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
-    """``(id_col, ids array<int>)`` for each row, as encoding without special tokens gives them.
-
-    A null or empty text has an empty array; repeated rows and null ids are kept as they are;
-    other columns are dropped. The rank file is read on the driver and broadcast, so its path
-    need not exist on the executors; a vocabulary has a fixed size. Its pair table is made once, on
-    the driver, since making it takes several times its size.
-    """
+def _run_encoder(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str, decoded: bool) -> DataFrame:
     ranks = load_ranks(ranks_path)
-    shared = df.sparkSession.sparkContext.broadcast((ranks, PairTable(ranks)))
+    shared = df.sparkSession.sparkContext.broadcast((ranks, PairTable(ranks), TokenBytes(ranks) if decoded else None))
     key = f"{ranks_path}\n{pattern}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, pairs = shared.value
+        ranks, pairs, token_bytes = shared.value
         encoder = _encoder(key, ranks, pattern, pairs)
         for batch in slices(batches, 1):
             ids, counts = encoder.encode(batch.column(1).to_pylist())
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["_id", "ids"])
+            columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+            if token_bytes:
+                columns.append(pa.array([token_bytes.decode(ids[a:b]) for a, b in zip(offsets, offsets[1:])], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "ids", "decoded"][: len(columns)])
 
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_id {kind}, ids array<int>").select(F.col("_id").alias(id_col), "ids")
+    found = rows.mapInArrow(run, f"_id {kind}, ids array<int>" + (", decoded binary" if decoded else ""))
+    return found.withColumnRenamed("_id", id_col)
+
+
+def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
+    """``(id_col, ids array<int>)`` for each row, as encoding without special tokens gives them.
+
+    A null or empty text has an empty array; repeated rows and null ids are kept as they are;
+    other columns are dropped. The rank file is read on the driver and broadcast, so its path
+    need not exist on the executors; a vocabulary has a fixed size. Its pair table is made once, on
+    the driver, since making it takes several times its size.
+    """
+    return _run_encoder(df, id_col, text_col, ranks_path, pattern, False)
+
+
+def round_trip(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
+    """``(id_col, ids, decoded binary)``: as :func:`encode`, with what :func:`decode` makes of the ids.
+
+    Both are done by one Python worker a task, so the ids do not go through Spark in between.
+    """
+    return _run_encoder(df, id_col, text_col, ranks_path, pattern, True)
 
 
 def decode(df: DataFrame, id_col: str, ids_col: str, ranks_path: str) -> DataFrame:
@@ -266,26 +302,14 @@ def decode(df: DataFrame, id_col: str, ids_col: str, ranks_path: str) -> DataFra
 
     Null or empty ids decode to no bytes; an id that the vocabulary lacks makes ``decoded`` null.
     """
-    shared = df.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+    shared = df.sparkSession.sparkContext.broadcast(TokenBytes(load_ranks(ranks_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        size = max(ranks.values()) + 1
-        lens = np.full(size, -1, np.int64)
-        for token, rank in ranks.items():
-            lens[rank] = len(token)
-        flat = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
-        starts = np.cumsum(np.maximum(lens, 0)) - np.maximum(lens, 0)
+        none = np.zeros(0, np.int32)
         for batch in slices(batches, 1):
-            decoded = []
-            for tokens in batch.column(1):
-                tokens = tokens.values.to_numpy(zero_copy_only=False) if tokens.is_valid else np.zeros(0, np.int32)
-                good = not len(tokens) or (tokens.min() >= 0 and tokens.max() < size and (lens[tokens] >= 0).all())
-                parts = [tokens[i : i + CHUNK_CHARS] for i in range(0, len(tokens), CHUNK_CHARS)]
-                body = b"".join(ragged_take(flat, starts[t], lens[t]).tobytes() for t in parts) if good else None
-                decoded.append(body)
-            columns = [batch.column(0), batch.column(1), pa.array(decoded, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "ids", "decoded"])
+            lists = (t.values.to_numpy(zero_copy_only=False) if t.is_valid else none for t in batch.column(1))
+            decoded = pa.array([shared.value.decode(tokens) for tokens in lists], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), decoded], names=["_id", "ids", "decoded"])
 
     rows = df.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("ids"))
     kind = rows.schema["_id"].dataType.simpleString()

@@ -71,8 +71,7 @@ def op7_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, "doc_id", "ids", path)
+    decoded = bpe.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", path, public_tokenizers.PATTERN)
     digits = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return decoded.select(
         "doc_id",

@@ -63,6 +63,10 @@ def test_odd_rows_round_trip(spark, theirs):
     got = bpe.decode(encoded, "doc_id", "ids", PATH).collect()
     want = [(r.doc_id, theirs.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in docs.collect()]
     assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.ids, bytes(r.decoded))) for r in got)
+    at_once = bpe.round_trip(docs, "doc_id", "text", PATH, public_tokenizers.PATTERN)
+    assert at_once.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.ids, bytes(r.decoded))) for r in at_once.collect())
+    assert bpe.round_trip(odd_docs(spark, []), "doc_id", "text", PATH, public_tokenizers.PATTERN).count() == 0
     assert bpe.encode(odd_docs(spark, []), "doc_id", "text", PATH, public_tokenizers.PATTERN).count() == 0
 
 
