@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import slices
+from tagweave.llm.common import materialize, slices
 
 MAX_ROWS = 20_000  # labelled rows that the model is fitted on
 MAX_FEATURES = 512  # words and beginnings with a weight, besides the identity terms
@@ -102,7 +102,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     """
     picked = F.broadcast(sample_labels(labels, id_col, label_col, max_rows))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    sample = texts.join(picked, "_id")
+    # Written, as the steps below would each scan all documents for it.
+    sample = materialize(texts.join(picked, "_id"), "toxicity_sample")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _few_rows(batches):
