@@ -43,8 +43,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, text)``: token ids, and the text that they decode to."""
     path = public_tokenizers.path(queries.RANKS)
-    ids = bpe.encode(docs, "doc_id", "text", path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(ids, "doc_id", "ids", path)
+    decoded = bpe.round_trip(docs, "doc_id", "text", path, public_tokenizers.PATTERN)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 
