@@ -24,6 +24,9 @@ from tagweave.sources.tables import check_columns
 # A tag table goes to every task only while its matrix is at most this large.
 TAG_MATRIX_BYTES = 64 * 1024 * 1024
 TAG_MATRIX_ROWS = 10_000
+# Images and tags of one product, where images meet a large tag table. A block pair's scores are
+# this many cells at most, and a vector is shuffled once per 256 or 4096 scores it takes part in.
+BLOCK_IMAGES, BLOCK_TAGS = 256, 4096
 
 
 def mean_vectors(rows: DataFrame, key: str, embedding: str) -> DataFrame:
@@ -142,27 +145,64 @@ def score_candidates(
 def _score_by_join(asked: DataFrame, tags: DataFrame, logits: V.Logits) -> DataFrame:
     """Rows get a key of their own, written with them, so that repeated ids stay apart.
 
-    Rows that list no candidates meet the partitions of the tag table; no task or driver lists it.
+    Rows that list no candidates meet the tag table block by block; no task or driver holds all of it.
     """
     rows = materialize(asked.withColumn("_row", F.monotonically_increasing_id()), "asked")
     cells = rows.select("_row", "emb", F.posexplode("_asked").alias("cand_pos", "tag"))
     vectors = tags.select("tag", F.col("emb").alias("tag_emb"))
     pairs = skew_join(cells, vectors, ["tag"], how="left", spread_by=["_row", "cand_pos"])
-    pairs = pairs.select("_row", F.col("cand_pos").cast("long").alias("cand_pos"), "tag", "emb", "tag_emb")
-    unlisted = rows.where("_asked is null").select("_row", "emb")
-    if not unlisted.isEmpty():
-        every = tags.select(F.col("pos").cast("long").alias("cand_pos"), "tag", F.col("emb").alias("tag_emb"))
-        pairs = pairs.unionByName(unlisted.crossJoin(every))
     score = V.sigmoid(V.logit(V.dot("emb", "tag_emb"), logits))
-    lists = pairs.select("_row", "cand_pos", "tag", score.alias("score")).groupBy("_row").agg(
-        F.array_sort(F.collect_list(F.struct("cand_pos", "tag", "score"))).alias("_cells")
-    )
+    cell = F.struct(F.col("cand_pos").cast("long").alias("cand_pos"), "tag", score.alias("score"))
+    lists = pairs.groupBy("_row").agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    unlisted = rows.where("_asked is null").select("_row", "emb")
+    n = unlisted.count()
+    if n:
+        lists = lists.unionByName(_score_in_blocks(unlisted, n, tags, logits))
     joined = rows.join(lists, "_row", "left")
     ranked = T.rank_tags(F.col("_cells")["tag"], F.col("_cells")["score"])
     none = F.array().cast(fixed.TAGS_DDL)
     return joined.withColumn("ranked", F.coalesce(ranked, none)).drop("_cells", "_row", "_asked")
 
 
+def _score_in_blocks(rows: DataFrame, n_rows: int, tags: DataFrame, logits: V.Logits) -> DataFrame:
+    """Cells ``(cand_pos, tag, score)`` of every row with every tag, in one list per row.
+
+    Rows and tags are dealt to blocks by hash. A pair of blocks is one matrix product in one task, which
+    returns a list per row, so that no pair of vectors becomes a row of its own.
+    """
+    row_blocks, tag_blocks = -(-n_rows // BLOCK_IMAGES), max(1, -(-tags.count() // BLOCK_TAGS))
+    all_blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda key, n: F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
+    left = rows.select("_row", "emb", dealt(["_row"], row_blocks).alias("i"), all_blocks(tag_blocks).alias("j"))
+    right = tags.select(
+        F.col("pos").cast("long").alias("cand_pos"), "tag", F.col("emb").alias("tag_emb"),
+        dealt(["pos", "tag"], tag_blocks).alias("j"), all_blocks(row_blocks).alias("i"),
+    )
+    scale, bias = logits.scale, logits.bias
+
+    def product(images: pa.Table, of: pa.Table) -> pa.Table:
+        n, m = images.num_rows, of.num_rows
+        scores = np.zeros((n, m))
+        unknown = np.ones((n, m), bool)
+        if n and m:
+            x, y = matrix(images.column("emb")), matrix(of.column("tag_emb"))
+            if x.shape[1] and y.shape[1]:
+                scores = 1.0 / (1.0 + np.exp(-(scale * (x @ y.T) + bias)))
+                no_image = images.column("emb").is_null().to_numpy()
+                no_tag = of.column("tag_emb").is_null().to_numpy()
+                unknown = no_image[:, None] | no_tag[None, :]
+        every = np.tile(np.arange(m), n)
+        parts = [plain(of.column(c).combine_chunks()).take(pa.array(every)) for c in ("cand_pos", "tag")]
+        parts.append(pa.array(scores.ravel(), pa.float64(), mask=unknown.ravel()))
+        cells = pa.StructArray.from_arrays(parts, ["cand_pos", "tag", "score"])
+        offsets = pa.array(np.arange(n + 1) * m, pa.int32())
+        return pa.table({"_row": images.column("_row"), "_cells": pa.ListArray.from_arrays(offsets, cells)})
+
+    ddl = "_row long, _cells array<struct<cand_pos:long,tag:string,score:double>>"
+    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(product, ddl)
+    return found.groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("_cells"))).alias("_cells"))
+
+
 def tag_images(
     images: DataFrame,
     tags: DataFrame,

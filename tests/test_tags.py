@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import numpy as np
 import pytest
@@ -109,6 +110,24 @@ def test_join_lists_the_tag_table_nowhere(spark, monkeypatch):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_rows_without_candidates_meet_the_tags_in_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    vector = lambda: [rng.gauss(0, 0.3) for _ in range(3)]
+    tags = spark.createDataFrame([(f"tag{i}", i, vector()) for i in range(40)], "tag string, pos int, emb array<double>")
+    # Repeated ids, a null vector, and a few rows with candidates of their own.
+    rows = [(i % 90, None if i == 5 else vector(), '["tag3", "nobody"]' if i % 10 == 9 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "image_id int, emb array<double>, c string")
+    want = sorted(map(repr, scoring.tag_images(df, tags, "c", by_join=False).collect()))
+    monkeypatch.setattr(scoring, "BLOCK_IMAGES", 8)
+    monkeypatch.setattr(scoring, "BLOCK_TAGS", 7)
+    found = scoring.tag_images(df, tags, "c", by_join=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert sorted(map(repr, found.collect())) == want
+    # Without any tag there is nothing to rank.
+    assert {len(r.ranked) for r in scoring.tag_images(df.where("c is null"), tags.limit(0), by_join=True).collect()} == {0}
+
+
 @pytest.mark.parametrize("bad", [[[1.0], [0.0, 1.0, 1.0]], [[1.0, None, 0.0]]])
 def test_ragged_vectors_and_null_elements_are_errors(spark, bad):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(bad)], "image_id int, emb array<double>").coalesce(1)
