@@ -57,8 +57,8 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("all-rights-reserved", ("all_rights",)),
 ]
 
-# Further wordings of sentences, and what only whole licence texts hold. They are apart from the
-# lists above because those are also written into the SQL that the query must agree with.
+# Further wordings of sentences, and what only whole licence texts hold; they apply
+# where the lists above are not replaced.
 WORDINGS: list[tuple[str, str]] = [
     ("mit_name", "mit license"),
     ("mit_name", "the mit license mit"),

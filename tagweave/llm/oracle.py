@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from tagweave.llm import licenses
 
-_KNOWN = ", ".join(f"('{name}', '{sentence}')" for name, sentence in licenses.SENTENCES.items())
+_KNOWN = ", ".join(f"('{name}', '{sentence}')" for name, sentence in [*licenses.SENTENCES.items(), *licenses.WORDINGS])
 
 
 def _licenses() -> str:
     """Rules are applied one after the other to the joined identifiers, as nested selects."""
     step = "SELECT doc_id, n_sentences, sentence_ids, ',' || replace(sentence_ids, ',', ',,') || ',' AS rest, [] :: VARCHAR[] AS found FROM named"
-    for name, wanted in licenses.RULES:
+    for name, wanted in [*licenses.RULES, *licenses.WORDING_RULES]:
         needle = "," + ",,".join(wanted) + ","
         step = (
             f"SELECT doc_id, n_sentences, sentence_ids, replace(rest, '{needle}', ',-,') AS rest, "
