@@ -159,3 +159,44 @@ def test_recall_with_a_constant_group_has_no_join(spark):
     df, *_ = rows(spark)
     plan = retrieval.recall_at_1(df.withColumn("split", F.lit("all")), ["split"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_copied_texts_are_shipped_once(spark):
+    """Texts of which most are copies fill one block, whatever the rows, and the lowest id of a copy wins."""
+    rng = np.random.default_rng(12)
+    few = rng.normal(size=(5, 8))
+    img = few[np.arange(600) % 5] + 0.05 * rng.normal(size=(600, 8))
+    data = [("all", i + 7, a.tolist(), few[i % 5].tolist()) for i, a in enumerate(img)]
+    df = spark.createDataFrame(data, "split string, id long, img array<double>, txt array<double>")
+    r = retrieval.block_copies(df, ["split"], 50).first()
+    assert r["image_copies"] == r["n_images"] == 600 and r["text_blocks"] == 1
+    got = {r["id"]: r["best_id"] for r in retrieval.nearest_text(df, ["split"], 50).collect()}
+    assert got == {i + 7: int((few @ a).argmax()) + 7 for i, a in enumerate(img)}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-30, 1e18, 1e200])
+def test_a_block_in_single_precision_gives_the_double_result_in_bounded_memory(scale):
+    """Nearly equal texts, texts of any length and more of them than one product holds, against the double product."""
+    import tracemalloc
+
+    rng = np.random.default_rng(13)
+    texts = rng.normal(size=(20_000, 16))
+    texts[5_000:9_000] = texts[0] + 1e-9 * rng.normal(size=(4_000, 16))
+    texts[9_000:] *= rng.choice([0.0, 0.1, 1.0], size=(11_000, 1))
+    images = np.concatenate([rng.normal(size=(700, 16)), texts[:68]])
+    ids = rng.permutation(20_000) * 3
+    with np.errstate(over="ignore", invalid="ignore"):
+        sims = np.round(images @ (texts * scale).T, 12)
+    best = sims.max(axis=1)
+    want = [ids[row == top].min() for row, top in zip(sims, best)]
+    block = retrieval.TextBlock(ids, texts * scale)
+    tracemalloc.start()
+    rows, sim, found = block.best(images, np.full(len(images), -np.inf))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.tolist() == list(range(768)) and sim == pytest.approx(best, rel=1e-12, abs=1e-12)
+    if scale <= 1:  # larger ones have no 12 places
+        assert found.tolist() == want
+    assert peak < 30e6, peak  # a whole product has 20,000 x 256 doubles, 41 MB, and several copies
+    # A bound that no text reaches leaves no row.
+    assert len(block.best(images[:10], best[:10] + abs(best[:10]) * 1e-3 + 1e-3)[0]) == (0 if scale <= 1 else 10)
