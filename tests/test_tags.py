@@ -251,3 +251,24 @@ def test_sql_functions_refuse_a_tag_table_beyond_the_bound(spark, monkeypatch):
         scoring.register_tag_scores(spark, tags, "bounded_scores")
     with pytest.raises(ValueError, match="at most"):
         scoring.register_tagger(spark, tags, "bounded_tagger", None)
+
+
+def test_bytes_are_counted_in_pieces_of_bounded_memory():
+    """Contents of any size, empty ones, some that end with a piece and a slice, against a plain count."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    sizes = [0, 0, 1, encoders.PIECE_BYTES - 1, 0, 5, encoders.PIECE_BYTES, 0, 3 * encoders.PIECE_BYTES + 7, 0, 40, *rng.integers(0, 3000, 4000), 0]
+    contents = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in sizes]
+    model = encoders.byte_histogram()()
+    column = pa.array(contents, pa.binary())
+    tracemalloc.start()
+    got = model(column.slice(1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = [np.bincount(np.frombuffer(c, np.uint8) % 64, minlength=64) for c in contents[1:]]
+    assert (got == np.array(want)).all()
+    assert peak < 20e6, peak
+    assert model(column.slice(0, 2)).tolist() == [[0.0] * 64] * 2 and model(column.slice(0, 0)).shape == (0, 64)
