@@ -74,3 +74,14 @@ def test_two_writers_get_two_versions(spark):
         heads = list(pool.map(lambda x: runs.publish_head(weights(x), versions, other, "READY", f"r{x}").first(), (1.0, 2.0)))
     assert {h.version for h in heads} == {"10", "11"} and {h.weights[0] for h in heads} == {1.0, 2.0}
     assert runs.publish_head(weights(3.0), versions.limit(0), other, "READY", "r").first().version == "12"
+
+
+def test_a_task_reads_many_small_files(spark):
+    folder = session.new_path(spark, "small")
+    os.makedirs(folder)
+    for i in range(2_500):
+        with open(f"{folder}/f{i}.jpg", "wb") as out:
+            out.write(b"x" * (i % 7))
+    parts = files.NamedFilesReader(folder, ["jpg"]).partitions()
+    assert len(parts) <= 4 and sum(len(p.paths) for p in parts) == 2_500
+    assert {r.n for r in files.scan_files(spark, folder).selectExpr("sum(length) AS n").collect()} == {sum(i % 7 for i in range(2_500))}
