@@ -200,3 +200,28 @@ def test_a_block_in_single_precision_gives_the_double_result_in_bounded_memory(s
     assert peak < 30e6, peak  # a whole product has 20,000 x 256 doubles, 41 MB, and several copies
     # A bound that no text reaches leaves no row.
     assert len(block.best(images[:10], best[:10] + abs(best[:10]) * 1e-3 + 1e-3)[0]) == (0 if scale <= 1 else 10)
+
+
+def test_images_of_one_block_are_dealt_to_several_tasks(spark, monkeypatch):
+    """Each task that multiplies gives one file of the partial results."""
+    df, *_ = rows(spark)
+    calls = spark.sparkContext.accumulator(0)
+    kernel = retrieval._nearest_in_blocks
+
+    def counted(groups):
+        run = kernel(groups)
+
+        def count(batches):
+            found = list(run(batches))
+            calls.add(1 if found else 0)
+            yield from found
+
+        return count
+
+    monkeypatch.setattr(retrieval, "_nearest_in_blocks", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert retrieval.nearest_text(df.withColumn("split", F.lit("all")), ["split"]).count() == 300
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert calls.value > 1
