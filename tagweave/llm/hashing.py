@@ -20,10 +20,11 @@ _U = np.uint64
 def mix(h: np.ndarray) -> np.ndarray:
     """The finaliser of a 64-bit hash: every input bit reaches every output bit."""
     h = h ^ (h >> _U(33))
-    h = h * _U(0xFF51AFD7ED558CCD)
-    h = h ^ (h >> _U(33))
-    h = h * _U(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> _U(33))
+    h *= _U(0xFF51AFD7ED558CCD)
+    h ^= h >> _U(33)
+    h *= _U(0xC4CEB9FE1A85EC53)
+    h ^= h >> _U(33)
+    return h
 
 
 @lru_cache(4)
@@ -87,12 +88,19 @@ class Words:
 
 def phrases(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` items from each position that has so many after it in the buffer."""
-    n = len(hashes)
-    if n < size:
+    if len(hashes) < size:
         return np.zeros(0, np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * powers(n), out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * powers(n - size + 1, inverse=True))
+    # The polynomial of 1, 2, 4, ... items by doubling; those that add up to the size are put together.
+    out, have, part, span = None, 0, hashes, 1
+    while True:
+        if size & span:
+            after = part[have : len(hashes) - size + 1 + have]
+            out = after.copy() if out is None else out[: len(after)] + after * _U(pow(BASE, have, 1 << 64))
+            have += span
+        if 2 * span > size:
+            return mix(out)
+        part = part[:-span] + part[span:] * _U(pow(BASE, span, 1 << 64))
+        span *= 2
 
 
 def starts_of(first: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,6 +122,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def sliding_any(flags: np.ndarray, width: int) -> np.ndarray:
+    """Whether one of each ``width`` neighbouring flags is set."""
+    return ~sliding_min(~flags, width)
+
+
 def anchors(keys: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Minimizers: positions whose key is least in one of the windows, and the least key of each window.
 

@@ -29,9 +29,9 @@ Extract = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df``, marked for broadcast if its counted size allows it."""
+    """``df``, marked for broadcast if its counted size allows it, else to be hashed within partitions, as sorting costs more."""
     rows = BROADCAST_ROWS if rows is None else rows
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("shuffle_hash")
 
 
 def key_of(hashes: np.ndarray) -> np.ndarray:

@@ -18,21 +18,30 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import by_size, materialize, release
-from tagweave.llm.hashing import anchors, buffer_of, mix, phrases, powers, starts_of
-from tagweave.llm.recurring import key_of, recurring_keys
+from tagweave.llm.common import by_size, materialize, ragged_take, release
+from tagweave.llm.hashing import BASE, buffer_of, mix, phrases, sliding_any, sliding_min
+from tagweave.llm.recurring import KEY_BITS, key_of, recurring_keys
 
 WINDOW = 50  # bytes of a string that counts as repeated
 ANCHOR = 20  # bytes of a sampled phrase
-CHUNK_BYTES = 256 << 10  # text that is hashed at a time; longer texts are cut with an overlap
+CHUNK_BYTES = 32 << 10  # text that is hashed at a time, so that its hashes stay in cache; longer texts are cut with an overlap
 SHARD_BYTES = 256 << 10  # context bytes of one index
+BODIES = 4_096  # contexts that are cut out, or whose windows are listed, at a time
 HOT_CONTEXTS = 4_000  # distinct contexts of one phrase from which its windows are grouped instead
 BROADCAST_ROWS = 200_000
 NO_ID = -(2**63)  # stands for a null id, which comes before all others
 
 
 def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """``df``, marked for broadcast if its counted size allows it, else to be hashed within partitions, as sorting costs more."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df.hint("shuffle_hash")
+
+
+def with_lists(texts: DataFrame, lists: DataFrame, on: list[str]) -> DataFrame:
+    """The texts that have a row in ``lists``, with it; where few have one the others are not shuffled."""
+    if lists.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(lists.select(on)), on, "left_semi")
+    return texts.join(lists.hint("shuffle_hash"), on)
 
 
 # --- the index --------------------------------------------------------------------------------
@@ -68,9 +77,23 @@ class RunIndex:
         return out
 
 
-def _ranks(order_by: np.ndarray) -> np.ndarray:
-    order = np.argsort(order_by)
-    ordered = order_by[order]
+def _ordered(order_by: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of at most ``bits`` bits in order, and where each stood.
+
+    Sorting numbers is several times faster than sorting places by them, so both go into one where they fit.
+    """
+    low = len(order_by).bit_length()
+    if bits + low > 63:
+        order = np.argsort(order_by)
+        return order_by[order], order
+    both = order_by << low
+    both |= np.arange(len(order_by))
+    both.sort()
+    return both >> low, both & ((1 << low) - 1)
+
+
+def _ranks(order_by: np.ndarray, bits: int) -> np.ndarray:
+    ordered, order = _ordered(order_by, bits)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
     return rank
@@ -105,21 +128,22 @@ def build_index(data: np.ndarray, lengths: np.ndarray, labels: np.ndarray, windo
     seen[0] = True
     dense = (np.cumsum(seen) - 1)[symbol]
     bits = int(dense.max(initial=1)).bit_length()
-    depth = min(63 // bits, window)
+    size = n.bit_length()
+    depth = max(min((63 - size) // bits, window), 1)
     key = np.zeros(n, np.int64)
     for i in range(depth):
         key <<= bits
         key[: n - i] |= np.where(left[: n - i] >= i, dense[i:], 0)
-    rank, ranks = _ranks(key), {}
+    rank, ranks = _ranks(key, depth * bits), {}
     longest = int(lengths.max(initial=0)) + 1
     while True:
         if depth <= window:
             ranks[depth] = rank
         if depth >= longest:
             break
-        rank = _ranks(rank * (n + 1) + ahead(rank, depth))
+        rank = _ranks((rank << size) | ahead(rank, depth), 2 * size)
         depth *= 2
-    order = np.argsort(rank * m + text_of)
+    order = _ordered((rank << m.bit_length()) | text_of, size + m.bit_length())[1]
 
     # Neighbouring suffixes start with the same window if two overlapping parts of it are equal.
     part = max(ranks)
@@ -172,11 +196,28 @@ def pieces(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarra
             yield part, np.array([0, len(part)]), np.array([a]), np.array([s])
 
 
-def _keys(data: np.ndarray, bounds: np.ndarray, window: int, anchor: int):
-    keys = key_of(phrases(data.astype(np.uint64) + np.uint64(1), anchor))
-    at, fits = starts_of(bounds[:-1], np.diff(bounds), window)
-    found, least = anchors(keys, at, window - anchor + 1)
-    return keys, at, fits, found, least
+def _runs(data: np.ndarray, bounds: np.ndarray, window: int, anchor: int):
+    """Runs of neighbouring windows of a piece that have one sampled phrase, the least of a window.
+
+    Gives the hashes of all phrases, and key, piece, start and number of windows of each run.
+    Equal windows have equal least keys, so a window that occurs again has a least key that does.
+    """
+    whole = phrases(data.astype(np.uint64) + np.uint64(1), anchor)
+    least = sliding_min(key_of(whole), window - anchor + 1)
+    n = len(least)
+    fits = np.maximum(np.diff(bounds) - window + 1, 0)
+    new = np.zeros(n + 1, bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:n])
+    some = fits > 0
+    new[bounds[:-1][some]] = True
+    new[(bounds[:-1] + fits)[some]] = True  # from here on windows would reach into the next piece
+    new[n] = True
+    begin = np.flatnonzero(new)
+    count, begin = np.diff(begin), begin[:-1]
+    piece = np.searchsorted(bounds, begin, side="right") - 1
+    inside = begin < (bounds[:-1] + fits)[piece]
+    begin, count, piece = begin[inside], count[inside], piece[inside]
+    return whole, least[begin], piece, begin, count
 
 
 def _sampled(window: int, anchor: int):
@@ -185,8 +226,8 @@ def _sampled(window: int, anchor: int):
     def extract(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         d = batch.column("d").to_numpy()
         for data, bounds, rows, _ in pieces(batch.column("_text"), window):
-            keys, _, _, found, _ = _keys(data, bounds, window, anchor)
-            yield keys[found], d[rows[np.searchsorted(bounds, found, side="right") - 1]]
+            _, key, piece, _, _ = _runs(data, bounds, window, anchor)
+            yield key, d[rows[piece]]
 
     return extract
 
@@ -195,33 +236,35 @@ def _contexts(window: int, anchor: int):
     """Rows ``(key, cx, d, h, pos, k)``: ``k`` windows from ``pos`` with one recurring phrase."""
     width = window - anchor + 1
 
+    def of_row(rows: np.ndarray, key: np.ndarray) -> np.ndarray:
+        # Rows beyond 2^16 share numbers; a context too many has nothing to be compared with.
+        return key | (rows.astype(np.uint64) << np.uint64(KEY_BITS))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d, h, lists = batch.column("d").to_numpy(), batch.column("h").to_numpy(), batch.column("keys")
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))
+            known = np.sort(of_row(owner, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)))
             for data, bounds, rows, offset in pieces(batch.column("_text"), window):
-                _, at, fits, _, least = _keys(data, bounds, window, anchor)
-                piece = np.repeat(np.arange(len(fits)), fits)
-                recurs = np.zeros(len(at), bool)
-                ends = np.cumsum(fits)
-                for p in np.flatnonzero(fits).tolist():
-                    own = slice(ends[p] - fits[p], ends[p])
-                    known = lists[int(rows[p])].values.to_numpy(zero_copy_only=False)
-                    recurs[own] = np.isin(least[own].view(np.int64), known)
-                hit = np.flatnonzero(recurs)
-                if not len(hit):
+                whole, key, piece, start, count = _runs(data, bounds, window, anchor)
+                asked = of_row(rows[piece], key)
+                at = np.searchsorted(known, asked)
+                recurs = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == asked) if len(known) else at[:0]
+                if not len(recurs):
                     continue
-                new = np.concatenate([[True], (np.diff(at[hit]) != 1) | (least[hit][1:] != least[hit][:-1]) | (np.diff(piece[hit]) != 0)])
-                begin = np.flatnonzero(new)
-                since = np.arange(len(hit)) - np.repeat(begin, np.diff(np.append(begin, len(hit))))
-                begin = np.flatnonzero(since % width == 0)  # the windows of a context fit one bit mask
-                k = np.diff(np.append(begin, len(hit)))
-                start = at[hit[begin]]
-                sums = np.zeros(len(data) + 1, np.uint64)
-                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data)), out=sums[1:])
-                cx = mix((sums[start + k + window - 1] - sums[start]) * powers(len(data) + 1, inverse=True)[start] + k.astype(np.uint64))
-                p = piece[hit[begin]]
+                # The windows of a context fit one bit mask.
+                parts = -(-count[recurs] // width)
+                since = width * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+                recurs = np.repeat(recurs, parts)
+                k = np.minimum(count[recurs] - since, width)
+                start, p = start[recurs] + since, piece[recurs]
+                # A context's hash: those of phrases that together cover it.
+                last = start + k + (window - 1 - anchor)
+                cx = k.astype(np.uint64)
+                for o in range(0, window + width - 1, anchor):
+                    cx = mix(cx * np.uint64(BASE) + whole[np.minimum(start + o, last)])
                 columns = [
-                    pa.array(least[hit[begin]].view(np.int64)),
+                    pa.array(key[recurs].view(np.int64)),
                     pa.array(cx.view(np.int64)),
                     pa.array(d[rows[p]]),
                     pa.array(h[rows[p]]),
@@ -233,16 +276,24 @@ def _contexts(window: int, anchor: int):
     return run
 
 
+def binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def _bodies(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                d = batch.column("d")[i].as_py()
-                data = batch.column("_text")[i].as_buffer().to_pybytes()
-                spans = batch.column("spans")[i].values
-                key, cx, pos, k = (spans.field(f) for f in ("key", "cx", "pos", "k"))
-                body = [data[p : p + n + window - 1] for p, n in zip(pos.to_pylist(), k.to_pylist())]
-                yield pa.RecordBatch.from_arrays([key, cx, pa.array([d] * len(body), pa.int64()), pa.array(body, pa.binary())], names=["key", "cx", "md", "body"])
+            data, bounds = buffer_of(batch.column("_text"))
+            lists = batch.column("spans")
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            spans = lists.flatten()
+            md = batch.column("d").to_numpy()[owner]
+            start = bounds[owner] + spans.field("pos").to_numpy(zero_copy_only=False)
+            size = spans.field("k").to_numpy(zero_copy_only=False).astype(np.int64) + (window - 1)
+            for a in range(0, len(owner), BODIES):
+                b = slice(a, a + BODIES)
+                body = binary(ragged_take(data, start[b], size[b]), np.concatenate([[0], np.cumsum(size[b])]))
+                yield pa.RecordBatch.from_arrays([spans.field("key")[b], spans.field("cx")[b], pa.array(md[b]), body], names=["key", "cx", "md", "body"])
 
     return run
 
@@ -265,50 +316,61 @@ def _index_shard(window: int):
 
 
 def _mark(window: int):
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone_spans, kept = [], []
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column("_text")[i].as_buffer(), np.uint8)
-                marks = batch.column("marks")[i]
-                if not marks.is_valid or not len(data):
-                    gone_spans.append([])
-                    kept.append(data.tobytes())
-                    continue
-                pos = marks.values.field("pos").to_numpy(zero_copy_only=False)
-                bits = marks.values.field("bits").to_numpy(zero_copy_only=False)
-                cover = np.zeros(len(data) + 1, np.int64)
-                for b in range(window):
-                    start = pos[(bits >> b) & 1 == 1] + b
-                    np.add.at(cover, start, 1)
-                    np.add.at(cover, start + window, -1)
-                gone = np.cumsum(cover[:-1]) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-                gone_spans.append([{"start": s, "end": e} for s, e in edges.reshape(-1, 2).tolist()])
-                kept.append(data[~gone].tobytes())
-            span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(gone_spans, pa.list_(span)), pa.array(kept, pa.binary())], names=["_id", "spans", "kept"])
+            sizes = pc.binary_length(batch.column("_text")).to_pylist()
+            for a, b in by_size(sizes, CHUNK_BYTES):
+                part = batch.slice(a, b - a)
+                data, bounds = buffer_of(part.column("_text"))
+                marks = part.column("marks")
+                owner = np.repeat(np.arange(len(marks)), pc.list_value_length(marks).fill_null(0).to_numpy(zero_copy_only=False))
+                marks = marks.flatten()
+                pos = bounds[owner] + marks.field("pos").to_numpy(zero_copy_only=False)
+                bits = marks.field("bits").to_numpy(zero_copy_only=False).astype("<i8")
+                starts = np.zeros(len(data) + window - 1, bool)  # of a removed window; none reaches into the next text
+                for i in range(0, len(bits), BODIES):
+                    each = np.unpackbits(bits[i : i + BODIES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    row, bit = np.nonzero(each)
+                    starts[pos[i + row] + bit + window - 1] = True
+                gone = sliding_any(starts, window)
+                cut = np.zeros(len(data) + 1, bool)
+                cut[bounds] = True
+                begins = np.flatnonzero(gone & (cut[:-1] | ~np.concatenate([[False], gone[:-1]])))
+                ends = np.flatnonzero(gone & (cut[1:] | ~np.append(gone[1:], False))) + 1
+                first = np.searchsorted(begins, bounds)
+                base = np.repeat(bounds[:-1], np.diff(first))
+                items = pa.StructArray.from_arrays([pa.array((x - base).astype(np.int32)) for x in (begins, ends)], fields=list(span))
+                left = np.concatenate([[0], np.cumsum(~gone)])[bounds]
+                columns = [part.column("_id"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), items), binary(data[~gone], left)]
+                yield pa.RecordBatch.from_arrays(columns, names=["_id", "spans", "kept"])
 
     return run
 
 
-def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``(d, h, marks)``: per text ``(d, h, _text)`` the windows that also start in a smaller document, as ``(pos, bits)``."""
+def contexts_before(texts: DataFrame, window: int, anchor: int, repeated: bool = True) -> DataFrame:
+    """``(d, h, marks)``: per text ``(d, h, _text)`` the windows that also start in a smaller document, as ``(pos, bits)``.
+
+    ``repeated`` says that several rows may have one ``(d, h)``.
+    """
     keys = recurring_keys(texts.select("d", "_text"), _sampled(window, anchor), across=True)
-    some = texts.join(small(keys.select("d")), "d", "left_semi").join(keys, "d")
+    some = with_lists(texts, keys, ["d"])
     contexts = materialize(some.mapInArrow(_contexts(window, anchor), "key long, cx long, d long, h long, pos int, k int"), "contexts")
     release(keys)
 
     # Equal contexts are one. Where a phrase has one context only, there is no other to match.
-    distinct = contexts.groupBy("key", "cx").agg(F.min(F.struct("d", "h", "pos", "k")).alias("f"))
-    distinct = materialize(distinct.select("key", "cx", "f.*"), "distinct_contexts")
+    # All of the aggregates take the same row, as they see the same rows in the same order; unlike a
+    # least struct, which Spark sorts for, numbers are kept in a hash map.
+    first = [F.min("d").alias("d"), *(F.min_by(c, "d").alias(c) for c in ("h", "pos", "k"))]
+    distinct = materialize(contexts.groupBy("key", "cx").agg(*first, F.count("*").alias("times")), "distinct_contexts")
     variants = distinct.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     variants = materialize(variants, "variants")
     varied = distinct.join(small(variants.select("key")), "key", "left_semi")
     places = varied.groupBy("d", "h").agg(F.collect_list(F.struct("key", "cx", "pos", "k")).alias("spans"))
     places = materialize(places, "context_places")
-    holders = texts.join(small(places.select("d", "h")), ["d", "h"], "left_semi").join(places, ["d", "h"])
-    bodies = materialize(holders.mapInArrow(_bodies(window), "key long, cx long, md long, body binary").dropDuplicates(["key", "cx"]), "context_bodies")
+    bodies = with_lists(texts, places, ["d", "h"]).mapInArrow(_bodies(window), "key long, cx long, md long, body binary")
+    bodies = materialize(bodies.dropDuplicates(["key", "cx"]) if repeated else bodies, "context_bodies")
     release(places)
 
     hot = small(materialize(variants.where(F.col("n") > HOT_CONTEXTS).select("key"), "hot_phrases"))
@@ -321,12 +383,13 @@ def contexts_before(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     release(bodies, variants)
 
     # In the smallest document of a context the index decides; in the others all windows go.
-    bits = distinct.select("key", "cx", F.col("d").alias("md")).join(found, ["key", "cx"], "left")
-    bits = materialize(bits, "bits")
+    # A context that stands once and repeats nothing marks nothing.
+    bits = distinct.select("key", "cx", F.col("d").alias("md"), "times").join(small(found), ["key", "cx"], "left")
+    bits = materialize(bits.where("times > 1 or bits is not null").drop("times"), "bits")
     release(distinct, found)
     every = F.expr("shiftleft(1L, k) - 1L")
     value = F.when(F.col("d") > F.col("md"), every).otherwise(F.coalesce("bits", F.lit(0)))
-    joined = contexts.join(bits, ["key", "cx"]).select("d", "h", "pos", value.alias("bits")).where("bits <> 0")
+    joined = contexts.join(small(bits), ["key", "cx"]).select("d", "h", "pos", value.alias("bits")).where("bits <> 0")
     marks = materialize(joined.groupBy("d", "h").agg(F.collect_set(F.struct("pos", "bits")).alias("marks")), "marks")
     release(contexts, bits)
     return marks
@@ -359,12 +422,13 @@ def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, ancho
     again = rows.groupBy("d").agg(F.count("*").alias("n")).where("n > 1").select("d", F.lit(True).alias("_again"))
     again = materialize(again, "repeated_ids")
     # The hash tells apart the texts of one id; where there is one text it is 0, which costs nothing to carry.
-    rows = rows.select("_id", "d", F.lit(0).cast("long").alias("h"), "_text") if again.isEmpty() else rows.join(small(again), "d", "left").select(
+    repeated = not again.isEmpty()
+    rows = rows.select("_id", "d", F.lit(0).cast("long").alias("h"), "_text") if not repeated else rows.join(small(again), "d", "left").select(
         "_id", "d", F.when(F.col("_again"), F.xxhash64("_text")).otherwise(F.lit(0)).alias("h"), "_text"
     )
-    marks = contexts_before(rows.select("d", "h", "_text"), window, anchor)
+    marks = contexts_before(rows.select("d", "h", "_text"), window, anchor, repeated)
     # Texts without marks take the same way, so that all are shuffled once.
-    found = rows.join(marks, ["d", "h"], "left").select("_id", "_text", "marks")
+    found = rows.join(marks.hint("shuffle_hash"), ["d", "h"], "left").select("_id", "_text", "marks")
     found = found.mapInArrow(_mark(window), "_id long, spans array<struct<start:int,end:int>>, kept binary")
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return found.select(F.col("_id").alias(id_col), (F.length("kept") + gone).cast("long").alias("n_bytes"), "spans", "kept")

@@ -1,11 +1,13 @@
 """Removed bytes against brute force over all windows, and the index by itself."""
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tagweave.llm import recurring, runindex
+from tagweave.llm import hashing, recurring, runindex
 from tests.llm.odd import odd_docs, odd_texts
 
 
@@ -118,3 +120,55 @@ def test_odd_rows(spark):
     assert by[1] == by[2] == [(0, [])] and by[None] == [(n, [])] and by[20] == [(n, [(0, n)])] * 2 and by[21] == [(2 * n, [(0, 2 * n)])]
     assert by[10] == [(5000, [])] and by[8][0][1] == [(0, by[8][0][0])]
     assert runindex.dedup(odd_docs(spark, []), "doc_id", "text").count() == 0
+
+
+def test_phrase_hashes_are_the_polynomial():
+    items = np.random.default_rng(3).integers(0, 1 << 63, 60).astype(np.uint64)
+    for size in (1, 2, 3, 5, 20, 31, 32, 50, 60, 61):
+        plain = [sum(int(x) * pow(hashing.BASE, j, 1 << 64) for j, x in enumerate(items[i : i + size])) % (1 << 64) for i in range(max(0, 61 - size))]
+        assert hashing.phrases(items, size).tolist() == hashing.mix(np.array(plain, np.uint64)).tolist()
+
+
+def test_rows_that_share_an_id_with_other_texts(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(25), t) for _, t in rows_of(rng, 120)]
+    first = {}
+    for i, t in rows:
+        b = t.encode()
+        for k in range(len(b) - 29):
+            first[b[k : k + 30]] = min(i, first.get(b[k : k + 30], i))
+    want = []
+    for i, t in rows:
+        b = t.encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 29):
+            if first[b[k : k + 30]] < i:
+                gone[k : k + 30] = True
+        want.append((i, len(b), bytes(np.frombuffer(b, np.uint8)[~gone])))
+    found = runindex.dedup(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", window=30, anchor=10).collect()
+    assert sorted((r.doc_id, r.n_bytes, bytes(r.kept)) for r in found) == sorted(want) and any(len(k) < n for _, n, k in want)
+
+
+def test_texts_of_a_batch_are_handled_together():
+    """A text of its own costs little: numpy calls are made for a chunk, not for each text or window of one."""
+    n, size = 6_000, 100
+    texts = np.random.default_rng(12).integers(97, 123, (n, size)).astype(np.uint8)
+    ids, column = pa.array(np.arange(n)), pa.array([t.tobytes() for t in texts], pa.binary())
+
+    def lists(**fields):
+        items = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1), pa.int32()), items)
+
+    same = pa.array(np.full(n, 40, np.int32))
+    spans = lists(key=ids, cx=ids, pos=same, k=pa.array(np.full(n, 3, np.int32)))
+    marks = lists(pos=same, bits=pa.array(np.full(n, 5)))  # windows from 40 and 42
+    bodies = pa.RecordBatch.from_arrays([ids, column, spans], names=["d", "_text", "spans"])
+    marked = pa.RecordBatch.from_arrays([ids, column, marks], names=["_id", "_text", "marks"])
+    began = time.process_time()
+    cut = list(runindex._bodies(50)(iter([bodies])))
+    kept = list(runindex._mark(50)(iter([marked])))
+    took = time.process_time() - began
+    assert [b.as_py() for t in cut for b in t.column("body")] == [t[40:92].tobytes() for t in texts]
+    assert [b.as_py() for t in kept for b in t.column("kept")] == [t[:40].tobytes() + t[92:].tobytes() for t in texts]
+    assert all(s.as_py() == [{"start": 40, "end": 92}] for t in kept for s in t.column("spans"))
+    assert len(cut) < n / 100 and took < 0.5
